@@ -21,9 +21,36 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embedding import near_dedup
+
+    return near_dedup(table(spark, sf_dir, "embeddings"), bound=0.98)
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pieces import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op7_toxicity": op7_toxicity,
+    "op8_sentencepiece": op8_sentencepiece,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
