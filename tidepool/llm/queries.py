@@ -15,6 +15,18 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import quality
+
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import toxicity
 
@@ -39,6 +51,12 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spans import dedup_spans
+
+    return dedup_spans(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -48,8 +66,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
+    "op3_quality": op3_quality,
+    "op4_html_extraction": op4_html_extraction,
     "op7_toxicity": op7_toxicity,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
 }
 
