@@ -27,6 +27,18 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_lm import score
+
+    return score(table(spark, sf_dir, "documents"))
+
+
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fingerprint import edits
+
+    return edits(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import toxicity
 
@@ -68,6 +80,8 @@ QUERIES = {
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op3_quality": op3_quality,
     "op4_html_extraction": op4_html_extraction,
+    "op5_suffix_tree": op5_suffix_tree,
+    "op6_fingerprints": op6_fingerprints,
     "op7_toxicity": op7_toxicity,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_substring_dedup": op9_substring_dedup,
