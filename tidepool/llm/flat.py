@@ -7,6 +7,8 @@ slices of bounded size (:func:`slices`), so memory doesn't depend on the Arrow b
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,6 +28,11 @@ class _Cache(dict):
         return _Cache, ()
 
 
+def process_store() -> dict:
+    """One dictionary per process: task functions travel with a copy of this module, so its own globals don't last."""
+    return sys.modules.setdefault("_tidepool_process", types.ModuleType("_tidepool_process")).__dict__
+
+
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = _Cache()
 
 

@@ -35,9 +35,6 @@ STEP_TOKENS = 32 * 1024
 # Fixed value: the split rule of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-_loaded = flat._Cache()
-
-
 def _byte_of() -> dict[str, int]:
     """The printable stand-ins of bytes in byte-level vocabularies: printable Latin-1 as itself, the others from 256 on."""
     shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
@@ -47,7 +44,8 @@ def _byte_of() -> dict[str, int]:
 
 def encoder(path: str):
     """text -> numpy ids, from a byte-level BPE file in the tokenizers library's format; one per process."""
-    if path not in _loaded:
+    kept = flat.process_store()
+    if (key := f"packing {path}") not in kept:
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
@@ -56,8 +54,8 @@ def encoder(path: str):
         byte = _byte_of()
         ranks = {bytes(byte[c] for c in k): v for k, v in spec["model"]["vocab"].items() if k not in special}
         bpe = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
-        _loaded[path] = bpe, list(special)
-    bpe, special = _loaded[path]
+        kept[key] = bpe, list(special)
+    bpe, special = kept[key]
 
     def encode(text: str) -> np.ndarray:
         if any(s in text for s in special):

@@ -25,12 +25,9 @@ from pyspark.sql import functions as F
 from . import flat
 
 MARK = "▁"
-CACHE_WORDS = 150_000
+CACHE_WORDS = 500_000
 NONE = np.int64(1) << 40
 
-_loaded = flat._Cache()
-
-
 class Model:
     """Lookup arrays of a BPE model file."""
 
@@ -96,9 +93,19 @@ class Model:
 
 
 def model(path: str) -> Model:
-    if path not in _loaded:
-        _loaded[path] = Model(path)
-    return _loaded[path]
+    """The model of a file, read once per process."""
+    kept = flat.process_store()
+    if (key := f"pieces {path}") not in kept:
+        kept[key] = Model(path)
+    return kept[key]
+
+
+def encoder(path: str) -> Encoder:
+    """An encoder whose store of words lasts for the tasks of a process."""
+    kept = flat.process_store()
+    if (key := f"pieces encoder {path}") not in kept:
+        kept[key] = Encoder(path)
+    return kept[key]
 
 
 def merge(m: Model, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -178,7 +185,7 @@ def merge(m: Model, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Encoder:
-    """Whole texts to ids; the words of one task that were seen before come from a bounded store."""
+    """Whole texts to ids; the words that were seen before come from a store of bounded size."""
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         self.m, self.limit = model(path), cache_words
@@ -228,7 +235,7 @@ def _encoded(path: str):
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches):
-        enc = Encoder(path)
+        enc = encoder(path)
         for b in flat.slices(batches):
             ids, bounds = enc.ids([t or "" for t in b.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))], schema=schema)
@@ -263,7 +270,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     sha = lambda b: hashlib.sha256(b).hexdigest()
 
     def run(batches):
-        enc = Encoder(path)
+        enc = encoder(path)
         m = enc.m
         for b in flat.slices(batches):
             ids, bounds = enc.ids([t or "" for t in b.column("text").to_pylist()])
