@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import flat
+
 SAMPLE_ROWS = 12_000
 
 
@@ -24,3 +27,16 @@ def sample(docs: DataFrame, labels: DataFrame, column: str, rows: int = SAMPLE_R
     few = few.withColumn("part", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(4)).cast("int"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return texts.join(F.broadcast(few), "doc_id")
+
+
+def filtered(docs: DataFrame, scorer, keep) -> DataFrame:
+    """The rows of ``docs``, all columns, whose scores ``keep`` accepts; ``scorer()`` gives a function of a text column."""
+    rows = docs.withColumn("text", F.col("text").cast("string"))
+    names = rows.columns
+
+    def run(batches):
+        score = scorer()
+        for b in flat.slices(batches):
+            yield pa.RecordBatch.from_arrays(b.columns, names=names).filter(pa.array(keep(score(b.column("text")))))
+
+    return rows.mapInArrow(run, rows.schema)

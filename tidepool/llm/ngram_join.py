@@ -242,3 +242,20 @@ def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, orders: int = 3,
     final = cut(nodes.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("node", F.coalesce("component", "doc_id").alias("component_id")), "final")
     drop(groups, known, mixed, *found)
     return members.join(final, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, **params) -> DataFrame:
+    """One row of each group of linked rows of ``docs``, with all columns: the one whose doc_id is the component's.
+
+    Rows with the same doc_id are one document, of which the row with the smallest text stays; rows without a doc_id
+    are kept."""
+    from pyspark.sql import Window
+
+    joined = ngram_join(docs, k, percent, **params)
+    kept = cut(joined.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
+    ids = kept.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"))
+    once = docs.join(ids, "doc_id", "left_semi").select(*docs.columns)
+    if not kept.where("rows > 1").isEmpty():
+        w = Window.partitionBy("doc_id").orderBy("text")
+        once = once.withColumn("_place", F.row_number().over(w)).where("_place = 1").select(*docs.columns)
+    return once.unionByName(docs.where("doc_id is null"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import flat
-from .labelled import SAMPLE_ROWS, remainder, sample
+from .labelled import SAMPLE_ROWS, filtered, remainder, sample
 from .scratch import cut, drop
 
 WORDS = 1 << 15
@@ -165,27 +165,35 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS):
     return edges, (m.bias, m.w.astype(np.float32), m.v.astype(np.float32))
 
 
-def _scorer(model):
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
-
-    def run(batches):
-        edges, state = model.value
-        if edges is not None:
-            m = Machine.__new__(Machine)
-            m.bias, m.w, m.v = state
-        for b in flat.slices(batches):
-            if edges is None:
-                s = np.full(b.num_rows, state)
-            else:
-                s = 1 / (1 + np.exp(-np.clip(m.margin(*rows(*inputs(b.column("text")), edges), b.num_rows), -30, 30)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s, pa.float64())], schema=schema)
-
-    return run
+def _scores(model):
+    """A function of a text column that gives its scores."""
+    edges, state = model.value
+    if edges is None:
+        return lambda col: np.full(len(col), state)
+    m = Machine.__new__(Machine)
+    m.bias, m.w, m.v = state
+    return lambda col: 1 / (1 + np.exp(-np.clip(m.margin(*rows(*inputs(col), edges), len(col)), -30, 30)))
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, score, predicted (1 if score >= threshold)."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample_rows))
+    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
+
+    def run(batches):
+        score = _scores(model)
+        for b in flat.slices(batches):
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(score(b.column("text")), pa.float64())], schema=schema)
+
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = texts.mapInArrow(_scorer(model), "doc_id long, score double")
+    scored = texts.mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def good_only(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is at least ``threshold``; without any label all rows."""
+    fitted = fit(docs, labels, sample_rows)
+    if fitted[0] is None:
+        return docs
+    model = docs.sparkSession.sparkContext.broadcast(fitted)
+    return filtered(docs, lambda: _scores(model), lambda s: s >= threshold)

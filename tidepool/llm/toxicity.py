@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import flat
-from .labelled import SAMPLE_ROWS, remainder, sample
+from .labelled import SAMPLE_ROWS, filtered, remainder, sample
 from .scratch import cut, drop
 
 # Second-person words of the four languages.
@@ -272,22 +272,19 @@ def isotonic(m: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(at), np.maximum.accumulate(np.array(rate))
 
 
-def _scorer(model):
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
+def _scores(model):
+    """A function of a text column that gives its scores."""
+    lexicon, stems, persons, state, at, rate, base = model.value
+    trees = None if state is None else Trees.of(state)
 
-    def run(batches):
-        lexicon, stems, persons, state, at, rate, base = model.value
-        trees = None if state is None else Trees.of(state)
-        for b in flat.slices(batches):
-            if trees is None:
-                s = np.full(b.num_rows, base)
-            else:
-                m = trees.margin(features(b.column("text"), lexicon, stems, persons))
-                # the margin itself breaks the ties inside a calibrated step
-                s = 0.98 * np.interp(m, at, rate) + 0.02 / (1 + np.exp(-m))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s)], schema=schema)
+    def score(col: pa.Array) -> np.ndarray:
+        if trees is None:
+            return np.full(len(col), base)
+        m = trees.margin(features(col, lexicon, stems, persons))
+        # the margin itself breaks the ties inside a calibrated step
+        return 0.98 * np.interp(m, at, rate) + 0.02 / (1 + np.exp(-m))
 
-    return run
+    return score
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS):
@@ -321,6 +318,19 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS):
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, rows: int = SAMPLE_ROWS) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, score, predicted (1 if score >= threshold)."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, rows))
+    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
+
+    def run(batches):
+        score = _scores(model)
+        for b in flat.slices(batches):
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(score(b.column("text")), pa.float64())], schema=schema)
+
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = texts.mapInArrow(_scorer(model), "doc_id long, score double")
+    scored = texts.mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is below ``threshold``."""
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, rows))
+    return filtered(docs, lambda: _scores(model), lambda s: s < threshold)
