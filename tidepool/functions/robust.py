@@ -1,0 +1,23 @@
+"""Exact medians and median deviations of small arrays, in decimal."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def middle(sorted_array: Column) -> Column:
+    """Median of a sorted array: the mean of the two middle values if their number is even; null if empty."""
+    n = F.size(sorted_array)
+    low, high = F.try_element_at(sorted_array, F.greatest(((n + 1) / 2).cast("int"), F.lit(1))), F.try_element_at(sorted_array, F.greatest((n / 2).cast("int") + 1, F.lit(1)))
+    return ((low + high) / 2).cast("decimal(30,9)")
+
+
+def upper_middle(sorted_array: Column) -> Column:
+    """The element at half the length, without averaging."""
+    return F.try_element_at(sorted_array, (F.size(sorted_array) / 2).cast("int") + 1)
+
+
+def deviation(array: Column, center: Column) -> Column:
+    """Median of the absolute distances from ``center``."""
+    return middle(F.array_sort(F.transform(array, lambda x: F.abs(x - center).cast("decimal(30,9)"))))

@@ -1,6 +1,332 @@
-"""Every registered query and its SQL twin."""
+"""Every registered query of the market and text operators, and its SQL twin.
+
+Queries without a twin (sequential folds, streaming, walls) are tested against brute force in ``tests``.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.money import plain
+from ..functions.strings import stable_id, strip_markup
+from ..operators import bars, book, confluence, health, joins, keyed, topics, volume, vwap, wicks
+from ..sources import market
+from . import adapters, twins
+from .adapters import table
+
+AS_OF, END = "2024-01-30 00:00:00", "2024-01-31 00:10:00"
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(name: str, twin: str | None = None):
+    def add(f):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return f(spark, sf_dir)
+
+        QUERIES[name] = run
+        if twin:
+            ORACLE_SQL[name] = twin
+        return f
+
+    return add
+
+
+def double(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({n: F.col(n).cast("double") for n in names})
+
+
+def naive(df: DataFrame) -> DataFrame:
+    """Timestamps without zone, as the twins have them."""
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c, kind in df.dtypes if kind == "timestamp"})
+
+
+OHLC = ("open", "high", "low", "close")
+
+
+def _candle_rows(df: DataFrame) -> DataFrame:
+    return naive(double(df, *OHLC, "volume").select("inst_id", "timeframe", "window_start", "window_end", *OHLC, "volume", "trade_count"))
+
+
+@query("a1_candles_1h", twins.candles("timeframe = '1h'"))
+def _(spark, sf):
+    return _candle_rows(bars.candles(adapters.trades(spark, sf), "1h"))
+
+
+@query("a1_candles_1m", twins.candles("timeframe = '1m'"))
+def _(spark, sf):
+    return _candle_rows(bars.candles(adapters.trades(spark, sf), "1m"))
+
+
+@query("a2_rollup_4h", twins.candles("timeframe = '4h'"))
+def _(spark, sf):
+    return _candle_rows(bars.roll_up(bars.candles(adapters.trades(spark, sf), "1m"), "4h"))
+
+
+@query("a3_all_timeframes", twins.candles("true"))
+def _(spark, sf):
+    return _candle_rows(bars.all_timeframes(bars.candles(adapters.trades(spark, sf), "1m")))
+
+
+@query("a4_volume_bars_1h", twins.VOLUME_BARS)
+def _(spark, sf):
+    rows = bars.volume_bars(adapters.trades(spark, sf), "1h", whale=1000)
+    money = [plain(F.col(c)).alias(c) for c in ("total_volume", "buy_volume", "sell_volume", "whale_volume", "delta")]
+    return naive(double(rows, *OHLC).select("inst_id", "window_start", *OHLC, *money, "whale_count", "trade_count", F.round("price_change_pct", 6).alias("price_change_pct")))
+
+
+CVD_TWIN = f"WITH {twins.CVD} SELECT inst_id, window_start, {twins.MONEY('d')} AS cvd_delta, {twins.MONEY('v')} AS cvd_value FROM cvd"
+
+
+@query("w1_cvd_1m", CVD_TWIN)
+def _(spark, sf):
+    return naive(bars.cvd(adapters.trades(spark, sf)).select("inst_id", "window_start", plain(F.col("cvd_delta")).alias("cvd_delta"), plain(F.col("cvd_value")).alias("cvd_value")))
+
+
+@query("w15_cvd_4h_close", f"WITH {twins.CVD} SELECT inst_id, time_bucket(INTERVAL 4 HOUR, window_start, TIMESTAMP '2000-01-01') AS window_start, {twins.MONEY('arg_max(v, window_start)')} AS cvd_value, {twins.MONEY('sum(d)')} AS cvd_delta FROM cvd GROUP BY inst_id, time_bucket(INTERVAL 4 HOUR, window_start, TIMESTAMP '2000-01-01')")
+def _(spark, sf):
+    rows = bars.cvd_at_close(bars.cvd(adapters.trades(spark, sf)), "4h")
+    return naive(rows.select("inst_id", "window_start", plain(F.col("cvd_value")).alias("cvd_value"), plain(F.col("cvd_delta")).alias("cvd_delta")))
+
+
+@query("c7_delta_turns", f"WITH {twins.CVD}, x AS (SELECT inst_id, window_start, d, lag(d) OVER (PARTITION BY inst_id, date_trunc('day', window_start) ORDER BY window_start) AS b FROM cvd) SELECT inst_id, window_start, {twins.MONEY('d')} AS cvd_delta FROM x WHERE sign(d) * sign(b) < 0")
+def _(spark, sf):
+    return naive(bars.delta_turns(bars.cvd(adapters.trades(spark, sf))).select("inst_id", "window_start", plain(F.col("cvd_delta")).alias("cvd_delta")))
+
+
+@query("w2_w5_vwap_1m", twins.VWAP)
+def _(spark, sf):
+    return naive(vwap.vwap(adapters.trades(spark, sf), anchor="2024-01-10 00:00:00"))
+
+
+@query("c6_vwap_deviation", f"""WITH {twins.TRADES}, w AS (SELECT inst_id, ts, date_trunc('minute', ts) AS window_start, round(CAST(sum(pv) OVER s AS DOUBLE) / CAST(sum(n) OVER s AS DOUBLE), 6) AS v, row_number() OVER (PARTITION BY inst_id, date_trunc('minute', ts) ORDER BY ts) AS rn,
+  CAST(last(price) OVER (PARTITION BY inst_id, date_trunc('minute', ts) ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS DOUBLE) AS close FROM t WINDOW s AS (PARTITION BY inst_id, date_trunc('day', ts) ORDER BY ts)),
+  k AS (SELECT *, sign(close - v) AS side FROM w WHERE rn = 1)
+  SELECT inst_id, window_start, round((close - v) / v * 10000, 4) AS deviation_bps, coalesce(lag(side) OVER (PARTITION BY inst_id, date_trunc('day', window_start) ORDER BY window_start) * side < 0, false) AS crossed FROM k""")
+def _(spark, sf):
+    t = adapters.trades(spark, sf)
+    rows = bars.candles(t, "1m").select("inst_id", "window_start", "close").join(vwap.vwap(t, windows={"1h": 3600}), ["inst_id", "window_start"])
+    return naive(vwap.deviation(rows).select("inst_id", "window_start", "deviation_bps", "crossed"))
+
+
+@query("w7_w12_volume_signals", twins.SIGNALS)
+def _(spark, sf):
+    rows = volume.signals(bars.volume_bars(adapters.trades(spark, sf), "1h", whale=1000))
+    return naive(rows.select("inst_id", "window_start", plain(F.col("total_volume")).alias("total_volume"), "volume_tier", F.round(F.col("median_volume").cast("double"), 5).alias("median_volume"), "modified_z_score", "volume_anomaly", "absorption", "divergence"))
+
+
+def _hour_candles(spark, sf):
+    return bars.candles(adapters.trades(spark, sf), "1h")
+
+
+def _wick_candles(spark, sf):
+    hours = _hour_candles(spark, sf)
+    return hours.unionByName(bars.roll_up(hours, "4h"))
+
+
+@query("f12_wicks", twins.WICKS)
+def _(spark, sf):
+    return naive(double(wicks.detect(_hour_candles(spark, sf)), "price", "wick_size", "body_size").select("inst_id", "timeframe", "event_id", "wick_type", "price", "wick_size", "body_size", "created"))
+
+
+def _states(spark, sf):
+    c = _wick_candles(spark, sf)
+    return wicks.lifecycle(wicks.detect(c), c, adapters.meta(spark))
+
+
+@query("t6_wick_lifecycle", twins.STATES)
+def _(spark, sf):
+    return naive(double(_states(spark, sf), "price").select("inst_id", "timeframe", "event_id", "wick_type", "price", "created", "status", "touch_ts", "touch_by_body", "touch_class", "tip_distance_ticks", "signal_strength", "touch_age_minutes"))
+
+
+@query("s9_latest_states", twins.LOG)
+def _(spark, sf):
+    return wicks.latest(wicks.change_log(_states(spark, sf))).groupBy("status", "timeframe").agg(F.count("*").alias("n"))
+
+
+@query("j4_neighbours", twins.NEIGHBOURS)
+def _(spark, sf):
+    return wicks.neighbours(_states(spark, sf), minutes=600).select("event_id", "nearby", "nearby_touched")
+
+
+@query("c3_hidden_signals", twins.HIDDEN)
+def _(spark, sf):
+    return wicks.hidden(_states(spark, sf), AS_OF, 20, 10_000, least=4, minutes=600).select("event_id", "nearby_touched", "confidence")
+
+
+def _buckets(spark, sf, mid=1000):
+    return book.buckets(adapters.book(spark, sf, mid), adapters.meta(spark))
+
+
+@query("a8_book_bands", twins.BANDS)
+def _(spark, sf):
+    return naive(book.by_band(_buckets(spark, sf)).select("inst_id", "ts", "side", "band", plain(F.col("notional")).alias("notional"), plain(F.col("base")).alias("base")))
+
+
+@query("f8_f10_top_of_book", twins.TOP)
+def _(spark, sf):
+    return naive(double(_buckets(spark, sf), "best_bid", "best_ask").select("inst_id", "ts", "best_bid", "best_ask", "obi", "micro_price"))
+
+
+@query("f11_band_imbalance", twins.IMBALANCE)
+def _(spark, sf):
+    return naive(_buckets(spark, sf).select("inst_id", "ts", F.posexplode("imbalance").alias("band", "imbalance")))
+
+
+@query("w13_band_changes", twins.CHANGES)
+def _(spark, sf):
+    rows = book.changes(book.by_band(_buckets(spark, sf)), least=500)
+    return naive(rows.select("inst_id", "ts", "side", "band", plain(F.col("delta")).alias("delta"), "significant"))
+
+
+@query("c8_depth_weighted_obi", twins.DEPTH)
+def _(spark, sf):
+    return naive(book.depth_weighted(_buckets(spark, sf)).select("inst_id", "ts", "depth_obi"))
+
+
+@query("t7_walls")
+def _(spark, sf):
+    rows = book.walls(book.by_band(_buckets(spark, sf)), {adapters.BTC: 100, adapters.ETH: 1000})
+    return naive(double(rows, "notional", "base"))
+
+
+@query("t11_sequence_gaps", "SELECT inst_id, ts, s IS DISTINCT FROM seq - 4 AND s IS NOT NULL AS gap_detected FROM (SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'BTC-USDT-SWAP' ELSE 'ETH-USDT-SWAP' END AS inst_id, TIMESTAMP '2024-01-01' + o_orderkey * INTERVAL 2 SECOND AS ts, o_orderkey AS seq, lag(o_orderkey) OVER (PARTITION BY o_orderkey % 2, date_trunc('day', TIMESTAMP '2024-01-01' + o_orderkey * INTERVAL 2 SECOND) ORDER BY o_orderkey) AS s FROM orders)")
+def _(spark, sf):
+    rows = adapters.book(spark, sf).select("inst_id", "ts", F.col("seq").alias("seqId"), (F.col("seq") - 4).alias("prevSeqId"))
+    return naive(book.sequence_gaps(rows).select("inst_id", "ts", "gap_detected"))
+
+
+@query("c1_confluence", twins.CONFLUENCE)
+def _(spark, sf):
+    t = adapters.trades(spark, sf)
+    v = volume.signals(bars.volume_bars(t, "1h", whale=1000)).withColumnRenamed("window_start", "ts")
+    c = bars.cvd(t).withColumnRenamed("window_start", "ts")
+    p = vwap.vwap(t, windows={"1h": 3600}).withColumnRenamed("window_start", "ts")
+    rows = confluence.score(_states(spark, sf), AS_OF, v, _buckets(spark, sf, 300), c, p, max_age_minutes=20_000, wall=50, least=30)
+    return double(rows, "entry_price").select("inst_id", "event_id", "score", "direction", "entry_price")
+
+
+@query("c4_dashboard", twins.HEALTH)
+def _(spark, sf):
+    t = adapters.trades(spark, sf)
+    parts = [health.component(t, "trades", "ts", END), health.component(bars.cvd(t), "cvd", "window_start", END), health.component(t.where("inst_id = 'none'"), "spot", "ts", END)]
+    return health.dashboard(parts).drop("attrs")
+
+
+@query("s8_latest_trade", f"WITH {twins.TRADES} SELECT inst_id, max(ts) AS ts, CAST(arg_max(price, ts) AS DOUBLE) AS price, arg_max(side, ts) AS side FROM t GROUP BY 1")
+def _(spark, sf):
+    return naive(double(confluence.latest_rows(adapters.trades(spark, sf), "ts"), "price").select("inst_id", "ts", "price", "side"))
+
+
+@query("p1_quarantine", f"WITH {twins.TRADES} SELECT CASE WHEN qty % 10 = 0 THEN 'missing price' ELSE 'good' END AS reason, count(*) AS n FROM t GROUP BY 1")
+def _(spark, sf):
+    good, bad = market.split_valid(market.canonical_perps(adapters.raw_trades(spark, sf)), [adapters.BTC, adapters.ETH])
+    return good.select(F.lit("good").alias("reason")).unionByName(bad.select("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query("j1_enriched_notional", f"WITH {twins.TRADES} SELECT replace(inst_id, '-USDT-SWAP', '/USDT') AS symbol_canon, side, count(*) AS n, {twins.MONEY('sum(n)')} AS notional FROM t WHERE qty % 10 <> 0 GROUP BY ALL")
+def _(spark, sf):
+    good, _ = market.split_valid(market.canonical_perps(adapters.raw_trades(spark, sf)))
+    return market.enrich(good, adapters.meta(spark)).groupBy("symbol_canon", "side").agg(F.count("*").alias("n"), plain(F.sum("notional")).alias("notional"))
+
+
+@query("p4_after_cursor", f"WITH {twins.TRADES} SELECT inst_id, count(*) AS n FROM t WHERE ts > TIMESTAMP '2024-01-15' OR (ts = TIMESTAMP '2024-01-15' AND trade_id > 0) GROUP BY 1")
+def _(spark, sf):
+    return market.after(adapters.trades(spark, sf), "2024-01-15 00:00:00", 0).groupBy("inst_id").agg(F.count("*").alias("n"))
+
+
+@query("o5_unique_trades", f"WITH {twins.TRADES} SELECT inst_id, trade_id, ts, CAST(price AS DOUBLE) AS price FROM t")
+def _(spark, sf):
+    t = adapters.trades(spark, sf)
+    return naive(double(keyed.unique_trades(t.unionByName(t).unionByName(t.where("trade_id % 3 = 0"))), "price").select("inst_id", "trade_id", "ts", "price"))
+
+
+@query("j2_append_new_keys", f"WITH {twins.CVD} SELECT inst_id, window_start FROM cvd WHERE window_start >= TIMESTAMP '2024-01-20'")
+def _(spark, sf):
+    c = bars.cvd(adapters.trades(spark, sf))
+    return naive(keyed.unseen(c, c.where("window_start < '2024-01-20'"), ["inst_id", "window_start"]).select("inst_id", "window_start"))
+
+
+@query("g1_as_of_join", """WITH e AS (SELECT event_id, ts, CASE WHEN user_id % 2 = 0 THEN 'BTC-USDT-SWAP' ELSE 'ETH-USDT-SWAP' END AS inst_id, event_type, value FROM events)
+  SELECT a.event_id AS trade_id, b.event_id AS view_id, b.value AS view_value FROM (SELECT * FROM e WHERE event_type = 'purchase') a ASOF LEFT JOIN (SELECT * FROM e WHERE event_type = 'view') b ON a.inst_id = b.inst_id AND a.ts >= b.ts""")
+def _(spark, sf):
+    e = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), adapters.instrument(F.col("user_id")).alias("inst_id"), "event_type", "value")
+    left = e.where("event_type = 'purchase'").select("inst_id", "ts", F.col("event_id").alias("trade_id"))
+    right = e.where("event_type = 'view'").select("inst_id", "ts", F.col("event_id").alias("view_id"), F.col("value").alias("view_value"))
+    return joins.as_of(left, right, ["inst_id"], "ts", ["view_id", "view_value"]).select("trade_id", "view_id", "view_value")
+
+
+@query("g2_interval_join", """WITH e AS (SELECT event_id, epoch_us(ts) AS us, user_id % 2 AS g, event_type FROM events)
+  SELECT a.event_id AS error_id, count(*) AS n FROM e a JOIN e b ON a.g = b.g AND b.us BETWEEN a.us - 3600000000 AND a.us WHERE a.event_type = 'error' AND b.event_type = 'click' GROUP BY 1""")
+def _(spark, sf):
+    e = table(spark, sf, "events").select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"), (F.col("user_id") % 2).alias("g"), "event_type")
+    left = e.where("event_type = 'error'").select("g", F.col("event_id").alias("error_id"), (F.col("us") - 3_600_000_000).alias("low"), F.col("us").alias("high"))
+    right = e.where("event_type = 'click'").select("g", F.col("us").alias("point"))
+    return joins.interval(left, right, ["g"], "low", "high", "point", 3_600_000_000).groupBy("error_id").agg(F.count("*").alias("n"))
+
+
+@query("g3_cube", "SELECT l_returnflag, l_linestatus, CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) AS quantity, count(*) AS n FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)")
+def _(spark, sf):
+    return table(spark, sf, "lineitem").cube("l_returnflag", "l_linestatus").agg(F.sum(F.col("l_quantity").cast("decimal(12,2)")).cast("double").alias("quantity"), F.count("*").alias("n"))
+
+
+@query("g4_set_operations", "SELECT o_custkey AS custkey FROM orders WHERE o_orderpriority LIKE '1%' INTERSECT SELECT o_custkey FROM orders WHERE o_orderpriority LIKE '2%' EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'")
+def _(spark, sf):
+    o = table(spark, sf, "orders")
+    pick = lambda c: o.where(c).select(F.col("o_custkey").alias("custkey"))
+    return pick("o_orderpriority LIKE '1%'").intersect(pick("o_orderpriority LIKE '2%'")).exceptAll(pick("o_orderstatus = 'P'").distinct())
+
+
+@query("g5_pricing_summary", "SELECT l_returnflag, l_linestatus, CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) AS sum_qty, CAST(sum(CAST(l_extendedprice AS DECIMAL(14,2))) AS DOUBLE) AS sum_price, round(avg(l_discount), 6) AS avg_discount, count(*) AS n FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY ALL")
+def _(spark, sf):
+    rows = table(spark, sf, "lineitem").where("l_shipdate <= '1998-09-02'")
+    return rows.groupBy("l_returnflag", "l_linestatus").agg(F.sum(F.col("l_quantity").cast("decimal(12,2)")).cast("double").alias("sum_qty"), F.sum(F.col("l_extendedprice").cast("decimal(14,2)")).cast("double").alias("sum_price"), F.round(F.avg("l_discount"), 6).alias("avg_discount"), F.count("*").alias("n"))
+
+
+@query("n7_topics", f"WITH {twins.TAGGED} SELECT conv_id, turn, topics, match_score FROM kept")
+def _(spark, sf):
+    return topics.tag(table(spark, sf, "conversations")).select("conv_id", "turn", F.concat_ws(",", "topics").alias("topics"), "match_score")
+
+
+@query("a10_topic_histogram", f"WITH {twins.TAGGED} SELECT topic, count(*) AS n FROM (SELECT unnest(string_split(topics, ',')) AS topic FROM kept) GROUP BY 1")
+def _(spark, sf):
+    return topics.histogram(topics.tag(table(spark, sf, "conversations")))
+
+
+@query("n8_record_ids", "SELECT conv_id, turn, left(sha256(concat(conv_id, '_', turn)), 16) AS record_id FROM conversations")
+def _(spark, sf):
+    return table(spark, sf, "conversations").select("conv_id", "turn", stable_id(F.concat_ws("_", F.col("conv_id").cast("string"), F.col("turn").cast("string"))).alias("record_id"))
+
+
+@query("f19_strip_markup", r"""SELECT page_id, length(x) AS n_chars, md5(x) AS digest FROM (SELECT page_id, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '<[^>]+>', ' ', 'g'), '[\s\x0B]+', ' ', 'g')) AS x FROM pages)""")
+def _(spark, sf):
+    text = strip_markup(F.col("html"))
+    return table(spark, sf, "pages").select("page_id", F.length(text).cast("long").alias("n_chars"), F.md5(text.cast("binary")).alias("digest"))
+
+
+def _transcripts(spark, sf):
+    c = table(spark, sf, "conversations")
+    line = F.concat(F.initcap("role"), F.lit(": "), F.col("text"))
+    return c.groupBy("conv_id").agg(F.concat_ws("\n", F.transform(F.array_sort(F.collect_list(F.struct("turn", line.alias("line")))), lambda x: x["line"])).alias("content"), F.count("*").alias("turns"))
+
+
+@query("n3_role_split", r"""SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS message_index, CASE WHEN count(*) OVER (PARTITION BY conv_id) = 1 THEN 'unknown' ELSE role END AS role,
+  md5(regexp_replace(CASE WHEN count(*) OVER (PARTITION BY conv_id) = 1 THEN upper(left(role, 1)) || substr(role, 2) || ': ' || text ELSE text END, '^\s+|\s+$', '', 'g')) AS digest FROM conversations""")
+def _(spark, sf):
+    rows = topics.split_roles(_transcripts(spark, sf).select("conv_id", "content"))
+    return rows.select("conv_id", F.col("message_index").cast("long").alias("message_index"), "role", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+@query("t9_chunks")
+def _(spark, sf):
+    kept = topics.tag(topics.with_ids(table(spark, sf, "conversations"), "conv_id", "turn"))
+    return topics.chunked(kept, ["conv_id", "turn"], 20_000).select("record_id", "chunk_id", "size")
+
+
+@query("k11_manifest")
+def _(spark, sf):
+    c = table(spark, sf, "conversations").withColumn("source_file", F.col("conv_id").cast("string"))
+    kept = topics.chunked(topics.tag(c), ["conv_id", "turn"], 20_000)
+    return topics.manifest(c, kept)
