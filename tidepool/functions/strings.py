@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def stable_id(text: Column) -> Column:
@@ -21,7 +22,7 @@ def unescape_common(text: Column) -> Column:
     return text
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape_all(text: pd.Series) -> pd.Series:
     """Every HTML entity, by Arrow batches."""
     import html
