@@ -78,29 +78,35 @@ def peel(cells: Column, seed: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(CELLS)), start, step, lambda s: F.when(F.size(s["cells"]) == 0, s["found"]))
 
 
-def differences(pairs: DataFrame, by: list[str]) -> DataFrame:
-    """``by`` and diff, the signed digests by which arrays x and y of ``pairs`` differ, from sketches of growing size."""
+def differences(pairs: DataFrame, by: list[str], listed: bool = True) -> DataFrame:
+    """``by`` and diff, the signed digests by which arrays x and y of ``pairs`` (a written table) differ, from sketches of
+    growing size; without ``listed`` only their number d."""
     total = F.size("x") + F.size("y")
-    shards = lambda n: F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(n, F.lit(1))) / 2)).cast("int")
-    todo = cut(pairs.select(*by, "x", "y", shards(total / FILL).alias("level"), shards(total * 8).alias("last")).repartition(by[0]), "pairs")
-    done = None
+    level = lambda n: F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(n, F.lit(1))) / 2)).cast("int")
+    first = pairs.select(*by, "x", "y", level(total / FILL).alias("level"), level(total * 8).alias("last"))
+    todo, done, tries = first, [], 0
+    result = lambda diff: [diff.alias("diff")] if listed else [F.size(diff).alias("d")]
     while True:
         rows = todo.repartition(by[0])
         signed = F.concat(F.transform("x", lambda k: F.struct(F.lit(1).alias("sign"), k.alias("k"))), F.transform("y", lambda k: F.struct(F.lit(-1).alias("sign"), k.alias("k"))))
         cells = sketch(rows.select(*by, "level", F.explode(signed).alias("e")).select(*by, "level", "e.sign", "e.k"), by)
         shard = cells.groupBy(*by, "level", "shard").agg(F.collect_list(F.struct("i", "c", "k", "h")).alias("cells"))
         peeled = shard.select(*by, peel(F.col("cells"), F.col("level")).alias("found"))
-        got = peeled.groupBy(*by).agg(F.count_if(F.col("found").isNull()).alias("stuck"), F.flatten(F.collect_list("found")).alias("found"))
-        tried = cut(rows.join(got, by, "left"), "tried")
-        good = F.coalesce(F.col("stuck"), F.lit(0)) == 0
-        fine = tried.where(good).select(*by, F.coalesce("found", F.array().cast("array<struct<c:int,k:bigint>>")).alias("diff"))
+        # pairs without a row here have no differing digest
+        got = cut(peeled.groupBy(*by).agg(F.count_if(F.col("found").isNull()).alias("stuck"), *result(F.flatten(F.collect_list("found")))), "tried")
+        done.append(got.where("stuck = 0").drop("stuck"))
+        tries += 1
+        stuck = first.join(got.where("stuck > 0").select(*by), by).withColumn("level", F.col("level") + tries)
         signed_rest = lambda x, y, c: F.transform(F.array_except(x, y), lambda k: F.struct(F.lit(c).alias("c"), k.alias("k")))
-        bare = tried.where(~good & (F.col("level") >= F.col("last"))).select(*by, F.concat(signed_rest("x", "y", 1), signed_rest("y", "x", -1)).alias("diff"))
-        done = fine.unionByName(bare) if done is None else done.unionByName(fine).unionByName(bare)
-        rest = tried.where(~good & (F.col("level") < F.col("last"))).select(*by, "x", "y", (F.col("level") + 1).alias("level"), "last")
-        if rest.isEmpty():
-            return done
-        todo = rest
+        done.append(stuck.where("level > last").select(*by, *result(F.concat(signed_rest("x", "y", 1), signed_rest("y", "x", -1)))))
+        todo = stuck.where("level <= last")
+        if todo.isEmpty():
+            break
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    none = F.array().cast("array<struct<c:int,k:bigint>>")
+    return pairs.select(*by).join(out, by, "left").select(*by, F.coalesce("diff", none).alias("diff")) if listed else out
 
 
 def written(cells: Column, text_hash: Column, size: Column) -> Column:
@@ -144,8 +150,8 @@ def edits(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     )
     base = cut(rows, "base")
     pairs = base.select("row", "a", F.explode(F.array(F.struct(F.lit(0).alias("pair"), F.col("b").alias("y")), F.struct(F.lit(1).alias("pair"), F.col("c").alias("y")))).alias("p"))
-    diffs = differences(pairs.select("row", "p.pair", F.col("a").alias("x"), "p.y"), ["row", "pair"])
-    size = diffs.select("row", "pair", F.size("diff").alias("d")).groupBy("row").agg(F.sum(F.when(F.col("pair") == 0, F.col("d"))).alias("d0"), F.sum(F.when(F.col("pair") == 1, F.col("d"))).alias("d1"))
+    diffs = differences(pairs.select("row", "p.pair", F.col("a").alias("x"), "p.y"), ["row", "pair"], listed=False)
+    size = diffs.groupBy("row").agg(F.sum(F.when(F.col("pair") == 0, F.col("d"))).alias("d0"), F.sum(F.when(F.col("pair") == 1, F.col("d"))).alias("d1"))
     dealt = base.repartition("row")
     alone = dealt.select("row", F.explode(F.array(F.struct(F.lit(0).alias("version"), F.col("a").alias("x")), F.struct(F.lit(1).alias("version"), F.col("b").alias("x")))).alias("v"))
     cells = sketch(alone.select("row", "v.version", F.lit(0).alias("level"), F.lit(1).alias("sign"), F.explode("v.x").alias("k")), ["row", "version"])
