@@ -20,4 +20,4 @@ def upper_middle(sorted_array: Column) -> Column:
 
 def deviation(array: Column, center: Column) -> Column:
     """Median of the absolute distances from ``center``."""
-    return middle(F.array_sort(F.transform(array, lambda x: F.abs(x - center).cast("decimal(30,9)"))))
+    return middle(F.sort_array(F.transform(array, lambda x: F.abs(x - center).cast("decimal(30,9)"))))

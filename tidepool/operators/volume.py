@@ -23,12 +23,12 @@ def signals(bars: DataFrame, lookback: int | None = LOOKBACK, flat_pct: float =
     rows = bars.withColumn("_v", v).withColumn("_day", times.day(F.col("window_start")))
     if lookback is None:
         w = Window.partitionBy("inst_id").orderBy("window_start").rowsBetween(Window.unboundedPreceding, -1)
-        rows = rows.withColumn("_h", F.array_sort(F.collect_list("_v").over(w)))
+        rows = rows.withColumn("_h", F.sort_array(F.collect_list("_v").over(w)))
     else:
         rows = running(rows, ["inst_id"], "_day", ["window_start"], {"_place": F.lit(1).cast("long")})
         dealt = in_blocks(rows, ["inst_id"], "_place", max(block, lookback), before=lookback)
         w = Window.partitionBy("inst_id", "_block").orderBy("_place").rowsBetween(-lookback, -1)
-        rows = dealt.withColumn("_h", F.array_sort(F.collect_list("_v").over(w))).where("_own").drop("_place", "_block", "_own")
+        rows = dealt.withColumn("_h", F.sort_array(F.collect_list("_v").over(w))).where("_own").drop("_place", "_block", "_own")
     rows = rows.withColumn("median_volume", robust.middle(F.col("_h"))).withColumn("_up", robust.upper_middle(F.col("_h")))
     rows = rows.withColumn("_mad", robust.deviation(F.col("_h"), F.col("median_volume")))
     m, pct, d = F.col("median_volume"), F.col("price_change_pct"), F.col("delta")
