@@ -1,17 +1,22 @@
 """N-gram Jaccard join with several global token orders.
 
 Two sets with Jaccard similarity >= t must share a token inside both prefixes (the first ``n - ceil(t*n) + 1``
-tokens) under *any* total order of tokens. The first order generates candidates by a join on prefix tokens; under
-every further order the two prefixes must intersect as well before the full sets are compared. All orders put the
-most frequent shingles last (a bounded list, so common passages never sit in a prefix unless nothing else is left)
-and rank the rest by a hash with another seed each. The orders change the work only, never the result.
-
-Flow: (1) one pass over the texts makes set digests, sizes and locally frequent shingles; equal sets become one
-node. (2) One pass emits the prefix tokens under the first order, grouped by token (frequent tokens salted).
-(3) Star pairs, each node against the smallest node of its group, are verified and contracted to components.
-(4) Groups that still hold several components yield the pairs across components, and only those; they are verified
-too. A pair inside a known component can't change the result, so a group of n near copies costs about n checks,
-while no link between different texts is lost.
+tokens) under *any* total order of tokens. The first order generates candidates by a join on prefix tokens; it puts
+the most frequent shingles last (a bounded list, so common passages never sit in a prefix unless nothing else is left)
+and ranks the rest by a hash. The other orders are hashes with other seeds, and every node keeps its prefix under each.
+A candidate must pass the prefix filter of every order: up to the token where the shorter prefix ends, the common
+tokens are known; behind it at most the smaller rest can be common; together they must reach the overlap that t asks
+for. Only pairs in the intersection of all filters have their texts fetched and compared. The orders change the work
+only, never the result.
+
+Flow: (1) one pass over the texts makes set digests, sizes, prefixes and locally frequent shingles; equal sets become
+one node. (2) One pass emits the prefix tokens under the first order with their places, grouped by token (frequent tokens salted).
+(3) Star pairs, each node against the node of its group that has the token earliest, are filtered, verified and
+contracted to components; in large groups ``rounds`` more such steps compare what is still apart with a few members of
+the group's largest component. (4) Groups that still hold several components yield the pairs across components, and only
+those that the places allow: where a token is the first common one, what stands before it in either set is not common.
+They are filtered and verified too. A pair inside a known component can't change the result, so a group of n near copies costs about n
+checks, while no link between different texts is lost.
 
 Defined cases: null or empty text has an empty set, is linked with nothing and is its own component; fewer words
 than ``k`` form one shingle; equal sets are always linked; repeated doc_ids keep their rows and share the
@@ -22,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import flat
@@ -30,6 +35,8 @@ from .graph import components
 from .scratch import cut, drop
 
 SALTS = 64
+SIGNATURE = 32
+SOME = 8
 
 
 def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
@@ -47,12 +54,12 @@ def _keys(h: np.ndarray, seed: int, frequent: np.ndarray, rank: np.ndarray) -> n
 
 
 def _prefix(doc, h, n, percent, seed, frequent, rank):
-    """(doc, hash) of the prefix tokens under one order; ``doc`` sorted, ``n`` set sizes."""
+    """(doc, hash, place) of the prefix tokens under one order; ``doc`` sorted, ``n`` set sizes."""
     order = np.lexsort((_keys(h, seed, frequent, rank), doc))
     first = np.concatenate([[0], np.cumsum(n)])
     place = np.arange(len(h)) - np.repeat(first[:-1], n)
     keep = place < np.repeat(prefix_size(n, percent), n)
-    return doc[order][keep], h[order][keep]
+    return doc[order][keep], h[order][keep], place[keep]
 
 
 def _digests(doc: np.ndarray, h: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -68,8 +75,23 @@ def _digests(doc: np.ndarray, h: np.ndarray, n: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _survey(k: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("token", pa.int64()), ("seen", pa.int64())])
+def _signature(doc, h, n, percent, orders) -> list[pa.Array]:
+    """Per set and further order, the ordered keys of its prefix (31 bits)."""
+    out = []
+    for seed in range(1, orders):
+        key = (flat.mix(h ^ np.uint64(0xD1B54A32D192ED03 * (seed + 1) % (1 << 64))) >> np.uint64(33)).astype(np.int32)
+        key = key[np.argsort((doc.astype(np.int64) << 31) | key, kind="stable")]
+        first = np.concatenate([[0], np.cumsum(n)])
+        length = np.minimum(n, np.maximum(prefix_size(n, percent), SIGNATURE))
+        keep = np.arange(len(h)) - np.repeat(first[:-1], n) < np.repeat(length, n)
+        ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+        out.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(key[keep])))
+    return out
+
+
+def _survey(k: int, percent: int, orders: int):
+    names = [f"p{i}" for i in range(1, orders)]
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("token", pa.int64()), ("seen", pa.int64()), *[(p, pa.list_(pa.int32())) for p in names]])
 
     def run(batches):
         often: dict[int, int] = {}
@@ -79,24 +101,24 @@ def _survey(k: int):
             n = np.bincount(doc, minlength=b.num_rows).astype(np.int64)
             docs += b.num_rows
             none = pa.nulls(b.num_rows, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(_digests(doc, h, n)), none, none], schema=schema)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n), pa.array(_digests(doc, h, n)), none, none, *_signature(doc, h, n, percent, orders)], schema=schema)
             s = np.sort(h)
             edge = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1], [True]])) if len(s) else np.zeros(1, int)
             count = np.diff(edge)
             for t, c in zip(s[edge[:-1]][count > 1].tolist(), count[count > 1].tolist(), strict=True):
                 often[t] = often.get(t, 0) + c
-        least = max(4, docs // 500)
+        least = max(3, docs // 2000)
         out = [(t, c) for t, c in often.items() if c >= least]
         if out:
             t = np.array([x for x, _ in out], dtype=np.uint64).view(np.int64)
             none = pa.nulls(len(t), pa.int64())
-            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(t), pa.array([c for _, c in out], pa.int64())], schema=schema)
+            yield pa.RecordBatch.from_arrays([none, none, none, pa.array(t), pa.array([c for _, c in out], pa.int64()), *[pa.nulls(len(t), pa.list_(pa.int32()))] * (orders - 1)], schema=schema)
 
-    return run, "doc_id long, n long, node long, token long, seen long"
+    return run, "doc_id long, n long, node long, token long, seen long" + "".join(f", {p} array<int>" for p in names)
 
 
 def _postings(k: int, percent: int, shared):
-    schema = pa.schema([("token", pa.int64()), ("salt", pa.int32()), ("node", pa.int64()), ("n", pa.int32())])
+    schema = pa.schema([("token", pa.int64()), ("salt", pa.int32()), ("node", pa.int64()), ("n", pa.int32()), ("place", pa.int32())])
 
     def run(batches):
         frequent, rank = shared.value
@@ -115,16 +137,16 @@ def _postings(k: int, percent: int, shared):
                 continue
             ids = np.flatnonzero(fresh)
             d2 = np.searchsorted(ids, doc[on])
-            pd_, ph = _prefix(d2, h[on], n[ids], percent, 0, frequent, rank)
+            pd_, ph, place = _prefix(d2, h[on], n[ids], percent, 0, frequent, rank)
             hot = np.zeros(len(ph), dtype=bool)
             if len(frequent):
                 at = np.minimum(np.searchsorted(frequent, ph), len(frequent) - 1)
                 hot = frequent[at] == ph
             own = node[ids][pd_]
-            salt = np.where(hot, flat.mix(own.view(np.uint64)) % np.uint64(SALTS), 0).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(ph.view(np.int64)), pa.array(salt), pa.array(own), pa.array(n[ids][pd_].astype(np.int32))], schema=schema)
+            salt = np.where(hot, flat.mix(own.view(np.uint64)) % np.uint64(SALTS) + np.uint64(1), 0).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(ph.view(np.int64)), pa.array(salt), pa.array(own), pa.array(n[ids][pd_].astype(np.int32)), pa.array(place.astype(np.int32))], schema=schema)
 
-    return run, "token long, salt int, node long, n int"
+    return run, "token long, salt int, node long, n int, place int"
 
 
 def _shared_count(a, b, rows: int) -> np.ndarray:
@@ -137,21 +159,23 @@ def _shared_count(a, b, rows: int) -> np.ndarray:
     return np.bincount(row[same], minlength=rows)
 
 
-def _verify(k: int, percent: int, orders: int, shared):
+def passes(n: tuple[Column, Column], prefix: tuple[Column, Column], percent: int) -> Column:
+    """Whether two sets can have the overlap asked for, from their prefixes under one order."""
+    end = F.least(F.element_at(prefix[0], -1), F.element_at(prefix[1], -1))
+    rest = [n[i] - F.size(F.filter(prefix[i], lambda x: x < end)) for i in (0, 1)]
+    # the rest counts the end token itself too, so that equal short keys never reject a pair
+    return (F.size(F.array_intersect(*prefix)) + F.least(*rest)) * (100 + percent) >= (n[0] + n[1]) * percent
+
+
+def _verify(k: int, percent: int):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches):
-        frequent, rank = shared.value
         for b in flat.slices(flat.slices(batches, "text_a"), "text_b"):
             sets = [flat.distinct(*flat.shingles(flat.words(b.column(c)), k)) for c in ("text_a", "text_b")]
             size = [np.bincount(d, minlength=b.num_rows).astype(np.int64) for d, _ in sets]
-            alive = np.minimum(*size) > 0
-            for seed in range(1, orders):  # the first order made the candidates
-                pre = [_prefix(d, h, n, percent, seed, frequent, rank) for (d, h), n in zip(sets, size, strict=True)]
-                alive &= _shared_count(*pre, b.num_rows) > 0
-            keep = [(d[alive[d]], h[alive[d]]) for d, h in sets]
-            both = _shared_count(*keep, b.num_rows)
-            good = alive & (100 * both >= percent * (size[0] + size[1] - both))
+            both = _shared_count(*sets, b.num_rows)
+            good = (np.minimum(*size) > 0) & (100 * both >= percent * (size[0] + size[1] - both))
             yield pa.RecordBatch.from_arrays([b.column("a").filter(pa.array(good)), b.column("b").filter(pa.array(good))], schema=schema)
 
     return run, "a long, b long"
@@ -163,52 +187,67 @@ def with_ids(docs: DataFrame, ids: DataFrame, bound: int = 1_000_000) -> DataFra
     return docs.join(F.broadcast(ids) if few else ids.hint("shuffle_hash"), "doc_id", "left_semi")
 
 
-def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, orders: int = 3, frequent: int = 65_536) -> DataFrame:
+def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, orders: int = 3, frequent: int = 262_144, rounds: int = 3) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
     Two texts are linked when 100 * |A & B| >= percent * |A | B| over their distinct ``k``-word shingles; component_id
-    is the smallest doc_id reachable by links. ``frequent`` bounds the list of shingles that every order puts last.
+    is the smallest doc_id reachable by links. ``rounds`` changes the work only. ``frequent`` bounds the list of shingles that every order puts last.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    run, kind = _survey(k)
+    run, kind = _survey(k, percent, orders)
     survey = cut(docs.mapInArrow(run, kind), "survey")
-    top = survey.where("token is not null").groupBy("token").agg(F.sum("seen").alias("seen")).orderBy(F.desc("seen"), "token").limit(frequent).collect()
-    tokens = np.array([r.token for r in top], dtype=np.int64).view(np.uint64)
+    top = survey.where("token is not null").groupBy("token").agg(F.sum("seen").alias("seen")).orderBy(F.desc("seen"), "token").limit(frequent).toArrow()
+    tokens = top.column("token").to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(tokens)
     # the most frequent comes last of all
     shared = spark.sparkContext.broadcast((tokens[order], (len(tokens) - 1 - order).astype(np.uint64)))
     members = survey.where("token is null").select("doc_id", F.col("n").alias("n_shingles"), "node")
     nodes = cut(members.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "nodes")
+    signed = survey.where("token is null and n > 0").select("node", "n", *[f"p{i}" for i in range(1, orders)]).dropDuplicates(["node"])
+    signed = cut(signed.join(nodes, "node"), "signed")
 
     run, kind = _postings(k, percent, shared)
     posts = docs.mapInArrow(run, kind)
     # rows of a token that one node alone has can't make a pair; salted groups are kept for the second level
-    groups = posts.groupBy("token", "salt", "node").agg(F.first("n").alias("n"))
+    groups = posts.groupBy("token", "salt", "node").agg(F.first("n").alias("n"), F.first("place").alias("place"))
     from pyspark.sql import Window
 
-    w = Window.partitionBy("token", "salt")
+    # a pivot has the token earliest in the order: what can be linked to any member can be linked to it. One is among
+    # all members, one among those of nearly the same size
+    w, v = Window.partitionBy("token", "salt"), Window.partitionBy("token", "salt", "class")
+    first = F.min(F.struct("place", "node", "n"))
     groups = cut(
-        groups.repartition("token", "salt").withColumn("lo", F.min(F.struct("node", "n")).over(w)).withColumn("hi", F.max("node").over(w))
-        .where("salt > 0 or lo.node <> hi").select("token", "salt", "node", "n", F.col("lo.node").alias("pivot"), F.col("lo.n").alias("pivot_n")),
+        groups.repartition("token", "salt").withColumn("class", F.floor(F.log("n") * 20)).withColumn("lo", first.over(w)).withColumn("size", F.count("*").over(w)).withColumn("near", first.over(v))
+        .where("salt > 0 or size > 1").select("token", "salt", "node", "n", "place", F.col("lo.node").alias("pivot"), "lo", "near"),
         "groups",
     )
-    close = lambda x, y: (F.least(x, y) * 100 >= F.greatest(x, y) * percent)
-    stars = groups.select(F.col("node").alias("x"), F.col("pivot").alias("y"), F.col("n").alias("xn"), F.col("pivot_n").alias("yn"))
-    heads = groups.where("salt > 0 and node = pivot").select("token", F.struct("node", "n").alias("s"))
-    tops = heads.groupBy("token").agg(F.min("s").alias("t"))
-    heads = heads.join(tops, "token").select(F.col("s.node").alias("x"), F.col("t.node").alias("y"), F.col("s.n").alias("xn"), F.col("t.n").alias("yn"))
+
+    def possible(xn, xp, yn, yp):
+        """Whether sets of these sizes, whose first common token stands at these places, can have the overlap."""
+        return (1 + F.least(xn - xp - 1, yn - yp - 1)) * (100 + percent) >= (xn + yn) * percent
+
+    def star(rows: DataFrame, center: str) -> DataFrame:
+        return rows.where(possible(F.col("n"), F.col("place"), F.col(f"{center}.n"), F.col(f"{center}.place"))).select(F.col("node").alias("x"), F.col(f"{center}.node").alias("y"))
+
+    heads = groups.where("salt > 0 and node = pivot").select("token", "node", "n", "place")
+    tops = heads.groupBy("token").agg(F.min(F.struct("place", "node", "n")).alias("lo"))
+    stars = star(groups, "lo").unionByName(star(groups, "near")).unionByName(star(heads.join(tops, "token"), "lo"))
 
     def checked(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.where("x <> y").where(close(F.col("xn"), F.col("yn"))).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        ids = pairs.join(nodes.select(F.col("node").alias("x"), F.col("doc_id").alias("a")), "x").join(nodes.select(F.col("node").alias("y"), F.col("doc_id").alias("b")), "y").select("a", "b")
+        pairs = pairs.where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+        side = lambda k, i: signed.select(F.col("node").alias(k), F.col("doc_id").alias(i), F.struct("n", *[f"p{j}" for j in range(1, orders)]).alias(f"of_{k}"))
+        ids = pairs.join(side("x", "a"), "x").join(side("y", "b"), "y")
+        for j in range(1, orders):
+            ids = ids.where(passes((F.col("of_x.n"), F.col("of_y.n")), (F.col(f"of_x.p{j}"), F.col(f"of_y.p{j}")), percent))
+        ids = ids.select("a", "b")
         ids = cut(ids, "pairs")
         if ids.isEmpty():
             drop(ids)
             return None
         wanted = cut(ids.select(F.col("a").alias("doc_id")).union(ids.select(F.col("b").alias("doc_id"))).distinct(), "wanted")
         texts = cut(with_ids(docs, wanted).groupBy("doc_id").agg(F.max("text").alias("text")) if repeated else with_ids(docs, wanted), "texts")
-        run, kind = _verify(k, percent, orders, shared)
+        run, kind = _verify(k, percent)
         # the smaller id is the usual hub; it comes second so that each row carries the spread-out side first
         far = ids.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
         full = far.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
@@ -217,30 +256,45 @@ def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, orders: int = 3,
         return links
 
     repeated = not members.groupBy("doc_id").count().where("count > 1").isEmpty()
-    links = checked(stars.unionByName(heads))
-    found = []
-    if links is not None:
-        found.append(links)
-        comp = components(links, "a", "b")
-        # node -> component so far (by doc_id); nodes without a link are their own
-        of = cut(nodes.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("node", F.coalesce("component", "doc_id").alias("c")), "of")
-    else:
-        comp, of = None, nodes.select("node", F.col("doc_id").alias("c"))
-    known = cut(groups.select("token", "node", "n").join(of, "node"), "known")
-    size = known.groupBy("token", "c").agg(F.count("*").alias("m"))
-    mixed = cut(size.groupBy("token").agg(F.max_by("c", F.struct("m", "c")).alias("main"), F.count("*").alias("cs")).where("cs > 1").select("token", "main"), "mixed")
-    rest = known.join(mixed, "token")
-    left = rest.where("c <> main").select("token", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("c").alias("xc"))
-    right = rest.select("token", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("c").alias("yc"), "main")
-    across = left.join(right, "token").where("xc <> yc").where(close(F.col("xn"), F.col("yn"))).where("yc = main or x < y").select("x", "y", "xn", "yn")
-    more = checked(across)
-    if more is not None:
-        found.append(more)
-        comp = components(found[0].unionByName(more) if len(found) > 1 else more, "a", "b")
+    found: list[DataFrame] = []
+    comp = None
+
+    def contract(links: DataFrame | None) -> None:
+        nonlocal comp
+        if links is not None:
+            found.append(links)
+            every = found[0]
+            for more in found[1:]:
+                every = every.unionByName(more)
+            comp = components(every, "a", "b")
+
+    def across(some: int | None, turn: int = 0) -> DataFrame:
+        """Pairs of a group between its largest component and the others, and among the others; with ``some`` only
+        between the others and about so many members of the largest one."""
+        of = nodes.select("node", F.col("doc_id").alias("c"))
+        if comp is not None:  # node -> component so far (by doc_id); nodes without a link are their own
+            of = nodes.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("node", F.coalesce("component", "doc_id").alias("c"))
+        known = cut(groups.select("token", "node", "n", "place").join(of, "node"), "known")
+        size = known.groupBy("token", "c").agg(F.count("*").alias("m"))
+        mixed = size.groupBy("token").agg(F.max_by("c", F.struct("m", "c")).alias("main"), F.max("m").alias("mains"), F.count("*").alias("cs"), F.sum("m").alias("all")).where("cs > 1")
+        if some:
+            mixed = mixed.where(F.col("all") > 4 * some)
+        rest = known.join(cut(mixed.select("token", "main", "mains"), "mixed"), "token")
+        left = rest.where("c <> main").select("token", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("place").alias("xp"), F.col("c").alias("xc"))
+        if some:
+            rest = rest.where((F.col("c") == F.col("main")) & (F.pmod(F.xxhash64(F.lit(turn), "node"), F.ceil(F.col("mains") / some)) == 0))
+        right = rest.select(F.col("token").alias("t"), F.col("node").alias("y"), F.col("n").alias("yn"), F.col("place").alias("yp"), F.col("c").alias("yc"), "main")
+        apart = (F.col("xc") != F.col("yc")) & ((F.col("yc") == F.col("main")) | (F.col("x") < F.col("y")))
+        return left.join(right, (F.col("token") == F.col("t")) & apart & possible(*(F.col(c) for c in ("xn", "xp", "yn", "yp")))).select("x", "y")
+
+    contract(checked(stars))
+    for turn in range(rounds):
+        contract(checked(across(SOME, turn)))
+    contract(checked(across(None)))
     if comp is None:
         comp = nodes.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component")).limit(0)
     final = cut(nodes.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("node", F.coalesce("component", "doc_id").alias("component_id")), "final")
-    drop(groups, known, mixed, *found)
+    drop(groups, *found)
     return members.join(final, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
