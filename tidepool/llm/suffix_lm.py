@@ -8,8 +8,8 @@ scored by the longest kept suffix of what precedes it. Distributions are smoothe
 P(x|s) = (n(s,x) + T(s) P(x|parent)) / (n(s) + T(s)), T(s) the number of different symbols seen after s, down to the root
 (c + 0.1) / (N + 0.1 (V + 1)); they sum to 1 over the vocabulary and one unknown symbol.
 
-Flow: (1) every task reports the contexts with at least half of ``p_min`` of its own positions; all frequent contexts
-have half of ``p_min`` of all positions among the reports, so at most 2 / p_min candidates a depth are broadcast.
+Flow: (1) every task counts its contexts in bounded memory (lossy counting) and reports the frequent ones; a context with
+``p_min`` of all positions has half of that among the reports, so at most 2 / p_min candidates a depth are broadcast.
 (2) Next-symbol counts of the candidates and the root are pre-aggregated by slice and dealt by the next symbol, so that
 all contexts of a symbol meet and n(s,x), P(x|parent) and the gains need no further join. The counts grow with the
 corpus and are never broadcast. (3) The tokens of all documents are dealt by the same rule to the counts, scored, and
@@ -34,8 +34,10 @@ from .scratch import cut
 
 U = np.uint64
 START, END = U(0x51A7), U(0xE4D)
-SLICE = 6 << 20
-DEPTH, P_MIN, GAIN = 3, 4e-6, 12.0
+SLICE = 1 << 20
+COUNT_SLICE = 3 << 20
+MERGE = 400_000
+DEPTH, P_MIN, GAIN = 3, 8e-6, 12.0
 ALPHA = 0.1
 
 
@@ -64,37 +66,34 @@ def symbols(col: pa.Array, depth: int):
 
 
 def _candidates(depth: int, p_min: float):
+    """Lossy counting: a task's count of a context falls short by half of ``p_min`` of the task's tokens at most."""
     schema = pa.schema([("h", pa.int64()), ("parent", pa.int64()), ("n", pa.int64()), ("tokens", pa.int64())])
-
-    def report(got, tokens):
-        out_h, out_p, out_n = [], [], []
-        for k in range(depth):
-            h = np.concatenate([g[k] for g in got])
-            parent = np.concatenate([g[k - 1] for g in got]) if k else np.zeros(len(h), dtype=U)
-            least = max(1.0, p_min / 2 * tokens)
-            bucket = (h >> U(42)).astype(np.int64)
-            on = (h != 0) & (np.bincount(bucket, minlength=1 << 22)[bucket] >= least)
-            v, first, c = np.unique(h[on], return_index=True, return_counts=True)
-            keep = c >= least
-            out_h.append(v[keep])
-            out_p.append(parent[on][first[keep]])
-            out_n.append(c[keep])
-        h, p, c = (np.concatenate(z) for z in (out_h, out_p, out_n))
-        none = pa.array(np.zeros(len(h), np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(p.view(np.int64)), pa.array(c.astype(np.int64)), none], schema=schema)
-        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([0], pa.int64()), pa.array([0], pa.int64()), pa.array([tokens], pa.int64())], schema=schema)
+    eps = p_min / 4
 
     def run(batches):
-        got, tokens = [], 0
-        for b in flat.slices(batches, limit=SLICE):
+        kept = [(np.zeros(0, U), np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.float32)) for _ in range(depth)]
+        tokens = 0
+        for b in flat.slices(batches, limit=COUNT_SLICE):
             _, x, contexts = symbols(b.column("text"), depth)
-            got.append(contexts)
-            tokens += len(x)
-            if tokens >= 3_000_000:
-                yield from report(got, tokens)
-                got, tokens = [], 0
+            before, tokens = eps * tokens, tokens + len(x)
+            for k in range(depth):
+                on = contexts[k] != 0
+                h, first, n = np.unique(contexts[k][on], return_index=True, return_counts=True)
+                parent = contexts[k - 1][on][first] if k else np.zeros(len(h), dtype=U)
+                old = kept[k]
+                at = np.minimum(np.searchsorted(old[0], h), max(len(old[0]) - 1, 0))
+                known = old[0][at] == h if len(old[0]) else np.zeros(len(h), dtype=bool)
+                old[2][at[known]] += n[known]
+                # what came in late may have been missed so often before; what can't be frequent goes
+                stay, fresh = old[2] + old[3] > eps * tokens, ~known & (n + before > eps * tokens)
+                merged = [np.concatenate([o[stay], v[fresh]]) for o, v in zip(old, (h, parent, n, np.full(len(h), before, np.float32)), strict=True)]
+                order = np.argsort(merged[0])
+                kept[k] = tuple(m[order] for m in merged)
+        for h, parent, n, _ in kept:
+            on = n >= eps * tokens
+            yield pa.RecordBatch.from_arrays([pa.array(h[on].view(np.int64)), pa.array(parent[on].view(np.int64)), pa.array(n[on]), pa.array(np.zeros(on.sum(), np.int64))], schema=schema)
         if tokens:
-            yield from report(got, tokens)
+            yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in (0, 0, 0, tokens)], schema=schema)
 
     return run, "h long, parent long, n long, tokens long"
 
@@ -110,6 +109,16 @@ class States:
         at = np.searchsorted(self.h, parent[order]) if len(h) else np.zeros(0, np.int64)
         self.parent = np.concatenate([[0], np.where(parent[order] == 0, 0, at + 1)]).astype(np.int32)
 
+    @classmethod
+    def again(cls, plain: tuple) -> States:
+        """From plain arrays, as broadcasts carry them."""
+        out = cls.__new__(cls)
+        out.h, out.sieve, out.parent = plain
+        return out
+
+    def plain(self) -> tuple:
+        return self.h, self.sieve, self.parent
+
     def of(self, contexts: list[np.ndarray]) -> list[np.ndarray]:
         """State of each token's context by depth, 0 where it has none."""
         out, live = [], None
@@ -144,7 +153,7 @@ def _counts(depth: int, parts: int, shared):
     schema = pa.schema([("part", pa.int32()), ("x", pa.binary()), ("s", pa.binary()), ("n", pa.binary())])
 
     def run(batches):
-        states = shared.value
+        states = States.again(shared.value)
         for b in flat.slices(batches, limit=SLICE):
             _, x, contexts = symbols(b.column("text"), depth)
             found = states.of(contexts)
@@ -167,12 +176,31 @@ def _summed(x: np.ndarray, s: np.ndarray, n: np.ndarray):
 
 
 def _unpack(table: pa.Table, **kinds) -> list[np.ndarray]:
-    return [np.frombuffer(b"".join(table.column(c).to_pylist()), dtype=k) for c, k in kinds.items()]
+    """The packed values of all rows, column by column, one after the other."""
+    out = []
+    for c, kind in kinds.items():
+        views = []
+        for chunk in table.column(c).chunks:
+            if len(chunk):
+                offs = np.frombuffer(chunk.buffers()[1], dtype=np.int32)[chunk.offset : chunk.offset + len(chunk) + 1]
+                views.append(np.frombuffer(chunk.buffers()[2], dtype=np.uint8)[offs[0] : offs[-1]] if chunk.buffers()[2] is not None else np.zeros(0, np.uint8))
+        raw = views[0] if len(views) == 1 else np.concatenate([*views, np.zeros(0, np.uint8)])
+        out.append((raw if raw.ctypes.data % 8 == 0 else raw.copy()).view(kind))
+    return out
 
 
 def _merge_counts(table: pa.Table) -> pa.Table:
-    x, s, n = _summed(*_unpack(table, x=np.uint64, s=np.int32, n=np.int64))
-    return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int32()), "x": [x.tobytes()], "s": [s.tobytes()], "n": [n.tobytes()]})
+    """One part's rows as one; merged bit by bit, so that memory holds little more than the result."""
+    part = table.column("part")[0].as_py()
+    done = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+    held, size = [done], 0
+    for i in range(table.num_rows):
+        held.append(_unpack(table.slice(i, 1), x=np.uint64, s=np.int32, n=np.int64))
+        size += len(held[-1][0])
+        if size >= max(MERGE, len(held[0][0])) or i == table.num_rows - 1:
+            held, size = [_summed(*(np.concatenate(c) for c in zip(*held, strict=True)))], 0
+    x, s, n = held[0]
+    return pa.table({"part": pa.array([part], pa.int32()), "x": [x.tobytes()], "s": [s.tobytes()], "n": [n.tobytes()]})
 
 
 def _totals(batches):
@@ -248,7 +276,7 @@ def _events(depth: int, parts: int, shared):
     schema = pa.schema([("part", pa.int32()), ("slice", pa.int64()), ("x", pa.binary()), ("s", pa.binary()), ("d", pa.binary()), ("run", pa.binary()), ("ids", pa.binary())])
 
     def run(batches):
-        states, longest = shared.value
+        states, longest = States.again(shared.value[0]), shared.value[1]
         number = TaskContext.get().partitionId() << 32
         for b in flat.slices(batches, limit=SLICE):
             doc, x, contexts = symbols(b.column("text"), depth)
@@ -321,7 +349,7 @@ def score(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, gain: float
     states = States(*[frequent.column(c).to_numpy().astype(np.int64).view(np.uint64) for c in ("h", "parent")])
     size = len(states.h) + 1
 
-    shared = spark.sparkContext.broadcast(states)
+    shared = spark.sparkContext.broadcast(states.plain())
     run, kinds = _counts(depth, parts, shared)
     counts = train.mapInArrow(run, kinds).groupBy("part").applyInArrow(_merge_counts, "part int, x binary, s binary, n binary")
     counts = cut(counts, "counts")
@@ -341,7 +369,7 @@ def score(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, gain: float
         longest = np.where(kept[longest], longest, states.parent[longest]).astype(np.int32)
     above = longest[states.parent]
     m2 = spark.sparkContext.broadcast((total, types, above, tokens, vocabulary, depth))
-    tree = spark.sparkContext.broadcast((states, longest))
+    tree = spark.sparkContext.broadcast((states.plain(), longest))
     run, kinds = _events(depth, parts, tree)
     events = texts.mapInArrow(run, kinds)
     scored = events.groupBy("part").cogroup(counts.groupBy("part")).applyInArrow(_score(m2), SCORES)
