@@ -65,9 +65,9 @@ def symbols(col: pa.Array, depth: int):
     return doc, x, contexts
 
 
-def _candidates(depth: int, p_min: float):
+def _candidates(depth: int, p_min: float, parts: int):
     """Lossy counting: a task's count of a context falls short by half of ``p_min`` of the task's tokens at most."""
-    schema = pa.schema([("h", pa.int64()), ("parent", pa.int64()), ("n", pa.int64()), ("tokens", pa.int64())])
+    schema = pa.schema([("part", pa.int32()), ("h", pa.binary()), ("parent", pa.binary()), ("n", pa.binary()), ("tokens", pa.int64())])
     eps = p_min / 4
 
     def run(batches):
@@ -89,13 +89,26 @@ def _candidates(depth: int, p_min: float):
                 merged = [np.concatenate([o[stay], v[fresh]]) for o, v in zip(old, (h, parent, n, np.full(len(h), before, np.float32)), strict=True)]
                 order = np.argsort(merged[0])
                 kept[k] = tuple(m[order] for m in merged)
-        for h, parent, n, _ in kept:
-            on = n >= eps * tokens
-            yield pa.RecordBatch.from_arrays([pa.array(h[on].view(np.int64)), pa.array(parent[on].view(np.int64)), pa.array(n[on]), pa.array(np.zeros(on.sum(), np.int64))], schema=schema)
-        if tokens:
-            yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in (0, 0, 0, tokens)], schema=schema)
+        h, parent, n = (np.concatenate([k[i][k[2] >= eps * tokens] for k in kept]) for i in range(3))
+        order = np.argsort(h)
+        h, parent, n = h[order], parent[order], n[order].astype(np.int64)
+        rows = list(_packed(_part(h, parts), [h, parent, n]))
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *[pa.array([r[1][i] for r in rows], pa.binary()) for i in range(3)], pa.array([0] * len(rows), pa.int64())], schema=schema)
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), *[pa.array([b""], pa.binary())] * 3, pa.array([tokens], pa.int64())], schema=schema)
+
+    return run, "part int, h binary, parent binary, n binary, tokens long"
+
+
+def _frequent(least: float):
+    """Of one part's reports, the contexts that are frequent together."""
 
-    return run, "h long, parent long, n long, tokens long"
+    def run(table: pa.Table) -> pa.Table:
+        h, parent, n = _unpack(table, h=np.uint64, parent=np.uint64, n=np.int64)
+        h, first, inv = np.unique(h, return_index=True, return_inverse=True)
+        on = np.bincount(inv, weights=n, minlength=len(h)) >= least
+        return pa.table({"h": h[on].view(np.int64), "parent": parent[first][on].view(np.int64)})
+
+    return run
 
 
 class States:
@@ -301,11 +314,11 @@ def _events(depth: int, parts: int, shared):
     return run, "part int, slice long, x binary, s binary, d binary, run binary, ids binary"
 
 
-SCORES = "slice long, d int, doc_id long, n long, known long, base double, score double"
+SCORES = "slice long, ids binary, sums binary"
 
 
 def _score(shared):
-    schema = pa.schema([("slice", pa.int64()), ("d", pa.int32()), ("doc_id", pa.int64()), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+    schema = pa.schema([("slice", pa.int64()), ("ids", pa.binary()), ("sums", pa.binary())])
 
     def run(events: pa.Table, counts: pa.Table) -> pa.Table:
         m = shared.value
@@ -324,15 +337,23 @@ def _score(shared):
             add = lambda v: np.bincount(at, weights=v, minlength=len(ids))  # noqa: B023, E731
             base = np.log10((root + ALPHA) / (tokens + ALPHA * (vocabulary + 1)))
             score = np.log10(chance(table, place, s, m))
-            out.append(pa.table([
-                pa.array(np.full(len(ids), row.column("slice")[0].as_py())), pa.array(ids[:, 0].astype(np.int32)), pa.array(ids[:, 1].copy()),
-                pa.array(np.bincount(at, minlength=len(ids)).astype(np.int64)), pa.array(add(root > 0).astype(np.int64)), pa.array(add(base)), pa.array(add(score)),
-            ], schema=schema))
-        return pa.concat_tables(out) if out else schema.empty_table()
+            sums = np.column_stack([np.bincount(at, minlength=len(ids)).astype(float), add(root > 0), add(base), add(score)])
+            out.append((row.column("slice")[0].as_py(), ids.tobytes(), sums.tobytes()))
+        cols = list(zip(*out, strict=True)) if out else [[], [], []]
+        return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
     return run
 
 
+def _sum_slice(table: pa.Table) -> pa.Table:
+    """The documents of one slice, their sums over all parts added up."""
+    ids, sums = _unpack(table, ids=np.int64, sums=np.float64)
+    ids, sums = ids.reshape(-1, 2), sums.reshape(-1, 4)
+    row, first, inv = np.unique(ids[:, 0], return_index=True, return_inverse=True)
+    n, known, base, score_ = (np.bincount(inv, weights=sums[:, i], minlength=len(row)) for i in range(4))
+    return pa.table({"doc_id": ids[first, 1], "n_tokens": n.astype(np.int64), "n_known": known.astype(np.int64), "base_score": base, "score": score_})
+
+
 def score(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, gain: float = GAIN) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -341,11 +362,10 @@ def score(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, gain: float
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     train = texts.where(remainder(10) != 0)
-    run, kinds = _candidates(depth, p_min)
-    reports = train.mapInArrow(run, kinds).groupBy("h").agg(F.max("parent").alias("parent"), F.sum("n").alias("n"), F.sum("tokens").alias("tokens"))
-    reports = cut(reports, "reports")
-    tokens = reports.where("h = 0").agg(F.sum("tokens")).first()[0] or 0
-    frequent = reports.where((F.col("h") != 0) & (F.col("n") >= p_min / 2 * tokens)).select("h", "parent").toArrow()
+    run, kinds = _candidates(depth, p_min, parts)
+    reports = cut(train.mapInArrow(run, kinds), "reports")
+    tokens = reports.agg(F.sum("tokens")).first()[0] or 0
+    frequent = reports.where("part >= 0").groupBy("part").applyInArrow(_frequent(p_min / 2 * tokens), "h long, parent long").toArrow()
     states = States(*[frequent.column(c).to_numpy().astype(np.int64).view(np.uint64) for c in ("h", "parent")])
     size = len(states.h) + 1
 
@@ -373,6 +393,6 @@ def score(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, gain: float
     run, kinds = _events(depth, parts, tree)
     events = texts.mapInArrow(run, kinds)
     scored = events.groupBy("part").cogroup(counts.groupBy("part")).applyInArrow(_score(m2), SCORES)
-    out = scored.groupBy("slice", "d").agg(F.max("doc_id").alias("doc_id"), F.sum("n").alias("n_tokens"), F.sum("known").alias("n_known"), F.sum("base").alias("base_score"), F.sum("score").alias("score"))
+    out = scored.groupBy("slice").applyInArrow(_sum_slice, "doc_id long, n_tokens long, n_known long, base_score double, score double")
     out = out.withColumn("doc_id", F.nullif("doc_id", F.lit(np.iinfo(np.int64).min)))
     return out.select("doc_id", (remainder(10) == 0).alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
