@@ -141,6 +141,20 @@ def test_html_without_article():
     assert kept == ["A title", body.strip(), body.strip()]
 
 
+def test_html_wrappers_that_only_sound_hidden():
+    tree = html.grow(*html.labelled())
+    body = "This paragraph has many words and tells a story that goes on for quite a while, as paragraphs do."
+
+    def kept(attrs):
+        blocks, x = html.blocks(f"<body><nav>Home</nav><div {attrs}><article><h1>A title</h1><p>{body}</p></article></div>")
+        return [t for t, k in zip(blocks, html.classify(tree, x), strict=True) if k]
+
+    shown = ["style='overflow:hidden'", 'style="overflow: hidden; color: red"', 'aria-hidden="false"', "class='overflow-hidden'", "class='md:hidden'", "data-state=hidden", "title='the hidden one'", "data-class='nav'", "data-note='display: none'"]
+    assert [a for a in shown if kept(a) != ["A title", body]] == []
+    unseen = ["hidden", "HIDDEN", 'hidden=""', "id=x hidden", "aria-hidden=true", "aria-hidden='true'", "style='display:none'", 'style="color: red; display : none"', "class='a hidden'", "class=visually-hidden", "class='nav'"]
+    assert [a for a in unseen if kept(a)] == []
+
+
 def test_suffix_tree(docs, texts):
     got = suffix_lm.score(docs).toPandas()
     words = {i: [*WORD.findall(t.translate(LOWER)), None] for i, t in texts.items()}

@@ -29,7 +29,9 @@ ASIDE = set("nav footer aside form menu dialog select button fieldset head".spli
 MAIN = set("article main".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 # Words in class, id and role that announce other content.
-HINTS = set("ad ads adv advert adverts advertisement advertising adsbygoogle banner sponsor sponsored sponsors promo promoted promotion sidebar menu nav navbar navigation navi breadcrumb breadcrumbs header masthead topbar footer bottombar comment comments commentlist disqus reply replies respond cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login search share sharing social related recommended recommendations widget widgets toolbar pagination pager paginator skip complementary contentinfo dialog tracking outbrain taboola hidden".split())
+HINTS = set("ad ads adv advert adverts advertisement advertising adsbygoogle banner sponsor sponsored sponsors promo promoted promotion sidebar menu nav navbar navigation navi breadcrumb breadcrumbs header masthead topbar footer bottombar comment comments commentlist disqus reply replies respond cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login search share sharing social related recommended recommendations widget widgets toolbar pagination pager paginator skip complementary contentinfo dialog tracking outbrain taboola".split())
+# of class names that say an element isn't shown, only whole ones: overflow-hidden or md:hidden don't hide it
+HIDDEN = {"hidden", "is-hidden", "visually-hidden"}
 GOOD_HINTS = set("article post entry story content main body".split())
 
 NAMES = ["words", "links", "prev_words", "prev_links", "next_words", "next_links", "heading", "in_main", "has_main", "aside"]
@@ -147,16 +149,21 @@ def classify(tree: tuple, x: np.ndarray) -> np.ndarray:
 
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
-ATTR = re.compile(r"""(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b|aria-hidden\s*=\s*["']?(true)|display\s*:\s*(none)""", re.I)
+ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+UNSEEN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
 def _hint(attrs: str) -> int:
-    """-1: class, id or role announce other content; 1: main text; 0: neither."""
+    """-1: the element isn't shown, or class, id or role announce other content; 1: main text; 0: neither."""
     out = 0
     for m in ATTR.finditer(attrs):
-        value = m[2] or m[3] or m[4]
-        if value is None:
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and UNSEEN.search(value):
+            return -1
+        if name not in ("class", "id", "role"):
+            continue
+        if HIDDEN & set(value.lower().split()):
             return -1
         words = {w.lower() for w in WORD.findall(value)}
         if words & HINTS:
