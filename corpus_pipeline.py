@@ -15,7 +15,7 @@ from tidepool.llm.packing import pack
 from tidepool.llm.quality import good_only
 from tidepool.llm.queries import table, vocabulary
 from tidepool.llm.scratch import cut
-from tidepool.llm.spans import without_repeats
+from tidepool.llm.spans import GAP, without_repeats
 from tidepool.llm.toxicity import without_toxic
 
 
@@ -32,7 +32,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without_repeats(docs)
+    return without_repeats(docs, gap=GAP)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -262,6 +262,32 @@ def test_spans(spark, docs, texts):
         assert WORD.findall((r.text or "").translate(LOWER)) == [w for k, x in enumerate(u) if k not in gone[r.doc_id] for w in x]
 
 
+def test_spans_find_unaligned_passages(spark, monkeypatch):
+    import corpus_pipeline
+    from tidepool.llm import queries
+
+    r = random.Random(9)
+    word = lambda: f"w{r.randrange(10**9)}" + ("." if r.random() < marks else "")
+    rows, passages = [], {}
+    for i in range(600):
+        marks = (0, 0.09)[i % 2]
+        passage = [word() for _ in range(51 if i % 3 else spans.MIN_WORDS + 2 * spans.GAP - 1)]
+        for d in (2 * i, 2 * i + 1):
+            before, after = ([word() for _ in range(r.randrange(40))] for _ in range(2))
+            rows.append((d, " ".join([*before, *passage, *after])))
+        passages[2 * i + 1] = set(passage), before + after
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(queries, "table", lambda *_: df)
+    for out in (queries.op9_substring_dedup(spark, ""), corpus_pipeline.repeated_passages(spark, df, "")):
+        text = {x.doc_id: x.text.split() for x in out.collect()}
+        assert all(text[d] == t.split() for d, t in rows if d % 2 == 0)
+        left = {d: sum(w in p for w in text[d]) for d, (p, _) in passages.items()}
+        missed = [d for d, n in left.items() if n == len(passages[d][0])]
+        assert len(missed) == 0, f"{len(missed)} of {len(left)} passages missed"
+        assert max(left.values()) <= 2 * spans.GAP - 1
+        assert all([w for w in text[d] if w not in p] == around for d, (p, around) in passages.items())
+
+
 def test_packing(spark, docs, texts):
     from tokenizers import Tokenizer
 

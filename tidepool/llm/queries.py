@@ -64,9 +64,9 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .spans import dedup_spans
+    from .spans import GAP, dedup_spans
 
-    return dedup_spans(table(spark, sf_dir, "documents"))
+    return dedup_spans(table(spark, sf_dir, "documents"), gap=GAP)
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

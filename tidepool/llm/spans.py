@@ -1,13 +1,20 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences at line ends and after ".", "!" or "?", and further after words that a hash picks (one
-in ``clause``), so that the pieces of a long sentence are the same wherever a passage stands. From every sentence a span runs over the fewest consecutive sentences (two at
-least) that have ``min_words`` words together. Spans are hashed (words only: A-Z lowered, white space ignored) and
-joined globally; of equal spans the first by (doc_id, place) stays, and every sentence that any other one covers is
-removed from its text with the white space behind it.
-
-Flow: one pass emits (hash, doc_id, place) of every span; hashes that occur twice or more, with their first place, by
-a map-side combined aggregate; a join flags the other places; the flags of a document meet its text in one more join.
+A text is cut into sentences at line ends and after ".", "!" or "?", and further after words that a hash picks, so that
+the pieces of a long sentence are the same wherever a passage stands. With ``gap`` these are the words whose hash is the
+(last) least of any ``gap`` words in a row: every ``gap`` words have a cut, and cuts inside a passage depend on nothing
+outside it. Without, they are one in ``clause``, at any distance. From every sentence a span runs over the fewest
+consecutive sentences (two at least) that have ``min_words`` words together; with ``gap`` such a span also ends at every
+sentence. Spans are hashed (words only: A-Z lowered, white space ignored) and joined globally; of equal spans the first
+by (doc_id, place) stays, and every sentence that any other one covers is removed from its text with the white space
+behind it.
+
+With ``gap`` a repeated passage of ``min_words`` + 2 * ``gap`` - 1 words or more is found wherever it stands, whatever
+its sentences, and no more than ``gap`` words at its start and ``gap`` - 1 at its end stay behind. A shorter one may be
+missed unless it starts and ends where sentences do.
+
+Flow: one pass counts span hashes (map-side combined); a second keeps (hash, doc_id, place) of those that occur twice or
+more; their first places are joined to them to flag the others; the flags of a document meet its text in one more join.
 A span recomputed from the text must have the flagged hash, so rows that share a doc_id never get each other's cuts.
 
 Defined cases: null or empty text has no sentence and comes back as it is; texts with fewer than ``min_words`` words
@@ -26,9 +33,25 @@ from . import flat
 from .scratch import cut
 
 MIN_WORDS, MIN_SENTENCES, CLAUSE = 25, 2, 8
+GAP = 8
 
 
-def sentences(col: pa.Array, clause: int):
+def least_of_any(h: np.ndarray, doc: np.ndarray, gap: int) -> np.ndarray:
+    """Words whose hash is the last least one of some ``gap`` consecutive words of their text."""
+    n = len(h)
+    room = np.ones(n, dtype=np.int64)
+    left, right = np.ones(n, dtype=bool), np.ones(n, dtype=bool)
+    for k in range(1, min(gap, n)):
+        same = doc[k:] == doc[:-k]
+        left[:k], right[n - k :] = False, False
+        left[k:] &= same & (h[:-k] >= h[k:])
+        right[: n - k] &= same & (h[k:] > h[:-k])
+        room += left
+        room += right
+    return room >= gap
+
+
+def sentences(col: pa.Array, clause: int, gap: int = 0):
     """Words of the texts, and of each sentence: first word, end word, text."""
     w = flat.words(col)
     n = len(w.hash)
@@ -39,14 +62,14 @@ def sentences(col: pa.Array, clause: int):
     lines = np.concatenate([[0], np.cumsum(w.low == 10)])
     final = np.ones(n, dtype=bool)
     final[:-1] = (w.doc[1:] != w.doc[:-1]) | (lines[w.start[1:]] > lines[w.end[:-1]]) | np.isin(last[:-1], np.frombuffer(b".!?", dtype=np.uint8))
-    final |= w.hash % flat.U(clause) == 0
+    final |= least_of_any(w.hash, w.doc, gap) if gap else w.hash % flat.U(clause) == 0
     start = np.flatnonzero(np.concatenate([[True], final[:-1]]))
     return w, start, np.append(start[1:], n), w.doc[start]
 
 
-def spans(col: pa.Array, min_words: int, min_sentences: int, clause: int):
+def spans(col: pa.Array, min_words: int, min_sentences: int, clause: int, gap: int = 0):
     """(text, sentence within it, end sentence within it, hash) of every span, and the sentences."""
-    w, start, end, doc = sentences(col, clause)
+    w, start, end, doc = sentences(col, clause, gap)
     n = len(start)
     texts = len(w.first) - 1
     head = np.searchsorted(doc, np.arange(texts + 1))
@@ -57,7 +80,15 @@ def spans(col: pa.Array, min_words: int, min_sentences: int, clause: int):
     to = np.searchsorted(end, start + min_words, "left")
     to = np.maximum(to, np.arange(n) + min_sentences - 1)
     on = np.flatnonzero(to < head[doc + 1])
-    to = to[on]
+    if gap:
+        # the first sentence of the span that ends here: the last that starts far enough before
+        back = np.minimum(np.searchsorted(start, end - min_words, "right") - 1, np.arange(n) - min_sentences + 1)
+        last = np.flatnonzero((back >= head[doc]) & (to[np.maximum(back, 0)] != np.arange(n)))
+        on, to = np.concatenate([on, back[last]]), np.concatenate([to[on], last])
+        order = np.argsort(on, kind="stable")
+        on, to = on[order], to[order]
+    else:
+        to = to[on]
     pw, inv = flat._pow(len(w.hash) + 1)
     total = np.zeros(len(w.hash) + 1, dtype=np.uint64)
     np.cumsum(w.hash * pw[: len(w.hash)], out=total[1:])
@@ -112,35 +143,36 @@ def _remove(*shape):
     return run
 
 
-def repeated_places(docs: DataFrame, min_words: int, min_sentences: int, clause: int) -> DataFrame:
+def repeated_places(docs: DataFrame, *shape) -> DataFrame:
     """(doc_id, place, hash) of every span that isn't the first of its kind."""
-    found = docs.select("doc_id", "text").mapInArrow(_emit(min_words, min_sentences, clause), "hash long, doc_id long, place int")
-    found = cut(found, "spans")
-    first = found.groupBy("hash").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n")).where("n > 1").select("hash", "first")
-    return found.join(first, "hash").where(F.struct("doc_id", "place") > F.col("first")).select("doc_id", "place", "hash").distinct()
+    found = docs.select("doc_id", "text").mapInArrow(_emit(*shape), "hash long, doc_id long, place int")
+    often = cut(found.groupBy("hash").count().where("count > 1").select("hash"), "often")
+    again = cut(found.join(often, "hash", "left_semi"), "again")
+    first = again.groupBy("hash").agg(F.min(F.struct("doc_id", "place")).alias("first"))
+    return again.join(first, "hash").where(F.struct("doc_id", "place") > F.col("first")).select("doc_id", "place", "hash").distinct()
 
 
-def dedup_spans(docs: DataFrame, min_words: int = MIN_WORDS, min_sentences: int = MIN_SENTENCES, clause: int = CLAUSE) -> DataFrame:
+def dedup_spans(docs: DataFrame, min_words: int = MIN_WORDS, min_sentences: int = MIN_SENTENCES, clause: int = CLAUSE, gap: int = 0) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, text without repeated spans, n_sentences, n_removed."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    flags = repeated_places(texts, min_words, min_sentences, clause)
+    flags = repeated_places(texts, min_words, min_sentences, clause, gap)
     hits = flags.groupBy("doc_id").agg(F.collect_list(F.struct("place", "hash")).alias("hits"))
     full = texts.join(hits, "doc_id", "left").select(F.col("doc_id").alias("row"), "text", "hits")
-    out = full.mapInArrow(_remove(min_words, min_sentences, clause), "row long, text string, n_sentences long, n_removed long")
+    out = full.mapInArrow(_remove(min_words, min_sentences, clause, gap), "row long, text string, n_sentences long, n_removed long")
     return out.withColumnRenamed("row", "doc_id")
 
 
 def without_repeats(docs: DataFrame, **shape) -> DataFrame:
     """``docs`` with all its columns, repeated spans removed from text, and n_chars (if there) counted anew."""
-    shape = {"min_words": MIN_WORDS, "min_sentences": MIN_SENTENCES, "clause": CLAUSE} | shape
+    shape = {"min_words": MIN_WORDS, "min_sentences": MIN_SENTENCES, "clause": CLAUSE, "gap": 0} | shape
     keyed = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    flags = repeated_places(keyed, **shape)
+    flags = repeated_places(keyed, *shape.values())
     hits = flags.groupBy("doc_id").agg(F.collect_list(F.struct("place", "hash")).alias("_hits"))
     full = keyed.join(hits, "doc_id", "left")
     names = [f.name for f in docs.schema]
     rest = [n for n in names if n != "text"]
     schema = full.select(*names).schema
-    remove = _remove(*(shape[k] for k in ("min_words", "min_sentences", "clause")))
+    remove = _remove(*shape.values())
 
     def run(batches):
         for b in flat.slices(batches):
