@@ -262,6 +262,15 @@ def test_spans(spark, docs, texts):
         assert WORD.findall((r.text or "").translate(LOWER)) == [w for k, x in enumerate(u) if k not in gone[r.doc_id] for w in x]
 
 
+def test_embedding_recall_counts_the_anchors_too():
+    for bound in (0.9, 0.98):
+        half, least = embedding.calibrate(bound)
+        p = math.erf(half / math.sqrt(2 - 2 * bound) / math.sqrt(2))
+        anchors = (1 - p**embedding.ANCHORS) ** embedding.GROUPS
+        count = sum(math.comb(embedding.PROJECTIONS, k) * p**k * (1 - p) ** (embedding.PROJECTIONS - k) for k in range(least))
+        assert least > 0 and anchors + count <= 1e-5
+
+
 def test_spans_find_unaligned_passages(spark, monkeypatch):
     import corpus_pipeline
     from tidepool.llm import queries

@@ -3,8 +3,8 @@
 Every vector is projected on many seeded random directions. A pair collides on a projection if the other's value lies
 within ``half`` of the query's own value: a window centred at the query, found by binary search in the sorted
 projection. The window and the number of collisions asked for come from the wanted recall: for a pair exactly at the
-similarity bound, each difference of projections is a normal variable of known width, so the least binomial quantile
-that keeps ``recall`` is used. Pairs that pass the count are verified by their cosine in double precision.
+similarity bound, each difference of projections is a normal variable of known width, so the chance to miss the anchors
+(below) and the binomial quantile of the count are known, and together lose no more than 1 - ``recall``. Pairs that pass the count are verified by their cosine in double precision.
 
 So that pairs meet without a cross join, groups of anchor projections cut each label into cells wider than a window;
 a vector is the query in its own cell and a candidate in every neighbouring cell that its window can reach. A pair
@@ -34,17 +34,22 @@ BLOCK = 2048
 PROJECTIONS, GROUPS, ANCHORS = 24, 3, 3
 
 
-def calibrate(bound: float, projections: int = PROJECTIONS, recall: float = 0.99999, sigmas: float = 2.5) -> tuple[float, int]:
-    """Half width of the window, and the collisions that a pair at the bound reaches with probability ``recall``."""
-    width = math.sqrt(2 - 2 * bound)
-    p = math.erf(sigmas / math.sqrt(2))
+def calibrate(bound: float, projections: int = PROJECTIONS, recall: float = 0.99999, groups: int = GROUPS, anchors: int = ANCHORS) -> tuple[float, int]:
+    """Half width of the window, and the collisions asked for, so that a pair at the bound is found with probability
+    ``recall``: it misses all groups of anchors with half of what may be lost at most, and the count with the rest."""
+    lost, sigmas = 1 - recall, 2.5
+    inside = lambda: math.erf(sigmas / math.sqrt(2))
+    while (1 - inside() ** anchors) ** groups > lost / 2:
+        sigmas += 0.05
+    p = inside()
+    lost -= (1 - p**anchors) ** groups
     least, below = 0, 0.0
-    for k in range(projections + 1):  # the largest count that loses no more than 1 - recall
+    for k in range(projections + 1):  # the largest count that loses no more
         below += math.comb(projections, k) * p**k * (1 - p) ** (projections - k)
-        if below > 1 - recall:
+        if below > lost:
             least = k
             break
-    return sigmas * width, least
+    return sigmas * math.sqrt(2 - 2 * bound), least
 
 
 def directions(dim: int, projections: int) -> np.ndarray:
@@ -161,7 +166,7 @@ def _block(projections: int, groups: int, anchors: int, bound: float, half: floa
 
 def near_dedup(rows: DataFrame, bound: float = 0.98, recall: float = 0.99999, projections: int = PROJECTIONS, groups: int = GROUPS, anchors: int = ANCHORS, block: int = BLOCK) -> DataFrame:
     """Per row of ``rows`` (vec_id, embedding, label): vec_id, n_links, component_id, kept (vec_id = component_id)."""
-    half, least = calibrate(bound, projections, recall)
+    half, least = calibrate(bound, projections, recall, groups, anchors)
     wide = 4 * half
     base = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"), F.col("label").cast("string").alias("label"))
     odd = F.exists("vector", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
