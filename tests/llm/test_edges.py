@@ -84,3 +84,12 @@ def test_embedding_odd_rows(spark):
 def test_ngram_defined_cases(docs):
     got = {(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.ngram_join(docs, 4, 85).collect()}
     assert (1, 0, 1) in got and (2, 0, 2) in got and (3, 3, 3) in got and (4, 3, 3) in got
+
+
+def test_ngram_join_repeated_ids_with_other_texts(spark):
+    words = [f"w{i}" for i in range(100)]
+    a, z = " ".join(words), " ".join(f"z{i}" for i in range(100))
+    rows = [(1, a), (1, z), (2, a + " b"), (5, a + " b c"), (9, z + " y"), (None, z + " x"), (7, ""), (7, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in ngram_join.ngram_join(docs, 4, 85).collect())
+    assert got == [(0, 98, 1), (1, 97, 1), (1, 97, 1), (2, 98, 1), (5, 99, 1), (7, 0, 1), (7, 97, 1), (9, 98, 1)]

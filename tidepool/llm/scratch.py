@@ -32,7 +32,7 @@ def cut(df: DataFrame, name: str = "t", codec: str = "zstd") -> DataFrame:
     return out
 
 
-def drop(*tables: DataFrame) -> None:
+def drop(*tables: DataFrame | None) -> None:
     """Delete tables made by :func:`cut` that no later step reads."""
     for t in tables:
         path = getattr(t, "_tidepool_path", None)
