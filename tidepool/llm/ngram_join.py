@@ -1,7 +1,7 @@
 """N-gram Jaccard join with several global token orders.
 
 Two sets with Jaccard similarity >= t must share a token inside both prefixes (the first ``n - ceil(t*n) + 1``
-tokens) under *any* total order of tokens. The first order puts rare shingles first, by counts of a sketch over all
+tokens) under *any* total order of tokens, and L tokens if both prefixes are longer by L - 1. The first order puts rare shingles first, by counts of a sketch over all
 texts (``COUNTERS`` hashed counters, so common shingles and passages never sit in a prefix unless nothing else is left);
 it generates candidates by a join on prefix tokens. The other orders are hashes with other seeds. A candidate must pass the
 prefix filter of every order: up to the token where the shorter prefix ends, the common tokens are known; behind it at
@@ -9,8 +9,8 @@ most the smaller rest can be common; together they must reach the overlap that t
 intersection of all filters have their texts compared. The orders change the work only, never the result.
 
 Flow: (1) one pass over the texts makes set digests, sizes and the sketch; equal sets become one node. (2) One pass
-emits the prefix tokens under the first order with their places, grouped by token (frequent tokens salted). (3) One
-pass keeps text and other prefixes of the nodes that share a token with another one, by node. (4) Star pairs, each node
+emits the (longer) prefix tokens under the first order with their places, grouped by token (frequent tokens salted);
+nodes of which fewer than L are shared with any other node go. (3) One pass keeps text and other prefixes of the nodes that share a token with another one, by node. (4) Star pairs, each node
 against the node of its group that has the token earliest, are filtered, verified and contracted to components; in
 large groups ``rounds`` more such steps compare what is still apart with a few members of the group's largest component.
 (5) Groups that still hold several components yield the pairs across components, and only those that the places allow:
@@ -48,6 +48,12 @@ def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
     return n - (n * percent + 99) // 100 + 1
 
 
+def longer(n, percent: int, least):
+    """Tokens that two linked sets of ``n`` or more share in prefixes made longer by one less; ``least`` is the minimum
+    of two values, of numbers or of columns."""
+    return least((n * percent + 99) // 100, 2 + n // 25) if least is np.minimum else least(F.floor((n * percent + 99) / 100), 2 + F.floor(n / 25))
+
+
 def _order_key(h: np.ndarray, seed: int) -> np.ndarray:
     """Place in a hash order; one to one."""
     return flat.mix(h ^ np.uint64(0xD1B54A32D192ED03 * (seed + 1) % (1 << 64)))
@@ -140,7 +146,7 @@ def _postings(k: int, percent: int, shared):
             level = levels[_counter(h)]
             order = np.lexsort(((level.astype(np.uint64) << np.uint64(56)) | (_order_key(h, 0) >> np.uint64(8)), doc))
             place = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
-            keep = place < np.repeat(prefix_size(n, percent), n)
+            keep = place < np.repeat(prefix_size(n, percent) + longer(n, percent, np.minimum) - 1, n)
             order, place = order[keep], place[keep]
             h, doc = h[order], doc[order]
             own = node[doc]
@@ -228,11 +234,14 @@ def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, orders: int = 3,
     run, kind = _postings(k, percent, shared)
     by = Window.partitionBy("token", "salt")
     once = docs.mapInArrow(run, kind).repartition("token", "salt").withColumn("before", F.lag("node").over(by.orderBy("node"))).where("before is null or before <> node")
+    # rows of a token that one node alone has can't make a pair; salted groups are kept for the second level
+    together = once.withColumn("size", F.count("*").over(by)).where("salt > 0 or size > 1").select("token", "salt", "node", "n", "place")
+    least = longer(F.floor((F.col("n") * percent + 99) / 100), percent, F.least)
+    enough = together.withColumn("met", F.count("*").over(Window.partitionBy("node"))).where(F.col("met") >= least)
     # a pivot has the token earliest in the order: what can be linked to any member can be linked to it. One is among
-    # all members, one among those of nearly the same size. Rows of a token that one node alone has can't make a pair;
-    # salted groups are kept for the second level
+    # all members, one among those of nearly the same size
     first, alike = F.min(F.struct("place", "node", "n")), Window.partitionBy("token", "salt", "class")
-    groups = once.withColumn("size", F.count("*").over(by)).withColumn("lo", first.over(by)).withColumn("hi", F.max(F.struct("place", "node", "n")).over(by))
+    groups = enough.withColumn("size", F.count("*").over(by)).withColumn("lo", first.over(by)).withColumn("hi", F.max(F.struct("place", "node", "n")).over(by))
     # two nodes alone with a token that can't be the first common one of a linked pair: by far the most of chance meetings
     two = _possible(F.col("lo.n"), F.col("lo.place"), F.col("hi.n"), F.col("hi.place"), percent)
     groups = groups.where("salt > 0 or size > 1").where((F.col("salt") > 0) | (F.col("size") > 2) | two).withColumn("class", F.floor(F.log("n") * 20))
@@ -260,18 +269,25 @@ def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, orders: int = 3,
     def checked(pairs: DataFrame) -> DataFrame | None:
         """Those of the pairs that are linked: first the filters of the further orders, then the texts."""
         pairs = pairs.where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-        side = lambda c: sides.select(F.col("node").alias(c), F.struct("n", *[f"p{j}" for j in range(1, orders)]).alias(f"of_{c}"))
-        pairs = pairs.join(side("x"), "x").join(side("y"), "y")
+        met = cut(pairs, "met")
+        few = lambda of: cut(of.select(F.col("x").alias("node")).union(of.select(F.col("y").alias("node"))).distinct(), "ids")
+        ids = few(met)
+        signs = with_ids(sides.select("node", F.struct("n", *[f"p{j}" for j in range(1, orders)]).alias("of")), ids, ["node"])
+        side = lambda c: signs.select(F.col("node").alias(c), F.col("of").alias(f"of_{c}"))
+        pairs = met.join(side("x"), "x").join(side("y"), "y")
         for j in range(1, orders):
             pairs = pairs.where(passes((F.col("of_x.n"), F.col("of_y.n")), (F.col(f"of_x.p{j}"), F.col(f"of_y.p{j}")), percent))
         pairs = cut(pairs.select("x", "y"), "pairs")
+        drop(met, ids)
         if pairs.isEmpty():
             drop(pairs)
             return None
-        text = lambda c: sides.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
+        ids = few(pairs)
+        texts = with_ids(sides.select("node", "text"), ids, ["node"])
+        text = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}"))
         run, kind = _verify(k, percent)
         links = cut(pairs.join(text("x"), "x").join(text("y"), "y").select("x", "y", "text_x", "text_y").mapInArrow(run, kind), "links")
-        drop(pairs)
+        drop(pairs, ids)
         return None if links.isEmpty() else links
 
     comp, known = None, None
