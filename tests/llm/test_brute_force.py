@@ -168,6 +168,44 @@ def test_suffix_tree(docs, texts):
     assert held.score.sum() > held.base_score.sum()
 
 
+@pytest.mark.parametrize("group", [4_000_000, 500])
+def test_suffix_tree_states_and_scores(spark, docs, texts, group):
+    """The tree, spelled out: counts of all contexts, gains over the suffix, longest kept state."""
+    depth, p_min, gain = 3, 4e-4, 4.0
+    seqs = {i: [*WORD.findall(t.translate(LOWER)), None] for i, t in texts.items()}
+    seqs[-1] = seqs[-2] = [None]
+    contexts = lambda ws, j: [tuple(["^", *ws][j - k : j + 1]) for k in range(min(depth, j + 1))]
+    n, total = {(): Counter()}, 0
+    for i, ws in seqs.items():
+        if zlib.crc32(str(i).encode()) % 10:
+            for j, w in enumerate(ws):
+                total += 1
+                for c in [(), *contexts(ws, j)]:
+                    n.setdefault(c, Counter())[w] += 1
+    size = {c: sum(v.values()) for c, v in n.items()}
+    frequent = {c for c in n if c == () or size[c] >= p_min * total}
+
+    def p(w, c, states):
+        if c == ():
+            return (n[()][w] + 0.1) / (total + 0.1 * (len(n[()]) + 1))
+        up = c[1:]
+        while up not in states:
+            up = up[1:]
+        return (n[c][w] + len(n[c]) * p(w, up, states)) / (size[c] + len(n[c]))
+
+    kept = {()}
+    for c in frequent - {()}:
+        q = {w: p(w, c[1:], frequent) for w in n[c]}
+        if sum(m * math.log((m - 1 + len(n[c]) * q[w]) / (size[c] - 1 + len(n[c])) / q[w]) for w, m in n[c].items()) >= gain:
+            kept.add(c)
+    assert {len(c) for c in kept} == {0, 1, 2, 3}
+    rows = spark.createDataFrame([*((i, t) for i, t in texts.items()), (-1, None), (-2, "")], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.score for r in suffix_lm.score(rows, depth, p_min, gain, group).collect()}
+    for i, ws in seqs.items():
+        want = sum(math.log10(p(w, next(c for c in [*reversed(contexts(ws, j)), ()] if c in kept), kept)) for j, w in enumerate(ws))
+        assert got[i] == pytest.approx(want), i
+
+
 def test_suffix_tree_sums_to_one():
     rng = np.random.default_rng(2)
     x, s, n = suffix_lm._summed(rng.integers(1, 30, 400).astype(np.uint64), rng.integers(0, 4, 400).astype(np.int32), np.ones(400, np.int64))

@@ -22,6 +22,8 @@ ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -35,10 +37,12 @@ from .scratch import cut
 U = np.uint64
 START, END = U(0x51A7), U(0xE4D)
 SLICE = 1 << 20
-COUNT_SLICE = 3 << 20
 MERGE = 400_000
-DEPTH, P_MIN, GAIN = 3, 8e-6, 12.0
+#: Entries of one packed row of counts, unless one symbol has more; training tokens that one scoring group may hold.
+ROW, GROUP = 1 << 17, 4_000_000
+DEPTH, P_MIN, GAIN = 3, 4e-6, 12.0
 ALPHA = 0.1
+NO_ID = np.iinfo(np.int64).min
 
 
 def symbols(col: pa.Array, depth: int):
@@ -73,7 +77,7 @@ def _candidates(depth: int, p_min: float, parts: int):
     def run(batches):
         kept = [(np.zeros(0, U), np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.float32)) for _ in range(depth)]
         tokens = 0
-        for b in flat.slices(batches, limit=COUNT_SLICE):
+        for b in flat.slices(batches, limit=SLICE):
             _, x, contexts = symbols(b.column("text"), depth)
             before, tokens = eps * tokens, tokens + len(x)
             for k in range(depth):
@@ -202,28 +206,35 @@ def _unpack(table: pa.Table, **kinds) -> list[np.ndarray]:
     return out
 
 
-def _merge_counts(table: pa.Table) -> pa.Table:
-    """One part's rows as one; merged bit by bit, so that memory holds little more than the result."""
-    part = table.column("part")[0].as_py()
-    done = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int64)
-    held, size = [done], 0
-    for i in range(table.num_rows):
-        held.append(_unpack(table.slice(i, 1), x=np.uint64, s=np.int32, n=np.int64))
-        size += len(held[-1][0])
-        if size >= max(MERGE, len(held[0][0])) or i == table.num_rows - 1:
-            held, size = [_summed(*(np.concatenate(c) for c in zip(*held, strict=True)))], 0
-    x, s, n = held[0]
-    return pa.table({"part": pa.array([part], pa.int32()), "x": [x.tobytes()], "s": [s.tobytes()], "n": [n.tobytes()]})
+def _merge_counts(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One part's rows, merged bit by bit, so that memory holds little more than the result; written as rows of whole
+    symbols and about ``ROW`` entries."""
+    held, size = [(np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int64))], 0
+    merged = lambda rows: [_summed(*(np.concatenate(c) for c in zip(*rows, strict=True)))]
+    for b in batches:
+        for i in range(b.num_rows):
+            held.append(_unpack(pa.table(b.slice(i, 1)), x=np.uint64, s=np.int32, n=np.int64))
+            size += len(held[-1][0])
+            if size >= max(MERGE, len(held[0][0])):
+                held, size = merged(held), 0
+    x, s, n = merged(held)[0]
+    begin = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(1, np.int64)
+    cuts = np.unique(np.concatenate([begin[np.searchsorted(begin, np.arange(0, len(x), ROW), "right") - 1], [0, len(x)]])).tolist()
+    for a, z in zip(cuts[:-1], cuts[1:], strict=True):
+        yield pa.RecordBatch.from_pydict({"part": pa.array([key[0].as_py()], pa.int32()), "x": [x[a:z].tobytes()], "s": [s[a:z].tobytes()], "n": [n[a:z].tobytes()]})
 
 
 def _totals(batches):
-    """Rows (s, n, t): positions and different symbols of each context in one part."""
+    """Rows (s, n, t): positions and different symbols of each context in one row of counts; s is -1 - part for the
+    part's tokens."""
     schema = pa.schema([("s", pa.int32()), ("n", pa.int64()), ("t", pa.int64())])
     for b in batches:
         for i in range(b.num_rows):
             _, s, n = _unpack(pa.table(b.slice(i, 1)), x=np.uint64, s=np.int32, n=np.int64)
             u, inv = np.unique(s, return_inverse=True)
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(np.bincount(inv, weights=n).astype(np.int64)), pa.array(np.bincount(inv).astype(np.int64))], schema=schema)
+            u = np.append(u, -1 - b.column("part")[i].as_py()).astype(np.int32)
+            n, t = np.append(np.bincount(inv, weights=n), n[s == 0].sum()), np.append(np.bincount(inv), 0)
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(n.astype(np.int64)), pa.array(t.astype(np.int64))], schema=schema)
 
 
 class Table:
@@ -284,12 +295,17 @@ def _gains(shared):
     return run
 
 
+def _ids(col: pa.Array) -> np.ndarray:
+    return col.fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def _events(depth: int, parts: int, shared):
-    """Rows (part, slice, x, run, s, d, ids): tokens of one slice by next symbol; d counts the slice's rows."""
-    schema = pa.schema([("part", pa.int32()), ("slice", pa.int64()), ("x", pa.binary()), ("s", pa.binary()), ("d", pa.binary()), ("run", pa.binary()), ("ids", pa.binary())])
+    """Rows (part, sub, slice, x, run, s, d, ids): tokens of one slice by next symbol; d counts the slice's rows. Parts
+    with many tokens are dealt to several groups by slice. A slice's ids travel with its first row."""
+    schema = pa.schema([("part", pa.int32()), ("sub", pa.int32()), ("slice", pa.int64()), *[(c, pa.binary()) for c in ("x", "s", "d", "run", "ids")]])
 
     def run(batches):
-        states, longest = States.again(shared.value[0]), shared.value[1]
+        states, longest, subs = States.again(shared.value[0]), *shared.value[1:]
         number = TaskContext.get().partitionId() << 32
         for b in flat.slices(batches, limit=SLICE):
             doc, x, contexts = symbols(b.column("text"), depth)
@@ -299,67 +315,76 @@ def _events(depth: int, parts: int, shared):
             s = longest[s]
             order = np.argsort(x, kind="stable")
             x, s, d = x[order], s[order], doc[order].astype(np.int32)
-            ids = b.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64) if not b.column("doc_id").null_count else np.array([v if v is not None else np.iinfo(np.int64).min for v in b.column("doc_id").to_pylist()])
-            out = []
             part = _part(x, parts)
             edge = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
-            for a, z in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-                v, c = np.unique(x[a:z], return_counts=True)
-                rows, inv = np.unique(d[a:z], return_inverse=True)
-                out.append((int(part[a]), v.tobytes(), s[a:z].tobytes(), rows[inv].astype(np.int32).tobytes(), c.astype(np.int32).tobytes(), np.column_stack([rows, ids[rows]]).tobytes()))
-            cols = list(zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array([number] * len(out), pa.int64()), *[pa.array(c, pa.binary()) for c in cols[1:]]], schema=schema)
+            new = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]]))
+            first, times = np.searchsorted(new, edge), np.diff(np.append(new, len(x))).astype(np.int32)
+            out = []
+            for i, (a, z) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)):
+                runs = slice(first[i], first[i + 1])
+                out.append((x[new[runs]].tobytes(), s[a:z].tobytes(), d[a:z].tobytes(), times[runs].tobytes(), b"" if i else _ids(b.column("doc_id")).tobytes()))
+            at = part[edge[:-1]]
+            sub = (flat.mix(np.full(len(at), number, U)) % subs[at].astype(U)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sub), pa.array(np.full(len(at), number)), *[pa.array(c, pa.binary()) for c in zip(*out, strict=True)]], schema=schema)
             number += 1
 
-    return run, "part int, slice long, x binary, s binary, d binary, run binary, ids binary"
+    return run, "part int, sub int, slice long, x binary, s binary, d binary, run binary, ids binary"
 
 
-SCORES = "slice long, ids binary, sums binary"
+SCORES = "slice long, ids binary, d binary, known binary, sums binary"
 
 
 def _score(shared):
-    schema = pa.schema([("slice", pa.int64()), ("ids", pa.binary()), ("sums", pa.binary())])
+    """Sums by document of one group of events: d (place in the slice), tokens and known tokens, base score and score."""
+    schema = pa.schema([("slice", pa.int64()), *[(c, pa.binary()) for c in ("ids", "d", "known", "sums")]])
 
     def run(events: pa.Table, counts: pa.Table) -> pa.Table:
         m = shared.value
         total, _, _, tokens, vocabulary, _ = m
-        x, s, n = _unpack(counts, x=np.uint64, s=np.int32, n=np.int64)
-        table = Table(x, s, n, len(total))
+        # a part's rows are ranges of symbols
+        order = sorted(range(counts.num_rows), key=lambda i: int.from_bytes(counts.column("x")[i].as_buffer()[:8], "little"))
+        own = [_unpack(counts.slice(i, 1), x=np.uint64, s=np.int32, n=np.int64) for i in order]
+        table = Table(*(np.concatenate([np.zeros(0, t), *(c[j] for c in own)]) for j, t in enumerate((np.uint64, np.int32, np.int64))), len(total))
         out = []
         for i in range(events.num_rows):
             row = events.slice(i, 1)
             x, s, d, times = _unpack(row, x=np.uint64, s=np.int32, d=np.int32, run=np.int32)
-            (ids,) = _unpack(row, ids=np.int64)
-            ids = ids.reshape(-1, 2)
             place = np.repeat(table.place(x), times)
             root = table.count(place, np.zeros(len(place), np.int32))
-            at = np.searchsorted(ids[:, 0], d)
-            add = lambda v: np.bincount(at, weights=v, minlength=len(ids))  # noqa: B023, E731
+            rows, at = np.unique(d, return_inverse=True)
+            add = lambda v: np.bincount(at, weights=v, minlength=len(rows))  # noqa: B023, E731
             base = np.log10((root + ALPHA) / (tokens + ALPHA * (vocabulary + 1)))
             score = np.log10(chance(table, place, s, m))
-            sums = np.column_stack([np.bincount(at, minlength=len(ids)).astype(float), add(root > 0), add(base), add(score)])
-            out.append((row.column("slice")[0].as_py(), ids.tobytes(), sums.tobytes()))
-        cols = list(zip(*out, strict=True)) if out else [[], [], []]
+            known = np.stack([np.bincount(at, minlength=len(rows)), add(root > 0)]).astype(np.int32)
+            out.append((row.column("slice")[0].as_py(), row.column("ids")[0].as_py(), rows.astype(np.int32).tobytes(), known.tobytes(), np.stack([add(base), add(score)]).tobytes()))
+        cols = list(zip(*out, strict=True)) if out else [[]] * 5
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
 
     return run
 
 
-def _sum_slice(table: pa.Table) -> pa.Table:
+def _sum_slice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The documents of one slice, their sums over all parts added up."""
-    ids, sums = _unpack(table, ids=np.int64, sums=np.float64)
-    ids, sums = ids.reshape(-1, 2), sums.reshape(-1, 4)
-    row, first, inv = np.unique(ids[:, 0], return_index=True, return_inverse=True)
-    n, known, base, score_ = (np.bincount(inv, weights=sums[:, i], minlength=len(row)) for i in range(4))
-    return pa.table({"doc_id": ids[first, 1], "n_tokens": n.astype(np.int64), "n_known": known.astype(np.int64), "base_score": base, "score": score_})
+    ids = np.zeros(0, np.int64)
+    known, sums = np.zeros((2, 0), np.int64), np.zeros((2, 0))
+    for b in batches:
+        for i in range(b.num_rows):
+            row = pa.table(b.slice(i, 1))
+            own, d, k, v = _unpack(row, ids=np.int64, d=np.int32, known=np.int32, sums=np.float64)
+            ids = own if len(own) else ids
+            if len(d) and (more := d[-1] + 1 - sums.shape[1]) > 0:
+                known, sums = np.pad(known, ((0, 0), (0, more))), np.pad(sums, ((0, 0), (0, more)))
+            known[:, d] += k.reshape(2, -1)
+            sums[:, d] += v.reshape(2, -1)
+    yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids), "n_tokens": pa.array(known[0]), "n_known": pa.array(known[1]), "base_score": pa.array(sums[0]), "score": pa.array(sums[1])})
 
 
-def score(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, gain: float = GAIN) -> DataFrame:
+def score(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, gain: float = GAIN, group: int = GROUP) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Rows whose crc32(doc_id as text) mod 10 is not 0 train the model."""
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     train = texts.where(remainder(10) != 0)
     run, kinds = _candidates(depth, p_min, parts)
@@ -375,7 +400,10 @@ def score(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, gain: float
     counts = cut(counts, "counts")
     got = counts.mapInArrow(_totals, "s int, n long, t long").groupBy("s").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).toArrow()
     total, types = np.zeros(size), np.zeros(size)
-    total[got.column("s").to_numpy()], types[got.column("s").to_numpy()] = got.column("n").to_numpy(), got.column("t").to_numpy()
+    at, n, t = (got.column(c).to_numpy() for c in ("s", "n", "t"))
+    total[at[at >= 0]], types[at[at >= 0]] = n[at >= 0], t[at >= 0]
+    subs = np.ones(parts, np.int32)
+    subs[-1 - at[at < 0]] += (n[at < 0] // group).astype(np.int32)
     vocabulary = int(types[0])
     m = spark.sparkContext.broadcast((total, types, states.parent, tokens, vocabulary, depth))
     gained = np.zeros(size)
@@ -389,10 +417,12 @@ def score(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, gain: float
         longest = np.where(kept[longest], longest, states.parent[longest]).astype(np.int32)
     above = longest[states.parent]
     m2 = spark.sparkContext.broadcast((total, types, above, tokens, vocabulary, depth))
-    tree = spark.sparkContext.broadcast((states.plain(), longest))
+    tree = spark.sparkContext.broadcast((states.plain(), longest, subs))
     run, kinds = _events(depth, parts, tree)
-    events = texts.mapInArrow(run, kinds)
-    scored = events.groupBy("part").cogroup(counts.groupBy("part")).applyInArrow(_score(m2), SCORES)
+    events = texts.mapInArrow(run, kinds).groupBy("part", "sub")
+    # every group of a part gets the part's counts
+    copies = F.explode(F.sequence(F.lit(0), F.element_at(F.lit(subs.tolist()), F.col("part") + 1) - 1))
+    scored = events.cogroup(counts.withColumn("sub", copies).groupBy("part", "sub")).applyInArrow(_score(m2), SCORES)
     out = scored.groupBy("slice").applyInArrow(_sum_slice, "doc_id long, n_tokens long, n_known long, base_score double, score double")
-    out = out.withColumn("doc_id", F.nullif("doc_id", F.lit(np.iinfo(np.int64).min)))
+    out = out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
     return out.select("doc_id", (remainder(10) == 0).alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
