@@ -6,11 +6,13 @@ projection. The window and the number of collisions asked for come from the want
 similarity bound, each difference of projections is a normal variable of known width, so the chance to miss the anchors
 (below) and the binomial quantile of the count are known, and together lose no more than 1 - ``recall``. Pairs that pass the count are verified by their cosine in double precision.
 
-So that pairs meet without a cross join, groups of anchor projections cut each label into cells wider than a window;
-a vector is the query in its own cell and a candidate in every neighbouring cell that its window can reach. A pair
+So that pairs meet without a cross join, labels of at most ``block`` vectors are one cell; in larger ones groups of
+anchor projections cut each label into cells wider than a window; a vector is the query in its own cell and a candidate in every neighbouring cell that its window can reach. A pair
 that misses an anchor in one group meets in another one; it counts in the first group where it meets. Cells with
 many rows are cut into blocks, and every block of queries meets every block of candidates, so that one task never
-holds more than two blocks. A block emits, per query, the sum of its links and one edge to the smallest vector of
+holds more than two blocks. There every
+projection of the candidates is sorted, each query's window is a range of each sorted projection, and the ranges add
+one to the candidates that they hold. A block emits, per query, the sum of its links and one edge to the smallest vector of
 its block component, never the pairs themselves. Equal vectors are one vector with a weight.
 
 Defined cases: rows whose label is null or whose vector is null, empty, zero or has null or non-finite components
@@ -65,6 +67,11 @@ def _cells(projections: int, groups: int, anchors: int, half: float, wide: float
             if not len(f):
                 continue
             out = []
+            small = f[f["alone"]]
+            if len(small):
+                key = [f"|{len(v)}|{a}" for a, v in zip(small.label, small.vector, strict=True)]
+                out.append(pd.DataFrame({"grp": np.int32(-1), "cell": key, "node": small.node, "home": True, "weight": small.weight, "vector": small.vector}))
+            f = f[~f["alone"]]
             for dim, part in f.groupby(f.vector.map(len)):
                 x = np.stack(part.vector.to_numpy()).astype(np.float64)
                 norm = np.linalg.norm(x, axis=1)
@@ -82,7 +89,8 @@ def _cells(projections: int, groups: int, anchors: int, half: float, wide: float
                         if on.any():
                             key = [f"{a}|{dim}|{','.join(map(str, c))}" for a, c in zip(label[on], to[on].tolist(), strict=True)]
                             out.append(pd.DataFrame({"grp": np.int32(g), "cell": key, "node": node[on], "home": not step.any(), "weight": part.weight.to_numpy()[on], "vector": vec[on]}))
-            yield pd.concat(out)
+            if out:
+                yield pd.concat(out)
 
     return run
 
@@ -117,36 +125,28 @@ def _block(projections: int, groups: int, anchors: int, bound: float, half: floa
         dirs = directions(qx.shape[1], projections)
         qn, cn = np.linalg.norm(qx, axis=1), np.linalg.norm(cx, axis=1)
         qp, cp = (qx / qn[:, None]) @ dirs, (cx / cn[:, None]) @ dirs
-        sweep = grp * anchors
-        order = np.argsort(cp[:, sweep], kind="stable")
-        cx, cn, cp, cnode, cw = cx[order], cn[order], cp[order], c.node.to_numpy()[order], c.weight.to_numpy()[order]
-        qnode = q.node.to_numpy()
-        left = np.searchsorted(cp[:, sweep], qp[:, sweep] - half, "left")
-        right = np.searchsorted(cp[:, sweep], qp[:, sweep] + half, "right")
-        order = np.argsort(left, kind="stable")
+        cnode, cw, qnode = c.node.to_numpy(), c.weight.to_numpy(), q.node.to_numpy()
+        order = np.argsort(cp, axis=0, kind="stable")
+        windows = []
+        for j in range(projections):
+            sorted_ = cp[order[:, j], j]
+            # one for the collision, and one more in the digit of the anchors' group
+            digit = 1 << (8 + 4 * (j // anchors)) if j < groups * anchors and grp >= 0 else 0
+            left, right = (np.searchsorted(sorted_, qp[:, j] + side, how).tolist() for side, how in ((-half, "left"), (half, "right")))
+            windows.append((np.ascontiguousarray(order[:, j]), left, right, np.int32(1 + digit)))
         got_a, got_b = [], []
-        for i in range(0, len(order), 256):
-            rows = order[i : i + 256]
-            lo, hi = left[rows].min(), right[rows].max()
-            if hi <= lo:
-                continue
-            hit = np.zeros((len(rows), hi - lo), dtype=np.int16)
-            meets = np.ones((groups, len(rows), hi - lo), dtype=bool)
-            for j in range(projections):
-                near = np.abs(qp[rows, j][:, None] - cp[lo:hi, j][None, :]) <= half
-                hit += near
-                if j < groups * anchors:
-                    meets[j // anchors] &= near
-            pass_ = (hit >= least) & meets[grp] & ~meets[:grp].any(axis=0)
-            a, b = np.nonzero(pass_)
-            a, b = rows[a], b + lo
-            on = qnode[a] != cnode[b]
-            a, b = a[on], b[on]
-            for k in range(0, len(a), 65_536):
-                s, t = a[k : k + 65_536], b[k : k + 65_536]
-                good = np.einsum("ij,ij->i", qx[s], cx[t]) / (qn[s] * cn[t]) >= bound
-                got_a.append(s[good])
-                got_b.append(t[good])
+        for i in range(len(q)):
+            hit = np.zeros(len(c), dtype=np.int32)
+            for at, left, right, one in windows:
+                hit[at[left[i] : right[i]]] += one
+            pass_ = (hit & 255) >= least
+            for g in range(grp + 1):  # it meets in this group, and in none before
+                pass_ &= ((hit >> (8 + 4 * g) & 15) == anchors) == (g == grp)
+            b = np.flatnonzero(pass_ & (cnode != qnode[i]))
+            if len(b):
+                good = cx[b] @ qx[i] / (qn[i] * cn[b]) >= bound
+                got_b.append(b[good])
+                got_a.append(np.full(good.sum(), i))
         if not got_a or not sum(map(len, got_a)):
             return none
         a, b = np.concatenate(got_a), np.concatenate(got_b)
@@ -177,7 +177,10 @@ def near_dedup(rows: DataFrame, bound: float = 0.98, recall: float = 0.99999, pr
     base = base.withColumn("same", F.when(usable, F.sha2(F.concat_ws("|", F.col("label"), F.concat_ws(",", plain.cast("array<string>"))), 256)))
     nodes = base.where("same is not null").groupBy("same").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight"), F.first("vector").alias("vector"), F.first("label").alias("label"))
     nodes = cut(nodes, "nodes")
-    cells = nodes.select("node", "weight", "label", "vector").mapInPandas(_cells(projections, groups, anchors, half, wide), "grp int, cell string, node long, home boolean, weight long, vector array<double>")
+    # labels that fit one block need no anchors
+    sizes = nodes.groupBy("label", F.size("vector").alias("dim")).agg((F.count("*") <= block).alias("alone"))
+    dealt = nodes.withColumn("dim", F.size("vector")).join(sizes, ["label", "dim"])
+    cells = dealt.select("node", "weight", "label", "alone", "vector").mapInPandas(_cells(projections, groups, anchors, half, wide), "grp int, cell string, node long, home boolean, weight long, vector array<double>")
     cells = cut(cells.withColumn("vector", F.col("vector").cast("array<double>")), "cells")
     size = cells.groupBy("grp", "cell").agg(F.ceil(F.count("*") / block).cast("int").alias("cuts"), F.count_if("home").alias("homes")).where("homes > 0")
     dealt = cells.join(size, ["grp", "cell"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int"))
