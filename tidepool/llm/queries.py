@@ -88,4 +88,39 @@ QUERIES = {
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Exact by contract, so SQL can say them over whole tables; the others are tested against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op1_ngram_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), p AS (SELECT doc_id, len(w) AS k, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM w),
+q AS (
+  SELECT doc_id, k, i, w AS a, lead(w, 1) OVER d AS b, lead(w, 2) OVER d AS c, lead(w, 3) OVER d AS e FROM p WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+), t AS (SELECT DISTINCT doc_id, hash(a, b, c, e) AS t FROM q WHERE i <= greatest(k - 3, 1)),
+n AS (SELECT w.doc_id, coalesce(c.n, 0) AS n FROM w LEFT JOIN (SELECT doc_id, count(*) AS n FROM t GROUP BY 1) c USING (doc_id)),
+often AS (SELECT t FROM t GROUP BY t HAVING count(*) > 1),
+u AS MATERIALIZED (SELECT doc_id, t FROM t SEMI JOIN often USING (t)),
+both_ AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM u a JOIN u b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS MATERIALIZED (SELECT a, b FROM both_ JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 85 * (x.n + y.n - m)),
+edge AS MATERIALIZED (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(a, b) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a)
+SELECT n.doc_id, n.n AS n_shingles, min(reach.b) AS component_id FROM n JOIN reach ON reach.a = n.doc_id GROUP BY 1, 2
+""",
+    "op2_embedding_near_dedup": """
+WITH RECURSIVE base AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v, label, row_number() OVER () AS r FROM embeddings
+), usable AS (
+  SELECT *, list_dot_product(v, v) AS sq FROM base
+  WHERE label IS NOT NULL AND v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.r AS ar, a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+  ON a.label = b.label AND len(a.v) = len(b.v) AND a.r <> b.r AND list_dot_product(a.v, b.v) / sqrt(a.sq * b.sq) >= 0.98
+), edge AS (SELECT DISTINCT a, b FROM link WHERE a <> b),
+reach(a, b) AS (
+  SELECT vec_id, vec_id FROM base UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a
+), least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT ar, count(*) AS n FROM link GROUP BY ar)
+SELECT b.vec_id, coalesce(n.n, 0) AS n_links, l.component_id, b.vec_id = l.component_id AS kept
+FROM base b LEFT JOIN n ON n.ar = b.r LEFT JOIN least l ON l.a = b.vec_id
+""",
+}
