@@ -141,6 +141,30 @@ def test_html_without_article():
     assert kept == ["A title", body.strip(), body.strip()]
 
 
+def test_html_counts_and_densities_decide():
+    tree = html.grow(*html.labelled())
+    body = "This paragraph has many words and tells a story that goes on for quite a while, as paragraphs do."
+    links = "".join(f"<li><a href={i}>Story {i}</a></li>" for i in range(4))
+    pages = [f"<body><div>{links}</div><div><p>{body}</p><p>{body}</p></div>", f"<body><article><p>{body}</p><p><a href=x>One link</a></p><p>{body}</p><ul>{links}</ul><p>{body}</p></article>"]
+    for page, want in zip(pages, ([body] * 2, [body, "One link", *[body] * 2]), strict=True):
+        texts, x = html.blocks(page)
+        kept = [t for t, k in zip(texts, html.classify(tree, x), strict=True) if k]
+        assert [t for t in kept if not t.startswith("Story")] == want and len([t for t in kept if t.startswith("Story")]) <= 2
+        other = x.copy()
+        other[:, :6] = np.roll(other[:, :6], 2, axis=0)
+        assert (html.classify(tree, other) != html.classify(tree, x)).any()
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<a href="x ', '<a "> "', "</script", "<section></div>", "<div>", "<!-", "<p '", "<b x=\"'>"])
+def test_html_odd_long_pages_take_linear_time(piece):
+    import time
+
+    for start, end in (("", ""), ("<p>", ">"), ("<script>", "")):
+        began = time.process_time()
+        html.blocks(start + piece * (500_000 // len(piece)) + end)
+        assert time.process_time() - began < 8
+
+
 def test_html_wrappers_that_only_sound_hidden():
     tree = html.grow(*html.labelled())
     body = "This paragraph has many words and tells a story that goes on for quite a while, as paragraphs do."

@@ -3,7 +3,9 @@
 A page is cut at block tags into flat text blocks. A block has its word count and link density, those of its two
 neighbours, whether it is a heading, whether it lies in an article (or main) element, whether the page has one, and
 whether it lies in an element that announces other content (navigation, footer, form, an advert or comment class and
-so on). A decision tree, grown on the small labelled table below, keeps a block or drops it.
+so on). A decision tree, grown on the small labelled table below, keeps a block or drops it. Inside an article element
+words alone don't decide, as a short paragraph looks like a notice; lists of links there are dropped by the densities of
+the block and both neighbours. On pages without such an element counts and densities decide.
 
 Defined cases: null, empty and tag-only pages give an empty text; unclosed tags, comments and scripts end with the
 page; a "<" that opens no tag is text; repeated rows get a row each; an empty table gives an empty result; other
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,7 @@ HINTS = set("ad ads adv advert adverts advertisement advertising adsbygoogle ban
 HIDDEN = {"hidden", "is-hidden", "visually-hidden"}
 GOOD_HINTS = set("article post entry story content main body".split())
 
+LINKY = 0.75
 NAMES = ["words", "links", "prev_words", "prev_links", "next_words", "next_links", "heading", "in_main", "has_main", "aside"]
 # The labelled table: the features in the order of NAMES, then 1 for main text and 0 for anything else.
 TABLE = """
@@ -48,6 +52,8 @@ TABLE = """
 4 1 50 0 39 0 0 1 1 0 1
 15 0 1 1 9 0 1 1 1 0 1
 130 0 9 0 2 1 0 1 1 0 1
+3 1 4 1 2 1 0 1 1 0 0
+5 0.8 2 1 6 0.9 0 1 1 0 0
 1 1 1 1 1 1 0 0 1 1 0
 1 1 0 0 1 1 0 0 1 1 0
 14 0 1 1 12 0 0 0 1 1 0
@@ -104,13 +110,17 @@ TABLE = """
 
 def labelled() -> tuple[np.ndarray, np.ndarray]:
     """The table and its variations: where an element tells a block's part, its size and neighbours are any in the
-    table; elsewhere the counts vary by a third."""
+    table, but a block of links among blocks of links is none of the main text even there; elsewhere the counts vary by
+    a third."""
     rows = np.array([[float(v) for v in line.split()] for line in TABLE.strip().splitlines()])
     told = (rows[:, 7] > 0) | (rows[:, 8] > 0) | (rows[:, 9] > 0)
     out = [rows]
-    for r in rows[told]:
+    linky = (rows[:, [1, 3, 5]] >= LINKY).all(axis=1)
+    for r in rows[told & ~linky]:
         more = rows[:, :7].copy()
-        out.append(np.column_stack([more, np.repeat(r[None, 7:], len(more), axis=0)]))
+        told_rows = np.column_stack([more, np.repeat(r[None, 7:], len(more), axis=0)])
+        told_rows[(more[:, [1, 3, 5]] >= LINKY).all(axis=1), -1] = 0
+        out.append(told_rows)
     for k in (0.7, 1.3):
         more = rows[~told].copy()
         more[:, [0, 2, 4]] = np.ceil(more[:, [0, 2, 4]] * k)
@@ -148,7 +158,10 @@ def classify(tree: tuple, x: np.ndarray) -> np.ndarray:
     return out
 
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+# No backtracking and at most 512 runs and quoted values in a tag, so that a page of stray quotes takes linear time; a tag
+# beyond that ends at the next ">".
+TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'){0,512}+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S)
+OPEN_END = re.compile(r"<!.*|<\?.*", re.S)
 ATTR = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 UNSEEN = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
@@ -201,22 +214,25 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
             if in_link:
                 linked += len(" ".join(text.split()))
 
-    at, size = 0, len(page)
+    at, size, last = 0, len(page), page.rfind(">")
+    opened: Counter[str] = Counter()
     while at < size:
-        m = TAG.search(page, at)
+        # behind the last ">" only a comment or a declaration that ends with the page is no text
+        m = TAG.search(page, at) if at <= last else OPEN_END.search(page, at)
         if m is None:
             say(page[at:])
             break
         say(page[at : m.start()])
         at = m.end()
-        name = (m[2] or m[5] or "").lower()
+        name = (m[2] or m[5] or "").lower() if m.re is TAG else ""
         if not name:
             continue
         closing, attrs = bool(m[1] or m[4]), m[3] or m[6] or ""
         if name in RAW and not closing:
             if not attrs.rstrip().endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else size
+                end = re.compile(rf"</{re.escape(name)}\b", re.I).search(page, at)
+                at = page.find(">", end.end()) + 1 if end else 0
+                at = at or size
             if name != "title":
                 parts.append(" ")
             continue
@@ -245,10 +261,12 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
             good = (name in MAIN or hint > 0) and not bad
             has_main |= good
             stack.append((name, int(good), bad))
+            opened[name] += 1
             main, other = main + good, other + bad
-        elif any(s[0] == name for s in stack):
+        elif opened[name]:
             while True:
                 top = stack.pop()
+                opened[top[0]] -= 1
                 main, other = main - top[1], other - top[2]
                 if top[0] == name:
                     break
