@@ -324,13 +324,21 @@ def test_spans(spark, docs, texts):
         assert WORD.findall((r.text or "").translate(LOWER)) == [w for k, x in enumerate(u) if k not in gone[r.doc_id] for w in x]
 
 
-def test_embedding_recall_counts_the_anchors_too():
-    for bound in (0.9, 0.98):
-        half, least = embedding.calibrate(bound)
-        p = math.erf(half / math.sqrt(2 - 2 * bound) / math.sqrt(2))
-        anchors = (1 - p**embedding.ANCHORS) ** embedding.GROUPS
-        count = sum(math.comb(embedding.PROJECTIONS, k) * p**k * (1 - p) ** (embedding.PROJECTIONS - k) for k in range(least))
-        assert least > 0 and anchors + count <= 1e-5
+def test_embedding_recall_of_cells_and_count():
+    """Joint recall of a pair at the bound, by drawing pairs; the number of cells follows the rows, the work doesn't."""
+    half, least = embedding.calibrate(0.98, recall=0.999)
+    rng = np.random.default_rng(0)
+    a, b = rng.normal(size=(2, 20_000, 64))
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    b -= (a * b).sum(axis=1)[:, None] * a
+    b = 0.98 * a + math.sqrt(1 - 0.98**2) * b / np.linalg.norm(b, axis=1)[:, None]
+    size, groups = embedding.grouping(1 << 20, 0.98, half, 0.999)
+    meet = (embedding._keys(a, size, groups, 4 * half) == embedding._keys(b, size, groups, 4 * half)).any(axis=1)
+    d = embedding.directions(64, 24)
+    assert (meet & ((np.abs(a @ d - b @ d) <= half).sum(axis=1) >= least)).mean() >= 0.998
+    far = embedding.shared_cell(4 * half, math.sqrt(2))
+    work = [g * far**k * n for n in (1 << 14, 1 << 20, 1 << 26) for k, g in [embedding.grouping(n, 0.98, half, 0.99999)]]
+    assert work[1] < 0.1 * (1 << 20) and work[2] / work[0] < (1 << 12) ** 0.3
 
 
 def test_spans_find_unaligned_passages(spark, monkeypatch):
