@@ -213,7 +213,7 @@ def test_confluence_all_layers(spark):
     w = spark.createDataFrame([("BTC-USDT-SWAP", "1m", "e", "high", Decimal("100"), T0, "untouched")], "inst_id string, timeframe string, event_id string, wick_type string, price decimal(16,4), created timestamp, status string")
     v = spark.createDataFrame([("BTC-USDT-SWAP", T0, "T4", True)], "inst_id string, ts timestamp, volume_tier string, absorption boolean")
     b = spark.createDataFrame([("BTC-USDT-SWAP", T0, Decimal(100), [Decimal(0)], [Decimal(2_500_000)], [-0.71], [None], [299])], "inst_id string, ts timestamp, mid decimal(16,4), bid_notional array<decimal(30,8)>, ask_notional array<decimal(30,8)>, imbalance array<double>, bid_wall_age array<bigint>, ask_wall_age array<bigint>")
-    c = spark.createDataFrame([("BTC-USDT-SWAP", T0, Decimal(-1))], "inst_id string, ts timestamp, cvd_value decimal(38,8)")
+    c = spark.createDataFrame([("BTC-USDT-SWAP", T0, Decimal(-1))], "inst_id string, ts timestamp, cvd_delta decimal(30,8)")
     p = spark.createDataFrame([("BTC-USDT-SWAP", T0, 100.4)], "inst_id string, ts timestamp, vwap_session double")
     (row,) = confluence.score(w, T0 + timedelta(minutes=9), v, b, c, p).collect()
     assert row.score == 100 and row.signals == ["WICK", "VOL_T4", "ABSORPTION", "WALL_2.5M", "IMB_0.71", "YOUNG_299s", "CVD_ALIGNED", "VWAP_SESSION"] and row.direction == "SHORT"
@@ -257,3 +257,17 @@ def test_manifest(spark):
 
     (m,) = QUERIES["k11_manifest"](spark, SF).collect()
     assert m.seen == m.kept + m.dropped and sum(m.topic_counts.values()) >= m.kept
+
+
+def test_values_before_are_carried_over_days(spark):
+
+    t = lambda h: T0.replace(hour=0) + timedelta(hours=h)
+    rows = [("a", t(1), 5), ("a", t(23), None), ("a", t(30), 7), ("a", t(31), 8), ("a", t(90), 9), ("b", t(2), 1), (None, t(3), 2), (None, t(40), 3)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, v int")
+    got = {(r.k, r.ts): r.b for r in scale.previous(df, ["k"], F.date_trunc("day", "ts"), ["ts"], F.col("v"), "b").collect()}
+    assert len(got) == len(rows) and [got["a", t(h)] for h in (1, 23, 30, 31, 90)] == [None, 5, None, 7, 8]
+    assert got["b", t(2)] is None and [got[None, t(h)] for h in (3, 40)] == [None, 2]
+    turns = bars.delta_turns(df.where("v is not null and k = 'a'").select(F.col("k").alias("inst_id"), F.col("ts").alias("window_start"), (F.col("v") * F.when(F.col("v") == 7, -1).otherwise(1)).alias("cvd_delta")))
+    assert [r.window_start for r in turns.orderBy("window_start").collect()] == [t(30), t(31)]
+    gaps = book.sequence_gaps(spark.createDataFrame([("a", t(1), 5, -1), ("a", t(30), 9, 5), ("a", t(60), 20, 12)], "inst_id string, ts timestamp, seqId long, prevSeqId long"))
+    assert [r.gap_detected for r in gaps.orderBy("ts").collect()] == [False, False, True]

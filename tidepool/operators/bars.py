@@ -5,11 +5,11 @@ Windows without a trade give no bar. Ties in time go by trade_id.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import money, times
-from .scale import running
+from .scale import previous, running
 
 LADDER = ("5m", "15m", "1h", "4h")
 
@@ -83,6 +83,6 @@ def cvd_at_close(minute_cvd: DataFrame, timeframe: str) -> DataFrame:
 
 
 def delta_turns(minute_cvd: DataFrame) -> DataFrame:
-    """Windows whose delta has the opposite sign of the one before."""
-    w = Window.partitionBy("inst_id", times.day(F.col("window_start"))).orderBy("window_start")
-    return minute_cvd.withColumn("before", F.lag("cvd_delta").over(w)).where(F.signum("cvd_delta") * F.signum("before") < 0)
+    """Windows whose delta has the opposite sign of the one before, be it of an earlier day."""
+    rows = previous(minute_cvd, ["inst_id"], times.day(F.col("window_start")), ["window_start"], F.col("cvd_delta"), "before")
+    return rows.where(F.signum("cvd_delta") * F.signum("before") < 0)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import money, times
-from .scale import running
+from .scale import previous, running
 
 BANDS = (10, 25, 50, 100, 200, 500)
 WALLS = {"BTC-USDT-SWAP": 300_000, "ETH-USDT-SWAP": 150_000}
@@ -119,9 +119,9 @@ def walls(long_rows: DataFrame, thresholds: dict[str, float] | None = None, rest
 
 
 def sequence_gaps(snapshots: DataFrame) -> DataFrame:
-    """Snapshots whose prevSeqId isn't the sequence number before them on their day."""
-    w = Window.partitionBy("inst_id", times.day(F.col("ts"))).orderBy("ts", "seqId")
-    return snapshots.withColumn("_before", F.lag("seqId").over(w)).withColumn("gap_detected", F.coalesce(F.col("_before") != F.col("prevSeqId"), F.lit(False))).drop("_before")
+    """Snapshots whose prevSeqId isn't the sequence number before them; a series' first one has no gap."""
+    rows = previous(snapshots, ["inst_id"], times.day(F.col("ts")), ["ts", "seqId"], F.col("seqId"), "_before")
+    return rows.withColumn("gap_detected", F.coalesce(F.col("_before") != F.col("prevSeqId"), F.lit(False))).drop("_before")
 
 
 def depth_weighted(bucket_rows: DataFrame, bands=BANDS) -> DataFrame:

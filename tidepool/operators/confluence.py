@@ -28,12 +28,12 @@ def score(wicks: DataFrame, as_of, volume: DataFrame | None = None, book: DataFr
     entry_price and age_minutes; only scores of at least ``least``, highest first. A missing stream gives no points.
 
     volume: ts, volume_tier, absorption. book: ts, mid, bid_notional, ask_notional, imbalance, and bid_wall_age,
-    ask_wall_age (arrays by band). cvd: ts, cvd_value. vwap: ts, vwap_session."""
+    ask_wall_age (arrays by band). cvd: ts, cvd_delta (the sign of the last window counts). vwap: ts, vwap_session."""
     when = F.lit(as_of).cast("timestamp")
     rows = wicks.where("status = 'untouched'").withColumn("age_minutes", times.age_minutes(when, F.col("created")))
     rows = rows.where((F.col("created") <= when) & (times.micros(F.col("created")) >= F.unix_micros(when) - max_age_minutes * 60_000_000))
-    nothing = {"volume_tier": "string", "absorption": "boolean", "mid": "decimal(16,4)", "bid_notional": "array<decimal(30,8)>", "ask_notional": "array<decimal(30,8)>", "imbalance": "array<double>", "bid_wall_age": "array<bigint>", "ask_wall_age": "array<bigint>", "cvd_value": "decimal(38,8)", "vwap_session": "double"}
-    for df, names in ((volume, ("volume_tier", "absorption")), (book, ("mid", "bid_notional", "ask_notional", "imbalance", "bid_wall_age", "ask_wall_age")), (cvd, ("cvd_value",)), (vwap, ("vwap_session",))):
+    nothing = {"volume_tier": "string", "absorption": "boolean", "mid": "decimal(16,4)", "bid_notional": "array<decimal(30,8)>", "ask_notional": "array<decimal(30,8)>", "imbalance": "array<double>", "bid_wall_age": "array<bigint>", "ask_wall_age": "array<bigint>", "cvd_delta": "decimal(30,8)", "vwap_session": "double"}
+    for df, names in ((volume, ("volume_tier", "absorption")), (book, ("mid", "bid_notional", "ask_notional", "imbalance", "bid_wall_age", "ask_wall_age")), (cvd, ("cvd_delta",)), (vwap, ("vwap_session",))):
         if df is None:
             rows = rows.withColumns({n: F.lit(None).cast(nothing[n]) for n in names})
             continue
@@ -52,7 +52,7 @@ def score(wicks: DataFrame, as_of, volume: DataFrame | None = None, book: DataFr
         (F.col("wall_notional") > F.lit(wall).cast("decimal(20,2)"), "wall", F.concat(F.lit("WALL_"), F.format_string("%.1f", million), F.lit("M"))),
         (F.col("skew") > imbalance, "imbalance", F.concat(F.lit("IMB_"), F.format_string("%.2f", F.col("skew")))),
         ((F.col("wall_age") > 0) & (F.col("wall_age") < young_s), "young", F.concat(F.lit("YOUNG_"), F.col("wall_age").cast("string"), F.lit("s"))),
-        (F.when(up, F.col("cvd_value") < 0).otherwise(F.col("cvd_value") > 0), "cvd", F.lit("CVD_ALIGNED")),
+        (F.when(up, F.col("cvd_delta") < 0).otherwise(F.col("cvd_delta") > 0), "cvd", F.lit("CVD_ALIGNED")),
         (near_price(F.col("price"), F.col("vwap_session"), vwap_pct), "vwap", F.lit("VWAP_SESSION")),
     ]
     total = sum((F.when(F.coalesce(on, F.lit(False)), POINTS[k]).otherwise(0) for on, k, _ in layers), F.lit(0))

@@ -26,6 +26,16 @@ def running(df: DataFrame, keys: list[str], grain: str, order: list, sums: dict[
     return rows.select(*df.columns, *[c.alias(n) for n, c in out.items()])
 
 
+def previous(df: DataFrame, keys: list[str], grain: Column, order: list[str], value: Column, name: str) -> DataFrame:
+    """``df`` with ``value`` of the row before, by (grain, order) within the keys; null for a key's first row."""
+    rows = df.withColumns({"_grain": grain, "_value": F.struct(value.alias("v"))})
+    last = rows.groupBy(*keys, "_grain").agg(F.max_by("_value", F.struct(*order)).alias("_last"))
+    carry = last.select(*keys, "_grain", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_grain")).alias("_carry"))
+    rows = rows.withColumn("_in", F.lag("_value").over(Window.partitionBy(*keys, "_grain").orderBy(*order)))
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in (*keys, "_grain")]
+    return rows.alias("r").join(carry.alias("c"), same, "left").select(*[F.col(f"r.{c}") for c in df.columns], F.coalesce("r._in", "c._carry")["v"].alias(name))
+
+
 def in_blocks(df: DataFrame, keys: list[str], place: str, block: int, before: int, after: int = 0) -> DataFrame:
     """``df`` dealt to blocks of the long column ``place``, with the rows up to ``before`` below and ``after`` above
     each block copied into it; ``_block`` and ``_own`` (False for copies) are added. ``before``, ``after`` <= ``block``."""

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import money, times
-from .scale import running
+from .scale import previous, running
 
 LAST_ID = 9_223_372_036_854_775_807
 
@@ -56,8 +56,8 @@ def vwap(trades: DataFrame, windows: dict[str, int] | None = None, anchor=None)
 
 
 def deviation(prices: DataFrame, value: str = "vwap_session") -> DataFrame:
-    """Distance of close from a VWAP in basis points, and whether it changed sides since the row before on that day."""
-    w = Window.partitionBy("inst_id", times.day(F.col("window_start"))).orderBy("window_start")
+    """Distance of close from a VWAP in basis points, and whether it changed sides since the row before."""
     side = F.signum(F.col("close").cast("double") - F.col(value))
     out = prices.withColumn("deviation_bps", F.round(F.try_divide(F.col("close").cast("double") - F.col(value), F.col(value)) * 10_000, 4)).withColumn("side_of", side)
-    return out.withColumn("crossed", F.coalesce(F.lag("side_of").over(w) * F.col("side_of") < 0, F.lit(False))).drop("side_of")
+    out = previous(out, ["inst_id"], times.day(F.col("window_start")), ["window_start"], F.col("side_of"), "side_before")
+    return out.withColumn("crossed", F.coalesce(F.col("side_before") * F.col("side_of") < 0, F.lit(False))).drop("side_of", "side_before")

@@ -91,7 +91,7 @@ def _(spark, sf):
     return naive(rows.select("inst_id", "window_start", plain(F.col("cvd_value")).alias("cvd_value"), plain(F.col("cvd_delta")).alias("cvd_delta")))
 
 
-@query("c7_delta_turns", f"WITH {twins.CVD}, x AS (SELECT inst_id, window_start, d, lag(d) OVER (PARTITION BY inst_id, date_trunc('day', window_start) ORDER BY window_start) AS b FROM cvd) SELECT inst_id, window_start, {twins.MONEY('d')} AS cvd_delta FROM x WHERE sign(d) * sign(b) < 0")
+@query("c7_delta_turns", f"WITH {twins.CVD}, x AS (SELECT inst_id, window_start, d, lag(d) OVER (PARTITION BY inst_id ORDER BY window_start) AS b FROM cvd) SELECT inst_id, window_start, {twins.MONEY('d')} AS cvd_delta FROM x WHERE sign(d) * sign(b) < 0")
 def _(spark, sf):
     return naive(bars.delta_turns(bars.cvd(adapters.trades(spark, sf))).select("inst_id", "window_start", plain(F.col("cvd_delta")).alias("cvd_delta")))
 
@@ -104,7 +104,7 @@ def _(spark, sf):
 @query("c6_vwap_deviation", f"""WITH {twins.TRADES}, w AS (SELECT inst_id, ts, date_trunc('minute', ts) AS window_start, round(CAST(sum(pv) OVER s AS DOUBLE) / CAST(sum(n) OVER s AS DOUBLE), 6) AS v, row_number() OVER (PARTITION BY inst_id, date_trunc('minute', ts) ORDER BY ts) AS rn,
   CAST(last(price) OVER (PARTITION BY inst_id, date_trunc('minute', ts) ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS DOUBLE) AS close FROM t WINDOW s AS (PARTITION BY inst_id, date_trunc('day', ts) ORDER BY ts)),
   k AS (SELECT *, sign(close - v) AS side FROM w WHERE rn = 1)
-  SELECT inst_id, window_start, round((close - v) / v * 10000, 4) AS deviation_bps, coalesce(lag(side) OVER (PARTITION BY inst_id, date_trunc('day', window_start) ORDER BY window_start) * side < 0, false) AS crossed FROM k""")
+  SELECT inst_id, window_start, round((close - v) / v * 10000, 4) AS deviation_bps, coalesce(lag(side) OVER (PARTITION BY inst_id ORDER BY window_start) * side < 0, false) AS crossed FROM k""")
 def _(spark, sf):
     t = adapters.trades(spark, sf)
     rows = bars.candles(t, "1m").select("inst_id", "window_start", "close").join(vwap.vwap(t, windows={"1h": 3600}), ["inst_id", "window_start"])
@@ -192,7 +192,7 @@ def _(spark, sf):
     return naive(double(rows, "notional", "base"))
 
 
-@query("t11_sequence_gaps", "SELECT inst_id, ts, s IS DISTINCT FROM seq - 4 AND s IS NOT NULL AS gap_detected FROM (SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'BTC-USDT-SWAP' ELSE 'ETH-USDT-SWAP' END AS inst_id, TIMESTAMP '2024-01-01' + o_orderkey * INTERVAL 2 SECOND AS ts, o_orderkey AS seq, lag(o_orderkey) OVER (PARTITION BY o_orderkey % 2, date_trunc('day', TIMESTAMP '2024-01-01' + o_orderkey * INTERVAL 2 SECOND) ORDER BY o_orderkey) AS s FROM orders)")
+@query("t11_sequence_gaps", "SELECT inst_id, ts, s IS DISTINCT FROM seq - 4 AND s IS NOT NULL AS gap_detected FROM (SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'BTC-USDT-SWAP' ELSE 'ETH-USDT-SWAP' END AS inst_id, TIMESTAMP '2024-01-01' + o_orderkey * INTERVAL 2 SECOND AS ts, o_orderkey AS seq, lag(o_orderkey) OVER (PARTITION BY o_orderkey % 2 ORDER BY o_orderkey) AS s FROM orders)")
 def _(spark, sf):
     rows = adapters.book(spark, sf).select("inst_id", "ts", F.col("seq").alias("seqId"), (F.col("seq") - 4).alias("prevSeqId"))
     return naive(book.sequence_gaps(rows).select("inst_id", "ts", "gap_detected"))

@@ -107,7 +107,7 @@ SELECT inst_id, ts, CASE WHEN a + b = 0 THEN 0.0 ELSE round((b - a) / (b + a), 6
 AS_OF = "TIMESTAMP '2024-01-30 00:00:00'"
 CONFLUENCE = f"""WITH {STATES_CTE}, {SIGNALS_CTE.replace(TRADES + ", ", "", 1)}, {CVD.replace(TRADES + ", ", "", 1)}, {book(300)},
 lv1 AS (SELECT inst_id, arg_max(volume_tier, window_start) AS volume_tier, arg_max(absorption, window_start) AS absorption FROM signals WHERE window_start <= {AS_OF} GROUP BY 1),
-lc AS (SELECT inst_id, arg_max(v, window_start) AS cvd_value FROM cvd WHERE window_start <= {AS_OF} GROUP BY 1),
+lc AS (SELECT inst_id, arg_max(d, window_start) AS cvd_delta FROM cvd WHERE window_start <= {AS_OF} GROUP BY 1),
 lb AS (SELECT inst_id, side, band, arg_max(n, ts) AS n100 FROM bands GROUP BY ALL),
 im AS (SELECT inst_id, band, CAST(sum(n100) FILTER (side = 'bid') AS DOUBLE) AS b, CAST(sum(n100) FILTER (side = 'ask') AS DOUBLE) AS a FROM lb GROUP BY ALL),
 vs AS (SELECT inst_id, arg_max(v, window_start) AS vw FROM (SELECT inst_id, date_trunc('minute', ts) AS window_start, row_number() OVER (PARTITION BY inst_id, date_trunc('minute', ts) ORDER BY ts) AS rn,
@@ -115,7 +115,7 @@ vs AS (SELECT inst_id, arg_max(v, window_start) AS vw FROM (SELECT inst_id, date
 u AS (SELECT st.*, CASE WHEN abs(price - 300) * 10000 <= 3000 THEN 0 WHEN abs(price - 300) * 10000 <= 7500 THEN 1 WHEN abs(price - 300) * 10000 <= 15000 THEN 2 WHEN abs(price - 300) * 10000 <= 30000 THEN 3 WHEN abs(price - 300) * 10000 <= 60000 THEN 4 WHEN abs(price - 300) * 10000 <= 150000 THEN 5 END AS band
   FROM states st WHERE status = 'untouched' AND created <= {AS_OF} AND created >= {AS_OF} - INTERVAL 20000 MINUTE),
 r AS (SELECT u.inst_id, u.event_id, u.wick_type, u.price, 20 + CASE WHEN volume_tier = 'T4' THEN 15 ELSE 0 END + CASE WHEN absorption THEN 15 ELSE 0 END + CASE WHEN lb.n100 > 50 THEN 15 ELSE 0 END
-  + CASE WHEN im.a + im.b > 0 AND abs(round_even(round((im.b - im.a) / (im.b + im.a) * 100, 8), 0) / 100) > 0.7 THEN 10 ELSE 0 END + CASE WHEN (u.wick_type = 'high' AND cvd_value < 0) OR (u.wick_type = 'low' AND cvd_value > 0) THEN 10 ELSE 0 END
+  + CASE WHEN im.a + im.b > 0 AND abs(round_even(round((im.b - im.a) / (im.b + im.a) * 100, 8), 0) / 100) > 0.7 THEN 10 ELSE 0 END + CASE WHEN (u.wick_type = 'high' AND cvd_delta < 0) OR (u.wick_type = 'low' AND cvd_delta > 0) THEN 10 ELSE 0 END
   + CASE WHEN abs(CAST(u.price AS DOUBLE) - vw) <= vw * 0.5 / 100 THEN 5 ELSE 0 END AS score
   FROM u LEFT JOIN lv1 USING (inst_id) LEFT JOIN lc USING (inst_id) LEFT JOIN vs USING (inst_id) LEFT JOIN im ON im.inst_id = u.inst_id AND im.band = u.band
   LEFT JOIN lb ON lb.inst_id = u.inst_id AND lb.band = u.band AND lb.side = CASE u.wick_type WHEN 'high' THEN 'ask' ELSE 'bid' END)
