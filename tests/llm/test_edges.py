@@ -93,3 +93,18 @@ def test_ngram_join_repeated_ids_with_other_texts(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in ngram_join.ngram_join(docs, 4, 85).collect())
     assert got == [(0, 98, 1), (1, 97, 1), (1, 97, 1), (2, 98, 1), (5, 99, 1), (7, 0, 1), (7, 97, 1), (9, 98, 1)]
+
+
+def test_hot_spans_and_missing_ids(spark, monkeypatch):
+    """A passage in all documents, one of them without an id, gives the same rows salted or not; large ids keep their digits."""
+    line = "one two three four five six seven eight nine ten eleven twelve thirteen. "
+    big = 2**53 + 1
+    rows = [(None, line * 2 + "nobody has this id.")] + [(big + i, f"own words {i} here. " + line * 2) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    seen = []
+    for least in (0, 10**9):
+        monkeypatch.setattr(spans, "HOT_ROWS", least)
+        seen.append({r.doc_id: (r.text, r.n_removed > 0) for r in spans.dedup_spans(df).collect()})
+    assert seen[0] == seen[1]
+    assert seen[0][None] == (rows[0][1], False)
+    assert all(seen[0][big + i][1] and seen[0][big + i][0].startswith(f"own words {i} ") and "seven" not in seen[0][big + i][0] for i in range(50))

@@ -15,11 +15,13 @@ missed unless it starts and ends where sentences do.
 
 Flow: one pass counts span hashes (map-side combined); a second keeps (hash, doc_id, place) of those that occur twice or
 more; their first places are joined to them to flag the others; the flags of a document meet its text in one more join.
+Hashes that hold more than one in ``HOT_SHARE`` of these rows (so there are fewer of them than that) are salted in the
+first of these joins and broadcast in the second, so that a passage in a third of all documents isn't one task's work.
 A span recomputed from the text must have the flagged hash, so rows that share a doc_id never get each other's cuts.
 
 Defined cases: null or empty text has no sentence and comes back as it is; texts with fewer than ``min_words`` words
-have no span; rows with the same doc_id and text count as one occurrence and are treated alike; an empty table gives
-an empty result; other columns are ignored by :func:`dedup_spans` and kept by :func:`without_repeats`.
+have no span; rows with the same doc_id and text count as one occurrence and are treated alike; rows without a doc_id
+come first, so they lose no span and others lose those they share with them; an empty table gives an empty result; other columns are ignored by :func:`dedup_spans` and kept by :func:`without_repeats`.
 """
 
 from __future__ import annotations
@@ -34,6 +36,8 @@ from .scratch import cut
 
 MIN_WORDS, MIN_SENTENCES, CLAUSE = 25, 2, 8
 GAP = 8
+#: A hash with more than HOT_ROWS and more than one in HOT_SHARE of all repeated spans is dealt over SALTS tasks.
+HOT_SHARE, HOT_ROWS, SALTS = 4096, 4096, 64
 
 
 def least_of_any(h: np.ndarray, doc: np.ndarray, gap: int) -> np.ndarray:
@@ -102,8 +106,8 @@ def _emit(*shape):
     def run(batches):
         for b in flat.slices(batches):
             (doc, place, _, h), *_ = spans(b.column("text"), *shape)
-            ids = b.column("doc_id").to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[doc].astype(np.int64)), pa.array(place.astype(np.int32))], schema=schema)
+            ids = b.column("doc_id").take(pa.array(doc, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), ids, pa.array(place.astype(np.int32))], schema=schema)
 
     return run
 
@@ -146,10 +150,17 @@ def _remove(*shape):
 def repeated_places(docs: DataFrame, *shape) -> DataFrame:
     """(doc_id, place, hash) of every span that isn't the first of its kind."""
     found = docs.select("doc_id", "text").mapInArrow(_emit(*shape), "hash long, doc_id long, place int")
-    often = cut(found.groupBy("hash").count().where("count > 1").select("hash"), "often")
-    again = cut(found.join(often, "hash", "left_semi"), "again")
-    first = again.groupBy("hash").agg(F.min(F.struct("doc_id", "place")).alias("first"))
-    return again.join(first, "hash").where(F.struct("doc_id", "place") > F.col("first")).select("doc_id", "place", "hash").distinct()
+    often = cut(found.groupBy("hash").count().where("count > 1"), "often")
+    total = often.agg(F.sum("count")).first()[0] or 0
+    hot = F.broadcast(often.where((F.col("count") > HOT_ROWS) & (F.col("count") * HOT_SHARE > total)).select("hash", F.lit(True).alias("hot")))  # fewer than HOT_SHARE rows
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "place"), F.lit(SALTS)).cast("int")).otherwise(0)
+    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    keys = often.join(hot, "hash", "left").select("hash", F.explode(salts).alias("salt"))
+    dealt = found.join(hot, "hash", "left").select("hash", "doc_id", "place", salt.alias("salt"))
+    again = cut(dealt.join(keys, ["hash", "salt"], "left_semi").drop("salt"), "again")
+    first = cut(again.groupBy("hash").agg(F.min(F.struct("doc_id", "place")).alias("first")), "first")
+    firsts = again.join(F.broadcast(first.join(hot, "hash", "left_semi")), "hash").unionByName(again.join(hot, "hash", "left_anti").join(first, "hash"))
+    return firsts.where(F.struct("doc_id", "place") > F.col("first")).select("doc_id", "place", "hash").distinct()
 
 
 def dedup_spans(docs: DataFrame, min_words: int = MIN_WORDS, min_sentences: int = MIN_SENTENCES, clause: int = CLAUSE, gap: int = 0) -> DataFrame:
