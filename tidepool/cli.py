@@ -1,8 +1,16 @@
 """Command line: run a registered query over a folder of tables, or a market job over JSON lines.
 
     python -m tidepool.cli query a1_candles_1h --data DIR [--out PATH]
-    python -m tidepool.cli candles --trades PATH --out PATH [--timeframe 1h] [--inst BTC-USDT-SWAP]
+    python -m tidepool.cli candles --trades PATH --out PATH [--timeframe 1h] [--inst BTC-USDT-SWAP] [--spot]
+    python -m tidepool.cli wicks --trades PATH --contracts PATH --out PATH
+    python -m tidepool.cli hidden --trades PATH --as-of TS [--age-min 20] [--age-max 40] [--min-touched 10]
+    python -m tidepool.cli buckets --book PATH --contracts PATH --out PATH [--as-of TS --since 240m]
+    python -m tidepool.cli confluence --trades PATH --book PATH --contracts PATH --as-of TS [--out PATH]
+    python -m tidepool.cli dashboard --trades PATH --book PATH --contracts PATH --as-of TS
     python -m tidepool.cli tag --input PATH --out PATH [--max-chars 200000]
+
+Jobs of minute rows append only new keys, so a second run adds nothing; the others replace their table or, without
+``--out``, show it. ``--since`` (90s, 240m, 24h, 7d) keeps input of that span before ``--as-of``.
 """
 
 from __future__ import annotations
@@ -12,55 +20,118 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import bars, keyed, topics, vwap
+from .operators import bars, book, confluence, health, keyed, topics, volume, vwap, wicks
 from .sources import market, schemas, sinks
 
+MINUTE_JOBS = ("candles", "cvd", "vwap", "volume")
+STATE_JOBS = ("wicks", "hidden", "buckets", "confluence", "dashboard")
 
-def trades_of(spark: SparkSession, path: str, inst: list[str] | None) -> DataFrame:
-    good, _ = market.split_valid(market.canonical_perps(market.read_lines(spark, path, schemas.TRADES_PERPS)), inst)
-    return keyed.unique_trades(good)
 
+def recent(df: DataFrame, a: argparse.Namespace) -> DataFrame:
+    if a.since and not a.as_of:
+        raise SystemExit("--since needs --as-of")
+    return market.since(df, "ts", a.as_of, a.since) if a.since else df
 
-def main(argv: list[str] | None = None) -> None:
+
+def trades_of(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    raw = market.read_lines(spark, a.trades, schemas.TRADES_SPOT if a.spot else schemas.TRADES_PERPS)
+    good, _ = market.split_valid((market.canonical_spot if a.spot else market.canonical_perps)(raw), a.inst)
+    return recent(keyed.unique_trades(good), a)
+
+
+def buckets_of(spark: SparkSession, a: argparse.Namespace, meta: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Bucket rows and their walls."""
+    snapshots = keyed.unique_snapshots(market.book_snapshots(market.read_lines(spark, a.book, schemas.BOOK)), ["seqId"])
+    rows = book.buckets(recent(snapshots, a), meta)
+    return rows, book.walls(book.by_band(rows))
+
+
+def states_of(trades: DataFrame, meta: DataFrame | None) -> DataFrame:
+    ladder = bars.all_timeframes(bars.candles(trades, "1m"))
+    return wicks.lifecycle(wicks.detect(ladder), ladder, meta)
+
+
+def with_wall_ages(rows: DataFrame, walls: DataFrame) -> DataFrame:
+    """Bucket rows with arrays bid_wall_age and ask_wall_age by band."""
+    ages = lambda s: F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == s, F.struct("band", "wall_age")))), lambda x: x["wall_age"])
+    return rows.join(walls.groupBy("inst_id", "ts").agg(*[ages(s).alias(f"{s}_wall_age") for s in ("bid", "ask")]), ["inst_id", "ts"], "left")
+
+
+def state_job(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    meta = market.contracts(spark.read.schema(schemas.INSTRUMENTS).option("recursiveFileLookup", "true").option("multiLine", "true").json(a.contracts)) if a.contracts else None
+    if a.job == "buckets":
+        return buckets_of(spark, a, meta)[0]
+    trades = trades_of(spark, a)
+    states = states_of(trades, meta)
+    if a.job == "wicks":
+        return states
+    if a.job == "hidden":
+        return wicks.hidden(states.where(F.col("timeframe") == a.timeframe), a.as_of, a.age_min, a.age_max, a.min_touched)
+    signals, flow, prices = volume.signals(bars.volume_bars(trades)), bars.cvd(trades), vwap.vwap(trades)
+    rows, walls = buckets_of(spark, a, meta)
+    if a.job == "dashboard":
+        return health.five_components(a.as_of, meta, states, signals, walls, flow, prices)
+    timed = lambda df: df.withColumnRenamed("window_start", "ts")
+    return confluence.score(states, a.as_of, timed(signals), with_wall_ages(rows, walls), timed(flow), timed(prices))
+
+
+def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tidepool")
     sub = p.add_subparsers(dest="job", required=True)
     q = sub.add_parser("query")
     q.add_argument("name")
     q.add_argument("--data", required=True)
     q.add_argument("--out")
-    for job in ("candles", "cvd", "vwap", "volume"):
+    for job in (*MINUTE_JOBS, *STATE_JOBS):
         j = sub.add_parser(job)
-        j.add_argument("--trades", required=True)
-        j.add_argument("--out", required=True)
+        j.add_argument("--trades", required=job != "buckets")
+        j.add_argument("--out", required=job in MINUTE_JOBS)
         j.add_argument("--inst", action="append")
         j.add_argument("--timeframe", default="1m")
-        j.add_argument("--anchor")
+        j.add_argument("--spot", action="store_true")
+        j.add_argument("--as-of", required=job in ("hidden", "confluence", "dashboard"))
+        j.add_argument("--since")
+        if job in MINUTE_JOBS:
+            j.add_argument("--anchor")
+        else:
+            j.add_argument("--contracts", required=job in ("buckets", "confluence", "dashboard"))
+            j.add_argument("--book", required=job in ("buckets", "confluence", "dashboard"))
+        if job == "hidden":
+            for name, value in (("--age-min", 20), ("--age-max", 40), ("--min-touched", 10)):
+                j.add_argument(name, type=int, default=value)
     t = sub.add_parser("tag")
     t.add_argument("--input", required=True)
     t.add_argument("--out", required=True)
     t.add_argument("--max-chars", type=int, default=200_000)
-    a = p.parse_args(argv)
-    spark = SparkSession.builder.appName("tidepool").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    if a.job == "query":
-        from .plans.catalog import QUERIES
+    return p
 
-        df = QUERIES[a.name](spark, a.data)
-        sinks.snapshot(df, a.out) if a.out else df.show(50, truncate=False)
-        return
+
+def main(argv: list[str] | None = None) -> None:
+    a = parser().parse_args(argv)
+    spark = SparkSession.builder.appName("tidepool").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if a.job == "tag":
         records = topics.with_ids(topics.messages(topics.read_corpus(spark, a.input)))
-        kept = topics.chunked(topics.tag(records), ["source_file", "message_index"], a.max_chars)
-        sinks.chunks(kept, f"{a.out}/chunks")
+        kept = topics.chunked(topics.tag(records), ["message_index"], a.max_chars, series=F.col("source_file"))
+        sinks.chunks(topics.numbered(kept).drop("chunk_id").withColumnRenamed("chunk_no", "chunk_id"), f"{a.out}/chunks")
         sinks.snapshot(topics.manifest(records, kept), f"{a.out}/manifest", "json")
         return
-    trades = trades_of(spark, a.trades, a.inst)
-    out = {
-        "candles": lambda: bars.candles(trades, a.timeframe),
-        "cvd": lambda: bars.cvd(trades, a.timeframe),
-        "volume": lambda: bars.volume_bars(trades, a.timeframe),
-        "vwap": lambda: vwap.vwap(trades, anchor=a.anchor),
-    }[a.job]()
-    sinks.append_new(out.withColumn("date", F.to_date("window_start")), a.out, ["inst_id", "window_start"])
+    if a.job in MINUTE_JOBS:
+        trades = trades_of(spark, a)
+        out = {
+            "candles": lambda: bars.candles(trades, a.timeframe),
+            "cvd": lambda: bars.cvd(trades, a.timeframe),
+            "volume": lambda: bars.volume_bars(trades, a.timeframe),
+            "vwap": lambda: vwap.vwap(trades, anchor=a.anchor),
+        }[a.job]()
+        sinks.append_new(out.withColumn("date", F.to_date("window_start")), a.out, ["inst_id", "window_start"])
+        return
+    if a.job == "query":
+        from .plans.catalog import QUERIES
+
+        df = QUERIES[a.name](spark, a.data)
+    else:
+        df = state_job(spark, a)
+    sinks.snapshot(df, a.out) if a.out else df.show(50, truncate=False)
 
 
 if __name__ == "__main__":

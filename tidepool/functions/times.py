@@ -29,3 +29,14 @@ def shifted(ts: Column, us: int) -> Column:
 def age_minutes(later: Column, earlier: Column) -> Column:
     """Whole minutes between two instants, towards zero."""
     return ((micros(later) - micros(earlier)) / 60_000_000).cast("long")
+
+
+UNITS = {"s": 1_000_000, "m": MICROS["1m"], "h": MICROS["1h"], "d": MICROS["1d"]}
+
+
+def duration(text: str) -> int:
+    """Microseconds of a duration such as 90s, 240m, 24h or 7d."""
+    number, unit = text.strip()[:-1], text.strip()[-1:]
+    if unit not in UNITS or not number.isdigit():
+        raise ValueError(f"no duration: {text!r}; use 90s, 240m, 24h or 7d")
+    return int(number) * UNITS[unit]

@@ -86,3 +86,20 @@ def delta_turns(minute_cvd: DataFrame) -> DataFrame:
     """Windows whose delta has the opposite sign of the one before, be it of an earlier day."""
     rows = previous(minute_cvd, ["inst_id"], times.day(F.col("window_start")), ["window_start"], F.col("cvd_delta"), "before")
     return rows.where(F.signum("cvd_delta") * F.signum("before") < 0)
+
+
+def divergences(candles: DataFrame, flow: DataFrame, flat_pct: float = 0.1) -> DataFrame:
+    """Windows whose price and flow disagree: inst_id, window_start, pattern, direction. ``flow`` has cvd_value and
+    cvd_delta of the same windows.
+
+    absorption: the running delta fell below that of the window before, yet the low held within ``flat_pct`` percent.
+    exhaustion: a higher high than the window before on a lower running delta. delta_turn: a falling window that was
+    bought on balance, or a rising one that was sold."""
+    rows = candles.select("inst_id", "window_start", "open", "high", "low", "close").join(flow.select("inst_id", "window_start", "cvd_value", "cvd_delta"), ["inst_id", "window_start"])
+    rows = previous(rows, ["inst_id"], times.day(F.col("window_start")), ["window_start"], F.struct("high", "low", "cvd_value"), "before")
+    b, weaker = F.col("before"), F.col("cvd_value") < F.col("before.cvd_value")
+    held = F.col("low") * 100 >= b["low"] * F.lit(100 - flat_pct).cast("decimal(8,4)")
+    against = F.signum((F.col("close") - F.col("open")).cast("double")) * F.signum(F.col("cvd_delta").cast("double")) < 0
+    named = lambda on, pattern, direction: F.when(on, F.struct(F.lit(pattern).alias("pattern"), direction.alias("direction")))
+    found = F.array_compact(F.array(named(weaker & held, "absorption", F.lit("BULLISH")), named(weaker & (F.col("high") > b["high"]), "exhaustion", F.lit("BEARISH")), named(against, "delta_turn", F.when(F.col("cvd_delta") > 0, "BEARISH").otherwise("BULLISH"))))
+    return rows.select("inst_id", "window_start", F.explode(found).alias("p")).select("inst_id", "window_start", "p.*")

@@ -129,3 +129,15 @@ def depth_weighted(bucket_rows: DataFrame, bands=BANDS) -> DataFrame:
     total = lambda c: sum((F.get(F.col(c), F.lit(i)).cast("double") / b for i, b in enumerate(bands)), F.lit(0.0))
     b, a = total("bid_notional"), total("ask_notional")
     return bucket_rows.withColumn("depth_obi", F.round(F.coalesce(F.try_divide(b - a, b + a), F.lit(0.0)), 6))
+
+
+def order_flow(bucket_rows: DataFrame) -> DataFrame:
+    """Order-flow imbalance of the best levels against the snapshot before (0 for an instrument's first): size that came
+    at the same or a better price less size that went, bids less asks."""
+    best = F.struct("best_bid", "best_bid_qty", "best_ask", "best_ask_qty")
+    rows = previous(bucket_rows, ["inst_id"], times.day(F.col("ts")), ["ts"], best, "_before")
+    b = F.col("_before")
+    size = lambda on, q: F.when(on, q.cast("decimal(24,4)")).otherwise(F.lit(0).cast("decimal(24,4)"))
+    bids = size(F.col("best_bid") >= b["best_bid"], F.col("best_bid_qty")) - size(F.col("best_bid") <= b["best_bid"], b["best_bid_qty"])
+    asks = size(F.col("best_ask") <= b["best_ask"], F.col("best_ask_qty")) - size(F.col("best_ask") >= b["best_ask"], b["best_ask_qty"])
+    return rows.withColumn("ofi", F.when(b.isNull(), F.lit(0).cast("decimal(26,4)")).otherwise(bids - asks)).drop("_before")

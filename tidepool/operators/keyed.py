@@ -22,3 +22,8 @@ def unique_trades(trades: DataFrame) -> DataFrame:
 def unseen(df: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key isn't in ``existing``."""
     return df.join(existing.select(*keys), keys, "left_anti")
+
+
+def unique_snapshots(snapshots: DataFrame, order: list[str]) -> DataFrame:
+    """One book snapshot per instrument and time: the first in ``order``."""
+    return first_of(snapshots, ["inst_id", "ts"], order)

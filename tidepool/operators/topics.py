@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.strings import stable_id, strip_markup, topic_pattern
+from .scale import running
 
 TOPICS = {"motion": ["the", "over", "with"], "travel": ["la", "de", "city trip"], "work": ["is", "project plan", "task"], "home": ["der", "die", "house"]}
 EXTENSIONS = ("json", "jsonl", "txt", "md", "html", "htm")
@@ -22,11 +23,12 @@ MARKERS = "User|Assistant|Human|AI|System|You|Me"
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """Whole files below ``path`` of the known extensions: source_file, detected_format, content."""
+    """Whole files below ``path`` of the known extensions: source_file, detected_format, content. Bytes that aren't UTF-8
+    become replacement characters."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     ext = F.lower(F.regexp_extract("path", r"\.([A-Za-z]+)$", 1))
     kind = F.when(ext == "json", "json").when(ext == "jsonl", "jsonl").when(ext.isin("html", "htm"), "html").otherwise("plaintext")
-    return files.where(ext.isin(*EXTENSIONS)).select(F.col("path").alias("source_file"), kind.alias("detected_format"), F.decode("content", "UTF-8").alias("content"))
+    return files.where(ext.isin(*EXTENSIONS)).select(F.col("path").alias("source_file"), kind.alias("detected_format"), F.make_valid_utf8(F.col("content").cast("string")).alias("content"))
 
 
 def _field(v: Column, names) -> Column:
@@ -136,6 +138,14 @@ def chunked(records: DataFrame, order: list[str], max_chars: int, series: Column
     return sized.join(got, ["series", "place"])
 
 
+def numbered(chunks: DataFrame, by: str = "series") -> DataFrame:
+    """``chunks`` filled within series, with ``chunk_no`` that counts on from series to series, in order of their MD5, so
+    that names with a common beginning are still dealt evenly."""
+    per = chunks.groupBy(by).agg(F.max("chunk_id").cast("long").alias("_n")).withColumn("_key", F.md5(F.col(by).cast("binary")))
+    ordered = running(per.withColumn("_grain", F.left("_key", F.lit(3))), [], "_grain", ["_key"], {"_upto": F.col("_n")})
+    return chunks.join(ordered.select(by, (F.col("_upto") - F.col("_n")).alias("_before")), by).withColumn("chunk_no", F.col("_before") + F.col("chunk_id")).drop("_before")
+
+
 def manifest(records: DataFrame, kept: DataFrame) -> DataFrame:
     """One row: files, kept and dropped records, topic counts, chunks."""
     counts = histogram(kept).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("topic", "n")))).alias("topic_counts"))

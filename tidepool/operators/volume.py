@@ -33,8 +33,8 @@ def signals(bars: DataFrame, lookback: int | None = LOOKBACK, flat_pct: float =
     rows = rows.withColumn("_mad", robust.deviation(F.col("_h"), F.col("median_volume")))
     m, pct, d = F.col("median_volume"), F.col("price_change_pct"), F.col("delta")
     flat = F.when(m.isNull() | (m == 0), "T2").when(F.col("_v") > 2 * m, "T4").when(F.col("_v") > m, "T3").when(2 * F.col("_v") > m, "T2").otherwise("T1")
-    z = F.when((F.size("_h") >= 3) & (F.col("_mad") != 0), F.round(0.6745 * (F.col("_v").cast("double") - m.cast("double")) / F.col("_mad").cast("double"), 6))
+    z = F.when((F.size("_h") >= 3) & (F.col("_mad") != 0), 0.6745 * (F.col("_v").cast("double") - m.cast("double")) / F.col("_mad").cast("double"))
     absorbed = (F.size("_h") > 0) & (F.col("_up") != 0) & (F.abs(pct) <= flat_pct) & (F.col("_v") > 2 * F.col("_up"))
-    out = rows.withColumn("volume_tier", flat).withColumn("modified_z_score", z).withColumn("volume_anomaly", F.coalesce(F.abs("modified_z_score") > anomaly, F.lit(False)))
+    out = rows.withColumn("volume_tier", flat).withColumn("volume_anomaly", F.coalesce(F.abs(z) > anomaly, F.lit(False))).withColumn("modified_z_score", F.round(z, 6))
     out = out.withColumn("absorption", F.coalesce(absorbed, F.lit(False))).withColumn("divergence", F.coalesce(F.signum(pct) * F.signum(d.cast("double")) < 0, F.lit(False)))
     return out.drop("_v", "_day", "_h", "_up", "_mad")

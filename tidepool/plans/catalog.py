@@ -1,6 +1,6 @@
 """Every registered query of the market and text operators, and its SQL twin.
 
-Queries without a twin (sequential folds, streaming, walls) are tested against brute force in ``tests``.
+Streaming forms are tested against their batch forms in ``tests``.
 """
 
 from __future__ import annotations
@@ -186,10 +186,10 @@ def _(spark, sf):
     return naive(book.depth_weighted(_buckets(spark, sf)).select("inst_id", "ts", "depth_obi"))
 
 
-@query("t7_walls")
+@query("t7_walls", twins.WALLS)
 def _(spark, sf):
     rows = book.walls(book.by_band(_buckets(spark, sf)), {adapters.BTC: 100, adapters.ETH: 1000})
-    return naive(double(rows, "notional", "base"))
+    return naive(rows.select("inst_id", "ts", "side", "band", plain(F.col("notional")).alias("notional"), "wall_age", "wall_active"))
 
 
 @query("t11_sequence_gaps", "SELECT inst_id, ts, s IS DISTINCT FROM seq - 4 AND s IS NOT NULL AS gap_detected FROM (SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'BTC-USDT-SWAP' ELSE 'ETH-USDT-SWAP' END AS inst_id, TIMESTAMP '2024-01-01' + o_orderkey * INTERVAL 2 SECOND AS ts, o_orderkey AS seq, lag(o_orderkey) OVER (PARTITION BY o_orderkey % 2 ORDER BY o_orderkey) AS s FROM orders)")
@@ -319,14 +319,55 @@ def _(spark, sf):
     return rows.select("conv_id", F.col("message_index").cast("long").alias("message_index"), "role", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
-@query("t9_chunks")
+def _chunks(spark, sf):
+    c = table(spark, sf, "conversations").withColumn("source_file", F.col("conv_id").cast("string"))
+    kept = topics.tag(c).select("conv_id", "turn", "text", "source_file", F.concat_ws(",", "topics").alias("topic_list"), "topics")
+    return c, topics.chunked(kept, ["turn"], 600, series=F.col("source_file"))
+
+
+@query("t9_chunks", twins.CHUNKS)
 def _(spark, sf):
-    kept = topics.tag(topics.with_ids(table(spark, sf, "conversations"), "conv_id", "turn"))
-    return topics.chunked(kept, ["conv_id", "turn"], 20_000).select("record_id", "chunk_id", "size")
+    return topics.numbered(_chunks(spark, sf)[1]).select("conv_id", "turn", "size", F.col("chunk_id").cast("long").alias("chunk_id"), "chunk_no")
 
 
-@query("k11_manifest")
+@query("k11_manifest", twins.MANIFEST)
 def _(spark, sf):
-    c = table(spark, sf, "conversations").withColumn("source_file", F.col("conv_id").cast("string"))
-    kept = topics.chunked(topics.tag(c), ["conv_id", "turn"], 20_000)
-    return topics.manifest(c, kept)
+    m = topics.manifest(*_chunks(spark, sf))
+    return m.withColumn("topic_counts", F.array_join(F.transform(F.array_sort(F.map_entries("topic_counts")), lambda x: F.concat_ws("=", x["key"], x["value"].cast("string"))), ","))
+
+
+@query("c7_divergences", twins.DIVERGENCES)
+def _(spark, sf):
+    t = adapters.trades(spark, sf)
+    return naive(bars.divergences(bars.candles(t, "1h"), bars.cvd_at_close(bars.cvd(t), "1h")))
+
+
+@query("c8_order_flow", twins.ORDER_FLOW)
+def _(spark, sf):
+    return naive(double(book.order_flow(_buckets(spark, sf)), "ofi").select("inst_id", "ts", "ofi"))
+
+
+@query("o6_unique_snapshots", f"WITH {twins.book(1000)} SELECT inst_id, ts, seq FROM snaps")
+def _(spark, sf):
+    b = adapters.book(spark, sf)
+    again = b.withColumn("seq", F.col("seq") + 1_000_000_000)
+    return naive(keyed.unique_snapshots(again.unionByName(b), ["seq"]).select("inst_id", "ts", "seq"))
+
+
+@query("f23_since", f"WITH {twins.TRADES} SELECT inst_id, count(*) AS n FROM t WHERE ts BETWEEN TIMESTAMP '2024-01-30' - INTERVAL 240 HOUR AND TIMESTAMP '2024-01-30' GROUP BY 1")
+def _(spark, sf):
+    return market.since(adapters.trades(spark, sf), "ts", AS_OF, "240h").groupBy("inst_id").agg(F.count("*").alias("n"))
+
+
+@query("a11_run_counters", f"WITH {twins.TRADES} SELECT inst_id, count(*) AS n_rows, count(*) FILTER (side = 'other') AS n_bad, min(ts) AS first_ts, max(ts) AS last_ts FROM t GROUP BY 1")
+def _(spark, sf):
+    return naive(adapters.trades(spark, sf).groupBy("inst_id").agg(*health.counters("ts", F.col("side") == "other")))
+
+
+@query("c4_five_components", twins.FIVE)
+def _(spark, sf):
+    t = adapters.trades(spark, sf)
+    v = volume.signals(bars.volume_bars(t, "1h", whale=1000))
+    walls = book.walls(book.by_band(_buckets(spark, sf)), {adapters.BTC: 100, adapters.ETH: 1000})
+    c = bars.cvd(t)
+    return health.five_components(END, adapters.meta(spark), _states(spark, sf), v, walls, c, vwap.vwap(t, windows={"1h": 3600}), recent_minutes=6_000)

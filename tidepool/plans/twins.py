@@ -53,10 +53,10 @@ e AS (SELECT *, len(l) AS c, l[(len(l) + 1) // 2] + l[len(l) // 2 + 1] AS e2, l[
 g AS (SELECT *, list_sort(list_transform(l, lambda x: abs(2 * x - e2))) AS dl FROM e),
 s AS (SELECT *, dl[(c + 1) // 2] + dl[c // 2 + 1] AS d4, CAST(up AS DOUBLE) / CAST(open AS DOUBLE) AS pct FROM g),
 signals AS (SELECT *, CASE WHEN c = 0 OR e2 = 0 THEN 'T2' WHEN v > e2 THEN 'T4' WHEN 2 * v > e2 THEN 'T3' WHEN 4 * v > e2 THEN 'T2' ELSE 'T1' END AS volume_tier,
-  CASE WHEN c >= 3 AND d4 <> 0 THEN round(0.6745 * (2 * v - e2) * 2 / d4, 6) END AS modified_z_score,
+  CASE WHEN c >= 3 AND d4 <> 0 THEN round(0.6745 * (2 * v - e2) * 2 / d4, 6) END AS modified_z_score, CASE WHEN c >= 3 AND d4 <> 0 THEN 0.6745 * (2 * v - e2) * 2 / d4 END AS z,
   coalesce(c > 0 AND upper <> 0 AND abs(pct) <= 0.1 AND v > 2 * upper, false) AS absorption, sign(up) * sign(delta) < 0 AS divergence FROM s)"""
 SIGNALS = f"""WITH {SIGNALS_CTE} SELECT inst_id, window_start, {MONEY("total_volume")} AS total_volume, volume_tier, round(e2 / 20000.0, 5) AS median_volume, modified_z_score,
-  coalesce(abs(modified_z_score) > 3.5, false) AS volume_anomaly, absorption, divergence FROM signals"""
+  coalesce(abs(z) > 3.5, false) AS volume_anomaly, absorption, divergence FROM signals"""
 
 WICKS_CTE = f"""{CANDLES},
 wicks AS (SELECT inst_id, timeframe, window_end AS created, abs(close - open) AS body_size, 'high' AS wick_type, high AS price, high - greatest(open, close) AS wick_size FROM candles WHERE high > greatest(open, close)
@@ -93,8 +93,9 @@ bands AS (SELECT c.inst_id, c.ts, c.seq, c.side, c.band, coalesce(CAST(CAST(sum(
 
 
 BANDS = f"WITH {book(1000)} SELECT inst_id, ts, side, band, round(CAST(n AS DOUBLE), 4) AS notional, round(CAST(b AS DOUBLE), 4) AS base FROM bands"
-TOP = f"""WITH {book(1000)}, best AS (SELECT seq, side, first(CAST(price AS DOUBLE) ORDER BY off, qty DESC) AS p, first(CAST(qty AS DOUBLE) ORDER BY off, qty DESC) AS q FROM levels GROUP BY ALL),
-b AS (SELECT s.inst_id, s.ts, coalesce(x.p, 0) AS pb, coalesce(x.q, 0) AS vb, coalesce(y.p, 0) AS pa, coalesce(y.q, 0) AS va FROM snaps s LEFT JOIN best x ON x.seq = s.seq AND x.side = 'bid' LEFT JOIN best y ON y.seq = s.seq AND y.side = 'ask')
+TOP_CTE = f"""{book(1000)}, best AS (SELECT seq, side, first(CAST(price AS DOUBLE) ORDER BY off, qty DESC) AS p, first(CAST(qty AS DOUBLE) ORDER BY off, qty DESC) AS q FROM levels GROUP BY ALL),
+b AS (SELECT s.inst_id, s.ts, coalesce(x.p, 0) AS pb, coalesce(x.q, 0) AS vb, coalesce(y.p, 0) AS pa, coalesce(y.q, 0) AS va FROM snaps s LEFT JOIN best x ON x.seq = s.seq AND x.side = 'bid' LEFT JOIN best y ON y.seq = s.seq AND y.side = 'ask')"""
+TOP = f"""WITH {TOP_CTE}
 SELECT inst_id, ts, pb AS best_bid, pa AS best_ask, CASE WHEN vb + va = 0 THEN 0.0 ELSE round_even(round((vb - va) / (vb + va) * 10000, 8), 0) / 10000 END AS obi, round(CASE WHEN vb + va = 0 THEN (pb + pa) / 2 ELSE (vb * pa + va * pb) / (vb + va) END, 6) AS micro_price FROM b"""
 IMBALANCE = f"""WITH {book(1000)}, p AS (SELECT inst_id, ts, band, CAST(sum(n) FILTER (side = 'bid') AS DOUBLE) AS b, CAST(sum(n) FILTER (side = 'ask') AS DOUBLE) AS a FROM bands GROUP BY ALL)
 SELECT inst_id, ts, band, CASE WHEN a + b = 0 THEN 0.0 ELSE round_even(round((b - a) / (b + a) * 100, 8), 0) / 100 END AS imbalance FROM p"""
@@ -133,3 +134,40 @@ def counted(words: tuple[str, ...]) -> str:
 
 TAGGED = f"""tagged AS (SELECT conv_id, turn, text, {counted(("der", "die", "house"))} AS h, {counted(("the", "over", "with"))} AS m, {counted(("la", "de"))} AS v, {counted(("is", "task"))} AS w FROM conversations WHERE length(text) >= 10),
 kept AS (SELECT conv_id, turn, concat_ws(',', CASE WHEN h > 0 THEN 'home' END, CASE WHEN m > 0 THEN 'motion' END, CASE WHEN v > 0 THEN 'travel' END, CASE WHEN w > 0 THEN 'work' END) AS topics, round((h + m + v + w) / 10.0, 2) AS match_score FROM tagged WHERE h + m + v + w > 0)"""
+
+# greedy chunks of a conversation's kept records; a size is the record's JSON and ten
+_JSON = "'{\"conv_id\":' || conv_id || ',\"turn\":' || turn || ',\"text\":' || to_json(text) || ',\"source_file\":\"' || conv_id || '\",\"topic_list\":\"' || topics || '\",\"topics\":[\"' || replace(topics, ',', '\",\"') || '\"]}'"
+CHUNKS_CTE = f"""{TAGGED}, sized AS (SELECT conv_id, turn, topics, length({_JSON}) + 10 AS size, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM (SELECT kept.*, c.text FROM kept JOIN conversations c USING (conv_id, turn))),
+fold AS (SELECT conv_id, turn, i, size, CAST(1 AS BIGINT) AS chunk_id, size AS filled FROM sized WHERE i = 1
+  UNION ALL SELECT s.conv_id, s.turn, s.i, s.size, f.chunk_id + CAST(f.filled + s.size > 600 AS BIGINT), CASE WHEN f.filled + s.size > 600 THEN s.size ELSE f.filled + s.size END FROM fold f JOIN sized s ON s.conv_id = f.conv_id AND s.i = f.i + 1)"""
+CHUNKS = f"""WITH RECURSIVE {CHUNKS_CTE}, per AS (SELECT conv_id, max(chunk_id) AS c FROM fold GROUP BY 1), before AS (SELECT conv_id, CAST(sum(c) OVER (ORDER BY md5(CAST(conv_id AS VARCHAR))) - c AS BIGINT) AS b FROM per)
+SELECT conv_id, turn, CAST(size AS INTEGER) AS size, chunk_id, b + chunk_id AS chunk_no FROM fold JOIN before USING (conv_id)"""
+MANIFEST = f"""WITH RECURSIVE {CHUNKS_CTE}, n AS (SELECT topic, count(*) AS n FROM (SELECT unnest(string_split(topics, ',')) AS topic FROM kept) GROUP BY 1)
+SELECT (SELECT count(*) FROM conversations) AS seen, (SELECT count(DISTINCT conv_id) FROM conversations) AS files, (SELECT count(*) FROM kept) AS kept, (SELECT count(*) FROM (SELECT DISTINCT conv_id, chunk_id FROM fold)) AS chunks,
+  (SELECT string_agg(topic || '=' || n, ',' ORDER BY topic) FROM n) AS topic_counts, (SELECT count(*) FROM conversations) - (SELECT count(*) FROM kept) AS dropped"""
+
+DIVERGENCES = f"""WITH {CANDLES}, {CVD.replace(TRADES + ", ", "", 1)}, f AS (SELECT inst_id, date_trunc('hour', window_start) AS window_start, arg_max(v, window_start) AS v, sum(d) AS d FROM cvd GROUP BY ALL),
+x AS (SELECT c.inst_id, c.window_start, c.open, c.high, c.low, c.close, f.v, f.d, lag(c.high) OVER w AS ph, lag(c.low) OVER w AS pl, lag(f.v) OVER w AS pv FROM candles c JOIN f USING (inst_id, window_start) WHERE c.timeframe = '1h' WINDOW w AS (PARTITION BY c.inst_id ORDER BY c.window_start))
+SELECT inst_id, window_start, 'absorption' AS pattern, 'BULLISH' AS direction FROM x WHERE v < pv AND low * 1000 >= pl * 999 UNION ALL SELECT inst_id, window_start, 'exhaustion', 'BEARISH' FROM x WHERE v < pv AND high > ph
+UNION ALL SELECT inst_id, window_start, 'delta_turn', CASE WHEN d > 0 THEN 'BEARISH' ELSE 'BULLISH' END FROM x WHERE sign(close - open) * sign(d) < 0"""
+ORDER_FLOW = f"""WITH {TOP_CTE}, p AS (SELECT *, lag(pb) OVER w AS b0, lag(vb) OVER w AS vb0, lag(pa) OVER w AS a0, lag(va) OVER w AS va0 FROM b WINDOW w AS (PARTITION BY inst_id ORDER BY ts))
+SELECT inst_id, ts, CAST(coalesce((CASE WHEN pb >= b0 THEN vb ELSE 0 END - CASE WHEN pb <= b0 THEN vb0 ELSE 0 END) - (CASE WHEN pa <= a0 THEN va ELSE 0 END - CASE WHEN pa >= a0 THEN va0 ELSE 0 END), 0) AS DOUBLE) AS ofi FROM p"""
+
+# gaps and islands: a wall is born at the first snapshot of a streak of enough notional. No streak of these tables lasts
+# an hour, so the restarts after one are left to the model test
+WALLS_CTE = f"""{book(1000)}, wm AS (SELECT *, epoch_us(ts) AS us, n >= CASE inst_id WHEN 'BTC-USDT-SWAP' THEN 100 ELSE 1000 END AS enough FROM bands),
+wg AS (SELECT *, count(*) FILTER (NOT enough) OVER (PARTITION BY inst_id, side, band ORDER BY ts) AS streak FROM wm),
+held AS (SELECT inst_id, side, band, ts, us, row_number() OVER w AS i, first_value(us) OVER w AS born FROM wg WHERE enough WINDOW w AS (PARTITION BY inst_id, side, band, streak ORDER BY ts)),
+walls AS (SELECT *, (us - (born - born % 1000000)) // 1000000 AS age FROM held)"""
+WALLS = f"""WITH {WALLS_CTE} SELECT b.inst_id, b.ts, b.side, b.band, round(CAST(b.n AS DOUBLE), 4) AS notional, CASE WHEN w.i > 1 AND w.age >= 30 THEN w.age END AS wall_age, coalesce(w.i > 1 AND w.age >= 30, false) AS wall_active
+FROM bands b LEFT JOIN walls w ON w.inst_id = b.inst_id AND w.ts = b.ts AND w.side = b.side AND w.band = b.band"""
+FIVE = f"""WITH {STATES_CTE}, {SIGNALS_CTE.replace(TRADES + ", ", "", 1)}, {CVD.replace(TRADES + ", ", "", 1)}, {WALLS_CTE},
+vs AS (SELECT * FROM (SELECT inst_id, date_trunc('minute', ts) AS window_start, row_number() OVER (PARTITION BY inst_id, date_trunc('minute', ts) ORDER BY ts) AS rn, round(CAST(sum(pv) OVER s AS DOUBLE) / CAST(sum(n) OVER s AS DOUBLE), 6) AS v,
+  round(CAST(sum(pv) OVER h AS DOUBLE) / CAST(sum(n) OVER h AS DOUBLE), 6) AS v1 FROM t WINDOW s AS (PARTITION BY inst_id, date_trunc('day', ts) ORDER BY ts), h AS (PARTITION BY inst_id ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)) WHERE rn = 1),
+young AS (SELECT b.inst_id, b.ts, count(*) FILTER (b.side = 'bid' AND w.i > 1 AND w.age BETWEEN 30 AND 299) AS yb, count(*) FILTER (b.side = 'ask' AND w.i > 1 AND w.age BETWEEN 30 AND 299) AS ya FROM bands b LEFT JOIN walls w ON w.inst_id = b.inst_id AND w.ts = b.ts AND w.side = b.side AND w.band = b.band GROUP BY ALL),
+parts AS (SELECT inst_id, 'wicks' AS component, max(created) AS last, 'untouched=' || count(*) FILTER (status = 'untouched') || ', recent=' || count(*) FILTER (status = 'untouched' AND created >= TIMESTAMP '2024-01-31 00:10:00' - INTERVAL 6000 MINUTE) AS attrs FROM states GROUP BY 1
+  UNION ALL SELECT inst_id, 'volume', max(window_start), 'tier=' || arg_max(volume_tier, window_start) || ', absorption=' || arg_max(absorption, window_start) || ', divergence=' || arg_max(divergence, window_start) FROM signals GROUP BY 1
+  UNION ALL SELECT inst_id, 'walls', max(ts), 'young_bid=' || arg_max(yb, ts) || ', young_ask=' || arg_max(ya, ts) FROM young GROUP BY 1
+  UNION ALL SELECT inst_id, 'cvd', max(window_start), 'direction=' || CASE sign(arg_max(d, window_start)) WHEN 1 THEN 'BULLISH' WHEN -1 THEN 'BEARISH' ELSE 'NEUTRAL' END FROM cvd GROUP BY 1
+  UNION ALL SELECT inst_id, 'vwap', max(window_start), 'session=' || CAST(round(arg_max(v, window_start), 2) AS DECIMAL(18,2)) || ', hour=' || CAST(round(arg_max(v1, window_start), 2) AS DECIMAL(18,2)) FROM vs GROUP BY 1)
+SELECT inst_id, component, CASE WHEN age < 15 THEN 'FRESH' ELSE 'STALE' END AS status, age AS age_minutes, attrs FROM (SELECT *, CAST(trunc(epoch(TIMESTAMP '2024-01-31 00:10:00' - last) / 60) AS BIGINT) AS age FROM parts)"""

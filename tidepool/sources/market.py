@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import money
+from ..functions import money, times
 from . import schemas
 
 BAD = "_corrupt_record"
@@ -56,6 +56,12 @@ def after(trades: DataFrame, ts, trade_id: int) -> DataFrame:
     return trades.where(F.struct("ts", "trade_id") > F.struct(F.lit(ts).cast("timestamp").alias("ts"), F.lit(trade_id).cast("long").alias("trade_id")))
 
 
+def since(df: DataFrame, ts: str, as_of, span: str) -> DataFrame:
+    """Rows of the last ``span`` (90s, 240m, 24h, 7d) up to ``as_of``, both ends included."""
+    end = F.lit(as_of).cast("timestamp")
+    return df.where(F.col(ts).between(times.shifted(end, -times.duration(span)), end))
+
+
 def symbol(inst_id: Column) -> Column:
     return F.replace(inst_id, F.lit("-USDT-SWAP"), F.lit("/USDT"))
 
