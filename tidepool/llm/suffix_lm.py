@@ -1,7 +1,9 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
 Tokens are the words of a text (A-Z lowered) and one end. A context is up to ``depth`` preceding symbols, a start mark
-among them. Candidates are contexts that make up at least ``p_min`` of the training positions; a candidate is kept as
+among them. Candidates are contexts that make up at least ``p_min`` of the training positions, by default
+``SHARE`` over the cube root of the training bytes, so the number of contexts grows with the corpus, by one rule at
+every size, and what is broadcast stays within memory (7e-8 at 100 TB: 29 million a depth at most). A candidate is kept as
 a state if its next-symbol distribution diverges from that of its longest suffix: the leave-one-out log-likelihood
 gain over the suffix (an unbiased form of n * KL divergence, safe for rare symbols) must reach ``gain`` nats. A token is
 scored by the longest kept suffix of what precedes it. Distributions are smoothed towards the next shorter state by
@@ -40,7 +42,9 @@ SLICE = 1 << 20
 MERGE = 400_000
 #: Entries of one packed row of counts, unless one symbol has more; training tokens that one scoring group may hold.
 ROW, GROUP = 1 << 17, 4_000_000
-DEPTH, P_MIN, GAIN = 3, 4e-6, 12.0
+DEPTH, GAIN = 3, 12.0
+#: The least share of a context times the cube root of the training bytes: 4e-6 at half a gigabyte.
+SHARE = 3.2e-3
 ALPHA = 0.1
 NO_ID = np.iinfo(np.int64).min
 
@@ -379,7 +383,7 @@ def _sum_slice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_pydict({"doc_id": pa.array(ids), "n_tokens": pa.array(known[0]), "n_known": pa.array(known[1]), "base_score": pa.array(sums[0]), "score": pa.array(sums[1])})
 
 
-def score(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, gain: float = GAIN, group: int = GROUP) -> DataFrame:
+def score(docs: DataFrame, depth: int = DEPTH, p_min: float | None = None, gain: float = GAIN, group: int = GROUP) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Rows whose crc32(doc_id as text) mod 10 is not 0 train the model."""
@@ -387,6 +391,9 @@ def score(docs: DataFrame, depth: int = DEPTH, p_min: float = P_MIN, gain: float
     parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     train = texts.where(remainder(10) != 0)
+    if p_min is None:
+        size = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        p_min = SHARE / max(size, 1) ** (1 / 3)
     run, kinds = _candidates(depth, p_min, parts)
     reports = cut(train.mapInArrow(run, kinds), "reports")
     tokens = reports.agg(F.sum("tokens")).first()[0] or 0
