@@ -253,10 +253,12 @@ def test_tags_respect_word_boundaries(spark):
 
 
 def test_manifest(spark):
-    from tidepool.plans.catalog import QUERIES
+    from tidepool.plans.catalog import QUERIES, _chunks
 
-    (m,) = QUERIES["k11_manifest"](spark, SF).collect()
+    (m,) = topics.manifest(*_chunks(spark, SF)).collect()
     assert m.seen == m.kept + m.dropped and sum(m.topic_counts.values()) >= m.kept
+    (q,) = QUERIES["k11_manifest"](spark, SF).collect()
+    assert dict(x.split("=") for x in q.topic_counts.split(",")) == {k: str(v) for k, v in m.topic_counts.items()} and q.chunks == m.chunks
 
 
 def test_values_before_are_carried_over_days(spark):
