@@ -75,6 +75,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import manifest
+
+    return manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_counts import token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fim import digests
+
+    return digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
@@ -86,6 +104,9 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_token_counts": op12_token_counts,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 #: Exact by contract, so SQL can say them over whole tables; the others are tested against brute force.
@@ -122,5 +143,48 @@ reach(a, b) AS (
 n AS (SELECT ar, count(*) AS n FROM link GROUP BY ar)
 SELECT b.vec_id, coalesce(n.n, 0) AS n_links, l.component_id, b.vec_id = l.component_id AS kept
 FROM base b LEFT JOIN n ON n.ar = b.r LEFT JOIN least l ON l.a = b.vec_id
+""",
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE f AS (
+  SELECT doc_id, lang, n_chars,
+    concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-')) AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail,
+    list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda y, k: xor(y >> 1, 3988292384 * (y & 1)))) AS crc FROM documents
+), d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, * FROM (
+    SELECT doc_id, lang, sha256(concat(head, coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-'), tail)) AS leaf,
+      sha256(concat(head, coalesce(strlen((n_chars + tampered)::VARCHAR) || ':' || (n_chars + tampered), '-'), tail)) AS value
+    FROM (SELECT *, CASE WHEN xor(crc, 4294967295) % 7 = 0 THEN 1 ELSE 0 END AS tampered FROM f))
+), low(lang, lev, i, h, m) AS (
+  SELECT lang, 0, pos, leaf, count(*) OVER (PARTITION BY lang) FROM d
+  UNION ALL SELECT lang, lev + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), any_value((m + 1) // 2) FROM low WHERE m > 1 GROUP BY lang, lev, i // 2
+), tops AS (SELECT lang, lev AS top, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM low WHERE m = 1),
+high(lev, i, h, m) AS (
+  SELECT 0, g, h, count(*) OVER () FROM tops
+  UNION ALL SELECT lev + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), any_value((m + 1) // 2) FROM high WHERE m > 1 GROUP BY lev, i // 2
+), step AS MATERIALIZED (
+  SELECT d.r, v.lev, (d.pos >> v.lev) & 1 AS odd, s.h FROM d JOIN tops t ON d.lang IS NOT DISTINCT FROM t.lang, LATERAL (SELECT unnest(range(t.top)) AS lev) v
+  LEFT JOIN low s ON s.lang IS NOT DISTINCT FROM d.lang AND s.lev = v.lev AND s.i = xor(d.pos >> v.lev, 1)
+  UNION ALL
+  SELECT d.r, t.top + v.lev, (t.g >> v.lev) & 1, s.h FROM d JOIN tops t ON d.lang IS NOT DISTINCT FROM t.lang, LATERAL (SELECT unnest(range((SELECT max(lev) FROM high))) AS lev) v
+  LEFT JOIN high s ON s.lev = v.lev AND s.i = xor(t.g >> v.lev, 1)
+), proof AS (SELECT r, sha256(string_agg(h, '' ORDER BY lev)) AS p FROM step WHERE h IS NOT NULL GROUP BY r),
+fold(r, lev, h) AS (
+  SELECT r, 0, value FROM d
+  UNION ALL SELECT f.r, f.lev + 1, sha256(CASE WHEN s.h IS NULL THEN f.h WHEN s.odd = 1 THEN s.h || f.h ELSE f.h || s.h END) FROM fold f JOIN step s ON s.r = f.r AND s.lev = f.lev
+), last AS (SELECT r, arg_max(h, lev) AS h FROM fold GROUP BY r)
+SELECT d.doc_id, d.leaf, t.h AS subroot, q.h AS root, coalesce(p.p, sha256('')) AS proof_sha256, l.h AS folded_root, l.h = q.h AS verified
+FROM d JOIN tops t ON d.lang IS NOT DISTINCT FROM t.lang JOIN last l ON l.r = d.r LEFT JOIN proof p ON p.r = d.r, (SELECT h FROM high WHERE m = 1) q
+""",
+    "op13_fill_in_middle": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), n AS (SELECT *, len(u) AS n, list_transform(range(4), lambda k: ('0x' || substr(h, 1 + 8 * k, 8))::BIGINT) AS s FROM d),
+c AS (SELECT *, least(s[1] % (n + 1), s[2] % (n + 1)) AS i, greatest(s[1] % (n + 1), s[2] % (n + 1)) AS j,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR s[3] % 100 >= 50 THEN 'plain' WHEN s[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM n),
+p AS (SELECT *, array_to_string(u[:i], '') AS a, array_to_string(u[i + 1:j], '') AS m, array_to_string(u[j + 1:], '') AS b FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(a) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', a, '<S>', b, '<M>', m) ELSE concat('<S>', b, '<P>', a, '<M>', m) END) AS output_sha256, sha256(text) AS restored_sha256 FROM p
 """,
 }
