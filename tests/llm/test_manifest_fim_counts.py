@@ -109,7 +109,7 @@ def test_fim(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string, n string, list int").repartition(7)
     want = sorted((cut_in_three(*x[:2]) for x in rows), key=str)
     assert {w[2] for w in want} == {"plain", "psm", "spm"}
-    for part in (4096, 16):  # salted in one part and in several
+    for part in (512, 16):  # salted in one part and in several
         monkeypatch.setattr(fim, "PART_ROWS", part)
         assert sorted(map(tuple, fim.digests(df).collect()), key=str) == want
     out = fim.transform(df, rate=100, spm=0).where("form = 'psm'")

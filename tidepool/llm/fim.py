@@ -8,9 +8,10 @@ however many copies there are, and a copy costs two look-ups and its own output.
 
 Flow: (1) ids and digests of all rows, written. (2) Digests that more than one in ``HOT_SHARE`` of all rows have, fewer than
 ``HOT_SHARE`` of them, are broadcast and salted. (3) Texts are grouped by (digest, salt) with partial sets before the shuffle, so
-a group's texts are compared by content: a digest with two texts stops the job. This is the only shuffle of texts. (4) The index
-rows stay where they are; the ids come to them, the cuts are selected, and outputs are cut, joined and digested in Spark itself.
-A text of a hot digest has its list made once for each salted part that it has rows in.
+a group's texts are compared by content: a digest with two texts stops the job. This is the only shuffle of texts, read twice.
+(4) First the lists are made, leave their texts and are joined back to the ids, whose cuts are selected. (5) Then the cuts come to
+the texts, which stay where they are, and outputs are cut and joined in Spark itself. A text of a hot digest has its list made
+once for each salted part that it has rows in.
 
 Defined cases: null or empty text is plain, has no units and gives an empty output; a text with a marker in it is plain, as it
 couldn't be rebuilt; white space alone is one unit; repeated rows get a row each, with the same cuts; a null doc_id is drawn as
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from . import flat
 from .scratch import cut
 
-HOT_SHARE, PART_ROWS = 1024, 4096
+HOT_SHARE, PART_ROWS = 1024, 512
 #: Every so many units the index keeps where to go on selecting.
 STEP = 512
 MARKS = ("<P>", "<S>", "<M>")
@@ -132,16 +133,19 @@ def transform(docs: DataFrame, seed: int = 42, rate: int = 50, spm: int = 80) ->
 
     index = salted(docs).groupBy("digest", "salt").agg(F.collect_set("text").alias("texts"))
     one = F.when(F.size("texts") == 1, F.get("texts", F.lit(0))).otherwise(F.raise_error(F.lit("two texts have one digest")))
-    index = index.select("digest", "salt", one.alias("text")).withColumn("list", _lists(F.col("text")))
-    rows = index.join(salted(ids).hint("shuffle_hash"), ["digest", "salt"])
-
-    n, h = F.col("list.n"), drawn(F.col("doc_id"), seed)
+    index = index.select("digest", "salt", one.alias("text"))
     marked = F.lit(False)
     for m in MARKS:
         marked = marked | F.contains("text", F.lit(m))
-    plain = (F.col("text") == "") | marked | (F.col("h3") % 100 >= rate)
-    rows = rows.withColumns({f"h{i + 1}": c for i, c in enumerate(h)}).select("doc_id", "text", "list", n.alias("n"), F.when(plain, "plain").when(F.col("h4") % 100 < spm, "spm").otherwise("psm").alias("form"), (F.col("h1") % (n + 1)).alias("i"), (F.col("h2") % (n + 1)).alias("j"))
-    rows = rows.withColumn("at", _places(F.col("n"), F.col("list.ends"), F.least("i", "j"), F.greatest("i", "j")))
+    lists = index.select("digest", "salt", marked.alias("marked"), _lists(F.col("text")).alias("list")).select("digest", "salt", "marked", "list.n", "list.ends")
+
+    n, h = F.col("n"), drawn(F.col("doc_id"), seed)
+    draws = lists.join(salted(ids).hint("shuffle_hash"), ["digest", "salt"]).withColumns({f"h{i + 1}": c for i, c in enumerate(h)})
+    plain = (n == 0) | F.col("marked") | (F.col("h3") % 100 >= rate)
+    draws = draws.withColumns({"form": F.when(plain, "plain").when(F.col("h4") % 100 < spm, "spm").otherwise("psm"), "i": F.col("h1") % (n + 1), "j": F.col("h2") % (n + 1)})
+    cuts = draws.select("digest", "salt", "doc_id", "n", "form", _places(n, F.col("ends"), F.least("i", "j"), F.greatest("i", "j")).alias("at"))
+
+    rows = index.join(cuts.hint("shuffle_hash"), ["digest", "salt"])
     a, b = F.col("at.a").cast("int"), F.col("at.b").cast("int")
     part = lambda start, length: F.substring(F.col("text"), start, length)
     prefix, middle, suffix = part(F.lit(1), a), part(a + 1, b - a), part(b + 1, F.char_length("text"))
