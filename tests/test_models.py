@@ -1,5 +1,6 @@
 """Order-sensitive operators against small Python models, boundary rows, and batch against stream."""
 
+import json
 import random
 from datetime import datetime, timedelta
 from decimal import Decimal
@@ -128,10 +129,13 @@ def wall_model(rows):
     return out
 
 
-def test_walls_model(spark):
-    rows, df = band_rows(spark)
-    got = book.walls(df, {"X": 5}).orderBy("ts").collect()
+@pytest.mark.parametrize("width_s", [None, 3600])
+def test_walls_model(spark, width_s):
+    rows, df = band_rows(spark, seed=1 if width_s else 9)
+    got = book.walls(df, {"X": 5}, width_s=width_s).orderBy("ts").collect()
     assert [r.wall_age for r in got] == wall_model(rows)
+    ends = [rows[0], *(r for r in rows if r[4] < 5), rows[-1]]
+    assert max(b[1] - a[1] for a, b in zip(ends, ends[1:], strict=False)) > timedelta(hours=3)
     assert all(r.wall_active == (r.wall_age is not None) for r in got)
 
 
@@ -226,16 +230,24 @@ def test_as_of_join_carries_over_days(spark):
     assert [r.v for r in joins.as_of(left, right, ["k"], "ts", ["v"]).orderBy("i").collect()] == [None, 1, 1, 1, 2, 2]
 
 
-def test_chunks_model(spark):
+@pytest.mark.parametrize("width", [None, 200])
+def test_chunks_model(spark, width):
+    """One greedy fold over all records of all files, as the writer of chunks would do it; sizes are those of Python's json."""
     r = random.Random(3)
-    rows = [(i, "x" * r.choice([1, 30, 80, 300])) for i in range(60)]
-    got = topics.chunked(spark.createDataFrame(rows, "i int, text string"), ["i"], 200).orderBy("i").collect()
+    rows = [(i // 9, i, r.choice(["x", "é\"\\\n\u0001/日😀", None]) and "ab\"\n" * r.choice([1, 8, 20, 75]), r.choice([None, "user"]), ["t"] * r.choice([0, 1, 3]), 0.1 * r.randint(1, 20)) for i in range(150)]
+    rows = [(*x[:5], round(x[5], 2)) for x in rows]
+    names = ["file", "i", "text", "role", "topics", "score"]
+    df = spark.createDataFrame(rows, "file int, i int, text string, role string, topics array<string>, score double")
+    got = topics.chunked(df, ["file", "i"], 200, width=width).orderBy("i").collect()
     size, chunk = 0, 1
-    for g in got:
-        if size and size + g["size"] > 200:
+    for x, g in zip(rows, got, strict=True):
+        n = len(json.dumps(dict(zip(names, x, strict=True)), ensure_ascii=False)) + 10
+        assert g["size"] == n
+        if size and size + n > 200:
             chunk, size = chunk + 1, 0
-        size += g["size"]
+        size += n
         assert g.chunk_id == chunk
+    assert chunk > 60 and any(g["size"] > 200 for g in got)
 
 
 def test_text_formats(spark, tmp_path):

@@ -110,8 +110,27 @@ def test_tag_job(spark, tmp_path):
     (m,) = spark.read.json(str(tmp_path / "out" / "manifest")).collect()
     got = spark.read.json(str(tmp_path / "out" / "chunks"))
     assert m.kept == got.count() == 27 and m.files == 3 and m.chunks == got.select("chunk_id").distinct().count()
-    assert got.groupBy("chunk_id").agg(F.sum("size").alias("n"), F.count_distinct("series").alias("files")).where("n > 1200 or files > 1").isEmpty()
+    assert got.groupBy("chunk_id").agg(F.sum("size").alias("n")).where("n > 1200").isEmpty()
     assert sorted(r.chunk_id for r in got.select("chunk_id").distinct().collect()) == list(range(1, m.chunks + 1))
+    listed = {r.filename: (r.record_count, r.char_size) for r in spark.read.json(str(tmp_path / "out" / "output_chunks")).collect()}
+    assert listed == {f"chunk_{r.chunk_id:04d}.json": (r.n, r.s) for r in got.groupBy("chunk_id").agg(F.count("*").alias("n"), F.sum("size").alias("s")).collect()}
+    assert m.failed == 0 and got.where("size <> length(text)").count() == 27
+
+
+def test_files_that_fail(spark, tmp_path):
+    good = json.dumps([{"content": "the task over there", "role": "user"}, {"content": "short"}, {"content": "nothing of note here"}])
+    for name, text in {"a.json": good, "b.json": good[:-3], "c.jsonl": '{"text": "the way over\n{bad', "d.jsonl": '{bad\n{"text": "with a line that holds"}', "e.json": "", "f.txt": "the plain text"}.items():
+        (tmp_path / name).write_text(text)
+    files = topics.read_corpus(spark, str(tmp_path))
+    assert {r.source_file.rsplit("/", 1)[1]: r.error for r in topics.failed_files(files).collect()} == {"b.json": "not JSON", "c.jsonl": "no line is a JSON object"}
+    records = topics.messages(files)
+    (m,) = topics.manifest(files, records, topics.chunked(topics.tag(records).drop("match_score"), ["source_file", "message_index"], 10_000)).collect()
+    assert (m.files, m.failed, m.seen, m.kept, m.dropped, m.dropped_short, m.chunks) == (5, 2, 5, 3, 2, 1, 1)  # Spark passes over the empty file
+
+
+def test_self_test(spark, capsys):
+    cli.main(["self-test"])
+    assert "passed" in capsys.readouterr().out
 
 
 def test_wick_stream_equals_batch(spark, tmp_path):

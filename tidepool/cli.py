@@ -8,6 +8,7 @@
     python -m tidepool.cli confluence --trades PATH --book PATH --contracts PATH --as-of TS [--out PATH]
     python -m tidepool.cli dashboard --trades PATH --book PATH --contracts PATH --as-of TS
     python -m tidepool.cli tag --input PATH --out PATH [--max-chars 200000]
+    python -m tidepool.cli self-test
 
 Jobs of minute rows append only new keys, so a second run adds nothing; the others replace their table or, without
 ``--out``, show it. ``--since`` (90s, 240m, 24h, 7d) keeps input of that span before ``--as-of``.
@@ -16,6 +17,9 @@ Jobs of minute rows append only new keys, so a second run adds nothing; the othe
 from __future__ import annotations
 
 import argparse
+import json
+import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,6 +79,34 @@ def state_job(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     return confluence.score(states, a.as_of, timed(signals), with_wall_ages(rows, walls), timed(flow), timed(prices))
 
 
+def tag_job(spark: SparkSession, source: str, out: str, max_chars: int, vocabulary: dict[str, list[str]] | None = None) -> None:
+    """Tagged records in chunks, their manifest, and its lists of chunks and failed files."""
+    files = topics.read_corpus(spark, source)
+    records = topics.with_ids(topics.messages(files))
+    topics.chunked(topics.tag(records, vocabulary), ["source_file", "message_index"], max_chars).write.mode("overwrite").parquet(f"{out}/records")
+    kept = spark.read.parquet(f"{out}/records")
+    sinks.chunks(kept.withColumn("place", F.col("message_index")), f"{out}/chunks")
+    sinks.snapshot(topics.manifest(files, records, kept), f"{out}/manifest", "json")
+    sinks.snapshot(topics.chunk_list(kept), f"{out}/output_chunks", "json")
+    sinks.snapshot(topics.failed_files(files), f"{out}/failed_files", "json")
+
+
+def self_test(spark: SparkSession) -> None:
+    """The text job over a few messages of its own: records are kept and dropped, chunks hold what the manifest says."""
+    texts = ["I want to take the long way over the hills", "I can help you with that!", "My task is to finish the project plan", "Let us go over the task", "Irrelevant noise 123456", "Tell me about the house"]
+    with tempfile.TemporaryDirectory() as folder:
+        source, out = Path(folder, "in"), f"file://{folder}/out"
+        source.mkdir()
+        (source / "test.jsonl").write_text("\n".join(json.dumps({"role": "user", "content": t}) for t in texts))
+        tag_job(spark, f"file://{source}", out, max_chars=500)
+        m = spark.read.json(f"{out}/manifest").first()
+        listed = spark.read.json(f"{out}/output_chunks").agg(F.count("*").alias("chunks"), F.sum("record_count").alias("records")).first()
+        written_rows = spark.read.json(f"{out}/chunks").count()
+    if not (m.kept == 5 and m.dropped == 1 and m.failed == 0 and listed.chunks == m.chunks > 1 and listed.records == written_rows == 5):
+        raise SystemExit(f"self-test failed: {m.asDict()}")
+    print(f"self-test passed: {m.kept} kept, {m.dropped} dropped, {m.chunks} chunks")
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tidepool")
     sub = p.add_subparsers(dest="job", required=True)
@@ -99,6 +131,7 @@ def parser() -> argparse.ArgumentParser:
         if job == "hidden":
             for name, value in (("--age-min", 20), ("--age-max", 40), ("--min-touched", 10)):
                 j.add_argument(name, type=int, default=value)
+    sub.add_parser("self-test")
     t = sub.add_parser("tag")
     t.add_argument("--input", required=True)
     t.add_argument("--out", required=True)
@@ -109,11 +142,11 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     a = parser().parse_args(argv)
     spark = SparkSession.builder.appName("tidepool").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    if a.job == "self-test":
+        self_test(spark)
+        return
     if a.job == "tag":
-        records = topics.with_ids(topics.messages(topics.read_corpus(spark, a.input)))
-        kept = topics.chunked(topics.tag(records), ["message_index"], a.max_chars, series=F.col("source_file"))
-        sinks.chunks(topics.numbered(kept).drop("chunk_id").withColumnRenamed("chunk_no", "chunk_id"), f"{a.out}/chunks")
-        sinks.snapshot(topics.manifest(records, kept), f"{a.out}/manifest", "json")
+        tag_job(spark, a.input, a.out, a.max_chars)
         return
     if a.job in MINUTE_JOBS:
         trades = trades_of(spark, a)

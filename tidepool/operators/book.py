@@ -5,12 +5,13 @@ Input: canonical snapshots (inst_id, ts, mid, bids, asks) with typed levels. Sna
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import money, times
+from .chains import starts
 from .scale import previous, running
+from .written import written
 
 BANDS = (10, 25, 50, 100, 200, 500)
 WALLS = {"BTC-USDT-SWAP": 300_000, "ETH-USDT-SWAP": 150_000}
@@ -74,47 +75,35 @@ def changes(long_rows: DataFrame, least: float = 100_000, share: float = 0.10) -
     return rows.withColumn("delta", delta).withColumn("significant", big).drop("_day", "_in", "_carry")
 
 
-def _ages(us: list[int], rest: int, longest: int) -> list[int | None]:
-    """Wall age in seconds at each snapshot of one streak of enough notional; None while not active."""
-    born, out = None, []
-    for t in us:
-        age = None
-        if born is None:
-            born = t - t % 1_000_000
-        elif t - born > longest:
-            born = None
-        elif t - born >= rest:
-            age = (t - born) // 1_000_000
-        out.append(age)
-    return out
-
-
-def _streaks(rest_s: int, longest_s: int):
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values(["_low", "us"])
-        age = [a for _, us in f.groupby("_low").us for a in _ages(us.tolist(), rest_s * 1_000_000, longest_s * 1_000_000)]
-        return f[["inst_id", "side", "band", "us"]].assign(wall_age=pd.array(age, dtype="Int64"))
-
-    return run
-
-
-def walls(long_rows: DataFrame, thresholds: dict[str, float] | None = None, rest_s: int = 30, longest_s: int = 3600) -> DataFrame:
+def walls(long_rows: DataFrame, thresholds: dict[str, float] | None = None, rest_s: int = 30, longest_s: int = 3600, width_s: int | None = None) -> DataFrame:
     """``long_rows`` with wall_age (whole seconds, null if none) and wall_active.
 
     A wall is born (in whole seconds) at the first snapshot with enough notional, active from ``rest_s`` to ``longest_s``
-    seconds of age, then starts anew with the next snapshot; too little notional ends it. Streaks of enough notional
-    are cut out by a two-level running maximum; only the restarts within a streak are sequential."""
+    seconds of age, then starts anew with the next snapshot; too little notional ends it. Streaks of enough notional are cut out
+    by a two-level running maximum. In streaks longer than ``longest_s`` the births follow from each other (``chains.starts``), in
+    blocks of ``width_s`` seconds; a streak may last for years. One row per instrument, side, band and time."""
     keys = ["inst_id", "side", "band"]
     least = F.create_map(*[F.lit(x) for k, v in (thresholds or WALLS).items() for x in (k, float(v))])
     rows = long_rows.withColumn("us", times.micros(F.col("ts"))).withColumn("_min", F.element_at(least, F.col("inst_id")))
-    rows = rows.withColumn("_enough", F.col("notional") >= F.col("_min").cast("decimal(20,2)")).withColumn("_day", times.day(F.col("ts")))
-    marked = running(rows, keys, "_day", ["us"], maxima={"_low": F.when(~F.col("_enough"), F.col("us"))}).withColumn("_low", F.coalesce("_low", F.lit(-1)))
-    held = marked.where("_enough")
-    # streaks shorter than the resting time have no active wall; the others go out by the hour of their start
-    span = held.groupBy(*keys, "_low").agg(F.min("us").alias("_from"), F.max("us").alias("_to")).where(F.col("_to") - F.col("_from") + 1_000_000 >= rest_s * 1_000_000)
-    long_ones = held.join(span, [*keys, "_low"], "left_semi").withColumn("_hour", F.floor(F.col("_low") / 3_600_000_000))
-    alive = long_ones.select(*keys, "us", "_low", "_hour").groupBy(*keys, "_hour").applyInPandas(_streaks(rest_s, longest_s), "inst_id string, side string, band int, us long, wall_age long")
-    out = marked.join(alive.where("wall_age is not null"), [*keys, "us"], "left")
+    rows = rows.withColumn("_enough", F.coalesce(F.col("notional") >= F.col("_min").cast("decimal(20,2)"), F.lit(False))).withColumn("_day", times.day(F.col("ts")))
+    marked = running(written(rows, "bands"), keys, "_day", ["us"], maxima={"_low": F.when(~F.col("_enough"), F.col("us"))})
+    marked = written(marked.withColumn("_low", F.coalesce("_low", F.lit(-1))), "streaks")
+    held = marked.where("_enough").select(*keys, "us", "_low", "_day")
+    span = held.groupBy(*keys, "_low").agg(F.min("us").alias("_from"), F.max("us").alias("_to"))
+    longest = longest_s * 1_000_000
+    born = lambda c: c - F.pmod(c, F.lit(1_000_000))
+
+    spread = held.join(span.where(F.col("_to") - F.col("_from") > longest), [*keys, "_low"])
+    spread = spread.withColumn("series", F.to_json(F.struct(*keys, "_low")))
+    spread = running(spread, ["series"], "_day", ["us"], {"_n": F.lit(1).cast("long")})
+    at = F.col("us") - F.col("_from")
+    again = starts(spread.select("series", (F.col("_n") - 1).alias("place"), at.alias("at"), at.alias("end"), F.greatest(at, born(F.col("us")) + longest - F.col("_from")).alias("limit")), longest, skip=1, width=width_s and width_s * 1_000_000)
+    births = spread.withColumn("place", F.col("_n") - 1).join(again, ["series", "place"], "left_semi").select(*keys, "us")
+    births = births.unionByName(span.select(*keys, F.col("_from").alias("us"))).distinct().withColumn("_start", F.lit(True))
+
+    lived = running(marked.join(births, [*keys, "us"], "left"), keys, "_day", ["us"], maxima={"_born": F.when(F.col("_start"), born(F.col("us")))})
+    age = F.col("us") - F.col("_born")
+    out = lived.withColumn("wall_age", F.when(F.col("_enough") & F.col("_start").isNull() & age.between(rest_s * 1_000_000, longest), F.floor(age / 1_000_000)))
     return out.select(*long_rows.columns, "wall_age", F.col("wall_age").isNotNull().alias("wall_active"))
 
 

@@ -5,12 +5,13 @@ The vocabulary is a parameter; the default is neutral.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.strings import stable_id, strip_markup, topic_pattern
+from .chains import starts
 from .scale import running
+from .written import written
 
 TOPICS = {"motion": ["the", "over", "with"], "travel": ["la", "de", "city trip"], "work": ["is", "project plan", "task"], "home": ["der", "die", "house"]}
 EXTENSIONS = ("json", "jsonl", "txt", "md", "html", "htm")
@@ -24,7 +25,7 @@ MARKERS = "User|Assistant|Human|AI|System|You|Me"
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """Whole files below ``path`` of the known extensions: source_file, detected_format, content. Bytes that aren't UTF-8
-    become replacement characters."""
+    become replacement characters; empty files are passed over, as Spark does."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     ext = F.lower(F.regexp_extract("path", r"\.([A-Za-z]+)$", 1))
     kind = F.when(ext == "json", "json").when(ext == "jsonl", "jsonl").when(ext.isin("html", "htm"), "html").otherwise("plaintext")
@@ -114,42 +115,58 @@ def histogram(records: DataFrame) -> DataFrame:
     return records.select(F.explode("topics").alias("topic")).groupBy("topic").agg(F.count("*").alias("n"))
 
 
-def _fold(names: list[str], max_chars: int):
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        size, chunk, out = 0, 1, []
-        f = f.sort_values(names)
-        for n in f["size"]:
-            if size and size + n > max_chars:
-                chunk, size = chunk + 1, 0
-            out.append(chunk)
-            size += n
-        return pd.DataFrame({"series": f["series"], "place": f["place"], "chunk_id": out})
+def json_chars(df: DataFrame) -> Column:
+    """Characters of a row as a JSON object with a space after each comma and colon, nulls written out."""
+    n = F.length(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})) + 2 * len(df.columns) - 1
+    for c in (c for c, kind in df.dtypes if kind.startswith("array")):
+        n = n + F.coalesce(F.greatest(F.size(c) - 1, F.lit(0)), F.lit(0))
+    return n
 
-    return run
 
+def chunked(records: DataFrame, order: list[str], max_chars: int, width: int | None = None) -> DataFrame:
+    """``records`` with size, its JSON's characters and ten, and chunk_id: greedy over all records in ``order``; a record that
+    would overflow starts a new chunk, one that is too large has its own.
 
-def chunked(records: DataFrame, order: list[str], max_chars: int, series: Column | None = None) -> DataFrame:
-    """``records`` with chunk_id: greedy, in ``order``, a record's size its JSON's characters and ten; a record that
-    would overflow starts a new chunk. Chunks are filled within a ``series`` (a file, a shard), where the fold is
-    sequential; without one all records are one series, as the definition has it. Only sizes and places go there."""
-    place = F.to_json(F.struct(*order))
-    sized = records.withColumns({"size": F.length(F.to_json(F.struct(*records.columns))) + 10, "series": (series if series is not None else F.lit("all")).cast("string"), "place": place})
-    got = sized.select("series", "place", "size", *order).groupBy("series").applyInPandas(_fold(order, max_chars), "series string, place string, chunk_id int")
-    return sized.join(got, ["series", "place"])
+    Prefix sums of the sizes, taken by the first column of ``order`` (a file, say) and carried on, give every record's next chunk
+    start, and ``chains.starts`` those that the first record leads to; no task works through all records."""
+    first, *rest = order
+    sized = records.withColumn("size", json_chars(records).cast("long") + 10).withColumn("_series", F.lit("all"))
+    placed = written(running(written(sized, "sizes"), ["_series"], first, rest or order, {"_upto": F.col("size"), "_n": F.lit(1).cast("long")}), "places")
+    at = F.col("_upto") - F.col("size")
+    again = starts(placed.select(F.col("_series").alias("series"), (F.col("_n") - 1).alias("place"), at.alias("at"), F.col("_upto").alias("end"), (at + max_chars).alias("limit")), max_chars, width=width)
+    marked = placed.join(again.select((F.col("place") + 1).alias("_n"), F.lit(1).cast("long").alias("_start")), "_n", "left")
+    return running(marked, ["_series"], first, rest or order, {"chunk_id": F.coalesce("_start", F.lit(0))}).drop("_series", "_upto", "_n", "_start")
 
 
-def numbered(chunks: DataFrame, by: str = "series") -> DataFrame:
-    """``chunks`` filled within series, with ``chunk_no`` that counts on from series to series, in order of their MD5, so
-    that names with a common beginning are still dealt evenly."""
-    per = chunks.groupBy(by).agg(F.max("chunk_id").cast("long").alias("_n")).withColumn("_key", F.md5(F.col(by).cast("binary")))
-    ordered = running(per.withColumn("_grain", F.left("_key", F.lit(3))), [], "_grain", ["_key"], {"_upto": F.col("_n")})
-    return chunks.join(ordered.select(by, (F.col("_upto") - F.col("_n")).alias("_before")), by).withColumn("chunk_no", F.col("_before") + F.col("chunk_id")).drop("_before")
+def chunk_list(kept: DataFrame, name: str = "chunk") -> DataFrame:
+    """A row for each chunk: chunk_id, filename, record_count, char_size."""
+    rows = kept.groupBy("chunk_id").agg(F.count("*").alias("record_count"), F.sum("size").alias("char_size"))
+    return rows.select("chunk_id", F.format_string(f"{name}_%04d.json", "chunk_id").alias("filename"), "record_count", "char_size")
 
 
-def manifest(records: DataFrame, kept: DataFrame) -> DataFrame:
-    """One row: files, kept and dropped records, topic counts, chunks."""
+def failed_files(files: DataFrame) -> DataFrame:
+    """Files that give no record because they can't be read as what they are: source_file, error. A JSON Lines file has its bad
+    lines skipped and fails only if all of them are bad."""
+    lines = F.filter(F.split("content", "\n"), lambda x: F.trim(x) != "")
+    bad = F.when(F.col("detected_format") == "json", F.when(F.try_parse_json(F.col("content")).isNull(), F.lit("not JSON")))
+    bad = bad.when(F.col("detected_format") == "jsonl", F.when(F.forall(lines, lambda x: F.json_object_keys(x).isNull()), F.lit("no line is a JSON object")))
+    return files.where(F.trim("content") != "").select("source_file", bad.alias("error")).where("error is not null")
+
+
+def manifest(files: DataFrame, records: DataFrame, kept: DataFrame, least_chars: int = 10) -> DataFrame:
+    """One row: files, failed files, kept and dropped records (and those dropped for their length), topic counts, chunks.
+
+    The lists behind the numbers, :func:`failed_files` and :func:`chunk_list`, are tables, as they grow with the corpus."""
     counts = histogram(kept).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("topic", "n")))).alias("topic_counts"))
-    a = records.agg(F.count("*").alias("seen"), F.count_distinct("source_file").alias("files"))
-    b = kept.agg(F.count("*").alias("kept"), *([F.count_distinct("series", "chunk_id").alias("chunks")] if "chunk_id" in kept.columns else []))
-    # three single rows
-    return a.crossJoin(b).crossJoin(counts).withColumn("dropped", F.col("seen") - F.col("kept"))
+    short = F.col("text").isNull() | (F.length("text") < least_chars)
+    single = [
+        files.agg(F.count("*").alias("files")),
+        failed_files(files).agg(F.count("*").alias("failed")),
+        records.agg(F.count("*").alias("seen"), F.count_if(short).alias("dropped_short")),
+        kept.agg(F.count("*").alias("kept"), *([F.count_distinct("chunk_id").alias("chunks")] if "chunk_id" in kept.columns else [])),
+        counts,
+    ]
+    out = single[0]
+    for row in single[1:]:  # single rows
+        out = out.crossJoin(row)
+    return out.withColumn("dropped", F.col("seen") - F.col("kept"))

@@ -192,6 +192,12 @@ def _(spark, sf):
     return naive(rows.select("inst_id", "ts", "side", "band", plain(F.col("notional")).alias("notional"), "wall_age", "wall_active"))
 
 
+@query("t7_wall_restarts", twins.WALL_RESTARTS)
+def _(spark, sf):
+    rows = book.walls(book.by_band(_buckets(spark, sf)), {adapters.BTC: 0, adapters.ETH: 0}, longest_s=900)
+    return naive(rows.where("band <= 1").select("inst_id", "ts", "side", "band", "wall_age", "wall_active"))
+
+
 @query("t11_sequence_gaps", "SELECT inst_id, ts, s IS DISTINCT FROM seq - 4 AND s IS NOT NULL AS gap_detected FROM (SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'BTC-USDT-SWAP' ELSE 'ETH-USDT-SWAP' END AS inst_id, TIMESTAMP '2024-01-01' + o_orderkey * INTERVAL 2 SECOND AS ts, o_orderkey AS seq, lag(o_orderkey) OVER (PARTITION BY o_orderkey % 2 ORDER BY o_orderkey) AS s FROM orders)")
 def _(spark, sf):
     rows = adapters.book(spark, sf).select("inst_id", "ts", F.col("seq").alias("seqId"), (F.col("seq") - 4).alias("prevSeqId"))
@@ -319,15 +325,32 @@ def _(spark, sf):
     return rows.select("conv_id", F.col("message_index").cast("long").alias("message_index"), "role", F.md5(F.col("text").cast("binary")).alias("digest"))
 
 
+def _files(spark, sf):
+    """A JSON file for each conversation; every tenth is cut off in the middle, and every tenth holds several shapes."""
+    message = F.to_json(F.struct(F.col("role"), F.col("text").alias("content"), F.col("conv_id").cast("string").alias("thread_id")))
+    lists = table(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", message.alias("m")))).alias("l"))
+    whole = F.concat(F.lit("["), F.array_join(F.transform("l", lambda x: x["m"]), ","), F.lit("]"))
+    kind = F.col("conv_id") % 10
+    content = F.when(kind == 3, F.left(whole, F.length(whole) - 1)).when(kind == 4, F.concat(F.lit('{"id": "x", "messages": '), whole, F.lit("}"))).when(kind == 5, F.concat(F.lit('{"conversations": [{"id": "y", "messages": '), whole, F.lit("}]}"))).when(kind == 6, F.concat(F.array_join(F.transform("l", lambda x: x["m"]), "\n"), F.lit("\n{cut"))).otherwise(whole)
+    return lists.select(F.col("conv_id").cast("string").alias("source_file"), F.when(kind == 6, "jsonl").otherwise("json").alias("detected_format"), content.alias("content"))
+
+
+@query("n1_json_messages", """SELECT CAST(conv_id AS VARCHAR) AS source_file, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS message_index, role, CAST(conv_id AS VARCHAR) AS conversation_id, md5(text) AS digest FROM conversations WHERE conv_id % 10 <> 3""")
+def _(spark, sf):
+    rows = topics.messages(_files(spark, sf))
+    return rows.select("source_file", F.col("message_index").cast("long").alias("message_index"), "role", "conversation_id", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
 def _chunks(spark, sf):
-    c = table(spark, sf, "conversations").withColumn("source_file", F.col("conv_id").cast("string"))
-    kept = topics.tag(c).select("conv_id", "turn", "text", "source_file", F.concat_ws(",", "topics").alias("topic_list"), "topics")
-    return c, topics.chunked(kept, ["turn"], 600, series=F.col("source_file"))
+    files = _files(spark, sf)
+    records = topics.with_ids(topics.messages(files)).withColumn("file_no", F.col("source_file").cast("long"))
+    kept = topics.tag(records).select("file_no", "source_file", "message_index", "role", "timestamp", "text", "topics", "match_score", "record_id")
+    return files, records, topics.chunked(kept, ["file_no", "message_index"], 2_000)
 
 
 @query("t9_chunks", twins.CHUNKS)
 def _(spark, sf):
-    return topics.numbered(_chunks(spark, sf)[1]).select("conv_id", "turn", "size", F.col("chunk_id").cast("long").alias("chunk_id"), "chunk_no")
+    return _chunks(spark, sf)[2].select("source_file", "message_index", "size", "chunk_id")
 
 
 @query("k11_manifest", twins.MANIFEST)
@@ -336,6 +359,16 @@ def _(spark, sf):
     return m.withColumn("topic_counts", F.array_join(F.transform(F.array_sort(F.map_entries("topic_counts")), lambda x: F.concat_ws("=", x["key"], x["value"].cast("string"))), ","))
 
 
+@query("k11_output_chunks", twins.CHUNK_LIST)
+def _(spark, sf):
+    return topics.chunk_list(_chunks(spark, sf)[2])
+
+
+@query("k11_failed_files", "SELECT DISTINCT CAST(conv_id AS VARCHAR) AS source_file, 'not JSON' AS error FROM conversations WHERE conv_id % 10 = 3")
+def _(spark, sf):
+    return topics.failed_files(_files(spark, sf))
+
+
 @query("c7_divergences", twins.DIVERGENCES)
 def _(spark, sf):
     t = adapters.trades(spark, sf)

@@ -135,16 +135,18 @@ def counted(words: tuple[str, ...]) -> str:
 TAGGED = f"""tagged AS (SELECT conv_id, turn, text, {counted(("der", "die", "house"))} AS h, {counted(("the", "over", "with"))} AS m, {counted(("la", "de"))} AS v, {counted(("is", "task"))} AS w FROM conversations WHERE length(text) >= 10),
 kept AS (SELECT conv_id, turn, concat_ws(',', CASE WHEN h > 0 THEN 'home' END, CASE WHEN m > 0 THEN 'motion' END, CASE WHEN v > 0 THEN 'travel' END, CASE WHEN w > 0 THEN 'work' END) AS topics, round((h + m + v + w) / 10.0, 2) AS match_score FROM tagged WHERE h + m + v + w > 0)"""
 
-# greedy chunks of a conversation's kept records; a size is the record's JSON and ten
-_JSON = "'{\"conv_id\":' || conv_id || ',\"turn\":' || turn || ',\"text\":' || to_json(text) || ',\"source_file\":\"' || conv_id || '\",\"topic_list\":\"' || topics || '\",\"topics\":[\"' || replace(topics, ',', '\",\"') || '\"]}'"
-CHUNKS_CTE = f"""{TAGGED}, sized AS (SELECT conv_id, turn, topics, length({_JSON}) + 10 AS size, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM (SELECT kept.*, c.text FROM kept JOIN conversations c USING (conv_id, turn))),
-fold AS (SELECT conv_id, turn, i, size, CAST(1 AS BIGINT) AS chunk_id, size AS filled FROM sized WHERE i = 1
-  UNION ALL SELECT s.conv_id, s.turn, s.i, s.size, f.chunk_id + CAST(f.filled + s.size > 600 AS BIGINT), CASE WHEN f.filled + s.size > 600 THEN s.size ELSE f.filled + s.size END FROM fold f JOIN sized s ON s.conv_id = f.conv_id AND s.i = f.i + 1)"""
-CHUNKS = f"""WITH RECURSIVE {CHUNKS_CTE}, per AS (SELECT conv_id, max(chunk_id) AS c FROM fold GROUP BY 1), before AS (SELECT conv_id, CAST(sum(c) OVER (ORDER BY md5(CAST(conv_id AS VARCHAR))) - c AS BIGINT) AS b FROM per)
-SELECT conv_id, turn, CAST(size AS INTEGER) AS size, chunk_id, b + chunk_id AS chunk_no FROM fold JOIN before USING (conv_id)"""
-MANIFEST = f"""WITH RECURSIVE {CHUNKS_CTE}, n AS (SELECT topic, count(*) AS n FROM (SELECT unnest(string_split(topics, ',')) AS topic FROM kept) GROUP BY 1)
-SELECT (SELECT count(*) FROM conversations) AS seen, (SELECT count(DISTINCT conv_id) FROM conversations) AS files, (SELECT count(*) FROM kept) AS kept, (SELECT count(*) FROM (SELECT DISTINCT conv_id, chunk_id FROM fold)) AS chunks,
-  (SELECT string_agg(topic || '=' || n, ',' ORDER BY topic) FROM n) AS topic_counts, (SELECT count(*) FROM conversations) - (SELECT count(*) FROM kept) AS dropped"""
+# greedy chunks over all kept records of whole files; a size is the record's JSON, with spaces and nulls, and ten
+_TAGGED_FILES = TAGGED.replace("FROM conversations WHERE", "FROM conversations WHERE conv_id % 10 <> 3 AND")
+_RECORD = "'{\"file_no\": ' || conv_id || ', \"source_file\": \"' || conv_id || '\", \"message_index\": ' || mi || ', \"role\": \"' || role || '\", \"timestamp\": null, \"text\": ' || to_json(text) || ', \"topics\": [\"' || replace(topics, ',', '\", \"') || '\"], \"match_score\": ' || match_score || ', \"record_id\": \"0123456789abcdef\"}'"
+CHUNKS_CTE = f"""{_TAGGED_FILES}, turns AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS mi FROM conversations),
+sized AS (SELECT conv_id, mi, topics, CAST(length({_RECORD}) + 10 AS BIGINT) AS size, row_number() OVER (ORDER BY conv_id, mi) AS i FROM kept JOIN turns USING (conv_id, turn)),
+fold AS (SELECT conv_id, mi, i, size, CAST(1 AS BIGINT) AS chunk_id, size AS filled FROM sized WHERE i = 1
+  UNION ALL SELECT s.conv_id, s.mi, s.i, s.size, f.chunk_id + CAST(f.filled + s.size > 2000 AS BIGINT), CASE WHEN f.filled + s.size > 2000 THEN s.size ELSE f.filled + s.size END FROM fold f JOIN sized s ON s.i = f.i + 1)"""
+CHUNKS = f"WITH RECURSIVE {CHUNKS_CTE} SELECT CAST(conv_id AS VARCHAR) AS source_file, CAST(mi AS INTEGER) AS message_index, size, chunk_id FROM fold"
+CHUNK_LIST = f"WITH RECURSIVE {CHUNKS_CTE} SELECT chunk_id, format('chunk_{{:04d}}.json', chunk_id) AS filename, count(*) AS record_count, CAST(sum(size) AS BIGINT) AS char_size FROM fold GROUP BY chunk_id"
+MANIFEST = f"""WITH RECURSIVE {CHUNKS_CTE}, n AS (SELECT topic, count(*) AS n FROM (SELECT unnest(string_split(topics, ',')) AS topic FROM kept) GROUP BY 1), seen AS (SELECT * FROM conversations WHERE conv_id % 10 <> 3)
+SELECT (SELECT count(DISTINCT conv_id) FROM conversations) AS files, (SELECT count(DISTINCT conv_id) FROM conversations WHERE conv_id % 10 = 3) AS failed, (SELECT count(*) FROM seen) AS seen, (SELECT count(*) FROM seen WHERE length(text) < 10) AS dropped_short,
+  (SELECT count(*) FROM kept) AS kept, (SELECT max(chunk_id) FROM fold) AS chunks, (SELECT string_agg(topic || '=' || n, ',' ORDER BY topic) FROM n) AS topic_counts, (SELECT count(*) FROM seen) - (SELECT count(*) FROM kept) AS dropped"""
 
 DIVERGENCES = f"""WITH {CANDLES}, {CVD.replace(TRADES + ", ", "", 1)}, f AS (SELECT inst_id, date_trunc('hour', window_start) AS window_start, arg_max(v, window_start) AS v, sum(d) AS d FROM cvd GROUP BY ALL),
 x AS (SELECT c.inst_id, c.window_start, c.open, c.high, c.low, c.close, f.v, f.d, lag(c.high) OVER w AS ph, lag(c.low) OVER w AS pl, lag(f.v) OVER w AS pv FROM candles c JOIN f USING (inst_id, window_start) WHERE c.timeframe = '1h' WINDOW w AS (PARTITION BY c.inst_id ORDER BY c.window_start))
@@ -171,3 +173,10 @@ parts AS (SELECT inst_id, 'wicks' AS component, max(created) AS last, 'untouched
   UNION ALL SELECT inst_id, 'cvd', max(window_start), 'direction=' || CASE sign(arg_max(d, window_start)) WHEN 1 THEN 'BULLISH' WHEN -1 THEN 'BEARISH' ELSE 'NEUTRAL' END FROM cvd GROUP BY 1
   UNION ALL SELECT inst_id, 'vwap', max(window_start), 'session=' || CAST(round(arg_max(v, window_start), 2) AS DECIMAL(18,2)) || ', hour=' || CAST(round(arg_max(v1, window_start), 2) AS DECIMAL(18,2)) FROM vs GROUP BY 1)
 SELECT inst_id, component, CASE WHEN age < 15 THEN 'FRESH' ELSE 'STALE' END AS status, age AS age_minutes, attrs FROM (SELECT *, CAST(trunc(epoch(TIMESTAMP '2024-01-31 00:10:00' - last) / 60) AS BIGINT) AS age FROM parts)"""
+# every snapshot has enough, so each band is one streak over the whole history; births follow from each other
+WALL_RESTARTS = f"""WITH RECURSIVE {book(1000)}, r AS MATERIALIZED (SELECT inst_id, side, band, ts, epoch_us(ts) AS us, row_number() OVER (PARTITION BY inst_id, side, band ORDER BY ts) AS i FROM bands WHERE band <= 1),
+births(inst_id, side, band, i, us) AS (SELECT inst_id, side, band, i, us FROM r WHERE i = 1
+  UNION ALL SELECT r.inst_id, r.side, r.band, r.i, r.us FROM (SELECT b.inst_id, b.side, b.band, min(r.i) + 1 AS i FROM births b JOIN r ON r.inst_id = b.inst_id AND r.side = b.side AND r.band = b.band AND r.us > b.us - b.us % 1000000 + 900000000 GROUP BY ALL) n JOIN r USING (inst_id, side, band, i)),
+w AS (SELECT r.*, last_value(b.us - b.us % 1000000 IGNORE NULLS) OVER (PARTITION BY r.inst_id, r.side, r.band ORDER BY r.ts) AS born, b.us IS NOT NULL AS start FROM r LEFT JOIN births b USING (inst_id, side, band, i)),
+a AS (SELECT *, CASE WHEN NOT start AND us - born BETWEEN 30000000 AND 900000000 THEN (us - born) // 1000000 END AS wall_age FROM w)
+SELECT inst_id, ts, side, band, wall_age, wall_age IS NOT NULL AS wall_active FROM a"""

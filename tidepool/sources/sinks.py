@@ -41,4 +41,4 @@ def inbox(df: DataFrame, path: str, symbol: str, kind: str) -> None:
 
 def chunks(records: DataFrame, path: str) -> None:
     """Records by chunk_id as JSON lines, one folder a chunk."""
-    records.repartition("chunk_id").sortWithinPartitions("chunk_id", "place").write.partitionBy("chunk_id").mode("overwrite").json(path)
+    records.repartition("chunk_id").sortWithinPartitions("chunk_id", "source_file", "place").write.partitionBy("chunk_id").mode("overwrite").json(path)
