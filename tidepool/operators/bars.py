@@ -5,11 +5,11 @@ Windows without a trade give no bar. Ties in time go by trade_id.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import money, times
-from .scale import previous, running
+from .scale import in_blocks, previous, running
 
 LADDER = ("5m", "15m", "1h", "4h")
 
@@ -77,9 +77,9 @@ def cvd(trades: DataFrame, timeframe: str = "1m") -> DataFrame:
 
 
 def cvd_at_close(minute_cvd: DataFrame, timeframe: str) -> DataFrame:
-    """The running value at the end of each coarser window."""
+    """The running value at the end of each coarser window, its net delta, and the gross flow: its minutes' deltas without sign."""
     start = times.floor_to(F.col("window_start"), timeframe).alias("start")
-    return minute_cvd.groupBy("inst_id", start).agg(F.max_by("cvd_value", "window_start").alias("cvd_value"), F.sum("cvd_delta").alias("cvd_delta")).withColumnRenamed("start", "window_start")
+    return minute_cvd.groupBy("inst_id", start).agg(F.max_by("cvd_value", "window_start").alias("cvd_value"), F.sum("cvd_delta").alias("cvd_delta"), F.sum(F.abs("cvd_delta")).alias("gross")).withColumnRenamed("start", "window_start")
 
 
 def delta_turns(minute_cvd: DataFrame) -> DataFrame:
@@ -88,18 +88,41 @@ def delta_turns(minute_cvd: DataFrame) -> DataFrame:
     return rows.where(F.signum("cvd_delta") * F.signum("before") < 0)
 
 
-def divergences(candles: DataFrame, flow: DataFrame, flat_pct: float = 0.1) -> DataFrame:
-    """Windows whose price and flow disagree: inst_id, window_start, pattern, direction. ``flow`` has cvd_value and
-    cvd_delta of the same windows.
-
-    absorption: the running delta fell below that of the window before, yet the low held within ``flat_pct`` percent.
-    exhaustion: a higher high than the window before on a lower running delta. delta_turn: a falling window that was
-    bought on balance, or a rising one that was sold."""
-    rows = candles.select("inst_id", "window_start", "open", "high", "low", "close").join(flow.select("inst_id", "window_start", "cvd_value", "cvd_delta"), ["inst_id", "window_start"])
-    rows = previous(rows, ["inst_id"], times.day(F.col("window_start")), ["window_start"], F.struct("high", "low", "cvd_value"), "before")
-    b, weaker = F.col("before"), F.col("cvd_value") < F.col("before.cvd_value")
-    held = F.col("low") * 100 >= b["low"] * F.lit(100 - flat_pct).cast("decimal(8,4)")
+def pivots(candles: DataFrame, n: int = 3, block: int = 5_000) -> DataFrame:
+    """``candles`` with pivot_high and pivot_low: the highest high, or lowest low, of the ``n`` candles either side (of equal
+    ones the first). A candle with fewer neighbours on a side is none yet, so a pivot is known ``n`` candles later."""
+    rows = candles.withColumn("_day", times.day(F.col("window_start")))
+    rows = running(rows, ["inst_id"], "_day", ["window_start"], {"_place": F.lit(1).cast("long")}).drop("_day")
+    dealt = in_blocks(rows, ["inst_id"], "_place", max(block, n), before=n, after=n)
+    w = Window.partitionBy("inst_id", "_block").orderBy("_place")
+    back, ahead = w.rowsBetween(-n, -1), w.rowsBetween(1, n)
+    full = (F.count("*").over(back) == n) & (F.count("*").over(ahead) == n)
+    high = full & (F.col("high") > F.max("high").over(back)) & (F.col("high") >= F.max("high").over(ahead))
+    low = full & (F.col("low") < F.min("low").over(back)) & (F.col("low") <= F.min("low").over(ahead))
+    return dealt.withColumn("pivot_high", high).withColumn("pivot_low", low).where("_own").drop("_place", "_block", "_own")
+
+
+def divergences(candles: DataFrame, flow: DataFrame, n: int = 3, flat_pct: float = 0.1, percent: int = 30, block: int = 5_000) -> DataFrame:
+    """Where price and flow disagree: inst_id, window_start, pattern, direction. ``flow`` has cvd_value, cvd_delta and gross (the
+    flow without sign) of the same windows.
+
+    absorption: a pivot low below the pivot low before it, or no more than ``flat_pct`` percent above, while the running delta
+    fell by ``percent`` of the gross flow between them: selling that didn't move the price. exhaustion: a pivot high above the
+    one before it while the running delta fell as much. delta_turn: a falling window whose net delta is bought, by ``percent`` of its gross
+    flow at least, or a rising one that is sold. A pivot's pattern is known ``n`` windows later."""
+    rows = candles.select("inst_id", "window_start", "open", "high", "low", "close").join(flow.select("inst_id", "window_start", "cvd_value", "cvd_delta", "gross"), ["inst_id", "window_start"])
+    rows = running(rows.withColumn("_day", times.day(F.col("window_start"))), ["inst_id"], "_day", ["window_start"], {"_flow": F.col("gross")}).drop("_day")
+    rows = pivots(rows, n, block)
+
+    def swings(kind: str, price: str) -> DataFrame:
+        p = rows.where(f"pivot_{kind}")
+        p = previous(p, ["inst_id"], times.day(F.col("window_start")), ["window_start"], F.struct(F.col(price).alias("price"), "cvd_value", "_flow"), "before")
+        b = F.col("before")
+        return p.where((b["cvd_value"] - F.col("cvd_value")) * 100 >= (F.col("_flow") - b["_flow"]) * percent).where(b["cvd_value"] > F.col("cvd_value"))
+
+    named = lambda df, pattern, direction: df.select("inst_id", "window_start", F.lit(pattern).alias("pattern"), F.lit(direction).alias("direction") if isinstance(direction, str) else direction.alias("direction"))
+    held = F.col("low") * 100 <= F.col("before.price") * F.lit(100 + flat_pct).cast("decimal(8,4)")
     against = F.signum((F.col("close") - F.col("open")).cast("double")) * F.signum(F.col("cvd_delta").cast("double")) < 0
-    named = lambda on, pattern, direction: F.when(on, F.struct(F.lit(pattern).alias("pattern"), direction.alias("direction")))
-    found = F.array_compact(F.array(named(weaker & held, "absorption", F.lit("BULLISH")), named(weaker & (F.col("high") > b["high"]), "exhaustion", F.lit("BEARISH")), named(against, "delta_turn", F.when(F.col("cvd_delta") > 0, "BEARISH").otherwise("BULLISH"))))
-    return rows.select("inst_id", "window_start", F.explode(found).alias("p")).select("inst_id", "window_start", "p.*")
+    turned = rows.where(against & (F.abs("cvd_delta") * 100 >= F.col("gross") * percent))
+    out = named(swings("low", "low").where(held), "absorption", "BULLISH").unionByName(named(swings("high", "high").where(F.col("high") > F.col("before.price")), "exhaustion", "BEARISH"))
+    return out.unionByName(named(turned, "delta_turn", F.when(F.col("cvd_delta") > 0, "BEARISH").otherwise("BULLISH")))

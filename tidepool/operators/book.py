@@ -34,10 +34,12 @@ def buckets(snapshots: DataFrame, meta: DataFrame, bands=BANDS) -> DataFrame:
         return F.transform(F.filter(levels, lambda x: keep(x["price"])), lambda x: F.struct(band_of(x["price"], F.col("mid"), bands).alias("band"), (x["qty"] * F.col("ct_val")).cast("decimal(20,8)").alias("base"), money.notional(x["qty"], F.col("ct_val"), x["price"]).alias("notional")))
 
     rows = rows.withColumn("_b", side("bids", lambda p: p <= F.col("mid"))).withColumn("_a", side("asks", lambda p: p >= F.col("mid")))
-    total = lambda c, i, f, kind: F.aggregate(F.filter(c, lambda x: x["band"] == i), F.lit(0).cast(kind), lambda a, x: (a + x[f]).cast(kind))
+    kinds = {"notional": "decimal(30,8)", "base": "decimal(28,8)"}
+    none = F.struct(*[F.lit(0).cast(kind).alias(f"{f}{i}") for f, kind in kinds.items() for i in range(len(bands))])
+    plus = lambda sums, x: F.struct(*[F.when(x["band"] == i, (sums[f"{f}{i}"] + x[f]).cast(kind)).otherwise(sums[f"{f}{i}"]).alias(f"{f}{i}") for f, kind in kinds.items() for i in range(len(bands))])
     for name, c in (("bid", "_b"), ("ask", "_a")):
-        rows = rows.withColumn(f"{name}_notional", F.array(*[total(c, i, "notional", "decimal(30,8)") for i in range(len(bands))]))
-        rows = rows.withColumn(f"{name}_base", F.array(*[total(c, i, "base", "decimal(28,8)") for i in range(len(bands))]))
+        rows = rows.withColumn(c, F.aggregate(c, none, plus))
+        rows = rows.withColumns({f"{name}_{f}": F.array(*[F.col(c)[f"{f}{i}"] for i in range(len(bands))]) for f in kinds})
     best = lambda levels, f: F.coalesce(F.get(F.col(levels), F.lit(0))[f], F.lit(0).cast(money.PRICE))
     rows = rows.withColumns({"best_bid": best("bids", "price"), "best_bid_qty": best("bids", "qty"), "best_ask": best("asks", "price"), "best_ask_qty": best("asks", "qty")})
     vb, va = F.col("best_bid_qty").cast("double"), F.col("best_ask_qty").cast("double")
@@ -113,11 +115,15 @@ def sequence_gaps(snapshots: DataFrame) -> DataFrame:
     return rows.withColumn("gap_detected", F.coalesce(F.col("_before") != F.col("prevSeqId"), F.lit(False))).drop("_before")
 
 
-def depth_weighted(bucket_rows: DataFrame, bands=BANDS) -> DataFrame:
-    """Order-book imbalance over all bands, weighted by one over the band's bound."""
-    total = lambda c: sum((F.get(F.col(c), F.lit(i)).cast("double") / b for i, b in enumerate(bands)), F.lit(0.0))
-    b, a = total("bid_notional"), total("ask_notional")
-    return bucket_rows.withColumn("depth_obi", F.round(F.coalesce(F.try_divide(b - a, b + a), F.lit(0.0)), 6))
+def depth_weighted(snapshots: DataFrame, alpha: float = 0.1, depth: int = 400) -> DataFrame:
+    """``snapshots`` with depth_obi: imbalance of the sizes of the best ``depth`` levels a side, level i (from 1) with the weight
+    exp(-alpha i); 0 for a book without levels."""
+    def total(levels: str) -> Column:
+        sizes = F.transform(F.slice(F.coalesce(F.col(levels), F.array().cast(f"array<struct<price:{money.PRICE},qty:{money.QTY}>>")), 1, depth), lambda x, i: x["qty"].cast("double") * F.exp(-alpha * (i + 1)))
+        return F.aggregate(sizes, F.lit(0.0), lambda a, x: a + x)
+
+    rows = snapshots.withColumns({"_b": total("bids"), "_a": total("asks")})
+    return rows.withColumn("depth_obi", F.round(F.coalesce(F.try_divide(F.col("_b") - F.col("_a"), F.col("_b") + F.col("_a")), F.lit(0.0)), 6)).drop("_b", "_a")
 
 
 def order_flow(bucket_rows: DataFrame) -> DataFrame:
@@ -130,3 +136,10 @@ def order_flow(bucket_rows: DataFrame) -> DataFrame:
     bids = size(F.col("best_bid") >= b["best_bid"], F.col("best_bid_qty")) - size(F.col("best_bid") <= b["best_bid"], b["best_bid_qty"])
     asks = size(F.col("best_ask") <= b["best_ask"], F.col("best_ask_qty")) - size(F.col("best_ask") >= b["best_ask"], b["best_ask_qty"])
     return rows.withColumn("ofi", F.when(b.isNull(), F.lit(0).cast("decimal(26,4)")).otherwise(bids - asks)).drop("_before")
+
+
+def order_flow_bars(flow: DataFrame, seconds: int = 10) -> DataFrame:
+    """Order-flow imbalance summed over windows of ``seconds``: inst_id, window_start, ofi, snapshots."""
+    us = times.micros(F.col("ts"))
+    start = F.timestamp_micros(us - F.pmod(us, F.lit(seconds * 1_000_000)))
+    return flow.groupBy("inst_id", start.alias("window_start")).agg(F.sum("ofi").alias("ofi"), F.count("*").alias("snapshots"))

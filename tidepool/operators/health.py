@@ -36,7 +36,8 @@ def per_instrument(df: DataFrame, name: str, ts: str, as_of, instruments: DataFr
 
 
 def five_components(as_of, instruments: DataFrame, wicks: DataFrame, volume: DataFrame, walls: DataFrame, cvd: DataFrame, vwap: DataFrame, recent_minutes: int = 60, young_s: int = 300) -> DataFrame:
-    """Per instrument the state of wicks, volume bars, book walls, CVD and VWAP, each with the metrics of its latest row.
+    """Per instrument the state of wicks, volume bars, book walls, CVD and VWAP, each with the metrics of its latest row, and of
+    all together.
 
     wicks: created, status. volume: window_start, volume_tier, absorption, divergence. walls: ts, side, wall_age. cvd:
     window_start, cvd_delta. vwap: window_start, vwap_session, vwap_1h. A wick counts while untouched, and as recent
@@ -51,13 +52,22 @@ def five_components(as_of, instruments: DataFrame, wicks: DataFrame, volume: Dat
         per_instrument(wicks, "wicks", "created", as_of, instruments, untouched=F.count_if(open_), recent=F.count_if(open_ & (F.unix_micros("created") >= end - recent_minutes * 60_000_000))),
         per_instrument(volume, "volume", "window_start", as_of, instruments, tier=at("volume_tier"), absorption=at("absorption"), divergence=at("divergence")),
         per_instrument(last, "walls", "ts", as_of, instruments, young_bid=F.max_by("bid", "ts"), young_ask=F.max_by("ask", "ts")),
-        per_instrument(cvd, "cvd", "window_start", as_of, instruments, direction=F.when(delta > 0, "BULLISH").when(delta < 0, "BEARISH").otherwise("NEUTRAL")),
+        per_instrument(cvd, "cvd", "window_start", as_of, instruments, direction=F.when(delta > 0, "BULLISH").when(delta < 0, "BEARISH").otherwise("NEUTRAL"), delta=money("cvd_delta")),
         per_instrument(vwap, "vwap", "window_start", as_of, instruments, session=money("vwap_session"), hour=money("vwap_1h")),
     ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return with_overall(out)
+
+
+def with_overall(rows: DataFrame) -> DataFrame:
+    """``rows`` of components and one more an instrument: HEALTHY if all are fresh, DEGRADED if one is missing, else STALE, with
+    how many are what and the greatest age."""
+    n = {s: F.count_if(F.col("status") == s) for s in ("FRESH", "STALE", "MISSING")}
+    status = F.when(n["MISSING"] > 0, "DEGRADED").when(n["STALE"] > 0, "STALE").otherwise("HEALTHY")
+    attrs = F.concat_ws(", ", *[F.concat(F.lit(f"{s.lower()}="), c.cast("string")) for s, c in n.items()])
+    return rows.unionByName(rows.groupBy("inst_id").agg(F.lit("overall").alias("component"), status.alias("status"), F.max("age_minutes").alias("age_minutes"), attrs.alias("attrs")))
 
 
 def counters(ts: str, bad=None) -> list:

@@ -183,7 +183,7 @@ def _(spark, sf):
 
 @query("c8_depth_weighted_obi", twins.DEPTH)
 def _(spark, sf):
-    return naive(book.depth_weighted(_buckets(spark, sf)).select("inst_id", "ts", "depth_obi"))
+    return naive(book.depth_weighted(adapters.book(spark, sf)).select("inst_id", "ts", "depth_obi"))
 
 
 @query("t7_walls", twins.WALLS)
@@ -380,6 +380,11 @@ def _(spark, sf):
     return naive(double(book.order_flow(_buckets(spark, sf)), "ofi").select("inst_id", "ts", "ofi"))
 
 
+@query("c8_order_flow_10s", twins.ORDER_FLOW_10S)
+def _(spark, sf):
+    return naive(double(book.order_flow_bars(book.order_flow(_buckets(spark, sf))), "ofi"))
+
+
 @query("o6_unique_snapshots", f"WITH {twins.book(1000)} SELECT inst_id, ts, seq FROM snaps")
 def _(spark, sf):
     b = adapters.book(spark, sf)

@@ -101,8 +101,8 @@ IMBALANCE = f"""WITH {book(1000)}, p AS (SELECT inst_id, ts, band, CAST(sum(n) F
 SELECT inst_id, ts, band, CASE WHEN a + b = 0 THEN 0.0 ELSE round_even(round((b - a) / (b + a) * 100, 8), 0) / 100 END AS imbalance FROM p"""
 CHANGES = f"""WITH {book(1000)}, d AS (SELECT *, n - lag(n, 1, 0) OVER w AS delta, lag(n, 1, 0) OVER w AS before FROM bands WINDOW w AS (PARTITION BY inst_id, side, band ORDER BY ts))
 SELECT inst_id, ts, side, band, round(CAST(delta AS DOUBLE), 4) AS delta, abs(delta) > 500 OR (before > 0 AND abs(CAST(delta AS DOUBLE)) > 0.1 * CAST(before AS DOUBLE)) AS significant FROM d"""
-_WEIGHTED = lambda side: " + ".join(f"coalesce(max(CAST(n AS DOUBLE) / {w}) FILTER (side = '{side}' AND band = {i}), 0)" for i, w in enumerate((10, 25, 50, 100, 200, 500)))
-DEPTH = f"""WITH {book(1000)}, x AS (SELECT inst_id, ts, {_WEIGHTED("bid")} AS b, {_WEIGHTED("ask")} AS a FROM bands GROUP BY ALL)
+DEPTH = f"""WITH {book(1000)}, i AS (SELECT seq, side, CAST(qty AS DOUBLE) * exp(-0.1 * row_number() OVER (PARTITION BY seq, side ORDER BY off, qty DESC)) AS v FROM levels),
+x AS (SELECT s.inst_id, s.ts, coalesce(sum(v) FILTER (side = 'bid'), 0) AS b, coalesce(sum(v) FILTER (side = 'ask'), 0) AS a FROM snaps s LEFT JOIN i ON i.seq = s.seq GROUP BY ALL)
 SELECT inst_id, ts, CASE WHEN a + b = 0 THEN 0.0 ELSE round((b - a) / (b + a), 6) END AS depth_obi FROM x"""
 
 AS_OF = "TIMESTAMP '2024-01-30 00:00:00'"
@@ -148,12 +148,16 @@ MANIFEST = f"""WITH RECURSIVE {CHUNKS_CTE}, n AS (SELECT topic, count(*) AS n FR
 SELECT (SELECT count(DISTINCT conv_id) FROM conversations) AS files, (SELECT count(DISTINCT conv_id) FROM conversations WHERE conv_id % 10 = 3) AS failed, (SELECT count(*) FROM seen) AS seen, (SELECT count(*) FROM seen WHERE length(text) < 10) AS dropped_short,
   (SELECT count(*) FROM kept) AS kept, (SELECT max(chunk_id) FROM fold) AS chunks, (SELECT string_agg(topic || '=' || n, ',' ORDER BY topic) FROM n) AS topic_counts, (SELECT count(*) FROM seen) - (SELECT count(*) FROM kept) AS dropped"""
 
-DIVERGENCES = f"""WITH {CANDLES}, {CVD.replace(TRADES + ", ", "", 1)}, f AS (SELECT inst_id, date_trunc('hour', window_start) AS window_start, arg_max(v, window_start) AS v, sum(d) AS d FROM cvd GROUP BY ALL),
-x AS (SELECT c.inst_id, c.window_start, c.open, c.high, c.low, c.close, f.v, f.d, lag(c.high) OVER w AS ph, lag(c.low) OVER w AS pl, lag(f.v) OVER w AS pv FROM candles c JOIN f USING (inst_id, window_start) WHERE c.timeframe = '1h' WINDOW w AS (PARTITION BY c.inst_id ORDER BY c.window_start))
-SELECT inst_id, window_start, 'absorption' AS pattern, 'BULLISH' AS direction FROM x WHERE v < pv AND low * 1000 >= pl * 999 UNION ALL SELECT inst_id, window_start, 'exhaustion', 'BEARISH' FROM x WHERE v < pv AND high > ph
-UNION ALL SELECT inst_id, window_start, 'delta_turn', CASE WHEN d > 0 THEN 'BEARISH' ELSE 'BULLISH' END FROM x WHERE sign(close - open) * sign(d) < 0"""
+DIVERGENCES = f"""WITH {CANDLES}, {CVD.replace(TRADES + ", ", "", 1)}, f AS (SELECT inst_id, date_trunc('hour', window_start) AS window_start, arg_max(v, window_start) AS v, sum(d) AS d, sum(abs(d)) AS g FROM cvd GROUP BY ALL),
+x AS (SELECT c.inst_id, c.window_start, c.open, c.high, c.low, c.close, f.v, f.d, f.g, sum(f.g) OVER w AS flow, count(*) OVER b = 3 AND count(*) OVER a = 3 AS whole, max(c.high) OVER b AS hb, max(c.high) OVER a AS ha, min(c.low) OVER b AS lb, min(c.low) OVER a AS la
+  FROM candles c JOIN f USING (inst_id, window_start) WHERE c.timeframe = '1h' WINDOW w AS (PARTITION BY c.inst_id ORDER BY c.window_start), b AS (PARTITION BY c.inst_id ORDER BY c.window_start ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING), a AS (PARTITION BY c.inst_id ORDER BY c.window_start ROWS BETWEEN 1 FOLLOWING AND 3 FOLLOWING)),
+hi AS (SELECT *, lag(high) OVER w AS p, lag(v) OVER w AS pv, lag(flow) OVER w AS pf FROM x WHERE whole AND high > hb AND high >= ha WINDOW w AS (PARTITION BY inst_id ORDER BY window_start)),
+lo AS (SELECT *, lag(low) OVER w AS p, lag(v) OVER w AS pv, lag(flow) OVER w AS pf FROM x WHERE whole AND low < lb AND low <= la WINDOW w AS (PARTITION BY inst_id ORDER BY window_start))
+SELECT inst_id, window_start, 'absorption' AS pattern, 'BULLISH' AS direction FROM lo WHERE v < pv AND (pv - v) * 100 >= (flow - pf) * 30 AND low * 1000 <= p * 1001 UNION ALL SELECT inst_id, window_start, 'exhaustion', 'BEARISH' FROM hi WHERE v < pv AND (pv - v) * 100 >= (flow - pf) * 30 AND high > p
+UNION ALL SELECT inst_id, window_start, 'delta_turn', CASE WHEN d > 0 THEN 'BEARISH' ELSE 'BULLISH' END FROM x WHERE sign(close - open) * sign(d) < 0 AND abs(d) * 100 >= g * 30"""
 ORDER_FLOW = f"""WITH {TOP_CTE}, p AS (SELECT *, lag(pb) OVER w AS b0, lag(vb) OVER w AS vb0, lag(pa) OVER w AS a0, lag(va) OVER w AS va0 FROM b WINDOW w AS (PARTITION BY inst_id ORDER BY ts))
 SELECT inst_id, ts, CAST(coalesce((CASE WHEN pb >= b0 THEN vb ELSE 0 END - CASE WHEN pb <= b0 THEN vb0 ELSE 0 END) - (CASE WHEN pa <= a0 THEN va ELSE 0 END - CASE WHEN pa >= a0 THEN va0 ELSE 0 END), 0) AS DOUBLE) AS ofi FROM p"""
+ORDER_FLOW_10S = f"SELECT inst_id, time_bucket(INTERVAL 10 SECOND, ts, TIMESTAMP '2000-01-01') AS window_start, sum(ofi) AS ofi, count(*) AS snapshots FROM ({ORDER_FLOW}) GROUP BY 1, 2"
 
 # gaps and islands: a wall is born at the first snapshot of a streak of enough notional. No streak of these tables lasts
 # an hour, so the restarts after one are left to the model test
@@ -170,9 +174,10 @@ young AS (SELECT b.inst_id, b.ts, count(*) FILTER (b.side = 'bid' AND w.i > 1 AN
 parts AS (SELECT inst_id, 'wicks' AS component, max(created) AS last, 'untouched=' || count(*) FILTER (status = 'untouched') || ', recent=' || count(*) FILTER (status = 'untouched' AND created >= TIMESTAMP '2024-01-31 00:10:00' - INTERVAL 6000 MINUTE) AS attrs FROM states GROUP BY 1
   UNION ALL SELECT inst_id, 'volume', max(window_start), 'tier=' || arg_max(volume_tier, window_start) || ', absorption=' || arg_max(absorption, window_start) || ', divergence=' || arg_max(divergence, window_start) FROM signals GROUP BY 1
   UNION ALL SELECT inst_id, 'walls', max(ts), 'young_bid=' || arg_max(yb, ts) || ', young_ask=' || arg_max(ya, ts) FROM young GROUP BY 1
-  UNION ALL SELECT inst_id, 'cvd', max(window_start), 'direction=' || CASE sign(arg_max(d, window_start)) WHEN 1 THEN 'BULLISH' WHEN -1 THEN 'BEARISH' ELSE 'NEUTRAL' END FROM cvd GROUP BY 1
-  UNION ALL SELECT inst_id, 'vwap', max(window_start), 'session=' || CAST(round(arg_max(v, window_start), 2) AS DECIMAL(18,2)) || ', hour=' || CAST(round(arg_max(v1, window_start), 2) AS DECIMAL(18,2)) FROM vs GROUP BY 1)
-SELECT inst_id, component, CASE WHEN age < 15 THEN 'FRESH' ELSE 'STALE' END AS status, age AS age_minutes, attrs FROM (SELECT *, CAST(trunc(epoch(TIMESTAMP '2024-01-31 00:10:00' - last) / 60) AS BIGINT) AS age FROM parts)"""
+  UNION ALL SELECT inst_id, 'cvd', max(window_start), 'direction=' || CASE sign(arg_max(d, window_start)) WHEN 1 THEN 'BULLISH' WHEN -1 THEN 'BEARISH' ELSE 'NEUTRAL' END || ', delta=' || CAST(round(arg_max(d, window_start), 2) AS DECIMAL(18,2)) FROM cvd GROUP BY 1
+  UNION ALL SELECT inst_id, 'vwap', max(window_start), 'session=' || CAST(round(arg_max(v, window_start), 2) AS DECIMAL(18,2)) || ', hour=' || CAST(round(arg_max(v1, window_start), 2) AS DECIMAL(18,2)) FROM vs GROUP BY 1),
+r AS (SELECT inst_id, component, CASE WHEN age < 15 THEN 'FRESH' ELSE 'STALE' END AS status, age AS age_minutes, attrs FROM (SELECT *, CAST(trunc(epoch(TIMESTAMP '2024-01-31 00:10:00' - last) / 60) AS BIGINT) AS age FROM parts))
+SELECT * FROM r UNION ALL SELECT inst_id, 'overall', CASE WHEN count(*) FILTER (status = 'STALE') > 0 THEN 'STALE' ELSE 'HEALTHY' END, max(age_minutes), 'fresh=' || count(*) FILTER (status = 'FRESH') || ', stale=' || count(*) FILTER (status = 'STALE') || ', missing=0' FROM r GROUP BY 1"""
 # every snapshot has enough, so each band is one streak over the whole history; births follow from each other
 WALL_RESTARTS = f"""WITH RECURSIVE {book(1000)}, r AS MATERIALIZED (SELECT inst_id, side, band, ts, epoch_us(ts) AS us, row_number() OVER (PARTITION BY inst_id, side, band ORDER BY ts) AS i FROM bands WHERE band <= 1),
 births(inst_id, side, band, i, us) AS (SELECT inst_id, side, band, i, us FROM r WHERE i = 1
