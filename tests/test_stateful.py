@@ -8,8 +8,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import SF
 from tests.test_models import T0, tape
-from tidepool.operators import bars, vwap
+from tidepool.operators import bars, vwap, wicks
+from tidepool.plans import adapters
 from tidepool.sources import market
 from tidepool.streaming import stateful
 
@@ -124,3 +126,28 @@ def test_checksum_of_uneven_sides():
     assert stateful.checksum([("1", "2")], [("3", "4"), ("5", "6")]) == stateful.checksum([("1", "2")], [("3", "4"), ("5", "6")], 2) != stateful.checksum([("1", "2")], [("3", "4")])
     crc = zlib.crc32(b"3366.1:7:3366.8:9:3368:8")
     assert stateful.checksum([("3366.1", "7")], [("3366.8", "9"), ("3368", "8")]) == (crc - 2**32 if crc >= 2**31 else crc)
+
+
+def test_wick_log_equals_batch(spark, tmp_path):
+    candles = bars.candles(adapters.trades(spark, SF), "1h").select("inst_id", "timeframe", "window_end", "open", "high", "low", "close")
+    rows = candles.collect()
+    days = [datetime(2000, 1, 1), datetime(2024, 1, 8), datetime(2024, 1, 16), datetime(2024, 1, 24), datetime(2100, 1, 1)]
+    parts = [[r for r in rows if a <= r.window_end < b] for a, b in zip(days, days[1:], strict=False)]
+    got = fed(spark, parts, candles.schema, lambda s: stateful.wick_log(s, hours=24), tmp_path / "log").collect()
+    last = {r.event_id: r for r in wicks.lifecycle(wicks.detect(candles), candles, hours=24).collect()}
+    born = {r.event_id for r in got if r.status == "untouched"}
+    ends = {r.event_id: r for r in got if r.status != "untouched"}
+    assert born == last.keys() and len(got) == len(born) + len(ends)
+    # batch takes the end of a series' own candles as its present, the stream the watermark of all
+    assert all(ends[e].status == r.status and ends[e].at == (r.touch_ts or r.created + timedelta(hours=24)) for e, r in last.items() if r.status != "untouched")
+    assert all(ends[e].status == "expired" for e, r in last.items() if r.status == "untouched" and e in ends)
+    assert {r.status for r in last.values()} >= {"touched", "expired"}
+
+
+def test_wicks_expire_without_candles(spark, tmp_path):
+    """One series falls silent; candles of another one move the watermark past the expiry."""
+    row = lambda k, h, o, hi, lo, c: (k, "1h", T0 + timedelta(hours=h), *map(Decimal, (o, hi, lo, c)))
+    schema = "inst_id string, timeframe string, window_end timestamp, open decimal(16,4), high decimal(16,4), low decimal(16,4), close decimal(16,4)"
+    parts = [[row("A", 0, 10, 12, 9, 11), row("B", 0, 10, 10, 10, 10)], [row("A", 1, 10, 10, 9, 10)], [row("B", 200, 10, 10, 10, 10)], [row("B", 201, 10, 10, 10, 10)]]
+    got = fed(spark, parts, spark.createDataFrame([], schema).schema, stateful.wick_log, tmp_path / "w").collect()
+    assert sorted((r.wick_type, r.status, r.price, r.at) for r in got) == sorted([("high", "untouched", 12, T0), ("low", "untouched", 9, T0), ("low", "touched", 9, T0 + timedelta(hours=1)), ("low", "untouched", 9, T0 + timedelta(hours=1)), ("high", "expired", 12, T0 + timedelta(hours=168)), ("low", "expired", 9, T0 + timedelta(hours=169))])

@@ -12,7 +12,6 @@ from tidepool.functions import times
 from tidepool.operators import bars, health, topics, wicks
 from tidepool.plans import adapters
 from tidepool.sources import market, schemas, sinks
-from tidepool.streaming import market as streams
 
 
 def test_durations():
@@ -131,19 +130,3 @@ def test_files_that_fail(spark, tmp_path):
 def test_self_test(spark, capsys):
     cli.main(["self-test"])
     assert "passed" in capsys.readouterr().out
-
-
-def test_wick_stream_equals_batch(spark, tmp_path):
-    candles = bars.candles(adapters.trades(spark, SF), "1h").select("inst_id", "timeframe", "window_end", "open", "high", "low", "close")
-    for i, day in enumerate(("2024-01-08", "2024-01-16", "2030-01-01")):
-        part = candles.where(f"window_end < '{day}'" + (f" and window_end >= '{before}'" if i else ""))  # noqa: F821
-        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        log = streams.wick_log(spark.readStream.schema(candles.schema).parquet(str(tmp_path / "in")), hours=24)
-        log.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).option("path", str(tmp_path / "log")).trigger(availableNow=True).start().awaitTermination()
-        before = day  # noqa: F841
-    last = wicks.lifecycle(wicks.detect(candles), candles, hours=24)
-    want = {(r.event_id, r.status, r.price) for r in wicks.change_log(last).collect()}
-    got = spark.read.parquet(str(tmp_path / "log"))
-    assert {(r.event_id, r.status, r.price) for r in got.collect()} == want and got.count() == len(want) > 50
-    ends = got.where("status = 'touched'").join(last, "event_id").where("at <> touch_ts")
-    assert ends.isEmpty()

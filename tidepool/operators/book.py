@@ -30,16 +30,18 @@ def buckets(snapshots: DataFrame, meta: DataFrame, bands=BANDS) -> DataFrame:
     """Per snapshot: notional and base by band and side (arrays), imbalance by band, obi, micro_price, best levels."""
     rows = snapshots.where("mid is not null").join(meta.select("inst_id", "ct_val"), "inst_id")
 
+    # every level's distance is worked out once, and the bounds once a snapshot
+    rows = rows.withColumn("_bounds", F.array(*[F.col("mid") * b for b in bands]))
+
     def side(levels: str, keep) -> Column:
-        return F.transform(F.filter(levels, lambda x: keep(x["price"])), lambda x: F.struct(band_of(x["price"], F.col("mid"), bands).alias("band"), (x["qty"] * F.col("ct_val")).cast("decimal(20,8)").alias("base"), money.notional(x["qty"], F.col("ct_val"), x["price"]).alias("notional")))
+        near = F.transform(F.filter(levels, lambda x: keep(x["price"])), lambda x: F.struct((F.abs(x["price"] - F.col("mid")).cast("decimal(20,4)") * 10_000).alias("far"), (x["qty"] * F.col("ct_val")).cast("decimal(20,8)").alias("base"), x["price"].alias("price")))
+        return F.transform(near, lambda x: F.struct(F.array_position(F.transform("_bounds", lambda b: x["far"] <= b), F.lit(True)).cast("int").alias("place"), x["base"].alias("base"), (x["base"] * x["price"]).cast(money.NOTIONAL).alias("notional")))
 
     rows = rows.withColumn("_b", side("bids", lambda p: p <= F.col("mid"))).withColumn("_a", side("asks", lambda p: p >= F.col("mid")))
     kinds = {"notional": "decimal(30,8)", "base": "decimal(28,8)"}
-    none = F.struct(*[F.lit(0).cast(kind).alias(f"{f}{i}") for f, kind in kinds.items() for i in range(len(bands))])
-    plus = lambda sums, x: F.struct(*[F.when(x["band"] == i, (sums[f"{f}{i}"] + x[f]).cast(kind)).otherwise(sums[f"{f}{i}"]).alias(f"{f}{i}") for f, kind in kinds.items() for i in range(len(bands))])
+    within = lambda c, i, f, kind: F.aggregate(F.filter(c, lambda x: x["place"] == i + 1), F.lit(0).cast(kind), lambda a, x: (a + x[f]).cast(kind))
     for name, c in (("bid", "_b"), ("ask", "_a")):
-        rows = rows.withColumn(c, F.aggregate(c, none, plus))
-        rows = rows.withColumns({f"{name}_{f}": F.array(*[F.col(c)[f"{f}{i}"] for i in range(len(bands))]) for f in kinds})
+        rows = rows.withColumns({f"{name}_{f}": F.array(*[within(c, i, f, kind) for i in range(len(bands))]) for f, kind in kinds.items()})
     best = lambda levels, f: F.coalesce(F.get(F.col(levels), F.lit(0))[f], F.lit(0).cast(money.PRICE))
     rows = rows.withColumns({"best_bid": best("bids", "price"), "best_bid_qty": best("bids", "qty"), "best_ask": best("asks", "price"), "best_ask_qty": best("asks", "qty")})
     vb, va = F.col("best_bid_qty").cast("double"), F.col("best_ask_qty").cast("double")
@@ -51,7 +53,7 @@ def buckets(snapshots: DataFrame, meta: DataFrame, bands=BANDS) -> DataFrame:
         "obi": half_even(F.try_divide(vb - va, vb + va), 4),
         "micro_price": F.round(F.coalesce(F.try_divide(vb * pa_ + va * pb, vb + va), (pb + pa_) / 2), 6),
         "imbalance": F.zip_with("bid_notional", "ask_notional", both),
-    }).drop("_b", "_a", "bids", "asks", "ct_val")
+    }).drop("_b", "_a", "_bounds", "bids", "asks", "ct_val")
 
 
 def by_band(bucket_rows: DataFrame, bands=BANDS) -> DataFrame:

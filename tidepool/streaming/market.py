@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +14,6 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import times
 from ..operators.book import WALLS
-from ..operators.wicks import HOURS
 from ..sources.sinks import append_new
 
 SPANS = {"1m": "1 minute", "5m": "5 minutes", "15m": "15 minutes", "1h": "1 hour", "4h": "4 hours"}
@@ -76,44 +74,6 @@ def walls(long_rows: DataFrame, thresholds: dict[str, float] | None = None, rest
     return rows.groupBy("inst_id", "side", "band").applyInPandasWithState(run, "inst_id string, side string, band int, us long, wall_age long, wall_active boolean", "born long", "append", GroupStateTimeout.NoTimeout)
 
 
-TICK = 10_000
-
-
-def _wicks(limit: int):
-    """Wicks still open are (birth, kind, price) arrays, prices in whole 1/10000, so comparisons are exact."""
-
-    def run(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        born, kind, price = (np.array(v, dtype=np.int64) for v in (state.get if state.exists else ([], [], [])))
-        out = []
-        for c in pd.concat(list(frames)).sort_values("end_us").itertuples():
-            over = c.end_us >= born + limit
-            hit = ~over & np.where(kind == 1, c.high >= price, c.low <= price)
-            for on, status in ((over, "expired"), (hit, "touched")):
-                out += [(k, p, b, c.end_us, status) for k, p, b in zip(kind[on], price[on], born[on], strict=True)]
-            new = [(1, c.high)] * (c.high > max(c.open, c.close)) + [(-1, c.low)] * (c.low < min(c.open, c.close))
-            out += [(k, p, c.end_us, c.end_us, "untouched") for k, p in new]
-            stay = ~(over | hit)
-            born, kind, price = (np.append(v[stay], add).astype(np.int64) for v, add in ((born, [c.end_us] * len(new)), (kind, [k for k, _ in new]), (price, [p for _, p in new])))
-        state.update((born.tolist(), kind.tolist(), price.tolist()))
-        rows = pd.DataFrame(out, columns=["kind", "units", "born", "at_us", "status"])
-        yield rows.assign(inst_id=key[0], timeframe=key[1])[["inst_id", "timeframe", "kind", "units", "born", "at_us", "status"]]
-
-    return run
-
-
-def wick_log(candles: DataFrame, hours: int = HOURS) -> DataFrame:
-    """Changes of state of wicks as candles close: untouched at birth, then touched or expired within ``hours``; the
-    streaming form of ``wicks.change_log``. State holds the open wicks of the last ``hours``. An end is known by the
-    first candle at or after it, so ``at`` of an expiry is that candle's end. Candles of a series must arrive in order
-    from batch to batch."""
-    units = lambda c: F.round(F.col(c) * TICK).cast("long").alias(c)
-    rows = candles.select("inst_id", "timeframe", times.micros(F.col("window_end")).alias("end_us"), *[units(c) for c in ("open", "high", "low", "close")])
-    log = rows.groupBy("inst_id", "timeframe").applyInPandasWithState(_wicks(hours * 3_600_000_000), "inst_id string, timeframe string, kind long, units long, born long, at_us long, status string", "born array<long>, kind array<long>, price array<long>", "append", GroupStateTimeout.NoTimeout)
-    kind = F.when(F.col("kind") == 1, "high").otherwise("low")
-    event = F.concat_ws("|", "inst_id", "timeframe", F.date_format(F.timestamp_micros("born"), "yyyy-MM-dd'T'HH:mm:ss'Z'"), kind)
-    return log.select(event.alias("event_id"), "inst_id", "timeframe", kind.alias("wick_type"), (F.col("units") / TICK).cast("decimal(16,4)").alias("price"), F.timestamp_micros("at_us").alias("at"), "status")
-
-
 def write_once(stream: DataFrame, path: str, keys: list[str], checkpoint: str):
     """Append rows of new keys only, whatever is replayed; ends when all input there is has been read."""
     return stream.writeStream.foreachBatch(lambda df, _: append_new(df, path, keys)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -1,4 +1,4 @@
-"""Stateful streams on ``transformWithState``: trailing VWAP, running CVD with late rows, order books from updates.
+"""Stateful streams on ``transformWithState``: trailing VWAP, running CVD with late rows, wick log, order books from updates.
 
 State lives in RocksDB: sessions set ``spark.sql.streaming.stateStore.providerClass`` to ``PROVIDER`` (:func:`configure`).
 Amounts in state are whole units of 1e-8, so sums are exact.
@@ -7,7 +7,7 @@ Amounts in state are whole units of 1e-8, so sums are exact.
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from decimal import Decimal
 
@@ -188,6 +188,78 @@ def cvd(trades: DataFrame, delay: str = "1m") -> DataFrame:
     return out.select("inst_id", F.timestamp_micros("minute").alias("window_start"), _amount(F.col("delta")).alias("cvd_delta"), _amount(F.col("sum")).alias("cvd_value"))
 
 
+TICK = 10_000
+
+
+class OpenWicks(StatefulProcessor):
+    """Candles (end_us, open, high, low, close in whole ticks) of one series to changes of state of its wicks.
+
+    State: the open wicks as two lists in order of price. A candle reaches the high wicks up to its high and the low wicks down to
+    its low: one end of each list, found by a search, so the others aren't looked at. Every birth has a timer at its expiry, which
+    takes the wicks of that birth that are still open, whether or not a candle comes."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", "high array<long>, high_born array<long>, low array<long>, low_born array<long>")
+
+    def _load(self) -> tuple[list, list]:
+        """(price, birth) of the high wicks, and (-price, birth) of the low ones, both ascending."""
+        h, hb, low, lb = self.open.get() if self.open.exists() else ([], [], [], [])
+        return list(zip(h, hb, strict=True)), list(zip(low, lb, strict=True))
+
+    def _save(self, highs: list, lows: list) -> None:
+        self.open.update(tuple([x[i] for x in side] for side in (highs, lows) for i in (0, 1)))
+
+    def _frame(self, key, out: list) -> pd.DataFrame:
+        rows = pd.DataFrame(out, columns=["kind", "units", "born", "at_us", "status"])
+        return rows.assign(inst_id=key[0], timeframe=key[1])[["inst_id", "timeframe", "kind", "units", "born", "at_us", "status"]]
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        highs, lows = self._load()
+        out: list[tuple] = []
+        for c in pd.concat(list(rows)).sort_values("end_us").itertuples():
+            for kind, side, reach in ((1, highs, c.high), (-1, lows, -c.low)):
+                hit = bisect_right(side, (reach, 2**62))
+                for price, born in side[:hit]:
+                    late = c.end_us >= born + self.limit
+                    out.append((kind, kind * price, born, born + self.limit if late else c.end_us, "expired" if late else "touched"))
+                del side[:hit]
+            for kind, side, price, there in ((1, highs, c.high, c.high > max(c.open, c.close)), (-1, lows, -c.low, c.low < min(c.open, c.close))):
+                if there:
+                    insort(side, (price, c.end_us))
+                    self.handle.registerTimer((c.end_us + self.limit) // 1000)
+                    out.append((kind, kind * price, c.end_us, c.end_us, "untouched"))
+        self._save(highs, lows)
+        if out:
+            yield self._frame(key, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        upto = expiredTimerInfo.getExpiryTimeInMs() * 1000 - self.limit
+        sides, out = self._load(), []
+        for kind, side in zip((1, -1), sides, strict=True):
+            out += [(kind, kind * price, born, born + self.limit, "expired") for price, born in side if born <= upto]
+            side[:] = [x for x in side if x[1] > upto]
+        self._save(*sides)
+        if out:
+            yield self._frame(key, out)
+
+
+def wick_log(candles: DataFrame, hours: int = 168, delay: str = "0 seconds") -> DataFrame:
+    """Changes of state of wicks as candles close: untouched at birth, then touched or expired within ``hours``; the streaming
+    form of ``operators.wicks.change_log``. An expiry goes out when the watermark passes it, also if no candle of its series
+    comes, with ``at`` its own time. Candles of a series must arrive in order from batch to batch."""
+    units_ = lambda c: F.round(F.col(c) * TICK).cast("long").alias(c)
+    rows = candles.withWatermark("window_end", delay).select("inst_id", "timeframe", "window_end", times.micros(F.col("window_end")).alias("end_us"), *[units_(c) for c in ("open", "high", "low", "close")])
+    kind = "inst_id string, timeframe string, kind long, units long, born long, at_us long, status string"
+    log = rows.groupBy("inst_id", "timeframe").transformWithStateInPandas(OpenWicks(hours * 3_600_000_000), kind, "Append", "EventTime")
+    side = F.when(F.col("kind") == 1, "high").otherwise("low")
+    event = F.concat_ws("|", "inst_id", "timeframe", F.date_format(F.timestamp_micros("born"), "yyyy-MM-dd'T'HH:mm:ss'Z'"), side)
+    return log.select(event.alias("event_id"), "inst_id", "timeframe", side.alias("wick_type"), (F.col("units") / TICK).cast("decimal(16,4)").alias("price"), F.timestamp_micros("at_us").alias("at"), "status")
+
+
 LEVELS = "array<struct<price:string,qty:string>>"
 
 
