@@ -96,7 +96,8 @@ def test_command_line(spark, tmp_path):
     spark.read.parquet(str(tmp_path / "score")).count()
     cli.main(["dashboard", trades, book, contracts, as_of, out("five")])
     five = {r.component: (r.status, r.attrs) for r in spark.read.parquet(str(tmp_path / "five")).collect()}
-    assert set(five) == {"wicks", "volume", "walls", "cvd", "vwap"} and {s for s, _ in five.values()} == {"FRESH"}
+    assert set(five) == {"wicks", "volume", "walls", "cvd", "vwap", "overall"} and {s for c, (s, _) in five.items() if c != "overall"} == {"FRESH"}
+    assert five["overall"] == ("HEALTHY", "fresh=5, stale=0, missing=0")
     with pytest.raises(SystemExit):
         cli.main(["candles", trades, out("never"), "--since=10m"])
 

@@ -55,12 +55,6 @@ def states_of(trades: DataFrame, meta: DataFrame | None) -> DataFrame:
     return wicks.lifecycle(wicks.detect(ladder), ladder, meta)
 
 
-def with_wall_ages(rows: DataFrame, walls: DataFrame) -> DataFrame:
-    """Bucket rows with arrays bid_wall_age and ask_wall_age by band."""
-    ages = lambda s: F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == s, F.struct("band", "wall_age")))), lambda x: x["wall_age"])
-    return rows.join(walls.groupBy("inst_id", "ts").agg(*[ages(s).alias(f"{s}_wall_age") for s in ("bid", "ask")]), ["inst_id", "ts"], "left")
-
-
 def state_job(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     meta = market.contracts(spark.read.schema(schemas.INSTRUMENTS).option("recursiveFileLookup", "true").option("multiLine", "true").json(a.contracts)) if a.contracts else None
     if a.job == "buckets":
@@ -76,7 +70,7 @@ def state_job(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     if a.job == "dashboard":
         return health.five_components(a.as_of, meta, states, signals, walls, flow, prices)
     timed = lambda df: df.withColumnRenamed("window_start", "ts")
-    return confluence.score(states, a.as_of, timed(signals), with_wall_ages(rows, walls), timed(flow), timed(prices))
+    return confluence.score(states, a.as_of, timed(signals), book.with_wall_ages(rows, walls), timed(flow), timed(prices))
 
 
 def tag_job(spark: SparkSession, source: str, out: str, max_chars: int, vocabulary: dict[str, list[str]] | None = None) -> None:

@@ -33,7 +33,8 @@ def unescape_all(text: pd.Series) -> pd.Series:
 def strip_markup(text: Column, every_entity: bool = False) -> Column:
     """Entities decoded, tags replaced by a space, white space collapsed and trimmed. Only tags go: script bodies stay."""
     plain = unescape_all(text) if every_entity else unescape_common(text)
-    return F.trim(F.regexp_replace(F.regexp_replace(plain, "<[^>]+>", " "), r"\s+", " "))
+    space = r"(?U)\s+" if every_entity else r"\s+"  # all entities give any white space, no-break spaces too
+    return F.trim(F.regexp_replace(F.regexp_replace(plain, "<[^>]+>", " "), space, " "))
 
 
 def topic_pattern(words: list[str]) -> str:

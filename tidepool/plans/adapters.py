@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import money
+from ..operators.written import shared_path
 from ..sources.market import with_money
 
 BTC, ETH = "BTC-USDT-SWAP", "ETH-USDT-SWAP"
@@ -61,3 +62,24 @@ def book(spark: SparkSession, sf_dir: str, mid: int = 1000) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
     at = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("k") * 2)
     return orders.join(sides, "k", "left").select(F.col("k").alias("seq"), instrument(F.col("k")).alias("inst_id"), at.alias("ts"), F.lit(mid).cast(money.PRICE).alias("mid"), typed("bids").alias("bids"), typed("asks").alias("asks"))
+
+
+def as_lines(rows: DataFrame, name: str, bad_every: int = 0) -> str:
+    """The folder, shared by all executors, of JSON lines written from ``rows``; every so many lines one is cut short."""
+    path, line = shared_path(rows.sparkSession, name), F.to_json(F.struct(*rows.columns))
+    if bad_every:
+        line = F.when(F.pmod(F.xxhash64(*rows.columns), F.lit(bad_every)) == 0, F.left(line, F.length(line) - 2)).otherwise(line)
+    rows.select(line.alias("value")).write.text(path)
+    return path
+
+
+def raw_book(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Book snapshots as a feed delivers them: levels as arrays of text, in one of three fields; every seventh has no mid."""
+    b = book(spark, sf_dir)
+    texts = lambda c: F.transform(c, lambda x: F.array(x["price"].cast("string"), x["qty"].cast("string"), F.lit("0"), F.lit("1")))
+    kind = F.col("seq") % 3
+    field = lambda side, k: F.when(kind == k, texts(f"{side}s"))
+    return b.select(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp_utc"), F.col("inst_id").alias("instId"), F.when(F.col("seq") % 7 > 0, F.col("mid").cast("string")).otherwise("").alias("mid_price"), F.col("seq").alias("seqId"),
+        *[c for side in ("bid", "ask") for c in (field(side, 0).alias(f"{side}s"), field(side, 1).alias(f"{side}s_top200"), field(side, 2).alias(f"{side}s_top400"))],
+    )

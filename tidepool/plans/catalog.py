@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.money import plain
 from ..functions.strings import stable_id, strip_markup
 from ..operators import bars, book, confluence, health, joins, keyed, topics, volume, vwap, wicks
-from ..sources import market
+from ..operators.written import shared_path, written
+from ..sources import market, schemas, sinks
 from . import adapters, twins
 from .adapters import table
 
@@ -210,8 +211,10 @@ def _(spark, sf):
     v = volume.signals(bars.volume_bars(t, "1h", whale=1000)).withColumnRenamed("window_start", "ts")
     c = bars.cvd(t).withColumnRenamed("window_start", "ts")
     p = vwap.vwap(t, windows={"1h": 3600}).withColumnRenamed("window_start", "ts")
-    rows = confluence.score(_states(spark, sf), AS_OF, v, _buckets(spark, sf, 300), c, p, max_age_minutes=20_000, wall=50, least=30)
-    return double(rows, "entry_price").select("inst_id", "event_id", "score", "direction", "entry_price")
+    b = written(_buckets(spark, sf, 300), "buckets")
+    b = book.with_wall_ages(b, book.walls(book.by_band(b), {adapters.BTC: 1, adapters.ETH: 1}, longest_s=200_000))
+    rows = confluence.score(_states(spark, sf), AS_OF, v, b, c, p, max_age_minutes=20_000, wall=50, young_s=200_000, least=20)
+    return double(rows, "entry_price").select("inst_id", "event_id", "score", F.concat_ws(",", "signals").alias("signals"), "direction", "entry_price")
 
 
 @query("c4_dashboard", twins.HEALTH)
@@ -409,3 +412,52 @@ def _(spark, sf):
     walls = book.walls(book.by_band(_buckets(spark, sf)), {adapters.BTC: 100, adapters.ETH: 1000})
     c = bars.cvd(t)
     return health.five_components(END, adapters.meta(spark), _states(spark, sf), v, walls, c, vwap.vwap(t, windows={"1h": 3600}), recent_minutes=6_000)
+
+
+@query("s3_trade_lines", f"WITH {twins.TRADES} SELECT inst_id, side, CAST(qty AS DOUBLE) AS qty, count(*) AS n, {twins.MONEY('sum(n)')} AS notional FROM t WHERE qty % 10 <> 0 GROUP BY ALL")
+def _(spark, sf):
+    """Trades from JSON lines. Some lines are cut short: the scan keeps them apart, and here they are mended and read again."""
+    path = adapters.as_lines(adapters.raw_trades(spark, sf), "trade-lines", bad_every=11)
+    rows = written(market.read_lines(spark, path, schemas.TRADES_PERPS), "trade-rows")
+    mended = F.from_json(F.concat(F.col(market.BAD), F.lit('"}')), schemas.TRADES_PERPS)
+    whole = rows.where(f"{market.BAD} is null").drop(market.BAD).unionByName(rows.where(f"{market.BAD} is not null").select(mended.alias("r")).select("r.*"))
+    good, _ = market.split_valid(market.canonical_perps(whole), [adapters.BTC, adapters.ETH])
+    return good.groupBy("inst_id", "side", F.col("qty").cast("double").alias("qty")).agg(F.count("*").alias("n"), plain(F.sum("notional")).alias("notional"))
+
+
+@query("s4_p8_book_lines", f"SELECT * FROM ({twins.TOP}) WHERE CAST(epoch(ts) - epoch(TIMESTAMP '2024-01-01') AS BIGINT) // 2 % 7 > 0")
+def _(spark, sf):
+    """Books from JSON lines, levels in whichever field has them; snapshots without a mid are passed over."""
+    path = adapters.as_lines(adapters.raw_book(spark, sf), "book-lines")
+    rows = market.book_snapshots(market.read_lines(spark, path, schemas.BOOK))
+    return naive(double(book.buckets(rows, adapters.meta(spark)), "best_bid", "best_ask").select("inst_id", "ts", "best_bid", "best_ask", "obi", "micro_price"))
+
+
+@query("k2_append_twice", CVD_TWIN)
+def _(spark, sf):
+    """Appends that overlap leave each minute once."""
+    c = bars.cvd(adapters.trades(spark, sf)).select("inst_id", "window_start", plain(F.col("cvd_delta")).alias("cvd_delta"), plain(F.col("cvd_value")).alias("cvd_value"))
+    path = shared_path(spark, "appended")
+    for part in (c.where("window_start < '2024-01-20'"), c, c.where("window_start > '2024-01-25'")):
+        sinks.append_new(part, path, ["inst_id", "window_start"])
+    return naive(spark.read.parquet(path))
+
+
+@query("k1_daily_folders", f"WITH {twins.TRADES} SELECT inst_id, strftime(ts, '%Y-%m-%d') AS date, count(*) AS n, min(trade_id) AS first_id FROM t GROUP BY ALL")
+def _(spark, sf):
+    """Trades appended in folders by instrument and day in two goes."""
+    t = adapters.trades(spark, sf).select("inst_id", "ts", "trade_id", "price")
+    path = shared_path(spark, "daily")
+    for part in (t.where("trade_id % 2 = 0"), t.where("trade_id % 2 = 1")):
+        sinks.append_daily(part, path)
+    return spark.read.parquet(path).groupBy("inst_id", F.col("date").cast("string").alias("date")).agg(F.count("*").alias("n"), F.min("trade_id").alias("first_id"))
+
+
+#: The pages have two entities besides those that f19 knows.
+ALL_ENTITIES = ORACLE_SQL["f19_strip_markup"].replace("(html, '&lt;'", "(replace(replace(html, '&copy;', '©'), '&middot;', '·'), '&lt;'")
+
+
+@query("n4_html_records", f"SELECT CAST(page_id AS VARCHAR) AS source_file, n_chars, digest FROM ({ALL_ENTITIES})")
+def _(spark, sf):
+    files = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("source_file"), F.lit("html").alias("detected_format"), F.col("html").alias("content"))
+    return topics.messages(files).select("source_file", F.length("text").cast("long").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("digest"))

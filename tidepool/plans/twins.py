@@ -109,18 +109,23 @@ AS_OF = "TIMESTAMP '2024-01-30 00:00:00'"
 CONFLUENCE = f"""WITH {STATES_CTE}, {SIGNALS_CTE.replace(TRADES + ", ", "", 1)}, {CVD.replace(TRADES + ", ", "", 1)}, {book(300)},
 lv1 AS (SELECT inst_id, arg_max(volume_tier, window_start) AS volume_tier, arg_max(absorption, window_start) AS absorption FROM signals WHERE window_start <= {AS_OF} GROUP BY 1),
 lc AS (SELECT inst_id, arg_max(d, window_start) AS cvd_delta FROM cvd WHERE window_start <= {AS_OF} GROUP BY 1),
-lb AS (SELECT inst_id, side, band, arg_max(n, ts) AS n100 FROM bands GROUP BY ALL),
+wm AS (SELECT *, epoch_us(ts) AS us, n >= 1 AS enough FROM bands),
+wg AS (SELECT *, count(*) FILTER (NOT enough) OVER (PARTITION BY inst_id, side, band ORDER BY ts) AS streak FROM wm),
+wf AS (SELECT *, row_number() OVER w AS i, first_value(us) OVER w AS born FROM wg WHERE enough WINDOW w AS (PARTITION BY inst_id, side, band, streak ORDER BY ts)),
+wa AS (SELECT inst_id, side, band, ts, (us - (born - born % 1000000)) // 1000000 AS age FROM wf WHERE i > 1 AND us - (born - born % 1000000) BETWEEN 30000000 AND 200000000000),
+lb AS (SELECT b.inst_id, b.side, b.band, arg_max(n, ts) AS n100, arg_max(coalesce(age, -1), ts) AS age FROM bands b LEFT JOIN wa USING (inst_id, side, band, ts) GROUP BY ALL),
 im AS (SELECT inst_id, band, CAST(sum(n100) FILTER (side = 'bid') AS DOUBLE) AS b, CAST(sum(n100) FILTER (side = 'ask') AS DOUBLE) AS a FROM lb GROUP BY ALL),
 vs AS (SELECT inst_id, arg_max(v, window_start) AS vw FROM (SELECT inst_id, date_trunc('minute', ts) AS window_start, row_number() OVER (PARTITION BY inst_id, date_trunc('minute', ts) ORDER BY ts) AS rn,
   round(CAST(sum(pv) OVER s AS DOUBLE) / CAST(sum(n) OVER s AS DOUBLE), 6) AS v FROM t WINDOW s AS (PARTITION BY inst_id, date_trunc('day', ts) ORDER BY ts)) WHERE rn = 1 AND window_start <= {AS_OF} GROUP BY 1),
 u AS (SELECT st.*, CASE WHEN abs(price - 300) * 10000 <= 3000 THEN 0 WHEN abs(price - 300) * 10000 <= 7500 THEN 1 WHEN abs(price - 300) * 10000 <= 15000 THEN 2 WHEN abs(price - 300) * 10000 <= 30000 THEN 3 WHEN abs(price - 300) * 10000 <= 60000 THEN 4 WHEN abs(price - 300) * 10000 <= 150000 THEN 5 END AS band
   FROM states st WHERE status = 'untouched' AND created <= {AS_OF} AND created >= {AS_OF} - INTERVAL 20000 MINUTE),
-r AS (SELECT u.inst_id, u.event_id, u.wick_type, u.price, 20 + CASE WHEN volume_tier = 'T4' THEN 15 ELSE 0 END + CASE WHEN absorption THEN 15 ELSE 0 END + CASE WHEN lb.n100 > 50 THEN 15 ELSE 0 END
-  + CASE WHEN im.a + im.b > 0 AND abs(round_even(round((im.b - im.a) / (im.b + im.a) * 100, 8), 0) / 100) > 0.7 THEN 10 ELSE 0 END + CASE WHEN (u.wick_type = 'high' AND cvd_delta < 0) OR (u.wick_type = 'low' AND cvd_delta > 0) THEN 10 ELSE 0 END
-  + CASE WHEN abs(CAST(u.price AS DOUBLE) - vw) <= vw * 0.5 / 100 THEN 5 ELSE 0 END AS score
+layer AS (SELECT u.*, volume_tier, absorption, cvd_delta, vw, lb.n100, lb.age, CASE WHEN im.a + im.b > 0 THEN abs(round_even(round((im.b - im.a) / (im.b + im.a) * 100, 8), 0) / 100) END AS skew
   FROM u LEFT JOIN lv1 USING (inst_id) LEFT JOIN lc USING (inst_id) LEFT JOIN vs USING (inst_id) LEFT JOIN im ON im.inst_id = u.inst_id AND im.band = u.band
-  LEFT JOIN lb ON lb.inst_id = u.inst_id AND lb.band = u.band AND lb.side = CASE u.wick_type WHEN 'high' THEN 'ask' ELSE 'bid' END)
-SELECT inst_id, event_id, score, CASE wick_type WHEN 'high' THEN 'SHORT' ELSE 'LONG' END AS direction, CAST(price AS DOUBLE) AS entry_price FROM r WHERE score >= 30"""
+  LEFT JOIN lb ON lb.inst_id = u.inst_id AND lb.band = u.band AND lb.side = CASE u.wick_type WHEN 'high' THEN 'ask' ELSE 'bid' END),
+named AS (SELECT *, unnest([{{'p': 20, 'l': 'WICK'}}, CASE WHEN volume_tier = 'T4' THEN {{'p': 15, 'l': 'VOL_T4'}} END, CASE WHEN absorption THEN {{'p': 15, 'l': 'ABSORPTION'}} END, CASE WHEN n100 > 50 THEN {{'p': 15, 'l': 'WALL_' || format('{{:.1f}}', round_even(CAST(n100 AS DOUBLE) / 1000000, 1)) || 'M'}} END,
+  CASE WHEN skew > 0.7 THEN {{'p': 10, 'l': 'IMB_' || format('{{:.2f}}', skew)}} END, CASE WHEN age > 0 AND age < 200000 THEN {{'p': 10, 'l': 'YOUNG_' || age || 's'}} END,
+  CASE WHEN (wick_type = 'high' AND cvd_delta < 0) OR (wick_type = 'low' AND cvd_delta > 0) THEN {{'p': 10, 'l': 'CVD_ALIGNED'}} END, CASE WHEN abs(CAST(price AS DOUBLE) - vw) <= vw * 0.5 / 100 THEN {{'p': 5, 'l': 'VWAP_SESSION'}} END]) AS x, generate_subscripts(range(8), 1) AS o FROM layer)
+SELECT inst_id, event_id, CAST(sum(x.p) AS INTEGER) AS score, string_agg(x.l, ',' ORDER BY o) AS signals, CASE wick_type WHEN 'high' THEN 'SHORT' ELSE 'LONG' END AS direction, CAST(price AS DOUBLE) AS entry_price FROM named WHERE x IS NOT NULL GROUP BY inst_id, event_id, wick_type, price"""
 HEALTH = f"""WITH {CVD}, {FRAMES}, parts AS (
   SELECT 'trades' AS component, max(ts) AS last, count(*) AS n_rows FROM t UNION ALL SELECT 'cvd', max(window_start), count(*) FROM cvd UNION ALL SELECT 'spot', max(ts), count(*) FROM t WHERE inst_id = 'none'),
 s AS (SELECT component, CASE WHEN last IS NULL THEN 'MISSING' WHEN CAST(trunc(epoch(TIMESTAMP '2024-01-31 00:10:00' - last) / 60) AS BIGINT) < 15 THEN 'FRESH' ELSE 'STALE' END AS status, CAST(trunc(epoch(TIMESTAMP '2024-01-31 00:10:00' - last) / 60) AS BIGINT) AS age_minutes, n_rows FROM parts)
