@@ -205,18 +205,28 @@ def _(spark, sf):
     return naive(book.sequence_gaps(rows).select("inst_id", "ts", "gap_detected"))
 
 
-@query("c1_confluence", twins.CONFLUENCE)
-def _(spark, sf):
+def _confluence(spark, sf, b):
     t = adapters.trades(spark, sf)
     v = volume.signals(bars.volume_bars(t, "1h", whale=1000)).withColumnRenamed("window_start", "ts")
     c = bars.cvd(t).withColumnRenamed("window_start", "ts")
     p = vwap.vwap(t, windows={"1h": 3600}).withColumnRenamed("window_start", "ts")
-    b = written(_buckets(spark, sf, 300), "buckets")
-    b = book.with_wall_ages(b, book.walls(book.by_band(b), {adapters.BTC: 1, adapters.ETH: 1}, longest_s=200_000))
     rows = confluence.score(_states(spark, sf), AS_OF, v, b, c, p, max_age_minutes=20_000, wall=50, young_s=200_000, least=20)
     return double(rows, "entry_price").select("inst_id", "event_id", "score", F.concat_ws(",", "signals").alias("signals"), "direction", "entry_price")
 
 
+@query("c1_confluence", twins.CONFLUENCE)
+def _(spark, sf):
+    return _confluence(spark, sf, _buckets(spark, sf, 300))
+
+
+@query("c1_confluence_walls", twins.CONFLUENCE_WALLS)
+def _(spark, sf):
+    """With the ages of the walls at the last snapshot, whatever their streaks' length."""
+    b = written(_buckets(spark, sf, 300), "buckets")
+    walls = book.walls(book.by_band(b), {adapters.BTC: 1, adapters.ETH: 1}, longest_s=200_000)
+    return _confluence(spark, sf, book.with_wall_ages(b, walls))
+
+
 @query("c4_dashboard", twins.HEALTH)
 def _(spark, sf):
     t = adapters.trades(spark, sf)

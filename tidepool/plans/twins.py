@@ -106,7 +106,7 @@ x AS (SELECT s.inst_id, s.ts, coalesce(sum(v) FILTER (side = 'bid'), 0) AS b, co
 SELECT inst_id, ts, CASE WHEN a + b = 0 THEN 0.0 ELSE round((b - a) / (b + a), 6) END AS depth_obi FROM x"""
 
 AS_OF = "TIMESTAMP '2024-01-30 00:00:00'"
-CONFLUENCE = f"""WITH {STATES_CTE}, {SIGNALS_CTE.replace(TRADES + ", ", "", 1)}, {CVD.replace(TRADES + ", ", "", 1)}, {book(300)},
+CONFLUENCE_WALLS = f"""WITH {STATES_CTE}, {SIGNALS_CTE.replace(TRADES + ", ", "", 1)}, {CVD.replace(TRADES + ", ", "", 1)}, {book(300)},
 lv1 AS (SELECT inst_id, arg_max(volume_tier, window_start) AS volume_tier, arg_max(absorption, window_start) AS absorption FROM signals WHERE window_start <= {AS_OF} GROUP BY 1),
 lc AS (SELECT inst_id, arg_max(d, window_start) AS cvd_delta FROM cvd WHERE window_start <= {AS_OF} GROUP BY 1),
 wm AS (SELECT *, epoch_us(ts) AS us, n >= 1 AS enough FROM bands),
@@ -126,6 +126,7 @@ named AS (SELECT *, unnest([{{'p': 20, 'l': 'WICK'}}, CASE WHEN volume_tier = 'T
   CASE WHEN skew > 0.7 THEN {{'p': 10, 'l': 'IMB_' || format('{{:.2f}}', skew)}} END, CASE WHEN age > 0 AND age < 200000 THEN {{'p': 10, 'l': 'YOUNG_' || age || 's'}} END,
   CASE WHEN (wick_type = 'high' AND cvd_delta < 0) OR (wick_type = 'low' AND cvd_delta > 0) THEN {{'p': 10, 'l': 'CVD_ALIGNED'}} END, CASE WHEN abs(CAST(price AS DOUBLE) - vw) <= vw * 0.5 / 100 THEN {{'p': 5, 'l': 'VWAP_SESSION'}} END]) AS x, generate_subscripts(range(8), 1) AS o FROM layer)
 SELECT inst_id, event_id, CAST(sum(x.p) AS INTEGER) AS score, string_agg(x.l, ',' ORDER BY o) AS signals, CASE wick_type WHEN 'high' THEN 'SHORT' ELSE 'LONG' END AS direction, CAST(price AS DOUBLE) AS entry_price FROM named WHERE x IS NOT NULL GROUP BY inst_id, event_id, wick_type, price"""
+CONFLUENCE = CONFLUENCE_WALLS.replace("age > 0 AND age < 200000", "false")
 HEALTH = f"""WITH {CVD}, {FRAMES}, parts AS (
   SELECT 'trades' AS component, max(ts) AS last, count(*) AS n_rows FROM t UNION ALL SELECT 'cvd', max(window_start), count(*) FROM cvd UNION ALL SELECT 'spot', max(ts), count(*) FROM t WHERE inst_id = 'none'),
 s AS (SELECT component, CASE WHEN last IS NULL THEN 'MISSING' WHEN CAST(trunc(epoch(TIMESTAMP '2024-01-31 00:10:00' - last) / 60) AS BIGINT) < 15 THEN 'FRESH' ELSE 'STALE' END AS status, CAST(trunc(epoch(TIMESTAMP '2024-01-31 00:10:00' - last) / 60) AS BIGINT) AS age_minutes, n_rows FROM parts)
