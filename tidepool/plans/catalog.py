@@ -216,7 +216,8 @@ def _confluence(spark, sf, b):
 
 @query("c1_confluence", twins.CONFLUENCE)
 def _(spark, sf):
-    return _confluence(spark, sf, _buckets(spark, sf, 300))
+    last = confluence.latest_rows(adapters.book(spark, sf, 300), "ts", AS_OF)  # only the last snapshots are cut into bands
+    return _confluence(spark, sf, book.buckets(last, adapters.meta(spark)))
 
 
 @query("c1_confluence_walls", twins.CONFLUENCE_WALLS)
