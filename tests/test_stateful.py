@@ -13,6 +13,7 @@ from tests.test_models import T0, tape
 from tidepool.operators import bars, vwap, wicks
 from tidepool.plans import adapters
 from tidepool.sources import market
+from tidepool.streaming import market as market_streams
 from tidepool.streaming import stateful
 
 
@@ -151,3 +152,13 @@ def test_wicks_expire_without_candles(spark, tmp_path):
     parts = [[row("A", 0, 10, 12, 9, 11), row("B", 0, 10, 10, 10, 10)], [row("A", 1, 10, 10, 9, 10)], [row("B", 200, 10, 10, 10, 10)], [row("B", 201, 10, 10, 10, 10)]]
     got = fed(spark, parts, spark.createDataFrame([], schema).schema, stateful.wick_log, tmp_path / "w").collect()
     assert sorted((r.wick_type, r.status, r.price, r.at) for r in got) == sorted([("high", "untouched", 12, T0), ("low", "untouched", 9, T0), ("low", "touched", 9, T0 + timedelta(hours=1)), ("low", "untouched", 9, T0 + timedelta(hours=1)), ("high", "expired", 12, T0 + timedelta(hours=168)), ("low", "expired", 9, T0 + timedelta(hours=169))])
+
+
+def test_late_trades_leave_closed_candles_alone(spark, tmp_path):
+    """A late trade within the delay counts; one behind the watermark changes no candle that has gone out, and is in none."""
+    row = lambda m, s, price, i: ("A", T0 + timedelta(minutes=m, seconds=s), i, "buy", Decimal(price), Decimal(1), Decimal(1))
+    schema = spark.createDataFrame([], "inst_id string, ts timestamp, trade_id long, side string, price decimal(16,4), qty decimal(16,4), ct_val decimal(8,4)").schema
+    parts = [[row(0, 5, 10, 1), row(0, 50, 12, 2), row(1, 5, 11, 3)], [row(0, 10, 99, 4), row(1, 20, 14, 5)], [row(20, 0, 20, 6)], [row(0, 20, 500, 7), row(1, 30, 500, 8), row(20, 30, 21, 9)], [row(60, 0, 1, 10)], [row(90, 0, 1, 11)]]
+    got = fed(spark, parts, schema, lambda s: market_streams.candles(s, "1m", "2 minutes"), tmp_path / "late").orderBy("window_start").collect()
+    minute = lambda m: T0 + timedelta(minutes=m)
+    assert [(r.window_start, r.open, r.high, r.close, r.trade_count) for r in got if r.window_start <= minute(20)] == [(minute(0), 10, 99, 12, 3), (minute(1), 11, 14, 14, 2), (minute(20), 20, 21, 21, 2)]
