@@ -4,6 +4,7 @@ import json
 
 import pytest
 
+from tidepool import cli
 from tidepool.sources import poller
 
 T = 1_700_000_000
@@ -44,3 +45,10 @@ def test_polls_overlap_and_restart(spark, recorded, tmp_path):
     rows = got.where("series = 'oi'").collect()
     assert sorted((r.symbol, r.o) for r in rows) == sorted((s, i + 0.5) for s in ("BTC", "ETH") for i in range(60))
     assert got.count() == 240
+
+
+def test_poll_job_once(spark, recorded, tmp_path):
+    for upto in (20, 40):  # the second poll sees all points again and adds the new ones
+        cli.main(["poll", f"--recorded={recorded(upto)}", "--symbols=BTC,ETH", f"--out={tmp_path / 'out'}", f"--checkpoint={tmp_path / 'check'}", f"--since={T}", f"--to={T + 60 * upto}", "--once"])
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.count() == got.select("symbol", "series", "ts").distinct().count() == 2 * 2 * 40

@@ -8,6 +8,7 @@
     python -m tidepool.cli confluence --trades PATH --book PATH --contracts PATH --as-of TS [--out PATH]
     python -m tidepool.cli dashboard --trades PATH --book PATH --contracts PATH --as-of TS
     python -m tidepool.cli tag --input PATH --out PATH [--max-chars 200000]
+    python -m tidepool.cli poll --recorded DIR --symbols BTC,ETH --out PATH --checkpoint PATH [--every 60s] [--to SECONDS] [--once]
     python -m tidepool.cli self-test
 
 Jobs of minute rows append only new keys, so a second run adds nothing; the others replace their table or, without
@@ -24,8 +25,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions import times
 from .operators import bars, book, confluence, health, keyed, topics, volume, vwap, wicks
-from .sources import market, schemas, sinks
+from .sources import market, poller, schemas, sinks
 
 MINUTE_JOBS = ("candles", "cvd", "vwap", "volume")
 STATE_JOBS = ("wicks", "hidden", "buckets", "confluence", "dashboard")
@@ -85,6 +87,15 @@ def tag_job(spark: SparkSession, source: str, out: str, max_chars: int, vocabula
     sinks.snapshot(topics.failed_files(files), f"{out}/failed_files", "json")
 
 
+def poll_job(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Append new points of the polled series, by symbol and series: one poll with ``--once``, else one every so often."""
+    spark.dataSource.register(poller.Poller)
+    given = {"recorded": a.recorded, "symbols": a.symbols, "lookback": str(a.lookback), "since": a.since, "to": a.to}
+    polled = spark.readStream.format("tidepool-poller").options(**{k: v for k, v in given.items() if v}).load()
+    out = poller.points(polled).writeStream.format("parquet").partitionBy("symbol", "series").option("path", a.out).option("checkpointLocation", a.checkpoint)
+    out.trigger(**({"availableNow": True} if a.once else {"processingTime": f"{times.duration(a.every) // 1_000_000} seconds"})).start().awaitTermination()
+
+
 def self_test(spark: SparkSession) -> None:
     """The text job over a few messages of its own: records are kept and dropped, chunks hold what the manifest says."""
     texts = ["I want to take the long way over the hills", "I can help you with that!", "My task is to finish the project plan", "Let us go over the task", "Irrelevant noise 123456", "Tell me about the house"]
@@ -126,6 +137,14 @@ def parser() -> argparse.ArgumentParser:
             for name, value in (("--age-min", 20), ("--age-max", 40), ("--min-touched", 10)):
                 j.add_argument(name, type=int, default=value)
     sub.add_parser("self-test")
+    w = sub.add_parser("poll")
+    for name in ("--recorded", "--symbols", "--out", "--checkpoint"):
+        w.add_argument(name, required=True)
+    w.add_argument("--lookback", type=int, default=3600)
+    w.add_argument("--every", default="60s")
+    for name in ("--since", "--to"):
+        w.add_argument(name)
+    w.add_argument("--once", action="store_true")
     t = sub.add_parser("tag")
     t.add_argument("--input", required=True)
     t.add_argument("--out", required=True)
@@ -136,6 +155,9 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> None:
     a = parser().parse_args(argv)
     spark = SparkSession.builder.appName("tidepool").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    if a.job == "poll":
+        poll_job(spark, a)
+        return
     if a.job == "self-test":
         self_test(spark)
         return
