@@ -1,5 +1,6 @@
 """Each operator against a brute-force version, an exact round trip or held-out accuracy, on the smallest tables."""
 
+import functools
 import hashlib
 import math
 import random
@@ -10,6 +11,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
 from tests.conftest import SF
 from tidepool.llm import embedding, fingerprint, flat, html, ngram_join, packing, pieces, quality, spans, suffix_lm, toxicity
@@ -248,19 +250,88 @@ def test_suffix_tree_sums_to_one():
         assert known + unknown == pytest.approx(1)
 
 
+def seeded(parts: list[str]) -> int:
+    h = 42
+    for p in parts:
+        h = xxhash.xxh64_intdigest(p.encode(), seed=h)
+    return h
+
+
+def paragraphs(text: str) -> set[str]:
+    words, out = re.findall(r"\S+\s*|\s+", text, re.A), [""]
+    for w, after in zip(words, [*words[1:], None], strict=True):
+        out[-1] += w
+        if after is not None and (seeded([w, after]) % 16 == 0 or "\n" in w):
+            out.append("")
+    return set(out) if text else set()
+
+
+def digest(parts: set[str]) -> set[int]:
+    return {seeded([p]) for p in parts}
+
+
+def sketch_of(written: str) -> tuple[int, dict]:
+    """Level and cells (shard, cell) -> [count, digests, checks] of a returned fingerprint."""
+    *_, level, cells = written.split("-")
+    rows = [c.split(":") for c in cells.split(",") if c]
+    return int(level), {(int(s), int(i)): [int(c), int(k, 16), int(h, 16)] for s, i, c, k, h in rows}
+
+
+def peeled(cells: dict) -> set | None:
+    """The digests of cells, found again from counts and checks alone."""
+    word = lambda *xs: functools.reduce(lambda h, x: xxhash.xxh64_intdigest(x, seed=h), xs, 42)
+    check = lambda k: word(k.to_bytes(8, "little"), (77).to_bytes(4, "little"))
+    out, cells = set(), {x: list(v) for x, v in cells.items()}
+    while pure := next(((x, v) for x, v in cells.items() if abs(v[0]) == 1 and v[2] == check(v[1])), None):
+        (shard, _), (c, k, h) = pure[0], list(pure[1])
+        out.add((c, k))
+        turned = word(k.to_bytes(8, "little"), (5).to_bytes(4, "little"))
+        for r in range(4):
+            v = cells[shard, (turned >> (5 * r)) % 32 + 32 * r]
+            v[0], v[1], v[2] = v[0] - c, v[1] ^ k, v[2] ^ h
+    return None if any(any(v) for v in cells.values()) else out
+
+
+def between(x: str, y: str) -> set:
+    """The signed digests in which two returned fingerprints differ."""
+    (lx, cx), (ly, cy) = sketch_of(x), sketch_of(y)
+    left: dict = {}
+    for cells, sign in ((cx, 1), (cy, -1)):
+        for (shard, i), (c, k, h) in cells.items():
+            v = left.setdefault((shard % 4 ** min(lx, ly), i), [0, 0, 0])
+            v[0], v[1], v[2] = v[0] + sign * c, v[1] ^ k, v[2] ^ h
+    if (found := peeled(left)) is None:
+        a, b = ({k for _, k in peeled(c)} for c in (cx, cy))
+        found = {(1, k) for k in a - b} | {(-1, k) for k in b - a}
+    return found
+
+
 def test_fingerprints(docs, texts):
     ids = sorted(texts, reverse=True)
-    cut = re.compile(r"(?:\S+[^\S\n]*){1,16}\n*|\s+", re.A)
     like = lambda a, b: 1.0 if not a and not b else 1 - len(a ^ b) / (len(a) + len(b))
     got = {r.doc_id: r for r in fingerprint.edits(docs, ranges=3).collect()}
     for i, d in enumerate(ids):
         text, after = texts[d], texts[ids[(i + 1) % len(ids)]]
         third = len(text) // 3
         edited = text[: len(text) - third] + after[:third]
-        a, b, c = (set(cut.findall(t)) for t in (text, edited, after))
+        a, b, c = (paragraphs(t) for t in (text, edited, after))
         assert got[d].n_chars == len(text) and got[d].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
         assert got[d].near_edited == pytest.approx(like(a, b)) and got[d].near_next == pytest.approx(like(a, c))
         assert (got[d].fingerprint == got[d].edited_fingerprint) == (text == edited)
+        assert between(got[d].fingerprint, got[d].edited_fingerprint) == {(1, k) for k in digest(a - b)} | {(-1, k) for k in digest(b - a)}
+        other = got[ids[(i + 1) % len(ids)]].fingerprint
+        assert between(got[d].fingerprint, other) == {(1, k) for k in digest(a - c)} | {(-1, k) for k in digest(c - a)}
+
+
+def test_fingerprint_survives_an_insertion(spark):
+    r = random.Random(11)
+    words = " ".join(f"w{r.randrange(900)}" for _ in range(4000))
+    middle = words.replace(" ", " more ", 1)
+    rows = {2: words, 1: "word " + words, 4: middle, 3: words}
+    got = {x.doc_id: x for x in fingerprint.edits(spark.createDataFrame(list(rows.items()), "doc_id long, text string"), ranges=2).collect()}
+    assert got[2].near_next > 0.98 and got[4].near_next > 0.98 and got[3].near_next == 1.0
+    found = between(got[2].fingerprint, got[1].fingerprint)
+    assert 0 < len(found) <= 4 and {k for s, k in found if s > 0} == digest(paragraphs(words) - paragraphs("word " + words))
 
 
 def test_lookup_sketch_recovers_digests(spark):
