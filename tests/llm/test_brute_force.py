@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -14,7 +15,7 @@ import pytest
 import xxhash
 
 from tests.conftest import SF
-from tidepool.llm import embedding, fingerprint, flat, html, ngram_join, packing, pieces, quality, spans, suffix_lm, toxicity
+from tidepool.llm import embedding, fingerprint, flat, html, labelled, ngram_join, packing, pieces, quality, spans, suffix_lm, toxicity
 from tidepool.llm.queries import vocabulary
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -359,6 +360,21 @@ def test_sentencepiece(texts):
             assert ids[bounds[k] : bounds[k + 1]].tolist() == want and back[k] == sp.decode(want)
 
 
+def test_sentencepiece_long_runs():
+    from sentencepiece import SentencePieceProcessor
+
+    sp, r = SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model")), random.Random(6)
+    enc = pieces.Encoder(vocabulary("piece_bpe_32k.model"))
+    start = time.monotonic()
+    marks = [" " * 16_000, "-" * 16_001, "=" * 3000 + "a" * 3000, "\n" * 5000, "ab" * 8000, "x" + " " * 9001 + "y", "*-" * 4000 + "*" * 777]
+    mixed = ["".join(r.choice(["  ", "-", "--", "a", "an", "_", "__"]) for _ in range(r.randint(100, 3000))) for _ in range(40)]
+    texts = marks + mixed + [" " * n + "=" * (n // 3) for n in range(100, 400, 7)]
+    ids, bounds = enc.ids(texts)
+    assert time.monotonic() - start < 10
+    for k, t in enumerate(texts):
+        assert ids[bounds[k] : bounds[k + 1]].tolist() == sp.encode(t)
+
+
 def test_spans(spark, docs, texts):
     extra = {10_000: "Alpha beta. " + "gamma delta epsilon. " * 3 + "Zeta eta theta iota kappa lambda mu nu xi omicron pi rho. " * 3, 10_001: "other start here " + "Zeta eta theta iota kappa lambda mu nu xi omicron pi rho. " * 3}
     texts = texts | extra
@@ -458,6 +474,31 @@ def test_packing(spark, docs, texts):
     assert all(n <= 1024 and n & (n - 1) == 0 for n in windows.values())
 
 
+def test_step_groups_are_equal(docs):
+    path = vocabulary("byte_bpe_50k.json")
+    # a small pool: several flushes a task
+    rows = packing.pack(docs.unionByName(docs).repartition(2), path, pool_tokens=8192, step_tokens=4096).collect()
+    tasks: dict[int, dict[int, int]] = {}
+    for r in rows:
+        groups = tasks.setdefault(r.step_group >> 33, {})
+        groups[r.step_group] = groups.get(r.step_group, 0) + r.length
+    assert len(tasks) == 2
+    for groups in tasks.values():
+        assert len(groups) > 4 and all(n == 4096 for g, n in groups.items() if g != max(groups)) and 0 < groups[max(groups)] <= 4096
+    with pytest.raises(ValueError):
+        packing.pack(docs, path, step_tokens=1000)
+
+
+def test_sample_is_bounded(spark):
+    many = [(7, f"text {i:05d}") for i in range(3000)] + [(i, f"other {i}") for i in range(8, 60)]
+    labels = [(7, 1), (7, 0), (7, None), *[(i, i % 2) for i in range(8, 60)]]
+    got = labelled.sample(spark.createDataFrame(many, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int"), "quality", 10).collect()
+    assert len(got) == 10 == len({r.doc_id for r in got})
+    got = labelled.sample(spark.createDataFrame(many, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int"), "quality").collect()
+    assert {r.doc_id for r in got} == {i for i in range(7, 60) if zlib.crc32(str(i).encode()) % 5}
+    assert all((r.text, r.y) == ("text 00000", 1) for r in got if r.doc_id == 7)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 

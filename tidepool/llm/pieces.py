@@ -5,7 +5,9 @@ character; each distinct word of a task is encoded once. The symbols of many wor
 looks up the rank of every neighbouring pair, takes the best rank of each word, merges all its leftmost disjoint
 occurrences at once and compacts the array, until no word has a pair left. Merging several occurrences at once
 equals merging them one by one unless a merge makes a pair of the same or a better rank; such a word merges only its
-leftmost occurrence in that round. Characters without a piece become byte pieces.
+leftmost occurrence in that round, and if more than ``LONG`` symbols are left of it (long runs of one mark), it leaves the
+rounds and is finished pair by pair from an ordered list of its pairs, so no word takes quadratic time. Characters
+without a piece become byte pieces.
 
 Defined cases: null or empty text gives no ids and decodes to an empty text; repeated rows get a row each; an empty
 table gives an empty result; other columns are ignored. Models with a character map or other prefix rules than
@@ -15,6 +17,7 @@ table gives an empty result; other columns are ignored. Models with a character
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 
 import numpy as np
@@ -26,6 +29,8 @@ from . import flat
 
 MARK = "▁"
 CACHE_WORDS = 500_000
+#: Symbols of a word up to which merges that depend on their order are made in rounds.
+LONG = 128
 NONE = np.int64(1) << 40
 
 class Model:
@@ -108,6 +113,40 @@ def encoder(path: str) -> Encoder:
     return kept[key]
 
 
+def one_by_one(m: Model, sym: np.ndarray, rank: np.ndarray, into: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of one word after all merges, best rank first and then leftmost, and the places where they begin."""
+    n = len(sym)
+    at = np.flatnonzero(rank != NONE)
+    todo = list(zip(rank[at].tolist(), at.tolist(), sym[at].tolist(), sym[at + 1].tolist(), into[at].tolist(), strict=True))
+    heapq.heapify(todo)
+    s, right, left = sym.tolist(), [*range(1, n), -1], [-1, *range(n - 1)]
+    known: dict[tuple[int, int], tuple[int, int]] = {}
+
+    def push(i: int) -> None:
+        pair = s[i], s[right[i]]
+        if pair not in known:
+            r, t = m.pair(np.array(pair[:1]), np.array(pair[1:]))
+            known[pair] = int(r[0]), int(t[0])
+        r, t = known[pair]
+        if r != NONE:
+            heapq.heappush(todo, (r, i, *pair, t))
+
+    gone = bytearray(n)
+    while todo:
+        _, i, a, b, t = heapq.heappop(todo)
+        j = right[i]
+        if gone[i] or j < 0 or s[i] != a or s[j] != b:
+            continue  # one of the two has been merged since
+        s[i], gone[j], right[i] = t, 1, right[j]
+        if right[j] >= 0:
+            left[right[j]] = i
+            push(i)
+        if left[i] >= 0:
+            push(left[i])
+    stay = np.flatnonzero(np.frombuffer(bytes(gone), dtype=np.uint8) == 0)
+    return np.array(s, dtype=np.int64)[stay], stay
+
+
 def merge(m: Model, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all words, one after the other, and how many each has."""
     code = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
@@ -162,6 +201,17 @@ def merge(m: Model, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(poor) and not leftmost.all():
             hit = np.zeros(len(words), dtype=bool)
             hit[poor] = True
+            heads = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            far = hit[word[heads]] & (size > LONG)
+            if far.any():
+                for a, z in zip(heads[far].tolist(), (heads + size)[far].tolist(), strict=True):
+                    got, places = one_by_one(m, sym[a:z], rank[a:z], into[a:z])
+                    done_word.append(np.full(len(got), word[a]))
+                    done_sym.append(got)
+                    done_pos.append(pos[a:z][places])
+                live = np.repeat(~far, size)
+                sym, word, pos, rank, into = sym[live], word[live], pos[live], rank[live], into[live]
+                continue
             state, _ = merged(where[leftmost | ~hit[word[where]]])
         sym, word, pos, rank, into = state
     if not done_sym:
