@@ -4,8 +4,9 @@ Documents are tokenised and closed by an end id. Full long windows of a document
 routed to the tier (context size) that just holds it. Each tier is packed from the longest down: a piece opens a
 window of its tier and the gap behind it is filled from shorter tiers, the last filler being cut where the window
 ends and its rest routed anew. So every window is full at a power of two and nothing is padded; only the last
-leftovers of a task are cut into powers of two. Windows are dealt to step groups of equal token counts, longest
-first.
+leftovers of a task are cut into powers of two. Windows are dealt to step groups, longest first: as sizes are powers of
+two, groups fill up exactly, and windows that fill none wait for the next ones. So every step group but the last of a
+task has the same number of tokens, ``STEP_TOKENS`` (a multiple of the longest size).
 
 Work is per task over a stream of documents with a pool of bounded size, so there is no shuffle, and no document set
 is held whole. Task retries give the same rows, since ids come from the partition number and a counter.
@@ -144,12 +145,19 @@ def _pack(path: str, tiers, pool_tokens: int, end_id: int, step_tokens: int, wit
         base = TaskContext.get().partitionId() << 33
         ids_of: dict[int, tuple] = {}
         made = tokens = doc = 0
+        waiting: list = []  # windows of a step group that isn't full
         tail = np.array([end_id], dtype=np.uint32)
 
-        def rows():
-            nonlocal made, tokens
-            windows = sorted(packer.out, key=lambda x: -x[0])  # longest first, so that steps fill up exactly
-            packer.out = []
+        def rows(last: bool = False):
+            nonlocal made, tokens, waiting
+            windows = sorted(waiting + packer.out, key=lambda x: -x[0])  # longest first, so that steps fill up exactly
+            full, held = 0, 0
+            for i, (w, _) in enumerate(windows, 1):
+                held += w
+                if held % step_tokens == 0:
+                    full = i
+            full = len(windows) if last else full
+            windows, waiting, packer.out = windows[:full], windows[full:], []
             got = []
             for w, parts in windows:
                 at = 0
@@ -170,11 +178,11 @@ def _pack(path: str, tiers, pool_tokens: int, end_id: int, step_tokens: int, wit
                 packer.add(doc, ids)
                 doc += 1
             yield from rows()
-            live = {p[0] for pool in packer.pools.values() for p in pool}
+            live = {p[0] for pool in packer.pools.values() for p in pool} | {p[0] for _, parts in waiting for p in parts}
             ids_of = {d: ids_of[d] for d in live}
         packer.drain()
         packer.drain(last=True)
-        yield from rows()
+        yield from rows(last=True)
 
     kinds = ", ".join(f"{n} long" for n in names) + (", ids array<int>" if with_ids else "")
     return run, kinds
@@ -182,7 +190,10 @@ def _pack(path: str, tiers, pool_tokens: int, end_id: int, step_tokens: int, wit
 
 def pack(docs: DataFrame, path: str, tiers=TIERS, end_id: int = 0, pool_tokens: int = POOL_TOKENS, step_tokens: int = STEP_TOKENS, with_ids: bool = False) -> DataFrame:
     """Pieces of ``docs`` (doc_id, text): doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, window
-    (tokens of the sequence), step_group, and ids where asked for."""
+    (tokens of the sequence), step_group, and ids where asked for. ``tiers`` are powers of two, ``step_tokens`` a multiple
+    of the longest."""
+    if any(w & (w - 1) for w in tiers) or step_tokens % max(tiers):
+        raise ValueError("tiers must be powers of two, and step_tokens a multiple of the longest")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     run, kinds = _pack(path, tuple(tiers), pool_tokens, end_id, step_tokens, with_ids)
     return docs.mapInArrow(run, kinds)
