@@ -19,14 +19,14 @@ def sample(docs: DataFrame, labels: DataFrame, column: str, rows: int = SAMPLE_R
     """At most ``rows`` training rows (doc_id, text, y, part) in a reproducible hash order; part 0 is for calibration.
 
     A row trains only if crc32(doc_id as text) mod 5 is not 0. Several labels of one doc_id: the largest counts;
-    null labels don't. The sample is bounded, so its ids are broadcast.
+    null labels don't. Several texts of one doc_id: the smallest. The sample is bounded, so its ids are broadcast.
     """
     y = labels.where(F.col(column).isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max(column) > 0).cast("int").alias("y"))
     y = y.where(remainder(5) != 0).join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
     few = y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     few = few.withColumn("part", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(4)).cast("int"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(few), "doc_id")
+    return texts.join(F.broadcast(few), "doc_id").groupBy("doc_id", "y", "part").agg(F.min("text").alias("text")).select("doc_id", "text", "y", "part")
 
 
 def filtered(docs: DataFrame, scorer, keep) -> DataFrame:
