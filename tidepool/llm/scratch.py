@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a fresh local one only where the setting is missing."""
+    """The session's checkpoint folder; where the setting is missing, a fresh local one on a single machine only."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="spark-tidepool-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where
