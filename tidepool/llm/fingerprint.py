@@ -36,13 +36,14 @@ from .scratch import cut
 WORDS = 16
 REGIONS, BITS = 4, 5
 WIDTH = 1 << BITS
-CELLS = REGIONS * WIDTH
 #: Digests a shard that a returned sketch holds at most on average.
 OWN = 24
 #: Stands behind words that end a paragraph, between cutting and splitting.
 END = "\u0001"
-#: Digests of both versions that the first try allows for in a shard; most of them are common ones.
-FILL = 96
+#: Digests of both versions that the first try allows for in a shard. Peeling takes time with the square of a shard.
+FILL = 24
+#: Tasks a shuffle partition where digests become cells, which take some thirty times their space.
+SPREAD = 4
 
 
 def digests(text: Column) -> Column:
@@ -101,7 +102,7 @@ def peel(cells: Column) -> Column:
         first = F.get(F.filter(state["cells"], pure), F.lit(0))
         return F.when(state["over"], state).otherwise(F.transform(F.array(first), take)[0])
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(CELLS)), start, step, lambda s: F.when(F.size(s["cells"]) == 0, s["found"]))
+    return F.aggregate(F.sequence(F.lit(0), F.size(cells)), start, step, lambda s: F.when(F.size(s["cells"]) == 0, s["found"]))
 
 
 def differences(pairs: DataFrame, by: list[str], listed: bool = True) -> DataFrame:
@@ -110,9 +111,10 @@ def differences(pairs: DataFrame, by: list[str], listed: bool = True) -> DataFra
     total = F.size("x") + F.size("y")
     first = pairs.select(*by, "x", "y", level(total / FILL).alias("level"), level(total * 8).alias("last"))
     todo, done, tries = first, [], 0
+    tasks = SPREAD * int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     result = lambda diff: [diff.alias("diff")] if listed else [F.size(diff).alias("d")]
     while True:
-        rows = todo.repartition(by[0])
+        rows = todo.repartition(tasks, by[0])
         signed = F.concat(F.transform("x", lambda k: F.struct(F.lit(1).alias("sign"), k.alias("k"))), F.transform("y", lambda k: F.struct(F.lit(-1).alias("sign"), k.alias("k"))))
         cells = sketch(rows.select(*by, "level", F.explode(signed).alias("e")).select(*by, "level", "e.sign", "e.k"), by)
         shard = cells.groupBy(*by, "level", "shard").agg(F.collect_list(F.struct("i", "c", "k", "h")).alias("cells"))
@@ -178,7 +180,7 @@ def edits(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     pairs = base.select("row", "a", F.explode(F.array(F.struct(F.lit(0).alias("pair"), F.col("b").alias("y")), F.struct(F.lit(1).alias("pair"), F.col("c").alias("y")))).alias("p"))
     diffs = differences(pairs.select("row", "p.pair", F.col("a").alias("x"), "p.y"), ["row", "pair"], listed=False)
     size = diffs.groupBy("row").agg(F.sum(F.when(F.col("pair") == 0, F.col("d"))).alias("d0"), F.sum(F.when(F.col("pair") == 1, F.col("d"))).alias("d1"))
-    dealt = base.repartition("row")
+    dealt = base.repartition(SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions")), "row")
     alone = dealt.select("row", F.explode(F.array(F.struct(F.lit(0).alias("version"), F.col("a").alias("x")), F.struct(F.lit(1).alias("version"), F.col("b").alias("x")))).alias("v"))
     cells = sketch(alone.select("row", "v.version", level(F.size("v.x") / OWN).alias("level"), F.lit(1).alias("sign"), F.explode("v.x").alias("k")), ["row", "version"])
     cells = cells.groupBy("row").agg(*[F.collect_list(F.when(F.col("version") == v, F.struct("shard", "i", "c", "k", "h"))).alias(n) for v, n in ((0, "cells_a"), (1, "cells_b"))])
