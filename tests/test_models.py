@@ -258,6 +258,17 @@ def test_text_formats(spark, tmp_path):
     assert rows == {("a.json", 0): ("user", "one"), ("a.json", 1): ("unknown", "two"), ("b.json", 0): ("me", None), ("c.json", 0): ("unknown", "three"), ("d.jsonl", 0): ("unknown", "four"), ("d.jsonl", 3): ("unknown", "five"), ("e.txt", 0): ("user", "six"), ("e.txt", 1): ("ai", "seven\neight"), ("f.md", 0): ("unknown", "User: alone"), ("g.html", 0): ("unknown", "née &amp; x")}
 
 
+def test_html_records_of_odd_pages_equal_their_sql(spark, duck, tmp_path):
+    from tidepool.plans.catalog import ORACLE_SQL, QUERIES
+
+    odd = ["<h1>a&amp;&amp</h1>", "x&copy y&copy; &middot;&amp;nbsp; &nbsp;z", "no\u00a0break\u2003 \x0b &eacute; &#233;", "&amp;lt;b&amp;gt; &lt;i&gt; ", "", None]
+    spark.createDataFrame(list(enumerate(odd)), "page_id long, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    db = duck.cursor()
+    db.execute(f"CREATE TEMP VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = {tuple(r) for r in db.execute(ORACLE_SQL["n4_html_records"]).fetchall()}
+    assert {tuple(r) for r in QUERIES["n4_html_records"](spark, str(tmp_path)).collect()} == want and len(want) == len(odd)
+
+
 def test_tags_respect_word_boundaries(spark):
     df = spark.createDataFrame([(1, "adding the tasks up"), (2, "a task to do"), (3, "task"), (4, "see the city trip there")], "i int, text string")
     got = {r.i: (r.topics, r.match_score) for r in topics.tag(df, {"work": ["task", "add"], "travel": ["city trip"]}).collect()}

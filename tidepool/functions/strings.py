@@ -15,9 +15,13 @@ def stable_id(text: Column) -> Column:
     return F.left(F.sha2(text.cast("binary"), 256), F.lit(16))
 
 
-def unescape_common(text: Column) -> Column:
-    """The entities &lt; &gt; &quot; &#39; &nbsp; and, last, &amp;."""
-    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+#: Entities as they stand in well-formed pages, in the order of their replacement.
+COMMON = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+
+
+def unescape_common(text: Column, entities=COMMON) -> Column:
+    """Only the ``entities``, one after the other; one without its semicolon stays as it is."""
+    for a, b in entities:
         text = F.replace(text, F.lit(a), F.lit(b))
     return text
 
@@ -30,9 +34,9 @@ def unescape_all(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else html.unescape(t))
 
 
-def strip_markup(text: Column, every_entity: bool = False) -> Column:
-    """Entities decoded, tags replaced by a space, white space collapsed and trimmed. Only tags go: script bodies stay."""
-    plain = unescape_all(text) if every_entity else unescape_common(text)
+def strip_markup(text: Column, every_entity: bool = False, entities=COMMON) -> Column:
+    """Entities decoded (all that HTML knows, even without semicolon, or the listed ones), tags replaced by a space, white space collapsed and trimmed. Only tags go: script bodies stay."""
+    plain = unescape_all(text) if every_entity else unescape_common(text, entities)
     space = r"(?U)\s+" if every_entity else r"\s+"  # all entities give any white space, no-break spaces too
     return F.trim(F.regexp_replace(F.regexp_replace(plain, "<[^>]+>", " "), space, " "))
 

@@ -89,11 +89,12 @@ def split_roles(texts: DataFrame, text: str = "content", markers: str = MARKERS)
     return texts.select(*rest, F.posexplode(F.when(F.size(parts) >= 5, turns).otherwise(whole)).alias("message_index", "m")).select(*rest, "message_index", "m.role", "m.text")
 
 
-def messages(files: DataFrame) -> DataFrame:
-    """Records of all formats: source_file, detected_format, message_index, conversation_id, role, timestamp, text."""
+def messages(files: DataFrame, entities=None) -> DataFrame:
+    """Records of all formats: source_file, detected_format, message_index, conversation_id, role, timestamp, text. Pages have every
+    entity decoded as a browser does, ``&amp`` without semicolon too, or only the pairs ``entities``, literally."""
     none = F.lit(None).cast("string")
     plain = split_roles(files.where("detected_format = 'plaintext'")).withColumns({"conversation_id": none, "timestamp": none})
-    pages = files.where("detected_format = 'html'").select("source_file", "detected_format", F.lit(0).alias("message_index"), strip_markup(F.col("content"), every_entity=True).alias("text"), F.lit("unknown").alias("role")).withColumns({"conversation_id": none, "timestamp": none})
+    pages = files.where("detected_format = 'html'").select("source_file", "detected_format", F.lit(0).alias("message_index"), (strip_markup(F.col("content"), every_entity=True) if entities is None else strip_markup(F.col("content"), entities=entities)).alias("text"), F.lit("unknown").alias("role")).withColumns({"conversation_id": none, "timestamp": none})
     return json_messages(files).unionByName(jsonl_messages(files)).unionByName(plain).unionByName(pages)
 
 
