@@ -213,6 +213,31 @@ def test_bands_at_their_bounds(spark):
     assert [float(x) for x in row.bid_base] == [0.02, 0.01, 0, 0, 0, 0] and row.obi == 1 and row.imbalance[0] == 1
 
 
+def test_level_rows_equal_arrays(spark):
+    """Bands of levels in rows are those of arrays: no levels, no mid, levels of the other side of the mid and beyond the last band."""
+    r, snaps = random.Random(5), []
+    for i in range(60):
+        sides = [[(Decimal(r.randint(9300, 10700)) / 10, Decimal(r.randint(1, 99)) / 4) for _ in range(r.choice([0, 1, 5]))] for _ in range(2)]
+        snaps.append((i, "BTC-USDT-SWAP" if i % 3 else "ETH-USDT-SWAP", T0 + timedelta(hours=i), Decimal(1000) if i % 10 else None, *sides))
+    level = "array<struct<price:decimal(16,4),qty:decimal(16,4)>>"
+    df = spark.createDataFrame(snaps, f"seq long, inst_id string, ts timestamp, mid decimal(16,4), bids {level}, asks {level}")
+    rows = df.select("seq", F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(f"{s}s").alias("l")) for s in ("bid", "ask")])).alias("x")).select("seq", "x.side", F.inline("x.l"))
+    meta = adapters.meta(spark)
+    got, want = book.level_buckets(df.drop("bids", "asks"), rows, meta, "seq", parts=5), book.buckets(df, meta)
+    key = lambda d: sorted(map(tuple, d.select(*got.columns).collect()))
+    assert key(got) == key(want) and want.count() == 54
+    names = ["inst_id", "ts", "side", "band", "notional", "delta", "significant"]
+    assert sorted(map(tuple, book.bucket_changes(got, 500, parts=5).select(*names).collect())) == sorted(map(tuple, book.changes(book.by_band(want), 500).select(*names).collect()))
+
+
+def test_tasks_of_books_follow_the_orders(spark, monkeypatch):
+    """1,500 orders at 100 a task, whatever the number of shuffle partitions."""
+    monkeypatch.setattr(adapters, "ORDERS_A_TASK", 100)
+    b = adapters.book(spark, SF)
+    flow = book.order_flow(book.buckets(b, adapters.meta(spark)), adapters.book_parts(spark, SF))
+    assert b.rdd.getNumPartitions() == 15 and flow.rdd.getNumPartitions() == 15
+
+
 def test_confluence_all_layers(spark):
     w = spark.createDataFrame([("BTC-USDT-SWAP", "1m", "e", "high", Decimal("100"), T0, "untouched")], "inst_id string, timeframe string, event_id string, wick_type string, price decimal(16,4), created timestamp, status string")
     v = spark.createDataFrame([("BTC-USDT-SWAP", T0, "T4", True)], "inst_id string, ts timestamp, volume_tier string, absorption boolean")

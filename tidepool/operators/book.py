@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from ..functions import money, times
 from .chains import starts
-from .scale import previous, running
+from .scale import parts_for, previous, running, spread
 from .written import written
 
 BANDS = (10, 25, 50, 100, 200, 500)
+ROWS_A_TASK = 600_000
 WALLS = {"BTC-USDT-SWAP": 300_000, "ETH-USDT-SWAP": 150_000}
 
 
@@ -26,6 +27,16 @@ def band_of(price: Column, mid: Column, bands=BANDS) -> Column:
     return out
 
 
+def _half_even(x: Column, digits: int) -> Column:
+    """Ties are ties of the exact quotient, so the double's last digits go first; an empty side pair gives 0."""
+    return F.coalesce(money.half_even(F.round(x, digits + 8), digits), F.lit(0.0))
+
+
+def _imbalance(b: Column, a: Column) -> Column:
+    b, a = b.cast("double"), a.cast("double")
+    return _half_even(F.try_divide(b - a, b + a), 2)
+
+
 def buckets(snapshots: DataFrame, meta: DataFrame, bands=BANDS) -> DataFrame:
     """Per snapshot: notional and base by band and side (arrays), imbalance by band, obi, micro_price, best levels."""
     rows = snapshots.where("mid is not null").join(meta.select("inst_id", "ct_val"), "inst_id")
@@ -46,37 +57,61 @@ def buckets(snapshots: DataFrame, meta: DataFrame, bands=BANDS) -> DataFrame:
     rows = rows.withColumns({"best_bid": best("bids", "price"), "best_bid_qty": best("bids", "qty"), "best_ask": best("asks", "price"), "best_ask_qty": best("asks", "qty")})
     vb, va = F.col("best_bid_qty").cast("double"), F.col("best_ask_qty").cast("double")
     pb, pa_ = F.col("best_bid").cast("double"), F.col("best_ask").cast("double")
-    # ties are ties of the exact quotient, so the double's last digits go first; an empty side pair gives 0
-    half_even = lambda x, digits: F.coalesce(money.half_even(F.round(x, digits + 8), digits), F.lit(0.0))
-    both = lambda b, a: half_even(F.try_divide(b.cast("double") - a.cast("double"), b.cast("double") + a.cast("double")), 2)
     return rows.withColumns({
-        "obi": half_even(F.try_divide(vb - va, vb + va), 4),
+        "obi": _half_even(F.try_divide(vb - va, vb + va), 4),
         "micro_price": F.round(F.coalesce(F.try_divide(vb * pa_ + va * pb, vb + va), (pb + pa_) / 2), 6),
-        "imbalance": F.zip_with("bid_notional", "ask_notional", both),
+        "imbalance": F.zip_with("bid_notional", "ask_notional", _imbalance),
     }).drop("_b", "_a", "_bounds", "bids", "asks", "ct_val")
 
 
+def level_buckets(snapshots: DataFrame, levels: DataFrame, meta: DataFrame, key: str, bands=BANDS, parts: int | None = None) -> DataFrame:
+    """``buckets`` of levels that are rows (``key``, side, price, qty) rather than arrays: the snapshots' columns (one row a ``key``),
+    notional and base by band and side, imbalance by band. Joins and sums in compiled code, in ``parts`` tasks."""
+    rows = spread(snapshots.where("mid is not null"), parts, key).join(spread(levels.select(key, "side", "price", "qty"), parts, key), key, "left")
+    rows = rows.join(meta.select("inst_id", "ct_val"), "inst_id")
+    kept = F.when(F.col("side") == "bid", F.col("price") <= F.col("mid")).otherwise(F.col("price") >= F.col("mid"))
+    rows = rows.withColumns({"_place": F.when(kept, band_of(F.col("price"), F.col("mid"), bands)), "_base": (F.col("qty") * F.col("ct_val")).cast("decimal(20,8)")})
+    rows = rows.withColumns({"_cell": F.when(F.col("side") == "bid", F.col("_place")).otherwise(F.col("_place") + len(bands)), "_notional": (F.col("_base") * F.col("price")).cast(money.NOTIONAL)})
+    kinds = {"notional": "decimal(30,8)", "base": "decimal(28,8)"}
+    cells = [(s, f, i, at * len(bands) + i) for at, s in enumerate(("bid", "ask")) for f in kinds for i in range(len(bands))]
+    sums = rows.groupBy(*snapshots.columns).agg(*[F.sum(F.when(F.col("_cell") == cell, F.col(f"_{f}"))).alias(f"_{s}_{f}_{i}") for s, f, i, cell in cells])
+    filled = lambda s, f, i: F.coalesce(F.col(f"_{s}_{f}_{i}").cast(kinds[f]), F.lit(0).cast(kinds[f]))
+    arrays = [F.array(*[filled(s, f, i) for i in range(len(bands))]).alias(f"{s}_{f}") for s in ("bid", "ask") for f in kinds]
+    return sums.select(*snapshots.columns, *arrays, F.array(*[_imbalance(filled("bid", "notional", i), filled("ask", "notional", i)) for i in range(len(bands))]).alias("imbalance"))
+
+
 def by_band(bucket_rows: DataFrame, bands=BANDS) -> DataFrame:
     """Long form: one row per snapshot, side and band."""
-    def rows_of(side: str) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.lit(len(bands) - 1)), lambda i: F.struct(F.lit(side).alias("side"), i.alias("band"), F.get(F.col(f"{side}_notional"), i).alias("notional"), F.get(F.col(f"{side}_base"), i).alias("base")))
-
-    items = F.concat(rows_of("bid"), rows_of("ask"))
-    return bucket_rows.select("inst_id", "ts", F.explode(items).alias("x")).select("inst_id", "ts", "x.*")
+    cells = [x for s in ("bid", "ask") for i in range(len(bands)) for x in (F.lit(s), F.lit(i), F.get(F.col(f"{s}_notional"), F.lit(i)), F.get(F.col(f"{s}_base"), F.lit(i)))]
+    return bucket_rows.select("inst_id", "ts", F.stack(F.lit(2 * len(bands)), *cells).alias("side", "band", "notional", "base"))
 
 
-def changes(long_rows: DataFrame, least: float = 100_000, share: float = 0.10) -> DataFrame:
-    """Change of notional against the previous snapshot (0 before the first), and whether it is significant."""
+def changes(long_rows: DataFrame, least: float = 100_000, share: float = 0.10, parts: int | None = None) -> DataFrame:
+    """Change of notional against the previous snapshot (0 before the first), and whether it is significant; in ``parts`` tasks."""
     keys = ["inst_id", "side", "band"]
     rows = long_rows.withColumn("_day", times.day(F.col("ts")))
     w = Window.partitionBy(*keys, "_day").orderBy("ts")
     last = rows.groupBy(*keys, "_day").agg(F.max_by("notional", "ts").alias("_last"))
     last = last.withColumn("_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_day"))).drop("_last")
-    rows = rows.withColumn("_in", F.lag("notional").over(w)).join(last, [*keys, "_day"])
-    before = F.coalesce("_in", "_carry", F.lit(0).cast("decimal(30,8)"))
+    rows = spread(rows, parts, *keys, "_day").withColumn("_in", F.lag("notional").over(w)).join(last, [*keys, "_day"])
+    return _changed(rows, F.coalesce("_in", "_carry", F.lit(0).cast("decimal(30,8)")), least, share).drop("_day", "_in", "_carry")
+
+
+def _changed(rows: DataFrame, before: Column, least: float, share: float) -> DataFrame:
     delta = F.col("notional") - before
     big = (F.abs(delta) > F.lit(least).cast("decimal(20,2)")) | ((before > 0) & (F.abs(delta).cast("double") > share * before.cast("double")))
-    return rows.withColumn("delta", delta).withColumn("significant", big).drop("_day", "_in", "_carry")
+    return rows.withColumn("delta", delta).withColumn("significant", big)
+
+
+def bucket_changes(bucket_rows: DataFrame, least: float = 100_000, share: float = 0.10, parts: int | None = None) -> DataFrame:
+    """``changes`` of all bands at once: the row before is looked up by snapshot, and only then the bands become rows (inst_id, ts,
+    side, band, notional, delta, significant). The snapshots are written once, as they are read twice."""
+    names = [f"{s}_notional" for s in ("bid", "ask")]
+    rows = written(bucket_rows.select("inst_id", "ts", *names), "buckets")
+    rows = previous(rows, ["inst_id"], times.day(F.col("ts")), ["ts"], F.struct(*names), "_before", parts)
+    cells = [x for s, n in zip(("bid", "ask"), names, strict=True) for i in range(len(BANDS)) for x in (F.lit(s), F.lit(i), F.get(F.col(n), F.lit(i)), F.get(F.col("_before")[n], F.lit(i)))]
+    rows = rows.select("inst_id", "ts", F.stack(F.lit(2 * len(BANDS)), *cells).alias("side", "band", "notional", "_in"))
+    return _changed(rows, F.coalesce("_in", F.lit(0).cast("decimal(30,8)")), least, share).drop("_in")
 
 
 def walls(long_rows: DataFrame, thresholds: dict[str, float] | None = None, rest_s: int = 30, longest_s: int = 3600, width_s: int | None = None) -> DataFrame:
@@ -90,22 +125,24 @@ def walls(long_rows: DataFrame, thresholds: dict[str, float] | None = None, rest
     least = F.create_map(*[F.lit(x) for k, v in (thresholds or WALLS).items() for x in (k, float(v))])
     rows = long_rows.withColumn("us", times.micros(F.col("ts"))).withColumn("_min", F.element_at(least, F.col("inst_id")))
     rows = rows.withColumn("_enough", F.coalesce(F.col("notional") >= F.col("_min").cast("decimal(20,2)"), F.lit(False))).withColumn("_day", times.day(F.col("ts")))
-    marked = running(written(rows, "bands"), keys, "_day", ["us"], maxima={"_low": F.when(~F.col("_enough"), F.col("us"))})
+    rows = written(rows, "bands")
+    parts = parts_for(rows.count(), ROWS_A_TASK)
+    marked = running(rows, keys, "_day", ["us"], maxima={"_low": F.when(~F.col("_enough"), F.col("us"))}, parts=parts)
     marked = written(marked.withColumn("_low", F.coalesce("_low", F.lit(-1))), "streaks")
     held = marked.where("_enough").select(*keys, "us", "_low", "_day")
     span = held.groupBy(*keys, "_low").agg(F.min("us").alias("_from"), F.max("us").alias("_to"))
     longest = longest_s * 1_000_000
     born = lambda c: c - F.pmod(c, F.lit(1_000_000))
 
-    spread = held.join(span.where(F.col("_to") - F.col("_from") > longest), [*keys, "_low"])
-    spread = spread.withColumn("series", F.to_json(F.struct(*keys, "_low")))
-    spread = running(spread, ["series"], "_day", ["us"], {"_n": F.lit(1).cast("long")})
+    long = held.join(span.where(F.col("_to") - F.col("_from") > longest), [*keys, "_low"])
+    long = long.withColumn("series", F.to_json(F.struct(*keys, "_low")))
+    long = running(long, ["series"], "_day", ["us"], {"_n": F.lit(1).cast("long")}, parts=parts)
     at = F.col("us") - F.col("_from")
-    again = starts(spread.select("series", (F.col("_n") - 1).alias("place"), at.alias("at"), at.alias("end"), F.greatest(at, born(F.col("us")) + longest - F.col("_from")).alias("limit")), longest, skip=1, width=width_s and width_s * 1_000_000)
-    births = spread.withColumn("place", F.col("_n") - 1).join(again, ["series", "place"], "left_semi").select(*keys, "us")
+    again = starts(long.select("series", (F.col("_n") - 1).alias("place"), at.alias("at"), at.alias("end"), F.greatest(at, born(F.col("us")) + longest - F.col("_from")).alias("limit")), longest, skip=1, width=width_s and width_s * 1_000_000)
+    births = long.withColumn("place", F.col("_n") - 1).join(again, ["series", "place"], "left_semi").select(*keys, "us")
     births = births.unionByName(span.select(*keys, F.col("_from").alias("us"))).distinct().withColumn("_start", F.lit(True))
 
-    lived = running(marked.join(births, [*keys, "us"], "left"), keys, "_day", ["us"], maxima={"_born": F.when(F.col("_start"), born(F.col("us")))})
+    lived = running(marked.join(births, [*keys, "us"], "left"), keys, "_day", ["us"], maxima={"_born": F.when(F.col("_start"), born(F.col("us")))}, parts=parts)
     age = F.col("us") - F.col("_born")
     out = lived.withColumn("wall_age", F.when(F.col("_enough") & F.col("_start").isNull() & age.between(rest_s * 1_000_000, longest), F.floor(age / 1_000_000)))
     return out.select(*long_rows.columns, "wall_age", F.col("wall_age").isNotNull().alias("wall_active"))
@@ -134,11 +171,11 @@ def depth_weighted(snapshots: DataFrame, alpha: float = 0.1, depth: int = 400) -
     return rows.withColumn("depth_obi", F.round(F.coalesce(F.try_divide(F.col("_b") - F.col("_a"), F.col("_b") + F.col("_a")), F.lit(0.0)), 6)).drop("_b", "_a")
 
 
-def order_flow(bucket_rows: DataFrame) -> DataFrame:
+def order_flow(bucket_rows: DataFrame, parts: int | None = None) -> DataFrame:
     """Order-flow imbalance of the best levels against the snapshot before (0 for an instrument's first): size that came
-    at the same or a better price less size that went, bids less asks."""
+    at the same or a better price less size that went, bids less asks. In ``parts`` tasks."""
     best = F.struct("best_bid", "best_bid_qty", "best_ask", "best_ask_qty")
-    rows = previous(bucket_rows, ["inst_id"], times.day(F.col("ts")), ["ts"], best, "_before")
+    rows = previous(bucket_rows, ["inst_id"], times.day(F.col("ts")), ["ts"], best, "_before", parts)
     b = F.col("_before")
     size = lambda on, q: F.when(on, q.cast("decimal(24,4)")).otherwise(F.lit(0).cast("decimal(24,4)"))
     bids = size(F.col("best_bid") >= b["best_bid"], F.col("best_bid_qty")) - size(F.col("best_bid") <= b["best_bid"], b["best_bid_qty"])

@@ -11,8 +11,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def running(df: DataFrame, keys: list[str], grain: str, order: list, sums: dict[str, Column] | None = None, maxima: dict[str, Column] | None = None) -> DataFrame:
-    """``df`` with running sums and maxima per key, up to and including each row in (grain, order)."""
+def parts_for(rows: int, each: int, least: int = 1) -> int:
+    """How many tasks share ``rows``, so that none has more than about ``each``, whatever the input's size."""
+    return max(least, -(-rows // each))
+
+
+def spread(df: DataFrame, parts: int | None, *keys: str) -> DataFrame:
+    """``df`` dealt to ``parts`` tasks by its keys; as the session's number of shuffle partitions has it without ``parts``."""
+    return df.repartition(parts, *keys) if parts else df
+
+
+def running(df: DataFrame, keys: list[str], grain: str, order: list, sums: dict[str, Column] | None = None, maxima: dict[str, Column] | None = None, parts: int | None = None) -> DataFrame:
+    """``df`` with running sums and maxima per key, up to and including each row in (grain, order), in ``parts`` tasks."""
     sums, maxima = sums or {}, maxima or {}
     values = {f"_v_{n}": c for n, c in (sums | maxima).items()}
     rows = df.withColumns(values)
@@ -20,18 +30,20 @@ def running(df: DataFrame, keys: list[str], grain: str, order: list, sums: dict[
     before = Window.partitionBy(*keys).orderBy(grain).rowsBetween(Window.unboundedPreceding, -1)
     per = per.select(*keys, grain, *[(F.sum if n in sums else F.max)(f"_g_{n}").over(before).alias(f"_b_{n}") for n in sums | maxima])
     inside = Window.partitionBy(*keys, grain).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumns({f"_r_{n}": (F.sum if n in sums else F.max)(f"_v_{n}").over(inside) for n in sums | maxima})
+    rows = spread(rows, parts, *keys, grain).withColumns({f"_r_{n}": (F.sum if n in sums else F.max)(f"_v_{n}").over(inside) for n in sums | maxima})
     rows = rows.join(per, [*keys, grain])
     out = {n: F.coalesce(f"_b_{n}", F.lit(0)) + F.coalesce(f"_r_{n}", F.lit(0)) for n in sums} | {n: F.greatest(f"_b_{n}", f"_r_{n}") for n in maxima}
     return rows.select(*df.columns, *[c.alias(n) for n, c in out.items()])
 
 
-def previous(df: DataFrame, keys: list[str], grain: Column, order: list[str], value: Column, name: str) -> DataFrame:
-    """``df`` with ``value`` of the row before, by (grain, order) within the keys; null for a key's first row."""
+def previous(df: DataFrame, keys: list[str], grain: Column, order: list[str], value: Column, name: str, parts: int | None = None) -> DataFrame:
+    """``df`` with ``value`` of the row before, by (grain, order) within the keys, in ``parts`` tasks; null for a key's first row.
+    What is carried over, one row a key and grain, is broadcast if ``parts`` is given, so that the rows are dealt once."""
     rows = df.withColumns({"_grain": grain, "_value": F.struct(value.alias("v"))})
     last = rows.groupBy(*keys, "_grain").agg(F.max_by("_value", F.struct(*order)).alias("_last"))
     carry = last.select(*keys, "_grain", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_grain")).alias("_carry"))
-    rows = rows.withColumn("_in", F.lag("_value").over(Window.partitionBy(*keys, "_grain").orderBy(*order)))
+    carry = F.broadcast(carry) if parts else carry
+    rows = spread(rows, parts, *keys, "_grain").withColumn("_in", F.lag("_value").over(Window.partitionBy(*keys, "_grain").orderBy(*order)))
     same = [F.col(f"r.{k}").eqNullSafe(F.col(f"c.{k}")) for k in (*keys, "_grain")]
     return rows.alias("r").join(carry.alias("c"), same, "left").select(*[F.col(f"r.{c}") for c in df.columns], F.coalesce("r._in", "c._carry")["v"].alias(name))
 

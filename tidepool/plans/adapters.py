@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import money
+from ..operators.scale import parts_for, spread
 from ..operators.written import shared_path
 from ..sources.market import with_money
 
@@ -50,18 +51,35 @@ def meta(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(BTC, "0.01", "0.1"), (ETH, "0.1", "0.01")], "inst_id string, c string, t string").select("inst_id", F.col("c").cast(money.CONTRACT).alias("ct_val"), F.lit(1).cast(money.CONTRACT).alias("ct_mult"), F.lit("linear").alias("ct_type"), F.col("t").cast("decimal(16,8)").alias("tick"))
 
 
-def book(spark: SparkSession, sf_dir: str, mid: int = 1000) -> DataFrame:
-    """One snapshot an order, two seconds apart; its lines are levels up to five percent from ``mid``, best first."""
-    lines = table(spark, sf_dir, "lineitem")
+#: Orders of one task. The number of tasks follows the tables, so a task's rows and memory don't.
+ORDERS_A_TASK = 20_000
+
+
+def book_parts(spark: SparkSession, sf_dir: str) -> int:
+    return parts_for(table(spark, sf_dir, "orders").count(), ORDERS_A_TASK, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def snapshots(spark: SparkSession, sf_dir: str, mid: int = 1000) -> DataFrame:
+    """One an order, two seconds apart: seq, inst_id, ts, mid."""
+    k = F.col("o_orderkey")
+    return table(spark, sf_dir, "orders").select(k.alias("seq"), instrument(k).alias("inst_id"), F.timestamp_seconds(F.lit(1_704_067_200) + k * 2).alias("ts"), F.lit(mid).cast(money.PRICE).alias("mid"))
+
+
+def levels(spark: SparkSession, sf_dir: str, mid: int = 1000) -> DataFrame:
+    """The lines of the orders as levels up to five percent from ``mid``: seq, side, price, off, qty."""
     side = F.when(F.col("l_returnflag") == "R", "bid").when(F.col("l_returnflag") == "A", "ask").when(F.col("l_linestatus") == "O", "bid").otherwise("ask")
     off = (F.col("l_discount").cast("decimal(6,4)") * F.lit(mid) / 2).cast("decimal(12,4)")
-    level = lines.select(F.col("l_orderkey").alias("k"), side.alias("side"), off.alias("off"), F.col("l_quantity").cast(money.QTY).alias("qty"))
-    level = level.select("k", "side", F.when(F.col("side") == "bid", mid - F.col("off")).otherwise(mid + F.col("off")).cast(money.PRICE).alias("price"), "off", "qty")
-    sides = level.groupBy("k").agg(*[F.array_sort(F.collect_list(F.when(F.col("side") == s, F.struct("off", F.negative("qty").alias("less"), "price", "qty")))).alias(f"{s}s") for s in ("bid", "ask")])
+    level = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("seq"), side.alias("side"), off.alias("off"), F.col("l_quantity").cast(money.QTY).alias("qty"))
+    return level.select("seq", "side", F.when(F.col("side") == "bid", mid - F.col("off")).otherwise(mid + F.col("off")).cast(money.PRICE).alias("price"), "off", "qty")
+
+
+def book(spark: SparkSession, sf_dir: str, mid: int = 1000) -> DataFrame:
+    """The snapshots with their levels, best first."""
+    parts = book_parts(spark, sf_dir)
+    level = spread(levels(spark, sf_dir, mid), parts, "seq")
+    sides = level.groupBy("seq").agg(*[F.array_sort(F.collect_list(F.when(F.col("side") == s, F.struct("off", F.negative("qty").alias("less"), "price", "qty")))).alias(f"{s}s") for s in ("bid", "ask")])
     typed = lambda c: F.transform(F.coalesce(F.col(c), F.array().cast("array<struct<off:decimal(12,4),less:decimal(16,4),price:decimal(16,4),qty:decimal(16,4)>>")), lambda x: F.struct(x["price"].alias("price"), x["qty"].alias("qty")))
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
-    at = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("k") * 2)
-    return orders.join(sides, "k", "left").select(F.col("k").alias("seq"), instrument(F.col("k")).alias("inst_id"), at.alias("ts"), F.lit(mid).cast(money.PRICE).alias("mid"), typed("bids").alias("bids"), typed("asks").alias("asks"))
+    return spread(snapshots(spark, sf_dir, mid), parts, "seq").join(sides, "seq", "left").select("seq", "inst_id", "ts", "mid", typed("bids").alias("bids"), typed("asks").alias("asks"))
 
 
 def as_lines(rows: DataFrame, name: str, bad_every: int = 0) -> str:
