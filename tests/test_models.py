@@ -139,6 +139,15 @@ def test_walls_model(spark, width_s):
     assert all(r.wall_active == (r.wall_age is not None) for r in got)
 
 
+def test_walls_deal_their_rows_once(spark, monkeypatch):
+    """Where no streak outlasts the limit, nothing is written but the rows with their day's starts and the empty list of streaks."""
+    names = []
+    monkeypatch.setattr(book, "written", lambda df, name="step", real=book.written: (names.append(name), real(df, name))[1])
+    rows, df = band_rows(spark, seed=6, n=40)
+    got = book.walls(df, {"X": 5}, longest_s=10**6, parts=7)
+    assert names == ["bands", "streaks"] and got.count() == len(rows)
+
+
 def test_streams_equal_batch(spark, tmp_path):
     rows, df = band_rows(spark, 4, 200)
     for i in range(4):  # one file a batch, in order

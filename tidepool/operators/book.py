@@ -114,38 +114,51 @@ def bucket_changes(bucket_rows: DataFrame, least: float = 100_000, share: float
     return _changed(rows, F.coalesce("_in", F.lit(0).cast("decimal(30,8)")), least, share).drop("_in")
 
 
-def walls(long_rows: DataFrame, thresholds: dict[str, float] | None = None, rest_s: int = 30, longest_s: int = 3600, width_s: int | None = None) -> DataFrame:
+def walls(long_rows: DataFrame, thresholds: dict[str, float] | None = None, rest_s: int = 30, longest_s: int = 3600, width_s: int | None = None, parts: int | None = None) -> DataFrame:
     """``long_rows`` with wall_age (whole seconds, null if none) and wall_active.
 
     A wall is born (in whole seconds) at the first snapshot with enough notional, active from ``rest_s`` to ``longest_s``
-    seconds of age, then starts anew with the next snapshot; too little notional ends it. Streaks of enough notional are cut out
-    by a two-level running maximum. In streaks longer than ``longest_s`` the births follow from each other (``chains.starts``), in
-    blocks of ``width_s`` seconds; a streak may last for years. One row per instrument, side, band and time."""
+    seconds of age, then starts anew with the next snapshot; too little notional ends it. Rows are dealt once, by day, and each gets
+    the start of its streak of enough notional from a window over the day and one row a day of those before. In streaks longer than
+    ``longest_s`` the births follow from each other (``chains.starts``), in blocks of ``width_s`` seconds; a streak may last for years.
+    One row per instrument, side, band and time."""
     keys = ["inst_id", "side", "band"]
     least = F.create_map(*[F.lit(x) for k, v in (thresholds or WALLS).items() for x in (k, float(v))])
-    rows = long_rows.withColumn("us", times.micros(F.col("ts"))).withColumn("_min", F.element_at(least, F.col("inst_id")))
-    rows = rows.withColumn("_enough", F.coalesce(F.col("notional") >= F.col("_min").cast("decimal(20,2)"), F.lit(False))).withColumn("_day", times.day(F.col("ts")))
-    rows = written(rows, "bands")
-    parts = parts_for(rows.count(), ROWS_A_TASK)
-    marked = running(rows, keys, "_day", ["us"], maxima={"_low": F.when(~F.col("_enough"), F.col("us"))}, parts=parts)
-    marked = written(marked.withColumn("_low", F.coalesce("_low", F.lit(-1))), "streaks")
-    held = marked.where("_enough").select(*keys, "us", "_low", "_day")
-    span = held.groupBy(*keys, "_low").agg(F.min("us").alias("_from"), F.max("us").alias("_to"))
     longest = longest_s * 1_000_000
     born = lambda c: c - F.pmod(c, F.lit(1_000_000))
-
-    long = held.join(span.where(F.col("_to") - F.col("_from") > longest), [*keys, "_low"])
-    long = long.withColumn("series", F.to_json(F.struct(*keys, "_low")))
-    long = running(long, ["series"], "_day", ["us"], {"_n": F.lit(1).cast("long")}, parts=parts)
-    at = F.col("us") - F.col("_from")
-    again = starts(long.select("series", (F.col("_n") - 1).alias("place"), at.alias("at"), at.alias("end"), F.greatest(at, born(F.col("us")) + longest - F.col("_from")).alias("limit")), longest, skip=1, width=width_s and width_s * 1_000_000)
-    births = long.withColumn("place", F.col("_n") - 1).join(again, ["series", "place"], "left_semi").select(*keys, "us")
-    births = births.unionByName(span.select(*keys, F.col("_from").alias("us"))).distinct().withColumn("_start", F.lit(True))
-
-    lived = running(marked.join(births, [*keys, "us"], "left"), keys, "_day", ["us"], maxima={"_born": F.when(F.col("_start"), born(F.col("us")))}, parts=parts)
-    age = F.col("us") - F.col("_born")
-    out = lived.withColumn("wall_age", F.when(F.col("_enough") & F.col("_start").isNull() & age.between(rest_s * 1_000_000, longest), F.floor(age / 1_000_000)))
-    return out.select(*long_rows.columns, "wall_age", F.col("wall_age").isNotNull().alias("wall_active"))
+    age = lambda since: F.col("us") - born(since)
+    whole = lambda start, since: F.when(F.col("_enough") & ~start & age(since).between(rest_s * 1_000_000, longest), F.floor(age(since) / 1_000_000))
+
+    enough = F.coalesce(F.col("notional") >= F.element_at(least, F.col("inst_id")).cast("decimal(20,2)"), F.lit(False))
+    rows = long_rows.withColumns({"us": times.micros(F.col("ts")), "_enough": enough, "_day": times.day(F.col("ts"))})
+    day = Window.partitionBy(*keys, "_day").orderBy("us")
+    rows = spread(rows, parts, *keys, "_day").withColumn("_was", F.lag("_enough").over(day))
+    # the first row of a day may go on with the streak of the day before, so it is left to the days
+    rows = rows.withColumn("_in", F.max(F.when(F.col("_enough") & ~F.col("_was"), F.col("us"))).over(day.rowsBetween(Window.unboundedPreceding, 0))).drop("_was")
+    rows = written(rows, "bands")
+    parts = parts or parts_for(rows.count(), ROWS_A_TASK)
+    days = rows.groupBy(*keys, "_day").agg(F.min("us").alias("_first"), F.min_by("_enough", "us").alias("_opens"), F.max_by("_enough", "us").alias("_ends"), F.max("_in").alias("_in"))
+    by_day = Window.partitionBy(*keys).orderBy("_day")
+    days = days.withColumn("_new", F.when(F.col("_opens") & ~F.coalesce(F.lag("_ends").over(by_day), F.lit(False)), F.col("_first")))
+    days = days.withColumn("_old", F.max(F.greatest("_in", "_new")).over(by_day.rowsBetween(Window.unboundedPreceding, -1)))
+    marked = rows.join(days.select(*keys, "_day", F.greatest("_new", "_old").alias("_old")), [*keys, "_day"])
+    marked = marked.withColumn("_from", F.greatest("_in", "_old")).drop("_in", "_old")
+
+    held = marked.where("_enough").select(*keys, "us", "_from", "_day")
+    long = written(held.where(F.col("us") - F.col("_from") > longest).select(*keys, "_from").distinct(), "streaks")
+    plain = marked.join(long, [*keys, "_from"], "left_anti") if not long.isEmpty() else marked
+    plain = plain.withColumn("wall_age", whole(F.col("us") == F.col("_from"), F.col("_from")))
+    out = plain.select(*long_rows.columns, "wall_age")
+    if not long.isEmpty():
+        lasting = written(marked.join(long, [*keys, "_from"], "left_semi"), "lasting")
+        kept = lasting.where("_enough").withColumn("series", F.to_json(F.struct(*keys, "_from")))
+        kept = running(kept, ["series"], "_day", ["us"], {"_n": F.lit(1).cast("long")}, parts=parts)
+        at = F.col("us") - F.col("_from")
+        again = starts(kept.select("series", (F.col("_n") - 1).alias("place"), at.alias("at"), at.alias("end"), F.greatest(at, born(F.col("us")) + longest - F.col("_from")).alias("limit")), longest, skip=1, width=width_s and width_s * 1_000_000)
+        births = kept.withColumn("place", F.col("_n") - 1).join(again, ["series", "place"], "left_semi").select(*keys, "us", F.lit(True).alias("_start"))
+        lived = running(lasting.join(births, [*keys, "us"], "left"), keys, "_day", ["us"], maxima={"_born": F.when(F.col("_start"), F.col("us"))}, parts=parts)
+        out = out.unionByName(lived.withColumn("wall_age", whole(F.col("_start").isNotNull(), F.col("_born"))).select(*long_rows.columns, "wall_age"))
+    return out.withColumn("wall_active", F.col("wall_age").isNotNull())
 
 
 def with_wall_ages(rows: DataFrame, walls: DataFrame) -> DataFrame:
