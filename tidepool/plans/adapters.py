@@ -51,7 +51,7 @@ def meta(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(BTC, "0.01", "0.1"), (ETH, "0.1", "0.01")], "inst_id string, c string, t string").select("inst_id", F.col("c").cast(money.CONTRACT).alias("ct_val"), F.lit(1).cast(money.CONTRACT).alias("ct_mult"), F.lit("linear").alias("ct_type"), F.col("t").cast("decimal(16,8)").alias("tick"))
 
 
-#: Orders of one task. The number of tasks follows the tables, so a task's rows and memory don't.
+#: Orders of one task. The number of tasks follows the tables, so the rows of a task don't.
 ORDERS_A_TASK = 20_000
 
 
