@@ -6,6 +6,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -13,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tests.conftest import SF
 from tidepool.llm import embedding, fingerprint, flat, html, labelled, ngram_join, packing, pieces, quality, spans, suffix_lm, toxicity
@@ -118,6 +120,32 @@ def test_factorisation_machine_identity():
     assert np.isclose(m.margin(np.zeros(4, int), i, x, 1)[0], m.w[i] @ x + pairs)
 
 
+def test_factorisation_machine_rows():
+    rng = np.random.default_rng(0)
+    count = np.array([3, 0, 5, 1])
+    bucket, code = rng.integers(0, quality.WORDS, 9).astype(np.int16), rng.integers(0, quality.BINS, (4, quality.STATS)).astype(np.int16)
+    want, at = [], 0
+    for d, k in enumerate(count):
+        want += [(d, int(b), 1 / np.sqrt(k)) for b in bucket[at : at + k]] + [(d, quality.WORDS + j * quality.BINS + int(c), 0.5) for j, c in enumerate(code[d])]
+        at += k
+    assert list(zip(*(x.tolist() for x in quality.rows(count, bucket, code)), strict=True)) == want
+
+
+def test_quality_fit_holds_two_bytes_a_word(spark):
+    texts = [(i, " ".join(f"w{(i * 37 + j) % 50_000}" for j in range(200))) for i in range(2_000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    words = 200 * sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(2_000))
+    tracemalloc.start()
+    try:
+        edges, _ = quality.fit(docs, labels)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # 29.6 MB with indices and values of all words at once, 12.8 MB with those of one step
+    assert edges is not None and peak < 16e6 + 8 * words
+
+
 def test_isotonic_is_monotone():
     rng = np.random.default_rng(0)
     at, rate = toxicity.isotonic(rng.normal(size=200), rng.integers(0, 2, 200).astype(float))

@@ -4,7 +4,8 @@ Inputs of a text are its distinct hashed words, structure statistics and the len
 of a few quantile bins. The score is the logistic of a bias, a weight per input, and low-rank interactions of all
 pairs of inputs, which the identity sum_{i<j} <v_i, v_j> x_i x_j = 1/2 sum_f ((sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2)
 gives in linear time. The machine is fitted by AdaGrad on the driver on a bounded sample of labelled rows; inputs and
-scores of all documents are computed on the executors.
+scores of all documents are computed on the executors. The driver holds two bytes for each distinct word of a sampled
+text, and makes indices and values of one step's texts at a time.
 
 Defined cases: null or empty text has no words and the bins of zero statistics; without labels of both classes the
 score is the base rate (0 without any label); repeated rows get a row each; an empty table gives an empty result;
@@ -79,17 +80,20 @@ def inputs(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return stats, doc, (token % flat.U(WORDS)).astype(np.int64)
 
 
-def rows(stats: np.ndarray, doc: np.ndarray, bucket: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(doc, input, value) sorted by doc: words weigh 1 together, statistics 1 each."""
-    n = len(stats)
-    count = np.maximum(np.bincount(doc, minlength=n), 1)
-    code = np.column_stack([np.searchsorted(edges[j], stats[:, j], "left") for j in range(STATS)])
-    at = WORDS + np.arange(STATS) * BINS + code
-    d = np.concatenate([doc, np.repeat(np.arange(n), STATS)])
-    i = np.concatenate([bucket, at.ravel()])
-    v = np.concatenate([1 / np.sqrt(count[doc]), np.full(n * STATS, 0.5)])
-    order = np.argsort(d, kind="stable")
-    return d[order], i[order], v[order]
+def bins(stats: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """The bin of each statistic of each text."""
+    return np.column_stack([np.searchsorted(edges[j], stats[:, j], "left") for j in range(STATS)]).astype(np.int16)
+
+
+def rows(count: np.ndarray, bucket: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(doc, input, value) sorted by doc, of texts with ``count`` buckets each: words weigh 1 together, statistics 1 each."""
+    n = len(count)
+    doc, ends = np.repeat(np.arange(n), count), np.cumsum(count + STATS)
+    words, stats = np.arange(len(doc)) + STATS * doc, ends[:, None] - STATS + np.arange(STATS)
+    i, v = np.empty(len(doc) + n * STATS, dtype=np.int64), np.empty(len(doc) + n * STATS)
+    i[words], v[words] = bucket, (1 / np.sqrt(np.maximum(count, 1)))[doc]
+    i[stats], v[stats] = WORDS + np.arange(STATS) * BINS + code, 0.5
+    return np.repeat(np.arange(n), count + STATS), i, v
 
 
 class Machine:
@@ -108,20 +112,20 @@ class Machine:
             out += 0.5 * (np.bincount(d, weights=vx, minlength=n) ** 2 - np.bincount(d, weights=vx * vx, minlength=n))
         return out
 
-    def fit(self, d, i, x, y, epochs: int = 12, batch: int = 256, steps: int = 500, rate: float = 0.08, l2: float = 2e-3) -> Machine:
-        """At least ``epochs`` passes and ``steps`` steps."""
+    def fit(self, count, words, code, y, epochs: int = 12, batch: int = 256, steps: int = 500, rate: float = 0.08, l2: float = 2e-3) -> Machine:
+        """At least ``epochs`` passes and ``steps`` steps over texts with ``count`` buckets each, in ``words``, and their bins."""
         n = len(y)
         epochs = max(epochs, -(-steps // max(1, n // batch)))
-        first = np.searchsorted(d, np.arange(n + 1))
+        first = np.cumsum(count) - count
         p0 = np.clip(y.mean(), 1e-3, 1 - 1e-3)
         self.bias = float(np.log(p0 / (1 - p0)))
         gw, gv = np.full(len(self.w), 1e-3), np.full(self.v.shape, 1e-3)
         rng = np.random.default_rng(11)
         for _ in range(epochs):
             for part in np.array_split(rng.permutation(n), max(1, n // batch)):
-                size = first[part + 1] - first[part]
-                at, ends = np.repeat(first[part] - np.cumsum(size) + size, size) + np.arange(size.sum()), len(part)
-                dd, ii, xx = np.repeat(np.arange(ends), size), i[at], x[at]
+                size, ends = count[part], len(part)
+                at = np.repeat(first[part] - np.cumsum(size) + size, size) + np.arange(size.sum())
+                dd, ii, xx = rows(size, words[at], code[part])
                 err = 1 / (1 + np.exp(-np.clip(self.margin(dd, ii, xx, ends), -30, 30))) - y[part]
                 used, inv = np.unique(ii, return_inverse=True)
                 e = err[dd] * xx
@@ -143,25 +147,25 @@ class Machine:
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS):
     """(bin edges, machine state), or (None, base rate) where only one class has labels."""
     train = cut(sample(docs, labels, "quality", sample_rows), "train")
-    kind = pa.schema([("y", pa.int32()), ("stats", pa.list_(pa.float64())), ("words", pa.list_(pa.int32()))])
+    kind = pa.schema([("y", pa.int32()), ("stats", pa.list_(pa.float64())), ("words", pa.list_(pa.int16()))])
 
     def extract(batches):
         for b in flat.slices(batches):
             stats, doc, bucket = inputs(b.column("text"))
             ends = np.searchsorted(doc, np.arange(b.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column("y"), pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * STATS), pa.array(stats.ravel())), pa.ListArray.from_arrays(pa.array(ends), pa.array(bucket.astype(np.int32)))], schema=kind)
+            yield pa.RecordBatch.from_arrays([b.column("y"), pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * STATS), pa.array(stats.ravel())), pa.ListArray.from_arrays(pa.array(ends), pa.array(bucket.astype(np.int16)))], schema=kind)
 
-    got = train.orderBy("doc_id").mapInArrow(extract, "y int, stats array<double>, words array<int>").toArrow()
+    got = train.orderBy("doc_id").mapInArrow(extract, "y int, stats array<double>, words array<smallint>").toArrow()
     drop(train)
     y = got.column("y").to_numpy().astype(float)
     if not len(y) or y.min() == y.max():
         return None, float(y.mean()) if len(y) else 0.0
     stats = got.column("stats").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, STATS)
     words = got.column("words").combine_chunks()
-    count = words.value_lengths().to_numpy(zero_copy_only=False)
-    doc, bucket = np.repeat(np.arange(len(y)), count), words.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    del got
+    count = words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     edges = np.quantile(stats, np.linspace(0, 1, BINS + 1)[1:-1], axis=0).T.copy()
-    m = Machine().fit(*rows(stats, doc, bucket, edges), y)
+    m = Machine().fit(count, words.flatten().to_numpy(zero_copy_only=False), bins(stats, edges), y)
     return edges, (m.bias, m.w.astype(np.float32), m.v.astype(np.float32))
 
 
@@ -172,7 +176,12 @@ def _scores(model):
         return lambda col: np.full(len(col), state)
     m = Machine.__new__(Machine)
     m.bias, m.w, m.v = state
-    return lambda col: 1 / (1 + np.exp(-np.clip(m.margin(*rows(*inputs(col), edges), len(col)), -30, 30)))
+
+    def score(col: pa.Array) -> np.ndarray:
+        stats, doc, bucket = inputs(col)
+        return 1 / (1 + np.exp(-np.clip(m.margin(*rows(np.bincount(doc, minlength=len(col)), bucket, bins(stats, edges)), len(col)), -30, 30)))
+
+    return score
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
