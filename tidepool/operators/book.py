@@ -5,6 +5,8 @@ Input: canonical snapshots (inst_id, ts, mid, bids, asks) with typed levels. Sna
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,9 +39,14 @@ def _imbalance(b: Column, a: Column) -> Column:
     return _half_even(F.try_divide(b - a, b + a), 2)
 
 
+def _with_contracts(rows: DataFrame, meta: DataFrame) -> DataFrame:
+    """``rows`` with ct_val. Contracts (one row an instrument) go to the rows: dealt by instrument, an instrument's rows would all be one task's."""
+    return rows.join(F.broadcast(meta.select("inst_id", "ct_val")), "inst_id")
+
+
 def buckets(snapshots: DataFrame, meta: DataFrame, bands=BANDS) -> DataFrame:
     """Per snapshot: notional and base by band and side (arrays), imbalance by band, obi, micro_price, best levels."""
-    rows = snapshots.where("mid is not null").join(meta.select("inst_id", "ct_val"), "inst_id")
+    rows = _with_contracts(snapshots.where("mid is not null"), meta)
 
     # every level's distance is worked out once, and the bounds once a snapshot
     rows = rows.withColumn("_bounds", F.array(*[F.col("mid") * b for b in bands]))
@@ -66,11 +73,19 @@ def buckets(snapshots: DataFrame, meta: DataFrame, bands=BANDS) -> DataFrame:
 
 def level_buckets(snapshots: DataFrame, levels: DataFrame, meta: DataFrame, key: str, bands=BANDS, parts: int | None = None) -> DataFrame:
     """``buckets`` of levels that are rows (``key``, side, price, qty) rather than arrays: the snapshots' columns (one row a ``key``),
-    notional and base by band and side, imbalance by band. Joins and sums in compiled code, in ``parts`` tasks."""
-    rows = spread(snapshots.where("mid is not null"), parts, key).join(spread(levels.select(key, "side", "price", "qty"), parts, key), key, "left")
-    rows = rows.join(meta.select("inst_id", "ct_val"), "inst_id")
+    notional and base by band and side, imbalance by band. Joins and sums in compiled code, in ``parts`` tasks. A band's bound is
+    worked out once a snapshot and cut to the last digit of a price, so levels are compared as longs; of a task's share the
+    snapshots are looked up by hash where ``parts`` keeps them few."""
+    bound = lambda b: F.floor((F.col("mid").cast(money.PRICE) * b).cast("decimal(32,4)") * F.lit("0.0001").cast("decimal(4,4)"), F.lit(4))
+    farthest = F.lit("9999999999999.9999").cast("decimal(17,4)")  # of a distance of two prices
+    heads = _with_contracts(snapshots.where("mid is not null"), meta).withColumns({f"_bound_{i}": F.least(bound(b), farthest).cast("decimal(17,4)") for i, b in enumerate(bands)})
+    heads, levels = spread(heads, parts, key), spread(levels.select(key, "side", "price", "qty"), parts, key)
+    rows = levels.join(heads.hint("shuffle_hash") if parts else heads, key, "right")
     kept = F.when(F.col("side") == "bid", F.col("price") <= F.col("mid")).otherwise(F.col("price") >= F.col("mid"))
-    rows = rows.withColumns({"_place": F.when(kept, band_of(F.col("price"), F.col("mid"), bands)), "_base": (F.col("qty") * F.col("ct_val")).cast("decimal(20,8)")})
+    place = F.lit(None).cast("int")
+    for i in reversed(range(len(bands))):
+        place = F.when(F.abs(F.col("price") - F.col("mid")) <= F.col(f"_bound_{i}"), i).otherwise(place)
+    rows = rows.withColumns({"_place": F.when(kept, place), "_base": (F.col("qty") * F.col("ct_val")).cast("decimal(20,8)")})
     rows = rows.withColumns({"_cell": F.when(F.col("side") == "bid", F.col("_place")).otherwise(F.col("_place") + len(bands)), "_notional": (F.col("_base") * F.col("price")).cast(money.NOTIONAL)})
     kinds = {"notional": "decimal(30,8)", "base": "decimal(28,8)"}
     cells = [(s, f, i, at * len(bands) + i) for at, s in enumerate(("bid", "ask")) for f in kinds for i in range(len(bands))]
@@ -114,53 +129,121 @@ def bucket_changes(bucket_rows: DataFrame, least: float = 100_000, share: float
     return _changed(rows, F.coalesce("_in", F.lit(0).cast("decimal(30,8)")), least, share).drop("_in")
 
 
-def walls(long_rows: DataFrame, thresholds: dict[str, float] | None = None, rest_s: int = 30, longest_s: int = 3600, width_s: int | None = None, parts: int | None = None) -> DataFrame:
-    """``long_rows`` with wall_age (whole seconds, null if none) and wall_active.
+def _born(us: Column) -> Column:
+    return us - F.pmod(us, F.lit(1_000_000))
 
-    A wall is born (in whole seconds) at the first snapshot with enough notional, active from ``rest_s`` to ``longest_s``
-    seconds of age, then starts anew with the next snapshot; too little notional ends it. Rows are dealt once, by day, and each gets
-    the start of its streak of enough notional from a window over the day and one row a day of those before. In streaks longer than
-    ``longest_s`` the births follow from each other (``chains.starts``), in blocks of ``width_s`` seconds; a streak may last for years.
-    One row per instrument, side, band and time."""
-    keys = ["inst_id", "side", "band"]
-    least = F.create_map(*[F.lit(x) for k, v in (thresholds or WALLS).items() for x in (k, float(v))])
-    longest = longest_s * 1_000_000
-    born = lambda c: c - F.pmod(c, F.lit(1_000_000))
-    age = lambda since: F.col("us") - born(since)
-    whole = lambda start, since: F.when(F.col("_enough") & ~start & age(since).between(rest_s * 1_000_000, longest), F.floor(age(since) / 1_000_000))
 
-    enough = F.coalesce(F.col("notional") >= F.element_at(least, F.col("inst_id")).cast("decimal(20,2)"), F.lit(False))
-    rows = long_rows.withColumns({"us": times.micros(F.col("ts")), "_enough": enough, "_day": times.day(F.col("ts"))})
+def _whole(start: Column, since: Column, rest_s: int, longest_s: int) -> Column:
+    """Whole seconds of age of the row at ``us``, if it isn't the start and they count."""
+    age = F.col("us") - _born(since)
+    return F.when(since.isNotNull() & ~start & age.between(rest_s * 1_000_000, longest_s * 1_000_000), F.floor(age / 1_000_000))
+
+
+def _enough(amounts: list[str], thresholds: dict[str, float] | None) -> Column:
+    """Bit k is set if the k-th amount is enough for the instrument."""
+    least = F.element_at(F.create_map(*[F.lit(x) for k, v in (thresholds or WALLS).items() for x in (k, float(v))]), F.col("inst_id")).cast("decimal(20,2)")
+    bits = [F.when(F.col(c) >= least, F.lit(1 << k).cast("long")).otherwise(F.lit(0).cast("long")) for k, c in enumerate(amounts)]
+    return functools.reduce(lambda a, b: a + b, bits)
+
+
+def _has(bits: Column, k: int) -> Column:
+    return F.getbit(bits, F.lit(k)) == 1
+
+
+def _streaks(rows: DataFrame, keys: list[str], amounts: list[str], thresholds: dict[str, float] | None, parts: int | None) -> DataFrame:
+    """``rows`` with us, _day and, for each amount that is enough, ``_from_<k>``: where its streak of enough began. They are dealt once,
+    by day, whatever the number of amounts, and written; a streak's start comes from a window over the day and one row a day of
+    those before, which is broadcast if ``parts`` is given."""
+    rows = rows.withColumns({"us": times.micros(F.col("ts")), "_day": times.day(F.col("ts")), "_bits": _enough(amounts, thresholds)})
     day = Window.partitionBy(*keys, "_day").orderBy("us")
-    rows = spread(rows, parts, *keys, "_day").withColumn("_was", F.lag("_enough").over(day))
     # the first row of a day may go on with the streak of the day before, so it is left to the days
-    rows = rows.withColumn("_in", F.max(F.when(F.col("_enough") & ~F.col("_was"), F.col("us"))).over(day.rowsBetween(Window.unboundedPreceding, 0))).drop("_was")
+    rows = spread(rows, parts, *keys, "_day").withColumn("_new", F.col("_bits").bitwiseAND(F.bitwise_not(F.lag("_bits").over(day))))
+    so_far = day.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumns({f"_in_{k}": F.when(_has(F.col("_bits"), k), F.max(F.when(_has(F.col("_new"), k), F.col("us"))).over(so_far)) for k in range(len(amounts))}).drop("_new")
     rows = written(rows, "bands")
-    parts = parts or parts_for(rows.count(), ROWS_A_TASK)
-    days = rows.groupBy(*keys, "_day").agg(F.min("us").alias("_first"), F.min_by("_enough", "us").alias("_opens"), F.max_by("_enough", "us").alias("_ends"), F.max("_in").alias("_in"))
+    days = rows.groupBy(*keys, "_day").agg(F.min("us").alias("_first"), F.min_by("_bits", "us").alias("_opens"), F.max_by("_bits", "us").alias("_ends"), *[F.max(f"_in_{k}").alias(f"_in_{k}") for k in range(len(amounts))])
     by_day = Window.partitionBy(*keys).orderBy("_day")
-    days = days.withColumn("_new", F.when(F.col("_opens") & ~F.coalesce(F.lag("_ends").over(by_day), F.lit(False)), F.col("_first")))
-    days = days.withColumn("_old", F.max(F.greatest("_in", "_new")).over(by_day.rowsBetween(Window.unboundedPreceding, -1)))
-    marked = rows.join(days.select(*keys, "_day", F.greatest("_new", "_old").alias("_old")), [*keys, "_day"])
-    marked = marked.withColumn("_from", F.greatest("_in", "_old")).drop("_in", "_old")
-
-    held = marked.where("_enough").select(*keys, "us", "_from", "_day")
-    long = written(held.where(F.col("us") - F.col("_from") > longest).select(*keys, "_from").distinct(), "streaks")
-    plain = marked.join(long, [*keys, "_from"], "left_anti") if not long.isEmpty() else marked
-    plain = plain.withColumn("wall_age", whole(F.col("us") == F.col("_from"), F.col("_from")))
-    out = plain.select(*long_rows.columns, "wall_age")
-    if not long.isEmpty():
+    days = days.withColumn("_starts", F.col("_opens").bitwiseAND(F.bitwise_not(F.coalesce(F.lag("_ends").over(by_day), F.lit(0).cast("long")))))
+    new = {k: F.when(_has(F.col("_starts"), k), F.col("_first")) for k in range(len(amounts))}
+    old = {k: F.max(F.greatest(f"_in_{k}", new[k])).over(by_day.rowsBetween(Window.unboundedPreceding, -1)) for k in new}
+    days = days.select(*keys, "_day", *[F.greatest(new[k], old[k]).alias(f"_old_{k}") for k in new])
+    marked = rows.join(F.broadcast(days) if parts else days, [*keys, "_day"])
+    marked = marked.withColumns({f"_from_{k}": F.when(_has(F.col("_bits"), k), F.greatest(f"_in_{k}", f"_old_{k}")) for k in new})
+    return marked.drop("_bits", *[f"{c}_{k}" for c in ("_in", "_old") for k in new])
+
+
+def _aged(marked: DataFrame, long: DataFrame, keys: list[str], columns: list[str], rest_s: int, longest_s: int, width_s: int | None, parts: int | None) -> DataFrame:
+    """``columns`` of ``marked`` (keys, us, _day, _from) with wall_age and wall_active. In the streaks ``long`` (keys, _from), those
+    that outlast ``longest_s``, the births follow from each other."""
+    longest = longest_s * 1_000_000
+    lasts = not long.isEmpty()
+    plain = marked.join(long, [*keys, "_from"], "left_anti") if lasts else marked
+    out = plain.withColumn("wall_age", _whole(F.col("us") == F.col("_from"), F.col("_from"), rest_s, longest_s)).select(*columns, "wall_age")
+    if lasts:
         lasting = written(marked.join(long, [*keys, "_from"], "left_semi"), "lasting")
-        kept = lasting.where("_enough").withColumn("series", F.to_json(F.struct(*keys, "_from")))
-        kept = running(kept, ["series"], "_day", ["us"], {"_n": F.lit(1).cast("long")}, parts=parts)
+        parts = parts or parts_for(lasting.count(), ROWS_A_TASK)
+        kept = running(lasting.withColumn("series", F.to_json(F.struct(*keys, "_from"))), ["series"], "_day", ["us"], {"_n": F.lit(1).cast("long")}, parts=parts)
         at = F.col("us") - F.col("_from")
-        again = starts(kept.select("series", (F.col("_n") - 1).alias("place"), at.alias("at"), at.alias("end"), F.greatest(at, born(F.col("us")) + longest - F.col("_from")).alias("limit")), longest, skip=1, width=width_s and width_s * 1_000_000)
+        again = starts(kept.select("series", (F.col("_n") - 1).alias("place"), at.alias("at"), at.alias("end"), F.greatest(at, _born(F.col("us")) + longest - F.col("_from")).alias("limit")), longest, skip=1, width=width_s and width_s * 1_000_000)
         births = kept.withColumn("place", F.col("_n") - 1).join(again, ["series", "place"], "left_semi").select(*keys, "us", F.lit(True).alias("_start"))
         lived = running(lasting.join(births, [*keys, "us"], "left"), keys, "_day", ["us"], maxima={"_born": F.when(F.col("_start"), F.col("us"))}, parts=parts)
-        out = out.unionByName(lived.withColumn("wall_age", whole(F.col("_start").isNotNull(), F.col("_born"))).select(*long_rows.columns, "wall_age"))
+        out = out.unionByName(lived.withColumn("wall_age", _whole(F.col("_start").isNotNull(), F.col("_born"), rest_s, longest_s)).select(*columns, "wall_age"))
     return out.withColumn("wall_active", F.col("wall_age").isNotNull())
 
 
+def walls(long_rows: DataFrame, thresholds: dict[str, float] | None = None, rest_s: int = 30, longest_s: int = 3600, width_s: int | None = None, parts: int | None = None) -> DataFrame:
+    """``long_rows`` with wall_age (whole seconds, null if none) and wall_active.
+
+    A wall is born (in whole seconds) at the first snapshot with enough notional, active from ``rest_s`` to ``longest_s``
+    seconds of age, then starts anew with the next snapshot; too little notional ends it. Rows are dealt once, by day
+    (``_streaks``). In streaks longer than ``longest_s`` the births follow from each other (``chains.starts``), in blocks of
+    ``width_s`` seconds; a streak may last for years. One row per instrument, side, band and time."""
+    keys = ["inst_id", "side", "band"]
+    marked = _streaks(long_rows, keys, ["notional"], thresholds, parts).withColumnRenamed("_from_0", "_from")
+    long = written(marked.where(F.col("us") - F.col("_from") > longest_s * 1_000_000).select(*keys, "_from").distinct(), "streaks")
+    return _aged(marked, long, keys, long_rows.columns, rest_s, longest_s, width_s, parts)
+
+
+def _cells(bands) -> list[tuple[str, int]]:
+    return [(s, i) for s in ("bid", "ask") for i in bands]
+
+
+def _amounts(bucket_rows: DataFrame, cells: list[tuple[str, int]]) -> DataFrame:
+    return bucket_rows.select("inst_id", "ts", *[F.get(F.col(f"{s}_notional"), F.lit(i)).alias(f"_n_{k}") for k, (s, i) in enumerate(cells)])
+
+
+def bucket_walls(bucket_rows: DataFrame, thresholds: dict[str, float] | None = None, rest_s: int = 30, longest_s: int = 3600, width_s: int | None = None, parts: int | None = None, bands=range(len(BANDS))) -> DataFrame:
+    """``walls`` of the ``bands`` of bucket rows (inst_id, ts, side, band, notional, wall_age, wall_active): a snapshot stays one row
+    until all its streaks' starts are known, and only then its bands become rows."""
+    cells, keys = _cells(bands), ["inst_id", "side", "band"]
+    marked = _streaks(_amounts(bucket_rows, cells), ["inst_id"], [f"_n_{k}" for k in range(len(cells))], thresholds, parts)
+    flat = [x for k, (s, i) in enumerate(cells) for x in (F.lit(s), F.lit(i), F.col(f"_n_{k}"), F.col(f"_from_{k}"))]
+    stacked = lambda df: df.select("inst_id", "ts", "us", "_day", F.stack(F.lit(len(cells)), *flat).alias("side", "band", "notional", "_from"))
+    rows = stacked(marked)
+    long = written(rows.where(F.col("us") - F.col("_from") > longest_s * 1_000_000).select(*keys, "_from").distinct(), "streaks")
+    return _aged(rows, long, keys, ["inst_id", "ts", "side", "band", "notional"], rest_s, longest_s, width_s, parts)
+
+
+def last_walls(bucket_rows: DataFrame, thresholds: dict[str, float] | None = None, rest_s: int = 30, longest_s: int = 3600, width_s: int | None = None, parts: int | None = None) -> DataFrame:
+    """The rows of ``bucket_walls``, without notional, of each instrument's last snapshot. Only the streaks that it stands in matter, and they
+    begin behind the last snapshot without enough: two sums by instrument over what is enough (one number a snapshot, written
+    once), no window."""
+    cells, keys = _cells(range(len(BANDS))), ["inst_id", "side", "band"]
+    rows = _amounts(bucket_rows, cells)
+    rows = written(rows.select("inst_id", "ts", times.micros(F.col("ts")).alias("us"), _enough([f"_n_{k}" for k in range(len(cells))], thresholds).alias("_bits")), "marks")
+    ends = rows.groupBy("inst_id").agg(F.max("us").alias("_last"), *[F.max(F.when(~_has(F.col("_bits"), k), F.col("us"))).alias(f"_bad_{k}") for k in range(len(cells))])
+    live = rows.join(F.broadcast(ends), "inst_id").where((F.col("us") > F.least(*[F.coalesce(f"_bad_{k}", F.col("us") - 1) for k in range(len(cells))])) | (F.col("us") == F.col("_last")))
+    flat = [x for k, (s, i) in enumerate(cells) for x in (F.lit(s), F.lit(i), F.coalesce(F.col("us") > F.col(f"_bad_{k}"), F.lit(True)))]
+    live = live.select("inst_id", "ts", "us", "_last", F.stack(F.lit(len(cells)), *flat).alias("side", "band", "_live")).where(F.col("_live") | (F.col("us") == F.col("_last")))
+    live = written(live, "live")
+    began = live.where("_live").groupBy(*keys).agg(F.min("us").alias("_from"), F.max("_last").alias("_last"))
+    marked = live.where("_live").drop("_last", "_live").join(began.select(*keys, "_from"), keys).withColumn("_day", times.day(F.col("ts")))
+    marked = marked.unionByName(live.where(~F.col("_live")).select("inst_id", "ts", "us", "side", "band", F.lit(None).cast("long").alias("_from"), times.day(F.col("ts")).alias("_day")))
+    long = written(began.where(F.col("_last") - F.col("_from") > longest_s * 1_000_000).select(*keys, "_from"), "streaks")
+    aged = _aged(marked, long, keys, ["inst_id", "ts", "us", "side", "band"], rest_s, longest_s, width_s, parts)
+    return aged.join(F.broadcast(ends.select("inst_id", "_last")), "inst_id").where(F.col("us") == F.col("_last")).drop("us", "_last")
+
+
 def with_wall_ages(rows: DataFrame, walls: DataFrame) -> DataFrame:
     """Bucket rows with arrays bid_wall_age and ask_wall_age by band."""
     ages = lambda s: F.transform(F.array_sort(F.collect_list(F.when(F.col("side") == s, F.struct("band", "wall_age")))), lambda x: x["wall_age"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,7 +70,7 @@ def snapshots(spark: SparkSession, sf_dir: str, mid: int = 1000) -> DataFrame:
 def levels(spark: SparkSession, sf_dir: str, mid: int = 1000) -> DataFrame:
     """The lines of the orders as levels up to five percent from ``mid``: seq, side, price, off, qty."""
     side = F.when(F.col("l_returnflag") == "R", "bid").when(F.col("l_returnflag") == "A", "ask").when(F.col("l_linestatus") == "O", "bid").otherwise("ask")
-    off = (F.col("l_discount").cast("decimal(6,4)") * F.lit(mid) / 2).cast("decimal(12,4)")
+    off = (F.col("l_discount").cast("decimal(6,4)") * F.lit(Decimal(mid) / 2)).cast("decimal(12,4)")
     level = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("seq"), side.alias("side"), off.alias("off"), F.col("l_quantity").cast(money.QTY).alias("qty"))
     return level.select("seq", "side", F.when(F.col("side") == "bid", mid - F.col("off")).otherwise(mid + F.col("off")).cast(money.PRICE).alias("price"), "off", "qty")
 
