@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tidepool.operators import book
+from tidepool.operators import bars, book, vwap
 
 T0 = datetime(2024, 3, 1, 22, 50)
 PRICE = "decimal(16,4)"
@@ -96,3 +96,29 @@ def test_last_walls_at_every_end(spark):
     want = plain(book.bucket_walls(rows, {"X": 5}, longest_s=900))
     for at in sorted({w[1] for w in want})[::15]:
         assert plain(book.last_walls(rows.where(F.col("ts") <= F.lit(at)), {"X": 5}, longest_s=900)) == [w for w in want if w[1] == at]
+
+
+def trades(spark, n=400, seed=2):
+    r = random.Random(seed)
+    rows = []
+    for k in range(n):
+        at = T0 + timedelta(seconds=r.choice([0.0, 1, 59]) + 37 * k)
+        rows.append((r.choice("XY"), at, k, r.choice(["buy", "sell", "other"]), Decimal(r.randint(100, 900)), Decimal(r.randint(1, 50))))
+    df = spark.createDataFrame(rows, f"inst_id string, ts timestamp, trade_id long, side string, price {PRICE}, notional decimal(24,8)")
+    return df.withColumn("pv", (F.col("notional") * F.col("price")).cast("decimal(30,8)"))
+
+
+def test_latest_vwap_is_the_last_row(spark):
+    t = trades(spark)
+    last = {}
+    for r in vwap.vwap(t, windows={"1h": 3600, "5s": 5}).collect():
+        last[r.inst_id] = max(last.get(r.inst_id, r), r, key=lambda x: x.window_start)
+    got = vwap.latest(t, {"1h": 3600, "5s": 5})
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r[c] for c in got.columns) for r in last.values())
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_deltas_are_those_of_cvd(spark):
+    t = trades(spark)
+    pick = lambda df: sorted((r.inst_id, r.window_start, r.cvd_delta) for r in df.collect())
+    assert pick(bars.deltas(t)) == pick(bars.cvd(t))

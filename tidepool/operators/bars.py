@@ -67,12 +67,16 @@ def change_pct(first: Column, last: Column) -> Column:
     return F.try_divide(((last - first) * 100).cast("double"), first.cast("double"))
 
 
-def cvd(trades: DataFrame, timeframe: str = "1m") -> DataFrame:
-    """Signed notional per window and its running sum, which never resets; other sides than buy and sell don't count."""
+def deltas(trades: DataFrame, timeframe: str = "1m") -> DataFrame:
+    """Signed notional per window; other sides than buy and sell don't count."""
     known = trades.where(F.col("side").isin("buy", "sell"))
     signed = F.when(F.col("side") == "buy", F.col("notional")).otherwise(-F.col("notional"))
-    bars = known.groupBy("inst_id", times.floor_to(F.col("ts"), timeframe).alias("window_start")).agg(F.sum(signed).cast("decimal(30,8)").alias("cvd_delta"))
-    bars = bars.withColumn("day", times.day(F.col("window_start")))
+    return known.groupBy("inst_id", times.floor_to(F.col("ts"), timeframe).alias("window_start")).agg(F.sum(signed).cast("decimal(30,8)").alias("cvd_delta"))
+
+
+def cvd(trades: DataFrame, timeframe: str = "1m") -> DataFrame:
+    """``deltas`` and their running sum, which never resets."""
+    bars = deltas(trades, timeframe).withColumn("day", times.day(F.col("window_start")))
     return running(bars, ["inst_id"], "day", ["window_start"], {"cvd_value": F.col("cvd_delta")}).drop("day")
 
 

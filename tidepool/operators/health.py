@@ -40,7 +40,8 @@ def five_components(as_of, instruments: DataFrame, wicks: DataFrame, volume: Dat
     all together.
 
     wicks: created, status. volume: window_start, volume_tier, absorption, divergence. walls: ts, side, wall_age. cvd:
-    window_start, cvd_delta. vwap: window_start, vwap_session, vwap_1h. A wick counts while untouched, and as recent
+    window_start, cvd_delta. vwap: window_start, vwap_session, vwap_1h. Of walls, CVD and VWAP the last rows of each instrument are
+    enough (``book.last_walls``, ``bars.deltas``, ``vwap.latest``). A wick counts while untouched, and as recent
     within ``recent_minutes``; a wall is young below ``young_s`` seconds."""
     end = F.unix_micros(F.lit(as_of).cast("timestamp"))
     open_ = F.col("status") == "untouched"

@@ -7,6 +7,8 @@ whole history is never sorted in one task.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,6 +57,22 @@ def vwap(trades: DataFrame, windows: dict[str, int] | None = None, anchor=None)
     return wide.select(*out)
 
 
+def latest(trades: DataFrame, windows: dict[str, int] | None = None) -> DataFrame:
+    """The row of ``vwap`` (without an anchor) of each instrument's last minute. There is one probe an instrument, so sums over the
+    trades in reach of it do, and nothing is sorted."""
+    windows = windows or {"1h": 3_600, "4h": 14_400}
+    at = trades.groupBy("inst_id").agg(times.floor_to(F.max("ts"), "1m").alias("window_start"))
+    in_minute = trades.select("inst_id", "ts", "trade_id").join(F.broadcast(at), "inst_id").where(F.col("ts") >= F.col("window_start"))
+    probe = in_minute.groupBy("inst_id", "window_start").agg(F.min(F.struct("ts", "trade_id")).alias("_at"))
+    us, now = times.micros(F.col("ts")), times.micros(F.col("_at.ts"))
+    reach = {"session": us >= times.micros(times.floor_to(F.col("_at.ts"), "1d"))} | {k: us >= now - seconds * 1_000_000 for k, seconds in windows.items()}
+    rows = trades.select("inst_id", "ts", "trade_id", "notional", "pv").join(F.broadcast(probe), "inst_id").where(F.struct("ts", "trade_id") <= F.col("_at"))
+    rows = rows.where(functools.reduce(lambda a, b: a | b, reach.values()))
+    sums = {k: {"n": F.sum(F.when(on, F.col("notional"))), "pv": F.sum(F.when(on, F.col("pv"))), "count": F.count_if(on)} for k, on in reach.items()}
+    got = rows.groupBy("inst_id", "window_start").agg(*[c.alias(f"_{k}_{v}") for k, cs in sums.items() for v, c in cs.items()])
+    return got.select("inst_id", "window_start", *[c for k in reach for c in (F.when(F.col(f"_{k}_n") > 0, money.ratio(F.col(f"_{k}_pv"), F.col(f"_{k}_n"))).alias(f"vwap_{k}"), F.col(f"_{k}_count").alias(f"trade_count_{k}"))])
+
+
 def deviation(prices: DataFrame, value: str = "vwap_session") -> DataFrame:
     """Distance of close from a VWAP in basis points, and whether it changed sides since the row before."""
     side = F.signum(F.col("close").cast("double") - F.col(value))

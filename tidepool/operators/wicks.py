@@ -55,7 +55,7 @@ def lifecycle(wicks: DataFrame, candles: DataFrame, ticks: DataFrame | None = No
     first, as a run over a whole batch does. ``ticks`` (inst_id, tick) gives distances in ticks; without one they're null."""
     as_of = candles.groupBy(*KEYS).agg(F.max("window_end").alias("as_of"))
     rows = first_touch(wicks, candles, hours).join(as_of, KEYS)
-    rows = rows.join(ticks.select("inst_id", F.col("tick").cast("decimal(16,8)").alias("tick")), "inst_id", "left") if ticks is not None else rows.withColumn("tick", F.lit(None).cast("decimal(16,8)"))
+    rows = rows.join(F.broadcast(ticks.select("inst_id", F.col("tick").cast("decimal(16,8)").alias("tick"))), "inst_id", "left") if ticks is not None else rows.withColumn("tick", F.lit(None).cast("decimal(16,8)"))
     old = times.micros(F.col("as_of")) >= times.micros(F.col("created")) + hours * 3_600_000_000
     t, p = F.col("touch"), F.col("price")
     touched = t.isNotNull() & (~old if batch_expiry else F.lit(True))
