@@ -57,8 +57,12 @@ def meta(spark: SparkSession) -> DataFrame:
 ORDERS_A_TASK = 20_000
 
 
-def book_parts(spark: SparkSession, sf_dir: str) -> int:
-    return parts_for(table(spark, sf_dir, "orders").count(), ORDERS_A_TASK, int(spark.conf.get("spark.sql.shuffle.partitions")))
+#: The same where a snapshot is one row of sums: fewer and larger pieces between the two deals of ``t7_walls``.
+SUMS_A_TASK = 100_000
+
+
+def book_parts(spark: SparkSession, sf_dir: str, each: int = ORDERS_A_TASK) -> int:
+    return parts_for(table(spark, sf_dir, "orders").count(), each, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def snapshots(spark: SparkSession, sf_dir: str, mid: int = 1000) -> DataFrame:
